@@ -152,7 +152,7 @@ DATETIME_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss", "yy
 
 def parse_date(text: Column) -> Column:
     """Text -> DATE (first 10 characters, ISO), NULL when empty or invalid."""
-    return F.coalesce(*[F.try_to_date(F.substring(text, 1, 10), F.lit(f)) for f in DATE_FORMATS])
+    return F.coalesce(*[F.try_to_timestamp(F.substring(text, 1, 10), F.lit(f)).cast("date") for f in DATE_FORMATS])
 
 
 def parse_datetime(text: Column) -> Column:

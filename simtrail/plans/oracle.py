@@ -232,3 +232,148 @@ ORACLE["query_set_chunks"] = (
          row_number() OVER (PARTITION BY ticket_id ORDER BY vec_id % 4) AS rn FROM v_corpus)
 JOIN v_judgments USING (ticket_id) WHERE rn = 1"""
 )
+
+VECTOR_TABLE = """v_table AS (
+  SELECT e.id, e.sentence, d.source AS product, d.lang AS module, d.doc_id % 3 = 1 AS homolog, e.id AS updated_at
+  FROM v_existing e JOIN documents d ON e.id % 1000000 = d.doc_id)"""
+
+
+# ------------------------------------------------------------------ text SQL twins
+def sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def fold_accents_sql(x: str) -> str:
+    for a, b in tx.ACCENT_MULTI:
+        x = f"replace({x}, {sql_str(a)}, {sql_str(b)})"
+    return f"translate({x}, {sql_str(tx.ACCENT_FROM)}, {sql_str(tx.ACCENT_TO)})"
+
+
+def tokens_sql(x: str, stopwords=None) -> str:
+    words = list(tx.DEFAULT_STOPWORDS if stopwords is None else stopwords)
+    stop = "[" + ", ".join(sql_str(w) for w in words) + "]::VARCHAR[]"
+    s = f"regexp_replace({fold_accents_sql(f'CAST({x} AS VARCHAR)')}, '[^0-9a-zA-Z]', ' ', 'g')"
+    return (f"list_transform(list_filter(string_split({s}, ' '), lambda w: w <> '' AND NOT list_contains({stop}, w)), "
+            f"lambda w: lower(w))")
+
+
+def normalize_sql(x: str, stopwords=None) -> str:
+    return f"array_to_string({tokens_sql(x, stopwords)}, ' ')"
+
+
+def hashed_vectors_sql(table: str, key: str, text: str, dim: int = 64) -> str:
+    """Subquery (key, v) of hashed vectors, computed in stages so nothing is recomputed."""
+    b = f"list_transform({tokens_sql(text)}, lambda t: ('0x' || substr(md5(t), 1, 8))::BIGINT % {dim})"
+    counts = f"list_transform(range({dim}), lambda i: CAST(len(list_filter(b, lambda z: z = i)) AS DOUBLE))"
+    return f"""(SELECT {key}, CASE WHEN len(b) > 0 THEN list_transform(c, lambda x: x / nrm) END AS v FROM (
+  SELECT {key}, b, c, sqrt(list_sum(list_transform(c, lambda u: u * u))) AS nrm FROM (
+    SELECT {key}, b, {counts} AS c FROM (SELECT {key}, {b} AS b FROM {table}))))"""
+
+
+def hit_sql_ids(e: str) -> str:
+    return parsed_ids(e)
+
+BASE_SQL = """v_base AS (
+  SELECT ticket_id,
+         string_agg(ticket_comment, '╡' ORDER BY comment_created_at NULLS FIRST, ticket_comment NULLS FIRST) AS ticket_comment,
+         max(subject) AS subject, CAST(NULL AS VARCHAR) AS summary, CAST(NULL AS VARCHAR) AS ticket_sentence_hash,
+         max(module_name) AS module, max(product_name) AS product, CAST(NULL AS VARCHAR) AS sentence_source,
+         max(ticket_status) AS ticket_status, max(created_at) AS created_at, max(updated_at) AS updated_at
+  FROM v_tickets GROUP BY ticket_id),
+v_first AS (
+  SELECT ticket_id, ticket_comment AS first_comment, comment_created_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY ticket_id
+                                 ORDER BY comment_created_at NULLS FIRST, ticket_comment NULLS FIRST) AS rn
+    FROM v_tickets) WHERE rn = 1)"""
+
+ORACLE["ticket_base"] = with_(TICKETS, BASE_SQL) + "SELECT b.*, f.first_comment FROM v_base b JOIN v_first f USING (ticket_id)"
+ORACLE["first_comment"] = with_(TICKETS, BASE_SQL) + "SELECT * FROM v_first"
+ORACLE["sentence_hash"] = "SELECT doc_id, md5(CAST(doc_id AS VARCHAR) || text) AS sentence_hash FROM documents"
+ORACLE["extract_topic"] = ("SELECT doc_id, coalesce(nullif(regexp_extract(text, '\\*\\*(.*?)\\*\\*', 1), ''), text) "
+                           "AS topic FROM documents")
+ORACLE["clean_output"] = ("SELECT doc_id, replace(regexp_replace('1. ' || text, '[0-9]+\\.\\s*', '', 'g'), chr(10), ' ') "
+                          "AS cleaned FROM documents")
+ORACLE["normalize_text"] = f"SELECT doc_id, {normalize_sql('text')} AS normalized FROM documents"
+_LC = "lower(coalesce(locale_code, ''))"
+ORACLE["language_by_locale"] = with_(LOCALES) + f"""SELECT doc_id, locale_code,
+  CASE WHEN contains({_LC}, 'en') THEN 'English' WHEN contains({_LC}, 'es') THEN 'Spanish' ELSE 'Brazilian Portuguese' END AS language,
+  CASE WHEN contains({_LC}, 'en') THEN 'en' WHEN contains({_LC}, 'es') THEN 'es' ELSE 'pt' END AS code
+FROM v_locales"""
+_TAGS = "(CASE WHEN tags IS NULL OR length(tags) = 0 THEN []::VARCHAR[] ELSE CAST(json(tags) AS VARCHAR[]) END)"
+ORACLE["parse_tags"] = with_(ARTICLES) + f"""SELECT id, CAST(len({_TAGS}) AS BIGINT) AS n_tags,
+  array_to_string({_TAGS}, '|') AS tags_joined FROM v_articles"""
+ORACLE["decode_records"] = """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+  CAST(json_extract(props, '$.k') AS BIGINT) AS key,
+  CAST(json_extract(props, '$.k') AS BIGINT) AS map_k,
+  CAST(len(json_keys(props)) AS BIGINT) AS n_keys FROM events"""
+ORACLE["parse_datetimes"] = """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts_text,
+  try_strptime(strftime(ts, '%Y-%m-%dT%H:%M:%S'), '%Y-%m-%dT%H:%M:%S') AS parsed_ts,
+  CAST(CAST(try_strptime(substring(strftime(ts, '%Y-%m-%dT%H:%M:%S'), 1, 10), '%Y-%m-%d') AS DATE) AS VARCHAR) AS parsed_date
+FROM events"""
+ORACLE["shrink_long"] = with_(ARTICLES) + """SELECT id, CAST(length(substring(sentence, 1, 5000)) AS BIGINT) AS sentence_len,
+  md5(substring(sentence, 1, 5000)) AS sentence_md5, product, substring(tags, 1, 5000) AS tags FROM v_articles"""
+
+
+def _prompt_sql(x: str) -> str:
+    from simtrail.plans.queries import PROMPT
+
+    return f"replace({sql_str(PROMPT)}, '{{text}}', {x})"
+
+
+ORACLE["prompt_column"] = with_(TICKETS) + f"""SELECT ticket_id, count(*) AS n_prompts,
+  CAST(sum(length({_prompt_sql('ticket_comment')})) AS BIGINT) AS prompt_chars FROM v_tickets GROUP BY ticket_id"""
+ORACLE["dedup_keep_first"] = with_(CATALOGUE) + """SELECT product, module, homolog, ord FROM (
+  SELECT *, row_number() OVER (PARTITION BY product, module ORDER BY ord) AS rn FROM v_catalogue) WHERE rn = 1"""
+ORACLE["judgments_load"] = with_(CORPUS, JUDGMENTS) + """SELECT TRY_CAST(CAST(ticket_id AS VARCHAR) AS BIGINT) AS ticket_id,
+  expected_id FROM v_judgments"""
+ORACLE["per_product_counts"] = with_(ARTICLES) + "SELECT product, count(*) AS n FROM v_articles GROUP BY product"
+
+# ---- sync
+INCOMING = """v_incoming AS (
+  SELECT id, coalesce(sentence, '') AS sentence, coalesce(product, '') AS product, coalesce(module, '') AS module,
+         homolog, coalesce(tags, '') AS tags, updated_at
+  FROM v_articles a WHERE NOT EXISTS (SELECT 1 FROM v_deleted d WHERE d.id = a.id)),
+v_diff AS (
+  SELECT coalesce(i.id, e.id) AS id, coalesce(i.sentence, e.sentence) AS sentence, i.product, i.module, i.homolog,
+         i.tags, i.updated_at,
+         CASE WHEN i.id IS NOT NULL AND e.id IS NOT NULL THEN 'both' WHEN i.id IS NOT NULL THEN 'left_only'
+              ELSE 'right_only' END AS merge_status
+  FROM v_incoming i FULL OUTER JOIN v_existing e ON i.id IS NOT DISTINCT FROM e.id
+                                                AND i.sentence IS NOT DISTINCT FROM e.sentence),
+v_new AS (SELECT * FROM v_diff WHERE merge_status = 'left_only'),
+v_removed AS (SELECT id, sentence FROM v_diff WHERE merge_status = 'right_only')"""
+SYNC_CTES = (ARTICLES, DELETED, EXISTING, INCOMING)
+
+ORACLE["sync_filter_deleted"] = with_(ARTICLES, DELETED) + """SELECT id, product FROM v_articles a
+  WHERE NOT EXISTS (SELECT 1 FROM v_deleted d WHERE d.id = a.id)"""
+ORACLE["fill_missing"] = with_(ARTICLES) + """SELECT id, CAST(length(coalesce(sentence, '')) AS BIGINT) AS sentence_len,
+  coalesce(tags, '') AS tags, homolog FROM v_articles"""
+ORACLE["sync_diff"] = with_(*SYNC_CTES) + "SELECT id, md5(sentence) AS sentence_md5, merge_status FROM v_diff"
+ORACLE["sync_watermark"] = with_(*SYNC_CTES) + "SELECT max(updated_at) AS updated_at_max FROM v_new"
+ORACLE["insert_if_absent"] = with_(*SYNC_CTES, VECTOR_TABLE) + """SELECT DISTINCT n.id, md5(substring(n.sentence, 1, 5000)) AS sentence_md5
+  FROM v_new n WHERE NOT EXISTS (SELECT 1 FROM v_table t WHERE t.id = n.id AND t.sentence = substring(n.sentence, 1, 5000))"""
+ORACLE["delete_by_id"] = with_(EXISTING, DELETED, VECTOR_TABLE) + """SELECT id, md5(sentence) AS sentence_md5 FROM v_table t
+  WHERE NOT EXISTS (SELECT 1 FROM v_deleted d WHERE d.id = t.id)"""
+ORACLE["delete_by_pair"] = with_(*SYNC_CTES, VECTOR_TABLE) + """SELECT id, md5(sentence) AS sentence_md5 FROM v_table t
+  WHERE NOT EXISTS (SELECT 1 FROM v_removed r WHERE r.id = t.id AND r.sentence = t.sentence)"""
+FLAG_SQL = """v_cat1 AS (SELECT product, module, homolog AS cat FROM (
+  SELECT *, row_number() OVER (PARTITION BY product, module ORDER BY ord) AS rn FROM v_catalogue) WHERE rn = 1)"""
+_NEW_FLAG = "CASE WHEN t.homolog IS NOT NULL AND c.cat IS NOT NULL AND t.homolog = c.cat THEN NOT t.homolog ELSE t.homolog END"
+ORACLE["flag_sync"] = with_(EXISTING, CATALOGUE, VECTOR_TABLE, FLAG_SQL) + f"""SELECT t.id, t.product, t.module,
+  {_NEW_FLAG} AS homolog FROM v_table t LEFT JOIN v_cat1 c ON c.product = t.product AND c.module = t.module"""
+ORACLE["sync_apply"] = with_(*SYNC_CTES, VECTOR_TABLE, CATALOGUE, FLAG_SQL) + f""", v_after AS (
+  SELECT * FROM v_table t WHERE NOT EXISTS (SELECT 1 FROM v_deleted d WHERE d.id = t.id)
+    AND NOT EXISTS (SELECT 1 FROM v_removed r WHERE r.id = t.id AND r.sentence = t.sentence)),
+v_ins AS (
+  SELECT DISTINCT n.id, substring(n.sentence, 1, 5000) AS sentence, n.product, n.module, n.homolog, n.updated_at
+  FROM v_new n WHERE NOT EXISTS (SELECT 1 FROM v_after a WHERE a.id = n.id AND a.sentence = substring(n.sentence, 1, 5000))),
+v_all AS (SELECT id, sentence, product, module, homolog, updated_at FROM v_ins
+          UNION ALL SELECT id, sentence, product, module, homolog, updated_at FROM v_after)
+SELECT t.id, md5(t.sentence) AS sentence_md5, t.product, t.module, {_NEW_FLAG} AS homolog, t.updated_at
+FROM v_all t LEFT JOIN v_cat1 c ON c.product = t.product AND c.module = t.module"""
+
+ORACLE["embed_hashed"] = f"""SELECT doc_id, CAST(i - 1 AS BIGINT) AS dim, round(v[i], 6) AS value FROM (
+  SELECT doc_id, v, generate_subscripts(v, 1) AS i FROM {hashed_vectors_sql('documents', 'doc_id', 'text')})
+WHERE v[i] > 0"""
+ORACLE["embed_unique"] = f"""SELECT doc_id, CAST(len(list_filter(v, lambda x: x > 0)) AS BIGINT) AS n_dims,
+  round(list_sum(v), 6) AS vsum FROM {hashed_vectors_sql('documents', 'doc_id', 'text')}"""

@@ -146,3 +146,197 @@ def q_query_set_chunks(spark, sf):
     q = evp.query_set(c, fx.judgments(spark, sf), kind="chunks")
     return q.select("ticket_id", "sentence", "product", "module", "expected_id",
                     F.size("sentence_embedding").cast("long").alias("dim"))
+
+
+# ---------------------------------------------------------------- ticket base + scalars
+from simtrail.functions import text as tx  # noqa: E402
+from simtrail.operators import base as bs  # noqa: E402
+from simtrail.operators import embed as em  # noqa: E402
+from simtrail.operators import sync as sy  # noqa: E402
+
+BASE_COLS = ["ticket_id", "ticket_comment", "subject", "summary", "ticket_sentence_hash", "module", "product",
+             "sentence_source", "ticket_status", "created_at", "updated_at", "first_comment"]
+
+
+@register("ticket_base")
+def q_ticket_base(spark, sf):
+    return bs.ticket_base(fx.tickets(spark, sf)).select(*BASE_COLS)
+
+
+@register("first_comment")
+def q_first_comment(spark, sf):
+    return bs.first_comment(fx.tickets(spark, sf))
+
+
+def _docs(spark, sf):
+    return fx._t(spark, sf, "documents")
+
+
+@register("sentence_hash")
+def q_sentence_hash(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", tx.sentence_hash(F.col("doc_id"), F.col("text")).alias("sentence_hash"))
+
+
+@register("extract_topic")
+def q_extract_topic(spark, sf):
+    return _docs(spark, sf).select("doc_id", tx.extract_topic(F.col("text")).alias("topic"))
+
+
+@register("clean_output")
+def q_clean_output(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", tx.clean_output(F.concat(F.lit("1. "), F.col("text"))).alias("cleaned"))
+
+
+@register("normalize_text")
+def q_normalize_text(spark, sf):
+    return _docs(spark, sf).select("doc_id", tx.normalize_text(F.col("text")).alias("normalized"))
+
+
+@register("language_by_locale")
+def q_language_by_locale(spark, sf):
+    l_ = fx.locales(spark, sf)
+    lang = tx.language_by_locale(F.col("locale_code"))
+    return l_.select("doc_id", "locale_code", lang["language"].alias("language"), lang["code"].alias("code"))
+
+
+@register("parse_tags")
+def q_parse_tags(spark, sf):
+    a = fx.articles(spark, sf)
+    t = tx.parse_tags(F.col("tags"))
+    return a.select("id", F.size(t).cast("long").alias("n_tags"), F.array_join(t, "|").alias("tags_joined"))
+
+
+@register("decode_records")
+def q_decode_records(spark, sf):
+    e = fx.json_events(spark, sf)
+    st = tx.decode_json(F.col("props"), "k BIGINT", rename=None)
+    renamed = tx.decode_json(F.col("props"), tx.T.StructType([tx.T.StructField("k", tx.T.LongType())]),
+                             rename={"k": "key"})
+    mp = tx.decode_json(F.col("props"), "map<string, bigint>")
+    return e.select("event_id", st["k"].alias("k"), renamed["key"].alias("key"),
+                    mp["k"].alias("map_k"), F.size(mp).cast("long").alias("n_keys"))
+
+
+@register("parse_datetimes")
+def q_parse_datetimes(spark, sf):
+    e = fx.json_events(spark, sf)
+    txt = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    return e.select("event_id", txt.alias("ts_text"), tx.parse_datetime(txt).alias("parsed_ts"),
+                    tx.parse_date(txt).cast("string").alias("parsed_date"))
+
+
+@register("shrink_long")
+def q_shrink_long(spark, sf):
+    s = tx.shrink_long(fx.articles(spark, sf), 5000)
+    return s.select("id", F.length("sentence").cast("long").alias("sentence_len"),
+                    F.md5("sentence").alias("sentence_md5"), "product", "tags")
+
+
+PROMPT = "Summarise the following support conversation:\n\n{text}\n\nSUMMARY:"
+
+
+@register("prompt_column")
+def q_prompt_column(spark, sf):
+    t = fx.tickets(spark, sf)
+    return t.select("ticket_id", F.col("ticket_comment").alias("_t")).select(
+        "ticket_id", tx.prompt_column(PROMPT, F.col("_t")).alias("prompt")).groupBy("ticket_id").agg(
+        F.count(F.lit(1)).alias("n_prompts"), F.sum(F.length("prompt")).cast("long").alias("prompt_chars"))
+
+
+@register("dedup_keep_first")
+def q_dedup_keep_first(spark, sf):
+    return bs.dedup_keep_first(fx.catalogue(spark, sf), ["product", "module"], [F.col("ord").asc()])
+
+
+@register("judgments_load")
+def q_judgments_load(spark, sf):
+    raw = fx.judgments(spark, sf).select(F.col("ticket_id").cast("string").alias("ticket_id"), "expected_id")
+    return raw.select(F.col("ticket_id").try_cast("bigint").alias("ticket_id"), "expected_id")
+
+
+@register("per_product_counts")
+def q_per_product_counts(spark, sf):
+    return sy.per_product_counts(fx.articles(spark, sf))
+
+
+# ---------------------------------------------------------------- article sync
+def _md5(c="sentence"):
+    return F.md5(F.col(c)).alias("sentence_md5")
+
+
+def _incoming(spark, sf):
+    df = sy.filter_deleted(fx.articles(spark, sf), fx.deleted(spark, sf))
+    return tx.ensure_tags(sy.fill_missing(df))
+
+
+@register("sync_filter_deleted")
+def q_sync_filter_deleted(spark, sf):
+    return sy.filter_deleted(fx.articles(spark, sf), fx.deleted(spark, sf)).select("id", "product")
+
+
+@register("fill_missing")
+def q_fill_missing(spark, sf):
+    f = sy.fill_missing(fx.articles(spark, sf))
+    return f.select("id", F.length("sentence").cast("long").alias("sentence_len"), "tags", "homolog")
+
+
+@register("sync_diff")
+def q_sync_diff(spark, sf):
+    d = sy.sync_diff(_incoming(spark, sf), fx.existing(spark, sf))
+    return d.select("id", _md5(), F.col("_merge").alias("merge_status"))
+
+
+def _plan(spark, sf):
+    return sy.prepare_sync(fx.articles(spark, sf), fx.existing(spark, sf), fx.deleted(spark, sf))
+
+
+@register("sync_watermark")
+def q_sync_watermark(spark, sf):
+    return _plan(spark, sf).watermark
+
+
+@register("insert_if_absent")
+def q_insert_if_absent(spark, sf):
+    return sy.insert_if_absent(fx.vector_table(spark, sf), _plan(spark, sf).new_rows).select("id", _md5())
+
+
+@register("delete_by_id")
+def q_delete_by_id(spark, sf):
+    return sy.delete_by_id(fx.vector_table(spark, sf), fx.deleted(spark, sf)).select("id", _md5())
+
+
+@register("delete_by_pair")
+def q_delete_by_pair(spark, sf):
+    return sy.delete_by_pair(fx.vector_table(spark, sf), _plan(spark, sf).removed).select("id", _md5())
+
+
+@register("flag_sync")
+def q_flag_sync(spark, sf):
+    return sy.flag_sync(fx.vector_table(spark, sf), fx.catalogue(spark, sf)).select("id", "product", "module",
+                                                                                     "homolog")
+
+
+@register("sync_apply")
+def q_sync_apply(spark, sf):
+    t = sy.apply_sync(fx.vector_table(spark, sf), _plan(spark, sf), fx.deleted(spark, sf), fx.catalogue(spark, sf))
+    return t.select("id", _md5(), "product", "module", "homolog", "updated_at")
+
+
+@register("embed_hashed")
+def q_embed_hashed(spark, sf):
+    d = _docs(spark, sf).select("doc_id", em.hashed_vector(F.col("text")).alias("v"))
+    return d.select("doc_id", F.posexplode("v").alias("dim", "value")).where(F.col("value") > 0).select(
+        "doc_id", F.col("dim").cast("long").alias("dim"), F.round("value", 6).alias("value"))
+
+
+@register("embed_unique")
+def q_embed_unique(spark, sf):
+    d = _docs(spark, sf).select("doc_id", F.col("text").alias("sentence"))
+    e = em.embed_unique(d, "sentence", em.hashed_encoder())
+    return e.select(
+        "doc_id",
+        F.size(F.filter("sentence_embedding", lambda x: x > 0)).cast("long").alias("n_dims"),
+        F.round(F.aggregate("sentence_embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("vsum"),
+    )

@@ -169,3 +169,17 @@ def locales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _t(spark, sf_dir, "events")
     return e.select("event_id", "ts", "event_type", "props")
+
+
+def vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current article vector table: the existing (id, sentence) pairs with their attributes
+    (the document with doc_id = id % 1000000; flag = doc_id % 3 = 1)."""
+    ex = existing(spark, sf_dir)
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    j = ex.join(d, ex["id"] % 1000000 == d["doc_id"])
+    return j.select(
+        "id", "sentence",
+        F.col("source").alias("product"), F.col("lang").alias("module"),
+        (F.col("doc_id") % 3 == 1).alias("homolog"),
+        F.col("id").alias("updated_at"),
+    )
