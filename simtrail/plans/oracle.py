@@ -377,3 +377,97 @@ ORACLE["embed_hashed"] = f"""SELECT doc_id, CAST(i - 1 AS BIGINT) AS dim, round(
 WHERE v[i] > 0"""
 ORACLE["embed_unique"] = f"""SELECT doc_id, CAST(len(list_filter(v, lambda x: x > 0)) AS BIGINT) AS n_dims,
   round(list_sum(v), 6) AS vsum FROM {hashed_vectors_sql('documents', 'doc_id', 'text')}"""
+
+# ---- text jobs
+def pieces_sql(x: str, sep_sql: str, sep_len: int, size: int) -> str:
+    splits = f"list_filter(string_split({x}, {sep_sql}), lambda s: s <> '')"
+    step = (f"lambda acc, s: CASE WHEN len(acc) > 0 AND length(acc[-1]) + {sep_len} + length(s) <= {size} "
+            f"THEN acc[1:len(acc) - 1] || [acc[-1] || {sep_sql} || s] ELSE acc || [s] END")
+    packed = f"list_reduce({splits}, {step}, []::VARCHAR[])"
+    return f"list_filter(list_transform({packed}, lambda p: {strip_ws('p')}), lambda p: p <> '')"
+
+
+ORACLE["summary_pieces"] = f"""SELECT doc_id, CAST(i - 1 AS BIGINT) AS piece_no, md5(p[i]) AS piece_md5,
+  CAST(length(p[i]) AS BIGINT) AS piece_len FROM (
+  SELECT doc_id, p, generate_subscripts(p, 1) AS i FROM (
+    SELECT doc_id, {pieces_sql('text', 'chr(10)', 1, 500)}[1:4] AS p FROM documents))"""
+
+_WIN = """list_transform(CASE WHEN len(tk) > 0 THEN range(0, CAST(ceil(len(tk) / 512) AS BIGINT)) ELSE [] END,
+           lambda i: array_to_string(tk[i * 512 + 1 : i * 512 + 512], ' '))"""
+WINDOWS = f"""v_windows AS (
+  SELECT ticket_id, {_WIN} AS w FROM (
+    SELECT ticket_id, list_filter(regexp_split_to_array(coalesce(ticket_comment, ''), '\\s+'), lambda t: t <> '') AS tk
+    FROM v_chunks))"""
+ORACLE["chunk_windows"] = with_(CHUNKS, WINDOWS) + """SELECT ticket_id, CAST(i - 1 AS BIGINT) AS chunk_index,
+  md5(w[i]) AS chunk_md5, CAST(len(string_split(w[i], ' ')) AS BIGINT) AS n_tokens FROM (
+  SELECT ticket_id, w, generate_subscripts(w, 1) AS i FROM v_windows)"""
+ORACLE["profile"] = with_(CHUNKS, WINDOWS) + """SELECT count(*) AS n_rows, CAST(sum(len(w)) AS BIGINT) AS n_chunks,
+  CAST(2 AS BIGINT) AS n_columns FROM v_windows"""
+
+BT = "v_bt AS (SELECT b.ticket_id, b.ticket_comment, b.subject FROM v_base b)"
+
+
+def sentences_sql(pieces: bool) -> str:
+    if pieces:
+        src = f"""SELECT ticket_id, i - 1 AS piece, p[i] AS t FROM (
+      SELECT ticket_id, p, generate_subscripts(p, 1) AS i FROM (
+        SELECT ticket_id, {pieces_sql('ticket_comment', "chr(10) || chr(10)", 2, 4000)}[1:4] AS p FROM v_bt))"""
+    else:
+        src = "SELECT ticket_id, 0 AS piece, ticket_comment AS t FROM v_bt"
+    return f"""v_sent AS (
+  SELECT ticket_id, piece, i AS pos, {strip_ws('a[i]')} AS sentence FROM (
+    SELECT ticket_id, piece, a, generate_subscripts(a, 1) AS i FROM (
+      SELECT ticket_id, piece, regexp_split_to_array(t, '[.\\n]+') AS a FROM ({src})))
+  WHERE {strip_ws('a[i]')} <> ''),
+v_tf AS (SELECT ticket_id, tok, count(*) AS tf FROM (
+  SELECT ticket_id, unnest({tokens_sql('ticket_comment')}) AS tok FROM v_bt) GROUP BY ticket_id, tok),
+v_sscore AS (
+  SELECT s.ticket_id, s.piece, s.pos, coalesce(x.score, 0.0) AS score, s.sentence FROM v_sent s LEFT JOIN (
+    SELECT t.ticket_id, t.piece, t.pos, round(sum(f.tf) / count(*), 6) AS score FROM (
+      SELECT ticket_id, piece, pos, unnest(list_distinct({tokens_sql('sentence')})) AS tok FROM v_sent) t
+    JOIN v_tf f ON f.ticket_id = t.ticket_id AND f.tok = t.tok GROUP BY t.ticket_id, t.piece, t.pos) x
+  ON x.ticket_id = s.ticket_id AND x.piece = s.piece AND x.pos = s.pos)"""
+
+
+def best_sql(src: str, n: int, by: str = "ticket_id") -> str:
+    return f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY score DESC, piece, pos) AS r
+  FROM {src}) WHERE r <= {n})"""
+
+
+TEXT_BASE = (TICKETS, BASE_SQL, BT)
+ORACLE["summarize_stuff"] = with_(*TEXT_BASE, sentences_sql(False)) + f"""SELECT ticket_id,
+  string_agg(sentence, '. ' ORDER BY piece, pos) AS summary FROM {best_sql('v_sscore', 3)} GROUP BY ticket_id"""
+ORACLE["summarize_map_reduce"] = with_(*TEXT_BASE, sentences_sql(True)) + f"""SELECT ticket_id,
+  string_agg(sentence, '. ' ORDER BY piece, pos) AS summary
+FROM {best_sql(best_sql('v_sscore', 2, 'ticket_id, piece'), 3)} GROUP BY ticket_id"""
+TOPIC_SQL = f"""v_topic AS (SELECT ticket_id,
+  coalesce(nullif(regexp_extract(sentence, '\\*\\*(.*?)\\*\\*', 1), ''), sentence) AS topic
+  FROM {best_sql('v_sscore', 1)})"""
+ORACLE["ticket_topic"] = with_(*TEXT_BASE, sentences_sql(False), TOPIC_SQL) + "SELECT * FROM v_topic"
+KEYWORDS_SQL = """v_kw AS (
+  SELECT ticket_id,
+         replace(regexp_replace(string_agg(tok, ' ' ORDER BY weight DESC, tok), '[0-9]+\\.\\s*', '', 'g'), chr(10), ' ')
+           AS keywords
+  FROM (SELECT *, row_number() OVER (PARTITION BY ticket_id ORDER BY weight DESC, tok) AS r FROM (
+    SELECT f.ticket_id, f.tok,
+           round(f.tf * ln(((SELECT count(DISTINCT ticket_id) FROM v_bt) + 1) / (d.df + 1)), 6) AS weight
+    FROM v_tf f JOIN (SELECT tok, count(*) AS df FROM v_tf GROUP BY tok) d USING (tok)))
+  WHERE r <= 8 GROUP BY ticket_id)"""
+ORACLE["ticket_keywords"] = with_(*TEXT_BASE, sentences_sql(False), KEYWORDS_SQL) + "SELECT * FROM v_kw"
+ORACLE["union_sources"] = with_(*TEXT_BASE, sentences_sql(False), TOPIC_SQL, KEYWORDS_SQL) + """SELECT ticket_id,
+  sentence_source, sentence, md5(CAST(ticket_id AS VARCHAR) || sentence) AS ticket_sentence_hash FROM (
+  SELECT ticket_id, 'summary' AS sentence_source, topic AS sentence FROM v_topic
+  UNION ALL SELECT ticket_id, 'keywords', keywords FROM v_kw
+  UNION ALL SELECT ticket_id, 'subject', subject FROM v_bt)"""
+ORACLE["fan_out_sources"] = with_(*TEXT_BASE, sentences_sql(True)) + f""", v_sum AS (
+  SELECT ticket_id, string_agg(sentence, '. ' ORDER BY piece, pos) AS summary
+  FROM {best_sql(best_sql('v_sscore', 2, 'ticket_id, piece'), 3)} GROUP BY ticket_id),
+v_b AS (SELECT b.ticket_id, b.ticket_comment, b.subject, s.summary, f.first_comment
+        FROM v_base b JOIN v_first f USING (ticket_id) LEFT JOIN v_sum s USING (ticket_id))
+SELECT ticket_id, src AS sentence_source, md5(sentence) AS sentence_md5, h AS ticket_sentence_hash FROM (
+  SELECT ticket_id, 'ticket_comment' AS src, ticket_comment AS sentence,
+         md5(CAST(ticket_id AS VARCHAR) || ticket_comment) AS h FROM v_b
+  UNION ALL SELECT ticket_id, 'subject', subject, md5(CAST(ticket_id AS VARCHAR) || subject) FROM v_b
+  UNION ALL SELECT ticket_id, 'summary', summary, md5(CAST(ticket_id AS VARCHAR) || summary) FROM v_b
+  UNION ALL SELECT ticket_id, 'first_comment', first_comment,
+                   md5(CAST(ticket_id AS VARCHAR) || first_comment || summary) FROM v_b)"""

@@ -340,3 +340,111 @@ def q_embed_unique(spark, sf):
         F.size(F.filter("sentence_embedding", lambda x: x > 0)).cast("long").alias("n_dims"),
         F.round(F.aggregate("sentence_embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("vsum"),
     )
+
+
+# ---------------------------------------------------------------- text jobs
+from simtrail.operators import chunk as ch  # noqa: E402
+from simtrail.operators import summarize as sm  # noqa: E402
+from simtrail.plans import feeds  # noqa: E402
+
+
+def _base(spark, sf):
+    return bs.ticket_base(fx.tickets(spark, sf))
+
+
+@register("summary_pieces")
+def q_summary_pieces(spark, sf):
+    d = _docs(spark, sf)
+    p = d.select("doc_id", F.posexplode(ch.summary_pieces(F.col("text"), separator="\n", size=500)).alias("piece_no", "piece"))
+    return p.select("doc_id", F.col("piece_no").cast("long").alias("piece_no"), F.md5("piece").alias("piece_md5"),
+                    F.length("piece").cast("long").alias("piece_len"))
+
+
+@register("split_pieces")
+def q_split_pieces(spark, sf):
+    d = _docs(spark, sf)
+    p = d.select("doc_id", F.posexplode(ch.split_pieces(F.col("text"))).alias("piece_no", "piece"))
+    return p.select("doc_id", F.col("piece_no").cast("long").alias("piece_no"), F.length("piece").cast("long").alias("piece_len"))
+
+
+@register("chunk_windows")
+def q_chunk_windows(spark, sf):
+    c = fx.chunks_source(spark, sf)
+    w = c.select("ticket_id", F.posexplode(ch.chunk_windows(F.col("ticket_comment"))).alias("chunk_index", "chunk"))
+    return w.select("ticket_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.md5("chunk").alias("chunk_md5"),
+                    F.size(F.split("chunk", " ")).cast("long").alias("n_tokens"))
+
+
+@register("chunk_recursive")
+def q_chunk_recursive(spark, sf):
+    c = ch.recursive_chunks(fx.chunks_source(spark, sf), "ticket_comment")
+    return c.select("ticket_id", F.posexplode("chunks").alias("chunk_index", "chunk")).select(
+        "ticket_id", "chunk_index", F.length("chunk").alias("chunk_len"))
+
+
+@register("profile")
+def q_profile(spark, sf):
+    c = fx.chunks_source(spark, sf).select("ticket_id", ch.chunk_windows(F.col("ticket_comment")).alias("chunks"))
+    return c.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("chunks")).cast("long").alias("n_chunks"),
+                 F.lit(len(c.columns)).cast("long").alias("n_columns"))
+
+
+@register("summarize_stuff")
+def q_summarize_stuff(spark, sf):
+    return sm.summarize_stuff(_base(spark, sf))
+
+
+@register("summarize_map_reduce")
+def q_summarize_map_reduce(spark, sf):
+    return sm.summarize_map_reduce(_base(spark, sf))
+
+
+@register("summarize_refine")
+def q_summarize_refine(spark, sf):
+    return sm.summarize_refine(_base(spark, sf))
+
+
+@register("ticket_topic")
+def q_ticket_topic(spark, sf):
+    return sm.ticket_topic(_base(spark, sf))
+
+
+@register("ticket_keywords")
+def q_ticket_keywords(spark, sf):
+    return sm.ticket_keywords(_base(spark, sf))
+
+
+@register("union_sources")
+def q_union_sources(spark, sf):
+    return feeds.summary_sources(_base(spark, sf)).select(
+        "ticket_id", "sentence_source", "sentence", "ticket_sentence_hash")
+
+
+@register("fan_out_sources")
+def q_fan_out_sources(spark, sf):
+    f = feeds.four_sources(_base(spark, sf))
+    return f.select("ticket_id", "sentence_source", F.md5("sentence").alias("sentence_md5"), "ticket_sentence_hash")
+
+
+@register("feed_summary")
+def q_feed_summary(spark, sf):
+    return feeds.feed_summary(_base(spark, sf)).select(
+        "ticket_id", "sentence_source", "ticket_sentence_hash", F.size("sentence_embedding").alias("dim"))
+
+
+@register("feed_chunks")
+def q_feed_chunks(spark, sf):
+    return feeds.feed_chunks(_base(spark, sf)).select(
+        "ticket_id", "chunk_index", "ticket_chunk_hash", F.size("sentence_embedding").alias("dim"),
+        F.size("subject_embedding").alias("subject_dim"))
+
+
+@register("ingest_four_sources")
+def q_ingest_four_sources(spark, sf):
+    return feeds.ingest_four_sources(_base(spark, sf)).select(
+        "ticket_id", "sentence_source", "ticket_sentence_hash", F.size("sentence_embedding").alias("dim"))
+
+
+@register("sample_n")
+def q_sample_n(spark, sf):
+    return feeds.sample_n(fx.tickets(spark, sf), 5, seed=7).select("ticket_id", "ticket_status")
