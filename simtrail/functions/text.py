@@ -138,6 +138,8 @@ def decode_json(text: Column, schema: T.DataType | str, rename: Mapping[str, str
 
     ``rename`` maps JSON attribute names to output field names for struct schemas.
     """
+    if isinstance(schema, str) and rename:
+        schema = T._parse_datatype_string(schema)
     parsed = F.from_json(text, schema)
     if rename and isinstance(schema, T.StructType):
         return F.struct(*[parsed[f.name].alias(rename.get(f.name, f.name)) for f in schema.fields])

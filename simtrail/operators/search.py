@@ -123,7 +123,8 @@ def _compact(q, t, s, k):
     return q[keep], t[keep], s[keep]
 
 
-def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, decimals, id_col, vec_col, dim):
+def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, decimals, id_col, vec_col, dim,
+            list_col=None):
     def run(batches):
         import pandas as pd
 
@@ -143,6 +144,8 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
             vecs_all = flat.reshape(n, dim).astype(np.float64)
             prods = rb.column("__product").to_pylist() if filt.needs_product else None
             mods = rb.column("__module").to_pylist() if filt.needs_module else None
+            lists_all = (rb.column(list_col).to_numpy(zero_copy_only=False).astype(np.int64)
+                         if list_col else None)
             for c0 in range(0, n, CORPUS_SLICE):
                 c1 = min(n, c0 + CORPUS_SLICE)
                 C = vecs_all[c0:c1]
@@ -168,6 +171,8 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
                     mask = np.broadcast_to(valid[None, :], S.shape).copy()
                     if exclude_self:
                         mask &= cid[None, :] != targets[q0:q1, None]
+                    if lists_all is not None:
+                        mask &= p["allowed"][q0:q1][:, lists_all[c0:c1]]
                     if filt.needs_product or filt.needs_module:
                         pm = (
                             _pair_mask(p["qp_codes"][q0:q1], p["qp_uniques"], prods[c0:c1], _prefix, filt.match)
@@ -238,6 +243,8 @@ def vector_search(
     inclusive: bool = False,
     decimals: int = 6,
     block_bytes: int = DEFAULT_BLOCK_BYTES,
+    ivf: "IvfIndex | None" = None,
+    nprobe: int = 1,
 ) -> DataFrame:
     """Top-k candidate tickets per query row by best-of-rows score.
 
@@ -249,6 +256,10 @@ def vector_search(
     "inner" (1 + dot product). ``threshold`` is on the unrounded score
     (strict ``>`` unless ``inclusive``). Query rows need ``product`` / ``module``
     columns when the filters use them; so does the corpus.
+
+    With ``ivf`` (see :func:`build_ivf`) each query scores only the rows of its ``nprobe``
+    nearest lists; the corpus scan is filtered to the lists probed by the query block
+    (partition pruning when the corpus is stored partitioned by list).
     """
     if metric not in ("cosine", "l2", "inner"):
         raise ValueError(f"unknown metric {metric!r}")
@@ -268,6 +279,8 @@ def vector_search(
         ccols.append(F.col("product").alias("__product"))
     if filters.needs_module:
         ccols.append(F.col("module").alias("__module"))
+    if ivf is not None:
+        ccols.append(F.col(ivf.list_col).cast("long").alias(ivf.list_col))
     c = corpus.select(*ccols).where(F.size(corpus_vec) == dim)
 
     import pandas as pd
@@ -303,9 +316,16 @@ def vector_search(
             "qm_codes": qm_codes,
             "qm_uniques": list(qm_uniques),
         }
+        cb = c
+        if ivf is not None:
+            allowed = ivf.probe(Q, nprobe, metric)
+            payload["allowed"] = allowed
+            probed = [int(x) for x in np.flatnonzero(allowed.any(axis=0))]
+            cb = c.where(F.col(ivf.list_col).isin(probed))
         ref = _broadcast(spark, payload)
-        fn = _scorer(ref, k, metric, filters, exclude_self, threshold, inclusive, decimals, corpus_id, corpus_vec, dim)
-        parts.append(c.mapInArrow(fn, RESULT_SCHEMA))
+        fn = _scorer(ref, k, metric, filters, exclude_self, threshold, inclusive, decimals, corpus_id, corpus_vec, dim,
+                     ivf.list_col if ivf is not None else None)
+        parts.append(cb.mapInArrow(fn, RESULT_SCHEMA))
     if not parts:
         return spark.createDataFrame([], _RANKED_SCHEMA)
     cand = parts[0]
@@ -325,3 +345,54 @@ def search_best_per_ticket(hits: DataFrame, k: int) -> DataFrame:
     """E2 + F1 + F2 for precomputed scores: best row per (target, ticket), top k per target."""
     best = hits.groupBy("target", "ticket_id").agg(F.max("score").alias("score"))
     return top_k_per_target(best, k)
+
+
+@dataclass
+class IvfIndex:
+    """Inverted-file index: list centroids plus the corpus with a list column."""
+
+    centroids: np.ndarray
+    corpus: DataFrame
+    list_col: str = "ivf_list"
+
+    def probe(self, Q: np.ndarray, nprobe: int, metric: str = "cosine") -> np.ndarray:
+        """Boolean (queries x lists): the ``nprobe`` nearest lists of every query."""
+        C = self.centroids
+        if metric == "cosine":
+            Cn = C / np.maximum(np.linalg.norm(C, axis=1, keepdims=True), 1e-300)
+            d = -(Q @ Cn.T)
+        else:
+            d = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2 * Q @ C.T
+        nprobe = max(1, min(nprobe, C.shape[0]))
+        idx = np.argsort(d, axis=1, kind="stable")[:, :nprobe]
+        allowed = np.zeros((Q.shape[0], C.shape[0]), dtype=bool)
+        np.put_along_axis(allowed, idx, True, axis=1)
+        return allowed
+
+
+def default_n_lists(n_rows: int) -> int:
+    """List count rule: max(10, n/1000), and sqrt(n) above one million rows."""
+    if n_rows > 1_000_000:
+        return max(10, int(math.sqrt(n_rows)))
+    return max(10, n_rows // 1000)
+
+
+def build_ivf(corpus: DataFrame, vec: str = "sentence_embedding", n_lists: int | None = None, metric: str = "cosine",
+              seed: int = 1, max_iter: int = 20, list_col: str = "ivf_list") -> IvfIndex:
+    """KMeans (distributed, ``pyspark.ml``) over the corpus vectors; every row gets its
+    nearest list. For cosine the vectors are L2-normalised before clustering."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    v = F.transform(F.col(vec), lambda x: x.cast("double"))
+    if metric == "cosine":
+        nrm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+        v = F.transform(v, lambda x: F.when(nrm > 0, x / nrm).otherwise(F.lit(0.0)))
+    feats = corpus.withColumn("__features", array_to_vector(v))
+    n = n_lists or default_n_lists(corpus.count())
+    km = KMeans(k=n, seed=seed, maxIter=max_iter, featuresCol="__features", predictionCol=list_col)
+    model = km.fit(feats)
+    centroids = np.asarray(model.clusterCenters(), dtype=np.float64)
+    assigned = model.transform(feats).drop("__features")
+    _ = vector_to_array  # kept for callers converting centroids back to arrays
+    return IvfIndex(centroids, assigned, list_col)

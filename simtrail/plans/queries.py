@@ -448,3 +448,11 @@ def q_ingest_four_sources(spark, sf):
 @register("sample_n")
 def q_sample_n(spark, sf):
     return feeds.sample_n(fx.tickets(spark, sf), 5, seed=7).select("ticket_id", "ticket_status")
+
+
+@register("vector_topk_ivf")
+def q_vector_topk_ivf(spark, sf):
+    from simtrail.operators.search import build_ivf
+
+    idx = build_ivf(fx.corpus(spark, sf), n_lists=8, seed=3)
+    return vector_search(fx.query_subject(spark, sf), idx.corpus, k=K, ivf=idx, nprobe=2)
