@@ -41,21 +41,23 @@ def sentences(df: DataFrame, key: str = "ticket_id", text: str = "ticket_comment
         p = df.select(key, F.lit(0).alias("piece"), F.col(text).alias("_t"))
     else:
         arr = F.slice(pieces, 1, max_pieces) if max_pieces else pieces
-        p = df.select(key, F.posexplode(arr).alias("piece", "_t"))
-    s = p.select(key, "piece", F.posexplode(F.split(F.col("_t"), SENTENCE_SPLIT)).alias("pos", "_s"))
+        p = df.select(key, F.posexplode_outer(arr).alias("piece", "_t")).where(F.col("_t").isNotNull())
+    # *_outer generators throughout: a plain explode makes Spark infer size(array) > 0 and push
+    # the (expensive) array expression below any exchange into the scan
+    s = p.select(key, "piece", F.posexplode_outer(F.split(F.col("_t"), SENTENCE_SPLIT)).alias("pos", "_s"))
     return s.select(key, "piece", "pos", strip_ws(F.col("_s")).alias("sentence")).where(F.col("sentence") != "")
 
 
 def term_counts(df: DataFrame, key: str = "ticket_id", text: str = "ticket_comment") -> DataFrame:
     """(key, token, tf): token counts per ticket (hash aggregate with partial combine)."""
-    t = df.select(key, F.explode(normalize_tokens(F.col(text))).alias("token"))
+    t = df.select(key, F.explode_outer(normalize_tokens(F.col(text))).alias("token")).where(F.col("token").isNotNull())
     return t.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def score_sentences(sent: DataFrame, tf: DataFrame, key: str = "ticket_id") -> DataFrame:
     """Adds ``score`` to every sentence row (see module rules)."""
-    toks = sent.select(key, "piece", "pos", F.explode(F.array_distinct(normalize_tokens(F.col("sentence")))).alias(
-        "token"))
+    toks = sent.select(key, "piece", "pos", F.explode_outer(F.array_distinct(normalize_tokens(F.col("sentence")))).alias(
+        "token")).where(F.col("token").isNotNull())
     scored = toks.join(tf, [key, "token"]).groupBy(key, "piece", "pos").agg(
         F.round(F.sum("tf") / F.count(F.lit(1)), 6).alias("score"))
     return sent.join(scored, [key, "piece", "pos"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))

@@ -45,7 +45,7 @@ def feed_chunks(base: DataFrame, encoder: Encoder | None = None, budget: int = 5
     enc = encoder or hashed_encoder()
     c = recursive_chunks(base.select(*TICKET_ATTRS, "subject", "ticket_comment"), "ticket_comment", budget=budget)
     rows = c.select(*TICKET_ATTRS, "subject", "ticket_comment",
-                    F.posexplode("chunks").alias("chunk_index", "chunk"))
+                    F.posexplode_outer("chunks").alias("chunk_index", "chunk")).where(F.col("chunk").isNotNull())
     rows = rows.withColumn("ticket_chunk_hash", sentence_hash(F.col("ticket_id"), F.col("chunk")))
     rows = embed_unique(rows, "chunk", enc, "sentence_embedding")
     return embed_unique(rows, "subject", enc, "subject_embedding")

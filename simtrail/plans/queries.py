@@ -327,7 +327,9 @@ def q_sync_apply(spark, sf):
 @register("embed_hashed")
 def q_embed_hashed(spark, sf):
     d = _docs(spark, sf).select("doc_id", em.hashed_vector(F.col("text")).alias("v"))
-    return d.select("doc_id", F.posexplode("v").alias("dim", "value")).where(F.col("value") > 0).select(
+    # *_outer generators: the plain ones make Spark infer size(v) > 0 and push the whole
+    # expression below the exchange into the scan task
+    return d.select("doc_id", F.posexplode_outer("v").alias("dim", "value")).where(F.col("value") > 0).select(
         "doc_id", F.col("dim").cast("long").alias("dim"), F.round("value", 6).alias("value"))
 
 
@@ -355,7 +357,8 @@ def _base(spark, sf):
 @register("summary_pieces")
 def q_summary_pieces(spark, sf):
     d = _docs(spark, sf)
-    p = d.select("doc_id", F.posexplode(ch.summary_pieces(F.col("text"), separator="\n", size=500)).alias("piece_no", "piece"))
+    p = d.select("doc_id", F.posexplode_outer(ch.summary_pieces(F.col("text"), separator="\n", size=500)).alias(
+        "piece_no", "piece")).where(F.col("piece").isNotNull())
     return p.select("doc_id", F.col("piece_no").cast("long").alias("piece_no"), F.md5("piece").alias("piece_md5"),
                     F.length("piece").cast("long").alias("piece_len"))
 
@@ -363,14 +366,16 @@ def q_summary_pieces(spark, sf):
 @register("split_pieces")
 def q_split_pieces(spark, sf):
     d = _docs(spark, sf)
-    p = d.select("doc_id", F.posexplode(ch.split_pieces(F.col("text"))).alias("piece_no", "piece"))
+    p = d.select("doc_id", F.posexplode_outer(ch.split_pieces(F.col("text"))).alias("piece_no", "piece")).where(
+        F.col("piece").isNotNull())
     return p.select("doc_id", F.col("piece_no").cast("long").alias("piece_no"), F.length("piece").cast("long").alias("piece_len"))
 
 
 @register("chunk_windows")
 def q_chunk_windows(spark, sf):
     c = fx.chunks_source(spark, sf)
-    w = c.select("ticket_id", F.posexplode(ch.chunk_windows(F.col("ticket_comment"))).alias("chunk_index", "chunk"))
+    w = c.select("ticket_id", F.posexplode_outer(ch.chunk_windows(F.col("ticket_comment"))).alias(
+        "chunk_index", "chunk")).where(F.col("chunk").isNotNull())
     return w.select("ticket_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.md5("chunk").alias("chunk_md5"),
                     F.size(F.split("chunk", " ")).cast("long").alias("n_tokens"))
 

@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from simtrail.sources.io import read_table
+from simtrail.sources.io import ensure_parallelism, read_table
+
+# Tables whose rows carry long texts: per-row work on them is CPU heavy.
+TEXT_TABLES = {"documents", "conversations"}
 
 # The four text sources of a ticket, in vec_id % 4 order.
 SOURCE_NAMES = ["ticket_comment", "subject", "summary", "first_comment"]
@@ -20,7 +23,8 @@ EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if name in TEXT_TABLES else df
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:

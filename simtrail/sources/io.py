@@ -75,3 +75,22 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def read_lines(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
     """A text file as one row per line (column ``value``), or one row per file."""
     return spark.read.text(path, wholetext=whole)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over at least ``min_partitions`` tasks (default: the cluster's cores).
+
+    A file written as one row group is read by one task whatever its size; per-row
+    CPU work on it (text normalisation, encoders) would then run on one core. When the
+    scan already has enough partitions (the normal case on large tables) this is a no-op;
+    otherwise rows are dealt round-robin to ``min_partitions`` partitions.
+    """
+    spark = df.sparkSession
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view; leave the plan as it is
+        return df
+    if current >= target:
+        return df
+    return df.repartition(target)
