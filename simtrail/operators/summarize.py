@@ -132,6 +132,11 @@ def summarize_refine(df: DataFrame, key: str = "ticket_id", text: str = "ticket_
         return both.sort_values(["score", "piece", "pos"], ascending=[False, True, True]).head(n)
 
     step = step_fn or default_step
+    if step_fn is None:
+        # the default step only ever keeps the best n rows, and those are among the best n of
+        # every piece: cutting each piece first (WindowGroupLimit, partial before the shuffle)
+        # bounds a ticket's group to max_pieces * n rows whatever the text length
+        sc = _best(sc, n, [key, "piece"], key)
     out_schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("summary", T.StringType())])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
