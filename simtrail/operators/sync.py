@@ -35,13 +35,39 @@ def fill_missing(df: DataFrame, drop_missing_first: bool = False, subset: str =
     return df.na.fill("", subset=text_cols) if text_cols else df
 
 
+def _pair_cond(left: DataFrame, right: DataFrame, prefix: str, null_safe: bool):
+    """Join condition on (id, sentence): equi-keys (id, xxhash64(sentence)) so that shuffles
+    hash and sort two longs, plus the exact text comparison as a residual condition
+    (written as a >= / <= pair so the planner does not turn the long text into a sort key)."""
+    i, s = KEYS
+    eq = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
+    ls, rs = left[s], right[f"{prefix}{s}"]
+    exact = (ls >= rs) & (ls <= rs)
+    if null_safe:
+        exact = exact | (ls.isNull() & rs.isNull())
+    return [eq(left[i], right[f"{prefix}{i}"]), left["_h"] == right[f"{prefix}_h"], exact]
+
+
+def _with_hash(df: DataFrame, col: str = "sentence") -> DataFrame:
+    return df.withColumn("_h", F.coalesce(F.xxhash64(F.col(col)), F.lit(0).cast("long")))
+
+
+def _pair_anti(table: DataFrame, pairs: DataFrame, null_safe: bool) -> DataFrame:
+    i, s = KEYS
+    left = _with_hash(table)
+    right = _with_hash(pairs.select(i, s)).select(*[F.col(c).alias(f"_p_{c}") for c in (i, s, "_h")])
+    return left.join(right, _pair_cond(left, right, "_p_", null_safe), "left_anti").drop("_h")
+
+
 def sync_diff(incoming: DataFrame, existing: DataFrame, keys=KEYS) -> DataFrame:
     """Full outer join on (id, sentence) with provenance ``_merge`` in
     {'left_only', 'right_only', 'both'}; keys compared null-safely."""
-    left = incoming.withColumn("_l", F.lit(True))
-    right = existing.select(*[F.col(k).alias(f"_r_{k}") for k in keys]).withColumn("_r", F.lit(True))
-    cond = [left[k].eqNullSafe(right[f"_r_{k}"]) for k in keys]
-    j = left.join(right, cond, "full_outer")
+    if tuple(keys) != KEYS:
+        raise ValueError("sync_diff compares (id, sentence) pairs")
+    left = _with_hash(incoming).withColumn("_l", F.lit(True))
+    right = _with_hash(existing.select(*keys)).select(
+        *[F.col(k).alias(f"_r_{k}") for k in (*keys, "_h")]).withColumn("_r", F.lit(True))
+    j = left.join(right, _pair_cond(left, right, "_r_", True), "full_outer")
     merge = (
         F.when(F.col("_l") & F.col("_r"), "both").when(F.col("_l"), "left_only").otherwise("right_only")
     )
@@ -98,7 +124,7 @@ def insert_if_absent(table: DataFrame, rows: DataFrame, keys=KEYS,
     """Rows to append: one per (id, sentence) (keep first), and only keys absent from the table."""
     order = [F.col(order_col).asc()] if order_col else [F.col(k).asc() for k in keys]
     d = dedup_keep_first(rows, list(keys), order)
-    return d.join(table.select(*keys), list(keys), "left_anti")
+    return _pair_anti(d, table, null_safe=False)
 
 
 def delete_by_id(table: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
@@ -108,7 +134,7 @@ def delete_by_id(table: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame
 
 def delete_by_pair(table: DataFrame, pairs: DataFrame, keys=KEYS) -> DataFrame:
     """Table without the listed (id, sentence) pairs (plain equality, as SQL row comparison)."""
-    return table.join(pairs.select(*keys), list(keys), "left_anti")
+    return _pair_anti(table, pairs, null_safe=False)
 
 
 def flag_sync(table: DataFrame, catalogue: DataFrame, mode: str = "as_written",
