@@ -471,3 +471,34 @@ SELECT ticket_id, src AS sentence_source, md5(sentence) AS sentence_md5, h AS ti
   UNION ALL SELECT ticket_id, 'summary', summary, md5(CAST(ticket_id AS VARCHAR) || summary) FROM v_b
   UNION ALL SELECT ticket_id, 'first_comment', first_comment,
                    md5(CAST(ticket_id AS VARCHAR) || first_comment || summary) FROM v_b)"""
+
+ORACLE["split_pieces"] = f"""SELECT doc_id, CAST(i - 1 AS BIGINT) AS piece_no, CAST(length(p[i]) AS BIGINT) AS piece_len FROM (
+  SELECT doc_id, p, generate_subscripts(p, 1) AS i FROM (
+    SELECT doc_id, {pieces_sql('text', "chr(10) || chr(10)", 2, 4000)} AS p FROM documents))"""
+ORACLE["summarize_refine"] = with_(*TEXT_BASE, sentences_sql(True)) + f"""SELECT ticket_id,
+  string_agg(sentence, '. ' ORDER BY piece, pos) AS summary FROM {best_sql('v_sscore', 3)} GROUP BY ticket_id"""
+
+
+def _dim_sql(x: str) -> str:
+    return f"CASE WHEN {x} IS NOT NULL AND len({tokens_sql(x)}) > 0 THEN 64 END"
+
+
+ORACLE["feed_summary"] = with_(*TEXT_BASE, sentences_sql(False), TOPIC_SQL, KEYWORDS_SQL) + f"""SELECT ticket_id,
+  sentence_source, md5(CAST(ticket_id AS VARCHAR) || sentence) AS ticket_sentence_hash,
+  CAST({_dim_sql('sentence')} AS INTEGER) AS dim FROM (
+  SELECT ticket_id, 'summary' AS sentence_source, topic AS sentence FROM v_topic
+  UNION ALL SELECT ticket_id, 'keywords', keywords FROM v_kw
+  UNION ALL SELECT ticket_id, 'subject', subject FROM v_bt)"""
+ORACLE["ingest_four_sources"] = with_(*TEXT_BASE, sentences_sql(True)) + f""", v_sum AS (
+  SELECT ticket_id, string_agg(sentence, '. ' ORDER BY piece, pos) AS summary
+  FROM {best_sql(best_sql('v_sscore', 2, 'ticket_id, piece'), 3)} GROUP BY ticket_id),
+v_b AS (SELECT b.ticket_id, b.ticket_comment, b.subject, s.summary, f.first_comment
+        FROM v_base b JOIN v_first f USING (ticket_id) LEFT JOIN v_sum s USING (ticket_id))
+SELECT ticket_id, src AS sentence_source, h AS ticket_sentence_hash, CAST({_dim_sql('sentence')} AS INTEGER) AS dim
+FROM (
+  SELECT ticket_id, 'ticket_comment' AS src, ticket_comment AS sentence,
+         md5(CAST(ticket_id AS VARCHAR) || ticket_comment) AS h FROM v_b
+  UNION ALL SELECT ticket_id, 'subject', subject, md5(CAST(ticket_id AS VARCHAR) || subject) FROM v_b
+  UNION ALL SELECT ticket_id, 'summary', summary, md5(CAST(ticket_id AS VARCHAR) || summary) FROM v_b
+  UNION ALL SELECT ticket_id, 'first_comment', first_comment,
+                   md5(CAST(ticket_id AS VARCHAR) || first_comment || summary) FROM v_b)"""
