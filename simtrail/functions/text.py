@@ -10,6 +10,8 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterable, Mapping
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,6 +91,9 @@ def fold_accents(text: Column) -> Column:
     s = text
     for a, b in ACCENT_MULTI:
         s = F.replace(s, F.lit(a), F.lit(b))
+    # one scan decides whether the multi-letter replacements are needed at all
+    multi_class = "[" + "".join(a for a, _ in ACCENT_MULTI) + "]"
+    s = F.when(text.rlike(multi_class), s).otherwise(text)
     return F.translate(s, ACCENT_FROM, ACCENT_TO)
 
 
@@ -97,8 +102,8 @@ def normalize_tokens(text: Column, stopwords: Iterable[str] | None = None) -> Co
     (case-sensitive, before lower-casing), lower-case."""
     words = list(DEFAULT_STOPWORDS if stopwords is None else stopwords)
     s = F.regexp_replace(fold_accents(text.cast("string")), "[^0-9a-zA-Z]", " ")
-    stop = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-    kept = F.filter(F.split(s, " "), lambda x: (x != "") & ~F.array_contains(stop, x))
+    # isin over literals becomes a hash-set lookup (InSet) instead of a scan per token
+    kept = F.filter(F.split(s, " "), (lambda x: (x != "") & ~x.isin(words)) if words else (lambda x: x != ""))
     return F.transform(kept, lambda x: F.lower(x))
 
 
@@ -182,3 +187,16 @@ def shrink_long(df: DataFrame, n: int = 5000, skip: Iterable[str] = ("sentence_e
 def prompt_column(template: str, text: Column, placeholder: str = "{text}") -> Column:
     """Fill a prompt template with the text (ready for any batch inference step)."""
     return F.replace(F.lit(template), F.lit(placeholder), text)
+
+
+def wrap_text(text: Column, width: int = 100) -> Column:
+    """Wrap text at ``width`` characters, keeping long words whole and the original
+    whitespace (a small per-row helper in Arrow batches; optional last step of a summary)."""
+    import textwrap
+
+    @F.pandas_udf(T.StringType())
+    def _wrap(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if x is None else textwrap.fill(
+            x, width=width, break_long_words=False, replace_whitespace=False))
+
+    return _wrap(text)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from simtrail.functions.text import clean_output, extract_topic, normalize_tokens, strip_ws
+from simtrail.functions.text import clean_output, extract_topic, normalize_tokens, strip_ws, wrap_text
 from simtrail.operators.chunk import split_pieces
 
 SENTENCE_SPLIT = "[.\\n]+"
@@ -81,7 +81,7 @@ def summarize_stuff(df: DataFrame, key: str = "ticket_id", text: str = "ticket_c
 
 
 def summarize_map_reduce(df: DataFrame, key: str = "ticket_id", text: str = "ticket_comment", per_piece: int = 2,
-                         n: int = 3, max_pieces: int = 4, with_steps: bool = False):
+                         n: int = 3, max_pieces: int = 4, with_steps: bool = False, wrap_width: int | None = None):
     """map = best ``per_piece`` sentences of each of the first ``max_pieces`` pieces;
     reduce = best n of those, in text order, joined with '. '.
 
@@ -90,6 +90,8 @@ def summarize_map_reduce(df: DataFrame, key: str = "ticket_id", text: str = "tic
     sc = score_sentences(sent, term_counts(df, key, text), key)
     mapped = _best(sc, per_piece, [key, "piece"], key)
     out = _join_in_order(_best(mapped, n, [key], key), key, "summary")
+    if wrap_width:
+        out = out.withColumn("summary", wrap_text(F.col("summary"), wrap_width))
     return (out, mapped) if with_steps else out
 
 

@@ -32,6 +32,8 @@ def _brute(corpus, qrows, k, metric="cosine", filt=None, thr=None):
                 if np.linalg.norm(c) == 0:
                     continue
                 raw = q @ c / (np.linalg.norm(q) * np.linalg.norm(c))
+            elif metric == "inner":
+                raw = 1 + q @ c
             else:
                 raw = 1 - np.linalg.norm(q - c)
             if thr is not None and not raw > thr:
@@ -50,7 +52,7 @@ def _got(df):
     return out
 
 
-@pytest.mark.parametrize("metric", ["cosine", "l2"])
+@pytest.mark.parametrize("metric", ["cosine", "l2", "inner"])
 def test_exact_matches_brute_force(spark, metric):
     rng = np.random.default_rng(1)
     corpus, qrows, cdf, qdf = _frames(spark, rng)

@@ -67,3 +67,11 @@ def test_sentence_hash(spark):
     df = spark.createDataFrame([(12, "olá")], "i long, s string")
     got = df.select(tx.sentence_hash(F.col("i"), F.col("s")).alias("h")).first().h
     assert got == hashlib.md5("12olá".encode()).hexdigest()
+
+
+def test_wrap_text(spark):
+    import textwrap
+
+    s = "word " * 30 + "x" * 120 + " tail\nnext line"
+    got = _one(spark, tx.wrap_text(F.col("s"), 40), s)
+    assert got == textwrap.fill(s, width=40, break_long_words=False, replace_whitespace=False)
