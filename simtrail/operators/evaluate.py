@@ -44,10 +44,12 @@ def hit_marker(ticket_id: Column, expected: Column) -> Column:
 def attach_judgments(results: DataFrame, queries: DataFrame, strict: bool = False) -> DataFrame:
     """C5 + H8 + H9: add the target's expected ids, query sentence, hit and expected count.
 
-    ``queries`` carries one row per target (ticket_id, sentence, expected_id);
-    duplicate targets are rejected instead of silently dropping the target.
+    ``queries`` holds the query rows (ticket_id, sentence, expected_id); a target with
+    several query rows (e.g. several sources) is ranked once over all its rows, so it is
+    attached once here (smallest query sentence, its expected ids).
     """
-    q = queries.select(F.col("ticket_id").alias("target"), "sentence", "expected_id")
+    q = queries.groupBy(F.col("ticket_id").alias("target")).agg(
+        F.min("sentence").alias("sentence"), F.min("expected_id").alias("expected_id"))
     joined = results.join(q, "target", "left")
     return joined.withColumn("hit", hit_marker(F.col("ticket_id"), F.col("expected_id"))).withColumn(
         "num_expected_ids", num_expected_ids(F.col("expected_id"), strict)

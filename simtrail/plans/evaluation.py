@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from simtrail.operators.evaluate import attach_judgments, hit_rate_at_k, recall_at_k
+from simtrail.operators.evaluate import attach_judgments, check_unique_targets, hit_rate_at_k, recall_at_k
 from simtrail.operators.search import FilterSpec, vector_search
 
 
@@ -18,6 +18,7 @@ def query_set(
     kind: str = "fields",
     sentence_source: str | None = "subject",
     sentence_field: str | None = None,
+    validate: bool = True,
 ) -> DataFrame:
     """B2 + B3 + C1: the query rows of a judged evaluation.
 
@@ -27,7 +28,10 @@ def query_set(
     kind="fields":  text column ``sentence_field`` (default: the source name, else
                     ``subject``), optional source filter.
     Returns (ticket_id, sentence, product, module, sentence_embedding, expected_id).
+    With ``validate`` a ticket judged twice raises (instead of silently losing the target).
     """
+    if validate:
+        check_unique_targets(judgments)
     j = judgments.select("ticket_id", "expected_id")
     if kind == "chunks":
         w = Window.partitionBy("ticket_id").orderBy(F.col("chunk_index").asc_nulls_last())

@@ -15,6 +15,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Text stages are CPU-bound per row: keep AQE from merging small post-shuffle
+    # partitions of long texts into one task (coalescing keeps parallelism first and
+    # only merges below this size).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
 }
 
 

@@ -61,3 +61,24 @@ def test_duplicate_judgments_rejected(spark):
     q = spark.createDataFrame([(1, "a"), (1, "b")], "ticket_id long, expected_id string")
     with pytest.raises(ValueError):
         ev.check_unique_targets(q)
+
+
+def test_several_query_rows_per_target_attach_once(spark):
+    from simtrail.plans.evaluation import batch_similarity, query_set
+
+    corpus = spark.createDataFrame([
+        (1, "subject", "p", "m", "s1", [1.0, 0.0]), (1, "summary", "p", "m", "u1", [0.0, 1.0]),
+        (2, "subject", "p", "m", "s2", [1.0, 0.1]), (3, "subject", "p", "m", "s3", [0.1, 1.0]),
+    ], "ticket_id long, sentence_source string, product string, module string, sentence string, "
+       "sentence_embedding array<float>")
+    judg = spark.createDataFrame([(1, "3")], "ticket_id long, expected_id string")
+    q = query_set(corpus, judg, kind="summary", sentence_source=None)
+    assert q.count() == 2
+    res = batch_similarity(q, corpus, k=5)
+    rows = res.orderBy("rank").collect()
+    assert [(r.ticket_id, r.hit) for r in rows] == [(2, 0), (3, 1)] or [(r.ticket_id, r.hit) for r in rows] == [
+        (3, 1), (2, 0)]
+    assert len(rows) == 2 and {r.sentence for r in rows} == {"s1"}
+    dup = spark.createDataFrame([(1, "3"), (1, "2")], "ticket_id long, expected_id string")
+    with pytest.raises(ValueError):
+        query_set(corpus, dup, kind="summary", sentence_source=None)
