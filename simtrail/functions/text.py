@@ -97,19 +97,32 @@ def fold_accents(text: Column) -> Column:
     return F.translate(s, ACCENT_FROM, ACCENT_TO)
 
 
-def normalize_tokens(text: Column, stopwords: Iterable[str] | None = None) -> Column:
-    """Tokens of H5: fold accents, non-alphanumerics to blanks, split, drop stopwords
-    (case-sensitive, before lower-casing), lower-case."""
+def _stopword_pattern(words: list[str]) -> str | None:
+    # only alphanumeric words can ever equal a token; others are dropped from the pattern
+    alnum = sorted({w for w in words if w and w.isascii() and w.isalnum()}, key=lambda w: (-len(w), w))
+    if not alnum:
+        return None
+    return "(?<= |^)(?:" + "|".join(alnum) + ")(?= |$)"
+
+
+def normalize_text(text: Column, stopwords: Iterable[str] | None = None) -> Column:
+    """H5 (+H18): fold accents, non-alphanumerics to blanks, drop stopwords (case-sensitive,
+    before lower-casing), lower-case, tokens joined by one blank. NULL stays NULL.
+
+    Native string functions only (no per-token lambda): after the blank replacement a token
+    is a maximal run between blanks, so a stopword is removed by one boundary regex."""
     words = list(DEFAULT_STOPWORDS if stopwords is None else stopwords)
     s = F.regexp_replace(fold_accents(text.cast("string")), "[^0-9a-zA-Z]", " ")
-    # isin over literals becomes a hash-set lookup (InSet) instead of a scan per token
-    kept = F.filter(F.split(s, " "), (lambda x: (x != "") & ~x.isin(words)) if words else (lambda x: x != ""))
-    return F.transform(kept, lambda x: F.lower(x))
+    pat = _stopword_pattern(words)
+    if pat:
+        s = F.regexp_replace(s, pat, "")
+    return F.trim(F.regexp_replace(F.lower(s), " +", " "))
 
 
-def normalize_text(text: Column, stopwords: Iterable[str] | None = None) -> Column:
-    """H5 (+H18): normalised sentence, tokens joined by one blank. NULL stays NULL."""
-    return F.array_join(normalize_tokens(text, stopwords), " ")
+def normalize_tokens(text: Column, stopwords: Iterable[str] | None = None) -> Column:
+    """Tokens of H5 (see :func:`normalize_text`) as an array; empty text gives no token."""
+    n = normalize_text(text, stopwords)
+    return F.when(n == "", F.array().cast("array<string>")).otherwise(F.split(n, " "))
 
 
 def language_by_locale(code: Column) -> Column:
