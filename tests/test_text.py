@@ -75,3 +75,30 @@ def test_wrap_text(spark):
     s = "word " * 30 + "x" * 120 + " tail\nnext line"
     got = _one(spark, tx.wrap_text(F.col("s"), 40), s)
     assert got == textwrap.fill(s, width=40, break_long_words=False, replace_whitespace=False)
+
+
+def test_hashed_vector_rule(spark):
+    import hashlib
+    import math
+
+    from simtrail.operators.embed import hashed_vector
+
+    text = "Ação ação, printer; PRINTER de 42"
+    toks = tx_tokens = ["acao", "acao", "printer", "printer", "42"]  # 'de' is a default stopword
+    counts = [0.0] * 64
+    for t in tx_tokens:
+        counts[int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 64] += 1
+    norm = math.sqrt(sum(c * c for c in counts))
+    got = _one(spark, hashed_vector(F.col("s")), text)
+    assert [round(x, 12) for x in got] == [round(c / norm, 12) for c in counts]
+    assert _one(spark, tx.normalize_text(F.col("s")), text) == " ".join(toks)
+    assert _one(spark, hashed_vector(F.col("s")), "!!! ...") is None
+
+
+def test_ensure_parallelism(spark):
+    from simtrail.sources.io import ensure_parallelism
+
+    one = spark.range(10).coalesce(1)
+    assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert ensure_parallelism(many, 4).rdd.getNumPartitions() == 6
