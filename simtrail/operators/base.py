@@ -1,7 +1,7 @@
 """Ticket base (K1): one row per ticket from one row per comment (D1, D2, E1, C2, B1),
 the four-source fan-out (G3, H1, H2) and keep-first deduplication (D11).
 
-Everything is one hash aggregate on ticket_id with map-side partial aggregation;
+Everything is one aggregate on ticket_id with map-side partial aggregation;
 the earliest comment is an aggregate (min of a (time, text) struct), not a window,
 so a ticket with a huge number of comments is combined partially on every mapper.
 The joined comment text is by definition one value per ticket.
@@ -72,7 +72,7 @@ def ticket_base(tickets: DataFrame, sep: str = COMMENT_SEP) -> DataFrame:
 def fan_out_sources(base: DataFrame, summary: Column | None = None) -> DataFrame:
     """G3 + H1 + H2: one row per (ticket, source) with the text and its hash.
 
-    The first_comment hash also covers the summary (as the reference computes it).
+    The first_comment hash also covers the summary (a fixed rule of the table layout).
     ``summary`` defaults to the base's ``summary`` column.
     """
     s = summary if summary is not None else F.col("summary")
@@ -96,9 +96,9 @@ def fan_out_sources(base: DataFrame, summary: Column | None = None) -> DataFrame
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first by ``order`` (a total order makes it deterministic).
 
-    With a hot key a window would sort the whole group in one task; when the order is
-    over plain columns the first row is found with a min-of-struct aggregate instead,
-    which combines partially on every mapper.
+    ``row_number() = 1`` runs as a partial WindowGroupLimit before the shuffle, so a key
+    repeated in many rows sends at most one row per map task; :func:`dedup_keep_min` is
+    the aggregate form for orders over plain columns.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

@@ -382,7 +382,7 @@ def build_ivf(corpus: DataFrame, vec: str = "sentence_embedding", n_lists: int |
     """KMeans (distributed, ``pyspark.ml``) over the corpus vectors; every row gets its
     nearest list. For cosine the vectors are L2-normalised before clustering."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import array_to_vector
 
     v = F.transform(F.col(vec), lambda x: x.cast("double"))
     if metric == "cosine":
@@ -394,5 +394,4 @@ def build_ivf(corpus: DataFrame, vec: str = "sentence_embedding", n_lists: int |
     model = km.fit(feats)
     centroids = np.asarray(model.clusterCenters(), dtype=np.float64)
     assigned = model.transform(feats).drop("__features")
-    _ = vector_to_array  # kept for callers converting centroids back to arrays
     return IvfIndex(centroids, assigned, list_col)

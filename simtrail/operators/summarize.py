@@ -1,6 +1,6 @@
 """Model-free summaries and keywords per ticket (I3–I7, H3, H4) as Spark jobs.
 
-The hosted language models of the reference are replaced by an extractive
+Hosted language models are replaced by an extractive
 ranker with fixed rules, so Spark and SQL agree exactly:
 
 * tokens: normalised text (H5) split on blanks;

@@ -1,7 +1,7 @@
 """Article vector-table sync (K8): diff, embed-only-new, truncate, watermark, then apply
 (insert-if-absent, deletes, flag update). B8–B10, C3, C4, C9, D9, D11, D13, H10, H13, J1–J4.
 
-The reference mutates a database row by row; here each step computes the new
+The original tool mutates a database row by row; here each step computes the new
 table state as a DataFrame (anti/semi/outer joins), which a caller writes with
 one overwrite or append. Every step is a join on keys; no key list is collected.
 """
@@ -28,7 +28,7 @@ def filter_deleted(df: DataFrame, deleted_ids: DataFrame, key: str = "id") -> Da
 
 def fill_missing(df: DataFrame, drop_missing_first: bool = False, subset: str = "sentence") -> DataFrame:
     """Text NULLs -> ''. With ``drop_missing_first`` rows without a sentence are
-    dropped first (the reference fills first, so nothing is ever dropped)."""
+    dropped first (filling first, the default, drops nothing)."""
     if drop_missing_first:
         df = df.na.drop(subset=[subset])
     text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]

@@ -1,8 +1,8 @@
 """Sources and sinks (A1–A11): thin, typed wrappers over Spark readers and writers.
 
-The reference reads a warehouse and a vector database through client cursors;
-here every table is a Spark source (parquet path, catalog table, or any
-``spark.read.format``) and every write is a partitioned Spark writer.
+Warehouse and vector-database tables read through client cursors become Spark
+sources here (parquet path, catalog table, or any ``spark.read.format``) and every
+write is a partitioned Spark writer.
 Errors propagate instead of being turned into empty results.
 """
 
