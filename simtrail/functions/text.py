@@ -51,6 +51,28 @@ def _accent_tables() -> tuple[list[tuple[str, str]], str, str]:
 
 ACCENT_MULTI, ACCENT_FROM, ACCENT_TO = _accent_tables()
 
+# Code point ranges whose non-letter characters are blanked by a plain
+# translate (ASCII, Latin-1 and Latin Extended, spacing modifiers and combining marks,
+# general punctuation, box drawing); anything else falls back to the regex per row.
+BLANK_RANGES = [(0x0000, 0x024F), (0x02B0, 0x036F), (0x2000, 0x206F), (0x2500, 0x257F)]
+
+
+def _blank_table() -> str:
+    keep = set(ACCENT_FROM) | {a for a, _ in ACCENT_MULTI}
+    out = []
+    for lo, hi in BLANK_RANGES:
+        for cp in range(lo, hi + 1):
+            ch = chr(cp)
+            if ch.isascii() and ch.isalnum():
+                continue
+            if ch in keep or ch == " ":
+                continue
+            out.append(ch)
+    return "".join(out)
+
+
+BLANK_FROM = _blank_table()
+
 # Default stopword list (Portuguese function words). The operator takes any list:
 # pass your own, or load one with :func:`load_stopwords`.
 DEFAULT_STOPWORDS = [
@@ -97,6 +119,20 @@ def fold_accents(text: Column) -> Column:
     return F.translate(s, ACCENT_FROM, ACCENT_TO)
 
 
+def alnum_blank(text: Column) -> Column:
+    """Accent folding, then every character outside [0-9a-zA-Z] becomes a blank.
+
+    One translate pass folds accents and blanks the listed ranges; a row that still holds
+    a non-ASCII character (UTF-8 length differs from character length) takes the regex."""
+    t = text
+    for a, b in ACCENT_MULTI:
+        t = F.replace(t, F.lit(a), F.lit(b))
+    multi_class = "[" + "".join(a for a, _ in ACCENT_MULTI) + "]"
+    t = F.when(text.rlike(multi_class), t).otherwise(text)
+    t = F.translate(t, ACCENT_FROM + BLANK_FROM, ACCENT_TO + " " * len(BLANK_FROM))
+    return F.when(F.length(t) == F.octet_length(t), t).otherwise(F.regexp_replace(t, "[^0-9a-zA-Z]", " "))
+
+
 def _stopword_pattern(words: list[str]) -> str | None:
     # only alphanumeric words can ever equal a token; others are dropped from the pattern
     alnum = sorted({w for w in words if w and w.isascii() and w.isalnum()}, key=lambda w: (-len(w), w))
@@ -112,7 +148,7 @@ def normalize_text(text: Column, stopwords: Iterable[str] | None = None) -> Colu
     Native string functions only (no per-token lambda): after the blank replacement a token
     is a maximal run between blanks, so a stopword is removed by one boundary regex."""
     words = list(DEFAULT_STOPWORDS if stopwords is None else stopwords)
-    s = F.regexp_replace(fold_accents(text.cast("string")), "[^0-9a-zA-Z]", " ")
+    s = alnum_blank(text.cast("string"))
     pat = _stopword_pattern(words)
     if pat:
         s = F.regexp_replace(s, pat, "")
