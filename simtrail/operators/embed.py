@@ -38,21 +38,26 @@ def _let(value: Column, body) -> Column:
 def hashed_vector(text: Column, dim: int = 64, stopwords: Iterable[str] | None = None) -> Column:
     """I8 default: token counts per bucket divided by their L2 norm; NULL for text without tokens.
 
-    The bucket array is computed once per row; per-bucket counts use the native
-    ``array_remove`` (size before minus size after), no per-element lambda.
+    Each token's bucket is written as one character (code 48 + bucket) of a code string,
+    so the per-bucket counts are native string operations (length before and after
+    removing that character) with no per-element lambda and no array copies.
     """
+    if dim > 1000:
+        raise ValueError("hashed_vector supports up to 1000 buckets")
+    codes = F.array_join(F.transform(hashed_buckets(text, dim, stopwords), lambda b: F.chr(b + 48)), "")
 
-    def from_buckets(b: Column) -> Column:
+    def from_codes(c: Column) -> Column:
+        n = F.length(c)
         counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                             lambda i: (F.size(b) - F.size(F.array_remove(b, i.cast("long")))).cast("double"))
+                             lambda i: (n - F.length(F.replace(c, F.chr(i + 48), F.lit("")))).cast("double"))
 
-        def scale(c: Column) -> Column:
-            norm = F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x))
-            return _let(norm, lambda n: F.transform(c, lambda x: x / n))
+        def scale(v: Column) -> Column:
+            norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
+            return _let(norm, lambda m: F.transform(v, lambda x: x / m))
 
-        return F.when(F.size(b) > 0, _let(counts, scale))
+        return F.when(n > 0, _let(counts, scale))
 
-    return _let(hashed_buckets(text, dim, stopwords), from_buckets)
+    return _let(codes, from_codes)
 
 
 def hashed_encoder(dim: int = 64, stopwords: Iterable[str] | None = None) -> Encoder:
