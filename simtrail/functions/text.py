@@ -89,6 +89,11 @@ def load_stopwords(path: str) -> list[str]:
         return [w for w in fh.read().splitlines() if w]
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` (a one-element transform)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip_ws(c: Column) -> Column:
     """Python-style strip(): remove leading/trailing whitespace (Spark trim only removes blanks)."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")
@@ -130,7 +135,10 @@ def alnum_blank(text: Column) -> Column:
     multi_class = "[" + "".join(a for a, _ in ACCENT_MULTI) + "]"
     t = F.when(text.rlike(multi_class), t).otherwise(text)
     t = F.translate(t, ACCENT_FROM + BLANK_FROM, ACCENT_TO + " " * len(BLANK_FROM))
-    return F.when(F.length(t) == F.octet_length(t), t).otherwise(F.regexp_replace(t, "[^0-9a-zA-Z]", " "))
+    # bind t once: inside higher-order functions Spark evaluates without subexpression
+    # elimination, and t is used four times below
+    return let(t, lambda u: F.when(F.length(u) == F.octet_length(u), u).otherwise(
+        F.regexp_replace(u, "[^0-9a-zA-Z]", " ")))
 
 
 def _stopword_pattern(words: list[str]) -> str | None:
@@ -157,8 +165,7 @@ def normalize_text(text: Column, stopwords: Iterable[str] | None = None) -> Colu
 
 def normalize_tokens(text: Column, stopwords: Iterable[str] | None = None) -> Column:
     """Tokens of H5 (see :func:`normalize_text`) as an array; empty text gives no token."""
-    n = normalize_text(text, stopwords)
-    return F.when(n == "", F.array().cast("array<string>")).otherwise(F.split(n, " "))
+    return F.array_remove(F.split(normalize_text(text, stopwords), " "), "")
 
 
 def language_by_locale(code: Column) -> Column:

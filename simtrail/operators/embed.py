@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from simtrail.functions.text import normalize_tokens
+from simtrail.functions.text import let as _let, normalize_tokens
 
 Encoder = Callable[[DataFrame, str, str], DataFrame]
 
@@ -30,11 +30,6 @@ def hashed_buckets(text: Column, dim: int = 64, stopwords: Iterable[str] | None
     return F.transform(toks, lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long"), F.lit(dim)))
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once per row and pass it to ``body`` (a one-element transform)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def hashed_vector(text: Column, dim: int = 64, stopwords: Iterable[str] | None = None) -> Column:
     """I8 default: token counts per bucket divided by their L2 norm; NULL for text without tokens.
 
