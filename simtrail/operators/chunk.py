@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from simtrail.functions.text import strip_ws
+from simtrail.functions.text import let, strip_ws
 
 # Library defaults of the piece splitter used before summarising.
 PIECE_SEPARATOR = "\n\n"
@@ -53,10 +53,13 @@ def summary_pieces(text: Column, n: int = 4, **kw) -> Column:
 def chunk_windows(text: Column, n: int = CHUNK_TOKENS) -> Column:
     """Blank-separated tokens in windows of n (no overlap), each rejoined with one blank.
     Empty text gives no chunk."""
-    toks = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda x: x != "")
-    k = F.ceil(F.size(toks) / F.lit(n)).cast("int")
-    idx = F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(idx, lambda i: F.array_join(F.slice(toks, i * n + 1, n), " "))
+    def windows(toks: Column) -> Column:
+        k = F.ceil(F.size(toks) / F.lit(n)).cast("int")
+        idx = F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(idx, lambda i: F.array_join(F.slice(toks, i * n + 1, n), " "))
+
+    # the token array is bound once (the per-window lambda would otherwise re-split the text)
+    return let(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"\s+"), ""), windows)
 
 
 def word_count(text: str) -> int:
