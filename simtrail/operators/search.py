@@ -172,7 +172,12 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
                     if exclude_self:
                         mask &= cid[None, :] != targets[q0:q1, None]
                     if lists_all is not None:
-                        mask &= p["allowed"][q0:q1][:, lists_all[c0:c1]]
+                        probes = p["probes"][q0:q1]
+                        lists = lists_all[c0:c1]
+                        in_probe = np.zeros(S.shape, dtype=bool)
+                        for j in range(probes.shape[1]):
+                            in_probe |= probes[:, j:j + 1] == lists[None, :]
+                        mask &= in_probe
                     if filt.needs_product or filt.needs_module:
                         pm = (
                             _pair_mask(p["qp_codes"][q0:q1], p["qp_uniques"], prods[c0:c1], _prefix, filt.match)
@@ -318,9 +323,9 @@ def vector_search(
         }
         cb = c
         if ivf is not None:
-            allowed = ivf.probe(Q, nprobe, metric)
-            payload["allowed"] = allowed
-            probed = [int(x) for x in np.flatnonzero(allowed.any(axis=0))]
+            probes = ivf.probe(Q, nprobe, metric)  # (queries x nprobe) list ids, not a dense mask
+            payload["probes"] = probes
+            probed = sorted({int(x) for x in np.unique(probes)})
             cb = c.where(F.col(ivf.list_col).isin(probed))
         ref = _broadcast(spark, payload)
         fn = _scorer(ref, k, metric, filters, exclude_self, threshold, inclusive, decimals, corpus_id, corpus_vec, dim,
@@ -356,7 +361,7 @@ class IvfIndex:
     list_col: str = "ivf_list"
 
     def probe(self, Q: np.ndarray, nprobe: int, metric: str = "cosine") -> np.ndarray:
-        """Boolean (queries x lists): the ``nprobe`` nearest lists of every query."""
+        """(queries x nprobe) ids of the nearest lists of every query."""
         C = self.centroids
         if metric == "cosine":
             Cn = C / np.maximum(np.linalg.norm(C, axis=1, keepdims=True), 1e-300)
@@ -364,10 +369,11 @@ class IvfIndex:
         else:
             d = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2 * Q @ C.T
         nprobe = max(1, min(nprobe, C.shape[0]))
-        idx = np.argsort(d, axis=1, kind="stable")[:, :nprobe]
-        allowed = np.zeros((Q.shape[0], C.shape[0]), dtype=bool)
-        np.put_along_axis(allowed, idx, True, axis=1)
-        return allowed
+        if nprobe < C.shape[0]:
+            part = np.argpartition(d, nprobe - 1, axis=1)[:, :nprobe]
+        else:
+            part = np.argsort(d, axis=1, kind="stable")
+        return part.astype(np.int64)
 
 
 def default_n_lists(n_rows: int) -> int:
