@@ -16,6 +16,8 @@ from simtrail.operators.search import FilterSpec, vector_search
 from simtrail.plans import evaluation as evp
 from simtrail.sources import fixtures as fx
 
+# Candidates kept per query (20) and the metric cut-offs (1, 3, 5; 20 added
+# to report the whole list).
 K = 20
 KS = (1, 3, 5, 20)
 
