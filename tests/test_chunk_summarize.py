@@ -48,3 +48,21 @@ def test_extractive_rules(spark):
     mr = sm.summarize_map_reduce(df, n=2).where("ticket_id = 1").first().summary
     rf = sm.summarize_refine(df, n=2).where("ticket_id = 1").first().summary
     assert mr == s and rf == s
+
+
+def test_pluggable_batch_encoder_and_refine_step(spark):
+    from simtrail.operators.embed import batch_encoder, embed_unique
+
+    def factory():
+        return lambda texts: [[float(len(t)), 1.0] for t in texts]
+
+    df = spark.createDataFrame([(1, "ab"), (2, "ab"), (3, "xyz"), (4, None)], "id long, sentence string")
+    out = {r.id: r.sentence_embedding for r in embed_unique(df, "sentence", batch_encoder(factory)).collect()}
+    assert out == {1: [2.0, 1.0], 2: [2.0, 1.0], 3: [3.0, 1.0], 4: None}
+
+    def keep_last(so_far, rows):  # a custom step: the answer is the last sentence seen
+        return rows.tail(1)
+
+    t = spark.createDataFrame([(1, TICKET)], "ticket_id long, ticket_comment string")
+    got = sm.summarize_refine(t, step_fn=keep_last).first().summary
+    assert got == "Printer error again"
