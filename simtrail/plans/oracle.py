@@ -146,7 +146,7 @@ def batch_sql(metric="cosine", cond="TRUE", thr=None, k=20) -> str:
     )
 
 
-KS_SQL = "(SELECT unnest([1, 3, 5, 20]) AS k)"
+KS_SQL = "(SELECT CAST(unnest([1, 3, 5, 20]) AS BIGINT) AS k)"
 
 ORACLE: dict[str, str] = {}
 
