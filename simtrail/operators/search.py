@@ -123,8 +123,27 @@ def _compact(q, t, s, k):
     return q[keep], t[keep], s[keep]
 
 
+def _compact_text(q, t, s, h, k):
+    """_compact carrying a text per row: best score per (q, t), ties to the smallest text."""
+    import pandas as pd
+
+    if len(q) == 0:
+        return q, t, s, h
+    df = pd.DataFrame({"q": q, "t": t, "s": s, "h": h})
+    df["hk"] = df["h"].fillna("\U0010ffff")  # NULL texts sort last
+    df = df.sort_values(["q", "t", "s", "hk"], ascending=[True, True, False, True], kind="mergesort")
+    df = df.drop_duplicates(["q", "t"], keep="first")
+    df = df.sort_values(["q", "s", "t"], ascending=[True, False, True], kind="mergesort")
+    pos = df.groupby("q").cumcount().to_numpy()
+    kth = df["s"].where(pos == k - 1).groupby(df["q"]).transform("max").fillna(-np.inf).to_numpy()
+    keep = df["s"].to_numpy() >= kth
+    df = df[keep]
+    return (df["q"].to_numpy(np.int64), df["t"].to_numpy(np.int64), df["s"].to_numpy(np.float64),
+            df["h"].to_numpy(object))
+
+
 def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, decimals, id_col, vec_col, dim,
-            list_col=None):
+            list_col=None, text_col=None):
     def run(batches):
         import pandas as pd
 
@@ -133,7 +152,7 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
         nq = len(targets)
         qn2 = (Q * Q).sum(axis=1)
         thr = None if threshold is None else threshold
-        acc_q, acc_t, acc_s, acc_n = [], [], [], 0
+        acc_q, acc_t, acc_s, acc_h, acc_n = [], [], [], [], 0
         for rb in batches:
             n = rb.num_rows
             if n == 0 or nq == 0:
@@ -146,6 +165,7 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
             mods = rb.column("__module").to_pylist() if filt.needs_module else None
             lists_all = (rb.column(list_col).to_numpy(zero_copy_only=False).astype(np.int64)
                          if list_col else None)
+            texts_all = np.asarray(rb.column(text_col).to_pylist(), dtype=object) if text_col else None
             for c0 in range(0, n, CORPUS_SLICE):
                 c1 = min(n, c0 + CORPUS_SLICE)
                 C = vecs_all[c0:c1]
@@ -157,7 +177,12 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
                     C = C / np.where(valid, norms, 1.0)[:, None]
                 else:
                     valid = np.ones(len(cid), dtype=bool)
-                order = np.argsort(cid, kind="stable")
+                if texts_all is not None:
+                    codes, _ = pd.factorize(pd.Series(texts_all[c0:c1], dtype=object), sort=True)
+                    codes = np.where(codes < 0, np.iinfo(np.int64).max, codes)
+                    order = np.lexsort((codes, cid))  # by ticket, then text: first max = smallest text
+                else:
+                    order = np.argsort(cid, kind="stable")
                 cid_s = cid[order]
                 starts = np.flatnonzero(np.r_[True, cid_s[1:] != cid_s[:-1]])
                 uid = cid_s[starts]
@@ -211,20 +236,40 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
                         acc_q.append((qi + q0).astype(np.int64))
                         acc_t.append(uid[ui])
                         acc_s.append(St[qi, ui])
+                        if texts_all is not None:
+                            # first column of the ticket's group holding the maximum
+                            Ss = S[:, order]
+                            width = Ss.shape[1]
+                            sizes = np.diff(np.r_[starts, width])
+                            hitm = Ss == np.repeat(St, sizes, axis=1)
+                            key = np.where(hitm, width - np.arange(width)[None, :], 0)
+                            pos = width - np.maximum.reduceat(key, starts, axis=1)
+                            acc_h.append(texts_all[c0:c1][order][pos[qi, ui]])
                         acc_n += len(qi)
                 if acc_n > 8 * nq * k + 100_000:
-                    q_, t_, s_ = _compact(np.concatenate(acc_q), np.concatenate(acc_t), np.concatenate(acc_s), k)
-                    acc_q, acc_t, acc_s, acc_n = [q_], [t_], [s_], len(q_)
+                    acc_q, acc_t, acc_s, acc_h, acc_n = _reduce(acc_q, acc_t, acc_s, acc_h, k)
         if acc_n:
-            q_, t_, s_ = _compact(np.concatenate(acc_q), np.concatenate(acc_t), np.concatenate(acc_s), k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(targets[q_], pa.int64()), pa.array(t_, pa.int64()), pa.array(s_, pa.float64())],
-                names=["target", "ticket_id", "score"],
-            )
+            acc_q, acc_t, acc_s, acc_h, acc_n = _reduce(acc_q, acc_t, acc_s, acc_h, k)
+            cols = [pa.array(targets[acc_q[0]], pa.int64()), pa.array(acc_t[0], pa.int64()),
+                    pa.array(acc_s[0], pa.float64())]
+            names = ["target", "ticket_id", "score"]
+            if texts_all is not None or acc_h:
+                cols.append(pa.array(list(acc_h[0]) if acc_h else [None] * len(acc_q[0]), pa.string()))
+                names.append("hit_text")
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run
 
 
+def _reduce(acc_q, acc_t, acc_s, acc_h, k):
+    q, t, s_ = np.concatenate(acc_q), np.concatenate(acc_t), np.concatenate(acc_s)
+    if acc_h:
+        q, t, s_, h = _compact_text(q, t, s_, np.concatenate(acc_h), k)
+        return [q], [t], [s_], [h], len(q)
+    q, t, s_ = _compact(q, t, s_, k)
+    return [q], [t], [s_], [], len(q)
+
+
 def _broadcast(spark: SparkSession, payload):
     try:
         return spark.sparkContext.broadcast(payload)
@@ -250,6 +295,7 @@ def vector_search(
     block_bytes: int = DEFAULT_BLOCK_BYTES,
     ivf: "IvfIndex | None" = None,
     nprobe: int = 1,
+    hit_text: str | None = None,
 ) -> DataFrame:
     """Top-k candidate tickets per query row by best-of-rows score.
 
@@ -262,6 +308,9 @@ def vector_search(
     (strict ``>`` unless ``inclusive``). Query rows need ``product`` / ``module``
     columns when the filters use them; so does the corpus.
 
+    With ``hit_text`` (a corpus text column) the result also has ``hit_text``: the text of
+    the ticket's best-scoring row (ties: the smallest text).
+
     With ``ivf`` (see :func:`build_ivf`) each query scores only the rows of its ``nprobe``
     nearest lists; the corpus scan is filtered to the lists probed by the query block
     (partition pruning when the corpus is stored partitioned by list).
@@ -286,7 +335,11 @@ def vector_search(
         ccols.append(F.col("module").alias("__module"))
     if ivf is not None:
         ccols.append(F.col(ivf.list_col).cast("long").alias(ivf.list_col))
+    if hit_text:
+        ccols.append(F.col(hit_text).cast("string").alias("__hit"))
     c = corpus.select(*ccols).where(F.size(corpus_vec) == dim)
+    out_schema = RESULT_SCHEMA if not hit_text else T.StructType(
+        RESULT_SCHEMA.fields + [T.StructField("hit_text", T.StringType())])
 
     import pandas as pd
 
@@ -329,13 +382,20 @@ def vector_search(
             cb = c.where(F.col(ivf.list_col).isin(probed))
         ref = _broadcast(spark, payload)
         fn = _scorer(ref, k, metric, filters, exclude_self, threshold, inclusive, decimals, corpus_id, corpus_vec, dim,
-                     ivf.list_col if ivf is not None else None)
-        parts.append(cb.mapInArrow(fn, RESULT_SCHEMA))
+                     ivf.list_col if ivf is not None else None, "__hit" if hit_text else None)
+        parts.append(cb.mapInArrow(fn, out_schema))
     if not parts:
         return spark.createDataFrame([], _RANKED_SCHEMA)
     cand = parts[0]
     for p_ in parts[1:]:
         cand = cand.unionByName(p_)
+    if hit_text:
+        # highest score, then smallest text: min over (-score, text), partial aggregation map side
+        best = cand.groupBy("target", "ticket_id").agg(
+            F.min(F.struct((-F.col("score")).alias("ns"), F.col("hit_text").isNull().alias("hn"),
+                           F.col("hit_text").alias("h"))).alias("_b"))
+        best = best.select("target", "ticket_id", (-F.col("_b.ns")).alias("score"), F.col("_b.h").alias("hit_text"))
+        return top_k_per_target(best, k)
     return top_k_per_target(cand.groupBy("target", "ticket_id").agg(F.max("score").alias("score")), k)
 
 

@@ -66,10 +66,10 @@ def batch_similarity(
     strict_expected: bool = False,
 ) -> DataFrame:
     """K6: top-k similar tickets for every judged query row, with hit marker and
-    expected count. Columns: target, ticket_id, score, rank, sentence, expected_id,
-    hit, num_expected_ids."""
+    expected count. Columns: target, ticket_id, score, hit_sentence (text of the ticket's
+    best row), rank, sentence (the query's), expected_id, hit, num_expected_ids."""
     res = vector_search(queries, corpus, k=k, metric=metric, filters=filters, threshold=threshold,
-                        inclusive=inclusive)
+                        inclusive=inclusive, hit_text="sentence").withColumnRenamed("hit_text", "hit_sentence")
     return attach_judgments(res, queries, strict=strict_expected)
 
 

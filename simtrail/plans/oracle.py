@@ -117,17 +117,27 @@ def score_expr(metric: str, a: str, b: str) -> str:
 
 
 def topk_sql(metric: str = "cosine", cond: str = "TRUE", thr: str | None = None, k: int = 20,
-             queries: str = "v_query_subject") -> str:
-    """CTEs `scored` -> `best` -> `ranked` for the vector top-k."""
+             queries: str = "v_query_subject", with_hit: bool = False) -> str:
+    """CTEs `scored` -> `best` -> `ranked` for the vector top-k (optionally with the text of
+    each ticket's best row, ties to the smallest text)."""
     raw = score_expr(metric, "q.sentence_embedding", "c.sentence_embedding")
     thr_cond = f" AND {raw} > {thr}" if thr is not None else ""
+    if with_hit:
+        best = """best AS (SELECT target, ticket_id, score, hit FROM (
+  SELECT *, row_number() OVER (PARTITION BY target, ticket_id ORDER BY score DESC, hit ASC NULLS LAST) AS rb
+  FROM scored WHERE NOT isnan(score)) WHERE rb = 1)"""
+        hit_col = ", hit"
+    else:
+        best = ("best AS (SELECT target, ticket_id, max(score) AS score FROM scored WHERE NOT isnan(score) "
+                "GROUP BY target, ticket_id)")
+        hit_col = ""
     return f""",
 scored AS (
-  SELECT q.ticket_id AS target, c.ticket_id, round({raw}, 6) AS score
+  SELECT q.ticket_id AS target, c.ticket_id, round({raw}, 6) AS score, c.sentence AS hit
   FROM {queries} q JOIN v_corpus c ON c.ticket_id <> q.ticket_id AND ({cond}){thr_cond}),
-best AS (SELECT target, ticket_id, max(score) AS score FROM scored WHERE NOT isnan(score) GROUP BY target, ticket_id),
+{best},
 ranked AS (
-  SELECT target, ticket_id, score,
+  SELECT target, ticket_id, score{hit_col},
          row_number() OVER (PARTITION BY target ORDER BY score DESC, ticket_id) AS rank
   FROM best QUALIFY rank <= {k})
 """
@@ -136,9 +146,9 @@ ranked AS (
 def batch_sql(metric="cosine", cond="TRUE", thr=None, k=20) -> str:
     return (
         with_(*BASE_EVAL)[:-1]
-        + topk_sql(metric, cond, thr, k)
+        + topk_sql(metric, cond, thr, k, with_hit=True)
         + f""", batch AS (
-  SELECT r.target, r.ticket_id, r.score, r.rank, q.sentence, q.expected_id,
+  SELECT r.target, r.ticket_id, r.score, r.hit AS hit_sentence, r.rank, q.sentence, q.expected_id,
          {hit('r.ticket_id', 'q.expected_id')} AS hit,
          {num_expected('q.expected_id')} AS num_expected_ids
   FROM ranked r LEFT JOIN v_query_subject q ON q.ticket_id = r.target)

@@ -101,3 +101,12 @@ def test_plan_prunes_columns(spark, tmp_path):
     cdf.withColumn("extra", F.lit("x" * 100)).write.parquet(p)
     plan = vector_search(qdf, spark.read.parquet(p), k=3)._jdf.queryExecution().executedPlan().toString()
     assert "extra" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_hit_text_best_row_ties_to_smallest_text(spark):
+    rows = [(1, "q", [1.0, 0.0]), (5, "b", [1.0, 0.2]), (5, "a", [1.0, 0.2]), (5, "c", [0.0, 1.0]),
+            (6, None, [1.0, 0.5]), (7, "z", [0.5, 1.0])]
+    c = spark.createDataFrame(rows, "ticket_id long, sentence string, sentence_embedding array<float>")
+    q = c.where("ticket_id = 1")
+    got = {r.ticket_id: r.hit_text for r in vector_search(q, c.repartition(3), k=5, hit_text="sentence").collect()}
+    assert got == {5: "a", 6: None, 7: "z"}
