@@ -110,3 +110,26 @@ def test_hit_text_best_row_ties_to_smallest_text(spark):
     q = c.where("ticket_id = 1")
     got = {r.ticket_id: r.hit_text for r in vector_search(q, c.repartition(3), k=5, hit_text="sentence").collect()}
     assert got == {5: "a", 6: None, 7: "z"}
+
+
+def test_large_corpus_slices_and_batches(spark):
+    rng = np.random.default_rng(9)
+    n, dim = 20000, 8
+    vecs = rng.normal(size=(n, dim)).astype(np.float32)
+    tickets = rng.integers(0, 6000, size=n)
+    import pandas as pd
+
+    pdf = pd.DataFrame({"ticket_id": tickets.astype(np.int64), "sentence_embedding": list(vecs)})
+    c = spark.createDataFrame(pdf, "ticket_id long, sentence_embedding array<float>").repartition(2)
+    qv = rng.normal(size=(4, dim)).astype(np.float32)
+    q = spark.createDataFrame([(100000 + i, [float(x) for x in qv[i]]) for i in range(4)],
+                              "ticket_id long, sentence_embedding array<float>")
+    got = _got(vector_search(q, c, k=15))
+    V = vecs.astype(np.float64)
+    V = V / np.linalg.norm(V, axis=1, keepdims=True)
+    for i in range(4):
+        qn = qv[i].astype(np.float64) / np.linalg.norm(qv[i].astype(np.float64))
+        sc = np.round(V @ qn, 6)
+        best = pd.Series(sc).groupby(tickets).max()
+        exp = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:15]
+        assert got[100000 + i] == [(int(t), float(s)) for t, s in exp]
