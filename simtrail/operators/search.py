@@ -253,7 +253,7 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
             cols = [pa.array(targets[acc_q[0]], pa.int64()), pa.array(acc_t[0], pa.int64()),
                     pa.array(acc_s[0], pa.float64())]
             names = ["target", "ticket_id", "score"]
-            if texts_all is not None or acc_h:
+            if text_col:
                 cols.append(pa.array(list(acc_h[0]) if acc_h else [None] * len(acc_q[0]), pa.string()))
                 names.append("hit_text")
             yield pa.RecordBatch.from_arrays(cols, names=names)
