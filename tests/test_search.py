@@ -133,3 +133,16 @@ def test_large_corpus_slices_and_batches(spark):
         best = pd.Series(sc).groupby(tickets).max()
         exp = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:15]
         assert got[100000 + i] == [(int(t), float(s)) for t, s in exp]
+
+
+def test_regex_filter_mode(spark):
+    import re
+
+    rng = np.random.default_rng(11)
+    corpus, qrows, cdf, qdf = _frames(spark, rng)
+    qdf = qdf.withColumn("product", F.lit("p[01]")).withColumn("module", F.lit("m(2|3)"))
+    qrows = [(t, "p[01]", "m(2|3)", v) for t, _, _, v in qrows]
+    got = _got(vector_search(qdf, cdf, k=6, filters=FilterSpec(use_product=True, use_module=True, match="regex")))
+    exp = _brute(corpus, qrows, 6,
+                 filt=lambda qp, qm, cp, cm: re.match(qp, cp) is not None and re.match(qm, cm) is not None)
+    assert got == {t: v for t, v in exp.items() if v}
