@@ -37,3 +37,28 @@ def test_entry_and_registry(spark):
     assert out.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
     assert len(e.queries()) >= 60
+
+
+def test_read_lines_and_stopwords_file(spark, tmp_path):
+    from simtrail.functions.text import load_stopwords
+
+    f = tmp_path / "words.txt"
+    f.write_text("de\nda\n\ne/ou\nde\n", encoding="utf-8")
+    assert load_stopwords(str(f)) == ["de", "da", "e/ou", "de"]
+    lines = io.read_lines(spark, str(f))
+    assert [r.value for r in lines.collect()] == ["de", "da", "", "e/ou", "de"]
+    assert io.read_lines(spark, str(f), whole=True).count() == 1
+
+
+def test_metrics_table(spark):
+    from pyspark.sql import functions as F
+
+    from simtrail.operators import evaluate as ev
+    from simtrail.plans.evaluation import metrics
+
+    rows = [(1, 10, 0.9, 1, "10"), (1, 11, 0.8, 2, "10"), (2, 20, 0.7, 1, "21, 22")]
+    r = spark.createDataFrame(rows, "target long, ticket_id long, score double, rank long, expected_id string")
+    r = r.withColumn("hit", ev.hit_marker(F.col("ticket_id"), F.col("expected_id"))).withColumn(
+        "num_expected_ids", ev.num_expected_ids(F.col("expected_id")))
+    m = {x.k: (x.hit_rate, x.recall) for x in metrics(r, [1, 3]).collect()}
+    assert m == {1: (0.5, 0.5), 3: (0.5, 0.5)}
