@@ -35,6 +35,8 @@ def test_entry_and_registry(spark):
 
     out = e.entry(spark)
     assert out.count() > 0
+    assert out.columns == ["target", "ticket_id", "score", "hit_sentence", "rank", "sentence", "expected_id", "hit",
+                           "num_expected_ids"]
     assert set(e.oracle_sql()) <= set(e.queries())
     assert len(e.queries()) >= 60
 
