@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -21,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
 }
 
+_SCRATCH: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "simtrail") -> SparkSession:
     """Local session used by tests and the bench (the cluster supplies its own)."""
@@ -36,16 +39,44 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    On a cluster that setting points at shared storage and is used as is. Only
+    when it is unset (local tests) one scratch folder per application is made.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        if not sc.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        if not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        current = tempfile.mkdtemp(prefix="simtrail-ckpt-")
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+        named = _SCRATCH.get(sc.applicationId)
+        if named is None:
+            named = _SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="simtrail-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def new_stage_dir(spark: SparkSession, tag: str) -> str:
+    """A fresh path under the shared folder for one staged table."""
+    return f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back (cuts the lineage;
+    a lost executor re-reads the files instead of recomputing)."""
+    spark = df.sparkSession
+    path = new_stage_dir(spark, tag)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files behind a table made by :func:`stage` (only when nothing reads it any more)."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().toUri().getPath().rstrip("/") == jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/"):
+            path.getFileSystem(conf).delete(path, True)
