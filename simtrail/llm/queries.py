@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simtrail.llm import bpe, packing
+from simtrail.llm import bpe, jaccard, packing
 from simtrail.llm.common import table
 
 # The vocabulary of the token queries; every operator takes its path as a parameter.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles have a Jaccard similarity of at least 0.9."""
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -36,5 +41,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digest(packing.pack(table(spark, sf_dir, "documents"), TOKENIZER))
 
 
-REGISTRY = {"op5_bpe": op5_bpe, "op10_packing": op10_packing}
+REGISTRY = {"op2_jaccard": op2_jaccard, "op5_bpe": op5_bpe, "op10_packing": op10_packing}
 ORACLE: dict[str, str] = {}
