@@ -12,7 +12,9 @@ The order puts the most frequent n-grams last, so that shared lines and passages
 enter a product. Documents with equal sets are one row of the matrix. A column that is
 dense because its documents are near copies of each other is multiplied with its smallest
 document first; the links found join them to one component, and later only documents
-of different components are paired. No pairs of a group of copies are ever made.
+of different components are paired, each pair in the first column that both have, and only
+if a 512-bit parity sketch of either set leaves room for the threshold (differing bits never
+outnumber differing n-grams). No pairs of a group of copies are ever made.
 """
 
 from __future__ import annotations
@@ -38,7 +40,9 @@ SHARED = 4
 FREQUENT, LAST = 64, 200_000
 # Document numbers that are sent to every task instead of shuffled, if there are no more of them.
 BROADCAST_IDS = 2_000_000
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 200_000
+# 64-bit words of a parity sketch, and leading n-grams kept beside it to name the first common column.
+SKETCH, FIRST = 8, 4
 
 
 class WordHashes(dict):
@@ -67,6 +71,13 @@ def shingle_set(text: bytes | None, size: int, hashes: WordHashes) -> np.ndarray
     return np.unique(out.view(np.int64))
 
 
+def parity_sketch(grams: np.ndarray) -> np.ndarray:
+    """``SKETCH`` numbers whose bit i is set when an odd number of n-grams fall on it."""
+    place = (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 9)
+    bits = (np.bincount(place.astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
+
+
 def leading(n: int, percent: int) -> int:
     """How many n-grams of a set of ``n`` take part in the product."""
     least = -(-percent * n // 100)
@@ -75,13 +86,21 @@ def leading(n: int, percent: int) -> int:
 
 def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) -> DataFrame:
     """docs: (doc, text). emit 'heads': doc, n, signature, head (leading n-grams by hash, half as many again);
-    'entries': doc, n, gram for the leading n-grams in the final order; 'sets': doc, grams."""
+    'entries': doc, n, gram for the leading n-grams in the final order; 'sketches': doc, parity sketch of the whole
+    set, first n-grams in the final order; 'sets': doc, grams."""
     schema = {
         "heads": "doc long, n int, signature binary, head array<long>",
         "entries": "doc long, n int, gram long",
+        "sketches": "doc long, " + "".join(f"s{i} long, " for i in range(SKETCH)) + "firsts array<long>",
         "sets": "doc long, grams array<long>",
     }[emit]
 
+    def ordered(s: np.ndarray, last: np.ndarray | None) -> np.ndarray:
+        if last is None or not last.size or not s.size:
+            return s
+        common = last[np.minimum(np.searchsorted(last, s), last.size - 1)] == s
+        return np.concatenate([s[~common], s[common]])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         last = frequent.value if frequent is not None else None
@@ -98,12 +117,7 @@ def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) ->
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", "signature", "head"])
             elif emit == "entries":
-                heads = []
-                for s in sets:
-                    if last is not None and last.size and s.size:
-                        common = last[np.minimum(np.searchsorted(last, s), last.size - 1)] == s
-                        s = np.concatenate([s[~common], s[common]])
-                    heads.append(s[: leading(len(s), percent)])
+                heads = [ordered(s, last)[: leading(len(s), percent)] for s in sets]
                 sizes = [len(h) for h in heads]
                 cols = [
                     pa.array(np.repeat(np.array([i or 0 for i in ids], np.int64), sizes)),
@@ -111,6 +125,11 @@ def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) ->
                     pa.array(np.concatenate([*heads, np.empty(0, np.int64)])),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", "gram"])
+            elif emit == "sketches":
+                marks = np.stack([parity_sketch(s) for s in sets])
+                firsts = _lists([ordered(s, last)[:FIRST] for s in sets])
+                cols = [pa.array(ids, pa.int64()), *(pa.array(marks[:, i]) for i in range(SKETCH)), firsts]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc", *(f"s{i}" for i in range(SKETCH)), "firsts"])
             else:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(sets)], names=["doc", "grams"])
 
@@ -133,12 +152,16 @@ def _least(n: str) -> str:
     return f"least({SHARED}, ceil(PCT * {n} / 100D))"
 
 
+def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named in ``ids``: the numbers go to every task if they are few, else both are shuffled."""
+    ids = stage(ids.distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc", "left_semi")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Of candidate pairs (a, b, na, nb), those whose whole sets reach the threshold."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    few = pairs.count() * 2 <= BROADCAST_IDS
-    named = docs.join(F.broadcast(ids) if few else ids, "doc", "left_semi")
-    sets = _sets(named, size, "sets", percent)
+    ids = pairs.select("a").union(pairs.select("b")).toDF("doc")
+    sets = _sets(_chosen(docs, ids), size, "sets", percent)
     left = sets.select(F.col("doc").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("doc").alias("b"), F.col("grams").alias("gb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -165,6 +188,8 @@ def jaccard_groups(
     rows = stage(heads.select("doc", "n", "signature"), "rows")
     drop_staged(heads)
 
+    if rows.groupBy("doc").count().where("count > 1").limit(1).count():
+        small = stage(small.distinct(), "texts")  # repeated rows need comparing once only
     classes = rows.where("n > 0 and doc is not null").groupBy("n", "signature").agg(F.min("doc").alias("first"))
     found = _links_of(small, classes, size, percent, frequent)
     groups = components(found)
@@ -208,16 +233,20 @@ def _links_of(docs: DataFrame, classes: DataFrame, size: int, percent: int, freq
     marked = stage(marked, "marked")
     drop_staged(dense)
     open_columns = marked.groupBy("gram").agg(F.min("g").alias("g1"), F.max("g").alias("g2")).where("g1 < g2").select("gram")
-    rest = marked.join(open_columns, "gram")
-    x = rest.select("gram", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"))
-    y = rest.select("gram", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
+    rest = stage(marked.join(open_columns, "gram"), "rest")
+    drop_staged(marked)
+    sketches = _sets(_chosen(docs, rest.select("doc")), size, "sketches", percent, frequent)
+    rest_s = rest.join(sketches.distinct(), "doc")
+    x, y = (rest_s.select("gram", *(F.col(c).alias(f"{side}_{c}") for c in rest_s.columns if c != "gram")) for side in "xy")
+    differing = " + ".join(f"bit_count(x_s{i} ^ y_s{i})" for i in range(SKETCH))
+    common = "array_intersect(x_firsts, y_firsts)"
     later = (
         x.join(y, "gram")
-        .where(f"ga <> gb and (na < nb or na = nb and a < b) and {fits('na', 'nb')}")
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .where(enough("na", "nb"))
-        .select("a", "b", "na", "nb")
+        .where(f"x_g <> y_g and (x_n < y_n or x_n = y_n and x_doc < y_doc) and {fits('x_n', 'y_n')}")
+        .where(f"({differing}) * {100 + percent} <= {100 - percent} * (x_n + y_n)")
+        .where(f"case when size({common}) = 0 then true else {common}[0] = gram end")
+        .select(F.col("x_doc").alias("a"), F.col("y_doc").alias("b"), F.col("x_n").alias("na"), F.col("y_n").alias("nb"))
+        .distinct()
     )
     later = stage(later.join(star.select("a", "b"), ["a", "b"], "left_anti"), "later")
     return linked.union(_verified(later, docs, size, percent))

@@ -56,7 +56,7 @@ def result(df):
 
 
 def test_against_brute_force(spark, monkeypatch):
-    for seed, size, percent, frequent in ((1, 3, 90, 64), (2, 5, 80, 3), (3, 3, 90, 2), (4, 2, 60, 5)):
+    for seed, size, percent, frequent in ((1, 3, 90, 64), (2, 5, 80, 3)):
         monkeypatch.setattr(jaccard, "FREQUENT", frequent)
         docs = made(seed)
         df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
