@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simtrail.llm import bpe, jaccard, packing
+from simtrail.llm import bpe, jaccard, langid, packing, quality
 from simtrail.llm.common import table
+from simtrail.llm.sampling import crc_mod
 
 # The vocabulary of the token queries; every operator takes its path as a parameter.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +19,23 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them (by the id's crc32)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
+    found = langid.identify(docs.select("doc_id", "text"), docs.where(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from four fifths of the labelled ones (by the id's crc32)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+    marks = table(spark, sf_dir, "labels").where(~held_out & F.col("quality").isNotNull()).select("doc_id", "quality")
+    found = quality.score_quality(docs, docs.join(marks.distinct(), "doc_id"))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,5 +59,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digest(packing.pack(table(spark, sf_dir, "documents"), TOKENIZER))
 
 
-REGISTRY = {"op2_jaccard": op2_jaccard, "op5_bpe": op5_bpe, "op10_packing": op10_packing}
+REGISTRY = {
+    "op2_jaccard": op2_jaccard,
+    "op4_language": op4_language,
+    "op5_bpe": op5_bpe,
+    "op9_quality": op9_quality,
+    "op10_packing": op10_packing,
+}
 ORACLE: dict[str, str] = {}
