@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simtrail.llm import bpe, jaccard, langid, packing, quality
+from simtrail.llm import bpe, jaccard, langid, packing, quality, warc
 from simtrail.llm.common import table
 from simtrail.llm.sampling import crc_mod
 
@@ -14,6 +14,19 @@ from simtrail.llm.sampling import crc_mod
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back from the archives."""
+    records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")))
+    body_digest = F.sha2("payload", 256)
+    return records.select(
+        warc.record_key("record_id").alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        F.when(F.col("record_type") == "response", body_digest).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        warc.record_key("refers_to").alias("refers_to"),
+    )
+
+
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of 3-word shingles have a Jaccard similarity of at least 0.9."""
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
@@ -60,10 +73,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_warc": op1_warc,
     "op2_jaccard": op2_jaccard,
     "op4_language": op4_language,
     "op5_bpe": op5_bpe,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc": """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.first_id < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id < p.page_id THEN f.first_id END AS refers_to
+FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest
+""",
+}
