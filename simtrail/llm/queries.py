@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simtrail.llm import bpe, jaccard, langid, packing, quality, warc
+from simtrail.llm import bpe, extract, jaccard, langid, packing, quality, warc
 from simtrail.llm.common import table
 from simtrail.llm.sampling import crc_mod
 
@@ -32,6 +32,13 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op3_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = extract.extract(pages)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of them (by the id's crc32)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -75,6 +82,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_warc": op1_warc,
     "op2_jaccard": op2_jaccard,
+    "op3_extract": op3_extract,
     "op4_language": op4_language,
     "op5_bpe": op5_bpe,
     "op9_quality": op9_quality,
