@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simtrail.llm import bpe, extract, jaccard, langid, packing, quality, warc
+from simtrail.llm import ann, bpe, extract, jaccard, langid, packing, pq, quality, sharding, warc
 from simtrail.llm.common import table
 from simtrail.llm.sampling import crc_mod
 
+# Shard size of the sharding query, in bytes of text.
+SHARD_BYTES = 1 << 20
 # The vocabulary of the token queries; every operator takes its path as a parameter.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -47,6 +49,22 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine at least 0.9 among all vectors."""
+    return pq.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, none over 1 MiB of text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs, SHARD_BYTES).select("doc_id", "shard_id", "depth", "n_bytes")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from four fifths of the labelled ones (by the id's crc32)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -85,6 +103,9 @@ REGISTRY = {
     "op3_extract": op3_extract,
     "op4_language": op4_language,
     "op5_bpe": op5_bpe,
+    "op6_ann": op6_ann,
+    "op7_neardup": op7_neardup,
+    "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
@@ -101,5 +122,21 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
        CASE WHEN f.first_id < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN f.first_id < p.page_id THEN f.first_id END AS refers_to
 FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest
+""",
+    "op8_sharding": f"""
+WITH d AS (
+  SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+  FROM documents
+), levels AS (
+  SELECT depth, h >> (60 - depth) AS bucket, sum(n_bytes) AS bytes
+  FROM d, (SELECT CAST(unnest(range(0, 61)) AS INTEGER) AS depth) GROUP BY ALL
+), fits AS (
+  SELECT d.doc_id, min(l.depth) AS depth
+  FROM d JOIN levels l ON l.bucket = d.h >> (60 - l.depth)
+  WHERE l.bytes <= {SHARD_BYTES} GROUP BY d.doc_id
+)
+SELECT d.doc_id, f.depth || '-' || (d.h >> (60 - f.depth)) AS shard_id, CAST(f.depth AS INTEGER) AS depth, d.n_bytes
+FROM d JOIN fits f USING (doc_id)
 """,
 }
