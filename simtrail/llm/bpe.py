@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,8 @@ WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{
 # Characters on which str.split() cuts although they are not white space for the vocabulary's pattern.
 ODD_SPACE = regex.compile("[\x1c-\x1f]")
 # Words remembered per Python worker; beyond that the memory starts anew (a cache, never a cap on words).
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 500_000
+NEVER = 1 << 60
 
 
 def byte_alphabet() -> list[str]:
@@ -53,7 +55,6 @@ class Encoder:
         self.vocab: dict[str, int] = dict(model["vocab"])
         self.end: str = model.get("end_of_word_suffix") or ""
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.ranks = {(a, b): i for i, (a, b) in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_re = (
             regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
@@ -65,62 +66,83 @@ class Encoder:
         for s, i in [*self.vocab.items(), *self.special.items()]:
             self.tokens[i] = s
         self.size = size
-        self.longest = max(len(self._symbols_of(t)) for t in self.vocab)
-        self.alphabet = byte_alphabet()
+        # pair of tokens (left * size + right) -> rank of its merge, rank -> token it gives
+        vocab = self.vocab
+        self.ranks = {vocab[a] * size + vocab[b]: i for i, (a, b) in enumerate(merges)}
+        self.merged = [vocab[a + b] for a, b in merges]
+        self.longest = max(len(t.removesuffix(self.end)) for t in vocab)
+        alphabet = byte_alphabet()
+        self.letters = {b: c for b, c in enumerate(alphabet)}
+        self.inner = {c: vocab[c] for c in alphabet if c in vocab}
+        self.last = {c: vocab[c + self.end] for c in alphabet if c + self.end in vocab}
         self.own: dict[int, bool] = {}  # token -> is it its own encoding
         self.pair_keys = np.empty(0, np.int64)
         self.pair_good = np.empty(0, bool)
-        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, list[int]] = {}
         self.merged_words = 0
 
     # --- symbols and exact merging -------------------------------------------------
 
-    def _symbols_of(self, token: str) -> list[str]:
-        """Base symbols of a token: its characters, the last one with the word-end mark if it has one."""
-        if self.end and token.endswith(self.end) and len(token) > len(self.end):
-            body = token[: -len(self.end)]
-            return [*body[:-1], body[-1] + self.end]
-        return list(token)
-
-    def merge(self, symbols: list[str]) -> list[int]:
-        """The merges in order of rank, leftmost first: the definition of the encoding."""
-        parts = list(symbols)
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: (self.ranks.get((parts[i], parts[i + 1]), 1 << 60), i))
-            pair = (parts[best], parts[best + 1])
-            if pair not in self.ranks:
+    def _letters_of(self, token: int) -> tuple[str, bool]:
+        """A token's characters (one a byte), and whether it ends a word."""
+        name = self.tokens[token]
+        ends = bool(self.end) and name.endswith(self.end) and len(name) > len(self.end)
+        return (name[: -len(self.end)] if ends else name), ends
+
+    def merge(self, letters: str, ends: bool = True) -> list[int]:
+        """The merges in order of rank, leftmost first: the definition of the encoding. Unknown letters are left out."""
+        inner = self.inner
+        if ends:
+            parts = [inner[c] for c in letters[:-1] if c in inner]
+            parts += [self.last[c] for c in letters[-1:] if c in self.last]
+        else:
+            parts = [inner[c] for c in letters if c in inner]
+        rank, size, merged = self.ranks.get, self.size, self.merged
+        ranks = [rank(a * size + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == NEVER:
                 break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == pair:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.vocab[p] for p in parts if p in self.vocab]
+            i = ranks.index(least)
+            new = merged[least]
+            parts[i : i + 2] = (new,)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] * size + new, NEVER)
+            if i < len(ranks):
+                ranks[i] = rank(new * size + parts[i + 1], NEVER)
+        return parts
 
     def _is_own(self, token: int) -> bool:
         got = self.own.get(token)
         if got is None:
-            got = self.own[token] = self.merge(self._symbols_of(self.tokens[token])) == [token]
+            got = self.own[token] = self.merge(*self._letters_of(token)) == [token]
         return got
 
     # --- speculation ----------------------------------------------------------------
 
-    def guess(self, symbols: list[str]) -> list[int] | None:
+    def guess(self, letters: str) -> list[int] | None:
         """Longest vocabulary token first, left to right; None where no token fits."""
-        out, at, n, vocab = [], 0, len(symbols), self.vocab
+        out, at, n, find, own = [], 0, len(letters), self.vocab.get, self.own
         while at < n:
-            for stop in range(min(n, at + self.longest), at, -1):
-                token = vocab.get("".join(symbols[at:stop]))
-                if token is not None and self._is_own(token):
+            stop = at + self.longest
+            token = None
+            if stop >= n:
+                token = find(letters[at:] + self.end)
+                stop = n - 1
+                if token is not None and (own.get(token) or self._is_own(token)):
                     out.append(token)
-                    at = stop
                     break
+            while stop > at:
+                token = find(letters[at:stop])
+                if token is not None and (own.get(token) or self._is_own(token)):
+                    break
+                stop -= 1
             else:
                 return None
+            out.append(token)
+            at = stop
         return out
 
     # --- verification ---------------------------------------------------------------
@@ -135,7 +157,8 @@ class Encoder:
             good = np.empty(new.size, bool)
             for i, key in enumerate(new.tolist()):
                 a, b = divmod(key, self.size)
-                good[i] = self.merge(self._symbols_of(self.tokens[a]) + self._symbols_of(self.tokens[b])) == [a, b]
+                left, (right, ends) = self._letters_of(a)[0], self._letters_of(b)
+                good[i] = self.merge(left + right, ends) == [a, b]
             all_keys = np.concatenate([self.pair_keys, new])
             order = np.argsort(all_keys, kind="stable")
             self.pair_keys, self.pair_good = all_keys[order], np.concatenate([self.pair_good, good])[order]
@@ -143,8 +166,8 @@ class Encoder:
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of pre-tokens (already normalised): guess all, verify all pairs at once, merge the failing ones."""
-        symbols = [self._word_symbols(w) for w in words]
-        guesses = [self.guess(s) for s in symbols]
+        letters = [self._word_letters(w) for w in words]
+        guesses = [self.guess(s) for s in letters]
         sizes = np.array([len(g) if g else 0 for g in guesses])
         flat = np.array([t for g in guesses if g for t in g], np.int64)
         failing = sizes == 0
@@ -158,16 +181,13 @@ class Encoder:
         for i, g in enumerate(guesses):
             if failing[i]:
                 self.merged_words += 1
-                out.append(self.merge(symbols[i]))
+                out.append(self.merge(letters[i]))
             else:
                 out.append(g)
         return out
 
-    def _word_symbols(self, word: str) -> list[str]:
-        chars = [self.alphabet[b] for b in word.encode()]
-        if self.end and chars:
-            chars[-1] += self.end
-        return chars
+    def _word_letters(self, word: str) -> str:
+        return word.encode().decode("latin-1").translate(self.letters)
 
     # --- texts ------------------------------------------------------------------------
 
@@ -180,10 +200,13 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null text is an empty one."""
+        if len(self.chunks) > MEMORY_WORDS:
+            self.chunks = {}
         if len(self.words) > MEMORY_WORDS:
             self.words = {}
         plan: list[list[bytes | list[str]]] = []
         new: dict[str, None] = {}
+        known = self.chunks
         for text in texts:
             parts: list[bytes | list[str]] = []
             pieces = [text or ""]
@@ -195,19 +218,20 @@ class Encoder:
                 elif piece:
                     chunks = self._chunks(piece)
                     parts.append(chunks)
-                    new.update(dict.fromkeys(c for c in chunks if c not in self.words))
+                    new.update(dict.fromkeys(c for c in chunks if c not in known))
             plan.append(parts)
         if new:
             self._learn(list(new))
-        get = self.words.__getitem__
+        get = known.__getitem__
         return [b"".join(p if isinstance(p, bytes) else b"".join(map(get, p)) for p in parts) for parts in plan]
 
     def _learn(self, chunks: list[str]) -> None:
-        words = [WORD.findall(c) for c in chunks]
-        distinct = list(dict.fromkeys(w for ws in words for w in ws))
-        ids = dict(zip(distinct, self.encode_words(distinct), strict=True))
+        words = [[c] if c.isalpha() and c.isascii() else WORD.findall(c) for c in chunks]
+        distinct = list(dict.fromkeys(w for ws in words for w in ws if w not in self.words))
+        self.words.update(zip(distinct, self.encode_words(distinct), strict=True))
+        ids, put = self.words, self.chunks
         for chunk, ws in zip(chunks, words, strict=True):
-            self.words[chunk] = np.array([t for w in ws for t in ids[w]], "<u4").tobytes()
+            put[chunk] = array("I", ids[ws[0]] if len(ws) == 1 else [t for w in ws for t in ids[w]]).tobytes()
 
     def decode(self, ids: bytes | None) -> str:
         """The ids' tokens, joined by one blank (the vocabulary file names no decoder); unknown ids give nothing."""
