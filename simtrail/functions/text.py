@@ -208,19 +208,38 @@ def decode_json(text: Column, schema: T.DataType | str, rename: Mapping[str, str
 
 
 # Accepted text layouts for dates and date-times (ISO 8601 forms).
-DATE_FORMATS = ["yyyy-MM-dd"]
-DATETIME_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS",
-                    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd"]
+ISO_DAY = r"(\d{4})-?(\d{2})-?(\d{2})"
+ISO_TEXT = ISO_DAY + r"(?:[T ](\d{2}):?(\d{2})(?::?(\d{2})(?:[.,](\d{1,9}))?)?\s*(Z|[+-]\d{2}(?::?\d{2})?)?)?"
+
+
+def _iso_parts(text: Column, group: int) -> Column:
+    return F.regexp_extract(text, "^" + ISO_TEXT + "$", group)
 
 
 def parse_date(text: Column) -> Column:
-    """Text -> DATE (first 10 characters, ISO), NULL when empty or invalid."""
-    return F.coalesce(*[F.try_to_timestamp(F.substring(text, 1, 10), F.lit(f)).cast("date") for f in DATE_FORMATS])
+    """Text -> DATE of an ISO date or date-time (the whole text must be one), NULL when empty or invalid."""
+    return parse_datetime(text, shift=False).cast("date")
+
 
+def parse_datetime(text: Column, shift: bool = True) -> Column:
+    """ISO text -> zone-less TIMESTAMP, NULL when empty or invalid.
 
-def parse_datetime(text: Column) -> Column:
-    """ISO text -> zone-less TIMESTAMP, NULL when empty or invalid."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in DATETIME_FORMATS])
+    Basic and extended forms, fractions to the microsecond. A text with a zone (Z or an offset) is moved to
+    UTC (with ``shift=False`` its local time stays); one without is taken as it is.
+    """
+    day = F.concat_ws("-", *[_iso_parts(text, g) for g in (1, 2, 3)])
+    time = F.concat_ws(":", *[F.when(_iso_parts(text, g) == "", "00").otherwise(_iso_parts(text, g)) for g in (4, 5, 6)])
+    fraction = F.rpad(F.substring(_iso_parts(text, 7), 1, 6), 6, "0")
+    whole = F.when(text.rlike("^" + ISO_TEXT + "$"), F.concat(day, F.lit(" "), time, F.lit("."), fraction))
+    at = F.try_to_timestamp(whole, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")).cast("timestamp_ntz")
+    if not shift:
+        return at
+    zone = F.regexp_replace(_iso_parts(text, 8), "[Z:]", "")
+    minutes = F.when(zone == "", 0).otherwise(
+        F.concat(F.substring(zone, 1, 1), F.lit("1")).cast("int")
+        * (F.substring(zone, 2, 2).cast("int") * 60 + F.when(F.length(zone) > 3, F.substring(zone, 4, 2).cast("int")).otherwise(0))
+    )
+    return at - F.make_dt_interval(F.lit(0), F.lit(0), minutes)
 
 
 def shrink_long(df: DataFrame, n: int = 5000, skip: Iterable[str] = ("sentence_embedding",)) -> DataFrame:

@@ -33,18 +33,23 @@ def hashed_buckets(text: Column, dim: int = 64, stopwords: Iterable[str] | None
 def hashed_vector(text: Column, dim: int = 64, stopwords: Iterable[str] | None = None) -> Column:
     """I8 default: token counts per bucket divided by their L2 norm; NULL for text without tokens.
 
-    Each token's bucket is written as one character (code 48 + bucket) of a code string,
-    so the per-bucket counts are native string operations (length before and after
-    removing that character) with no per-element lambda and no array copies.
+    Each token's bucket is written as two characters (one for its hundreds, from code 48 on, one for
+    the rest, from code 150 on: two separate ranges below 256) of a code string, so the per-bucket
+    counts are native string operations (length before and after removing the two characters) with no
+    per-element lambda and no array copies. Up to 10,000 buckets.
     """
-    if dim > 1000:
-        raise ValueError("hashed_vector supports up to 1000 buckets")
-    codes = F.array_join(F.transform(hashed_buckets(text, dim, stopwords), lambda b: F.chr(b + 48)), "")
+    if not 0 < dim <= 10_000:
+        raise ValueError("hashed_vector supports 1 to 10,000 buckets")
+
+    def code(b: Column) -> Column:
+        return F.concat(F.chr((b / 100).cast("long") + 48), F.chr(b % 100 + 150))
+
+    codes = F.array_join(F.transform(hashed_buckets(text, dim, stopwords), code), "")
 
     def from_codes(c: Column) -> Column:
         n = F.length(c)
         counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                             lambda i: (n - F.length(F.replace(c, F.chr(i + 48), F.lit("")))).cast("double"))
+                             lambda i: ((n - F.length(F.replace(c, code(i), F.lit("")))) / 2).cast("double"))
 
         def scale(v: Column) -> Column:
             norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
@@ -85,9 +90,13 @@ def batch_encoder(model_factory: Callable[[], Callable[[list[str]], list[list[fl
 def embed_unique(df: DataFrame, text_col: str, encoder: Encoder, out_col: str = "sentence_embedding") -> DataFrame:
     """Encode each distinct text once (D10), then join the vectors back on the text.
 
-    NULL texts get a NULL vector (no join partner).
+    The join hashes and sorts the text's 64-bit hash; the exact text is compared as a residual
+    condition. NULL texts get a NULL vector (no join partner). Row order of columns: the text first.
     """
     uniq = df.select(text_col).where(F.col(text_col).isNotNull()).distinct()
-    vecs = encoder(uniq, text_col, out_col)
-    base = df.drop(out_col) if out_col in df.columns else df
-    return base.join(vecs, text_col, "left")
+    vecs = encoder(uniq, text_col, out_col).select(
+        F.xxhash64(text_col).alias("_eh"), F.col(text_col).alias("_et"), F.col(out_col).alias(out_col))
+    base = (df.drop(out_col) if out_col in df.columns else df).withColumn("_h", F.xxhash64(text_col))
+    same = (F.col("_h") == F.col("_eh")) & (F.col(text_col) >= F.col("_et")) & (F.col(text_col) <= F.col("_et"))
+    rest = [c for c in base.columns if c not in (text_col, "_h")]
+    return base.join(vecs, same, "left").select(text_col, *rest, out_col)

@@ -5,15 +5,15 @@ Plan shape of :func:`vector_search` (exact)::
     queries --count/size check--> blocks of bounded bytes --> broadcast matrix per block
     corpus scan (pruned to id, vector, filter columns)
        --mapInArrow: block matrix product, masks (self, product, module, threshold),
-                     best row per ticket, running top-k per partition (ties kept)-->
-       <= k(+ties) rows per (target, partition)
+                     best row per ticket, running top-k per partition-->
+       <= k rows per (target, partition)
     union blocks --> max(score) per (target, ticket_id)   [partial agg map side, shuffle on both keys]
                  --> row_number over target ORDER BY score DESC, ticket_id <= k   [WindowGroupLimit]
 
 Why the local cut is exact: a ticket in the global top-k of a target is in the
 top-k of the partition that holds its best row (same total order everywhere:
 rounded score desc, ticket_id asc), so cutting each partition to its top k
-(keeping ties at the cut) never loses a final row. Filters are applied inside
+never loses a final row. Filters are applied inside
 the scoring, before the cut. Only the query matrix travels through the driver,
 in blocks whose byte size is checked; the corpus is never collected.
 
@@ -105,7 +105,7 @@ def _pair_mask(q_codes, q_uniques, c_values, fn, match):
 
 
 def _compact(q, t, s, k):
-    """Best score per (q, t), then per q every row scoring at least the k-th best."""
+    """Best score per (q, t), then the first k per q by score desc, t asc (a total order, so no ties are kept)."""
     if len(q) == 0:
         return q, t, s
     o = np.lexsort((t, q))
@@ -117,42 +117,31 @@ def _compact(q, t, s, k):
     q, t, s = q[o], t[o], s[o]
     gstart = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
     gsize = np.diff(np.r_[gstart, len(q)])
-    gid = np.repeat(np.arange(len(gstart)), gsize)
-    kth = np.where(gsize >= k, s[np.minimum(gstart + k - 1, len(q) - 1)], -np.inf)
-    keep = s >= kth[gid]
+    keep = np.arange(len(q)) - np.repeat(gstart, gsize) < k
     return q[keep], t[keep], s[keep]
 
 
-def _compact_text(q, t, s, h, k):
-    """_compact carrying a text per row: best score per (q, t), ties to the smallest text."""
-    import pandas as pd
-
-    if len(q) == 0:
-        return q, t, s, h
-    df = pd.DataFrame({"q": q, "t": t, "s": s, "h": h})
-    df["hk"] = df["h"].fillna("\U0010ffff")  # NULL texts sort last
-    df = df.sort_values(["q", "t", "s", "hk"], ascending=[True, True, False, True], kind="mergesort")
-    df = df.drop_duplicates(["q", "t"], keep="first")
-    df = df.sort_values(["q", "s", "t"], ascending=[True, False, True], kind="mergesort")
-    pos = df.groupby("q").cumcount().to_numpy()
-    kth = df["s"].where(pos == k - 1).groupby(df["q"]).transform("max").fillna(-np.inf).to_numpy()
-    keep = df["s"].to_numpy() >= kth
-    df = df[keep]
-    return (df["q"].to_numpy(np.int64), df["t"].to_numpy(np.int64), df["s"].to_numpy(np.float64),
-            df["h"].to_numpy(object))
+def _l2_scores(Q, qn2, C, cn2, products):
+    """1 - distance by expansion, recomputed as the sum of squared differences wherever the expansion's
+    rounding could show (squared distance small against the norms)."""
+    d2 = np.maximum(qn2[:, None] + cn2[None, :] - 2.0 * products, 0.0)
+    loose = 8 * np.finfo(float).eps * (qn2[:, None] + cn2[None, :]) > 2e-9 * np.sqrt(d2)
+    qi, ci = np.nonzero(loose)
+    for at in range(0, len(qi), 65_536):
+        a, b = qi[at:at + 65_536], ci[at:at + 65_536]
+        d2[a, b] = ((Q[a] - C[b]) ** 2).sum(axis=1)
+    return 1.0 - np.sqrt(d2)
 
 
 def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, decimals, id_col, vec_col, dim,
-            list_col=None, text_col=None):
+            list_col=None):
     def run(batches):
-        import pandas as pd
-
         p = payload_ref.value if hasattr(payload_ref, "value") else payload_ref
         targets, Q = p["targets"], p["Q"]
         nq = len(targets)
         qn2 = (Q * Q).sum(axis=1)
         thr = None if threshold is None else threshold
-        acc_q, acc_t, acc_s, acc_h, acc_n = [], [], [], [], 0
+        acc_q, acc_t, acc_s, acc_n = [], [], [], 0
         for rb in batches:
             n = rb.num_rows
             if n == 0 or nq == 0:
@@ -165,7 +154,6 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
             mods = rb.column("__module").to_pylist() if filt.needs_module else None
             lists_all = (rb.column(list_col).to_numpy(zero_copy_only=False).astype(np.int64)
                          if list_col else None)
-            texts_all = np.asarray(rb.column(text_col).to_pylist(), dtype=object) if text_col else None
             for c0 in range(0, n, CORPUS_SLICE):
                 c1 = min(n, c0 + CORPUS_SLICE)
                 C = vecs_all[c0:c1]
@@ -177,12 +165,7 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
                     C = C / np.where(valid, norms, 1.0)[:, None]
                 else:
                     valid = np.ones(len(cid), dtype=bool)
-                if texts_all is not None:
-                    codes, _ = pd.factorize(pd.Series(texts_all[c0:c1], dtype=object), sort=True)
-                    codes = np.where(codes < 0, np.iinfo(np.int64).max, codes)
-                    order = np.lexsort((codes, cid))  # by ticket, then text: first max = smallest text
-                else:
-                    order = np.argsort(cid, kind="stable")
+                order = np.argsort(cid, kind="stable")
                 cid_s = cid[order]
                 starts = np.flatnonzero(np.r_[True, cid_s[1:] != cid_s[:-1]])
                 uid = cid_s[starts]
@@ -190,7 +173,7 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
                     q1 = min(nq, q0 + QUERY_SLICE)
                     S = Q[q0:q1] @ C.T
                     if metric == "l2":
-                        S = 1.0 - np.sqrt(np.maximum(qn2[q0:q1, None] + cn2[None, :] - 2.0 * S, 0.0))
+                        S = _l2_scores(Q[q0:q1], qn2[q0:q1], C, cn2, S)
                     elif metric == "inner":
                         S = 1.0 + S
                     mask = np.broadcast_to(valid[None, :], S.shape).copy()
@@ -236,38 +219,22 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
                         acc_q.append((qi + q0).astype(np.int64))
                         acc_t.append(uid[ui])
                         acc_s.append(St[qi, ui])
-                        if texts_all is not None:
-                            # first column of the ticket's group holding the maximum
-                            Ss = S[:, order]
-                            width = Ss.shape[1]
-                            sizes = np.diff(np.r_[starts, width])
-                            hitm = Ss == np.repeat(St, sizes, axis=1)
-                            key = np.where(hitm, width - np.arange(width)[None, :], 0)
-                            pos = width - np.maximum.reduceat(key, starts, axis=1)
-                            acc_h.append(texts_all[c0:c1][order][pos[qi, ui]])
                         acc_n += len(qi)
                 if acc_n > 8 * nq * k + 100_000:
-                    acc_q, acc_t, acc_s, acc_h, acc_n = _reduce(acc_q, acc_t, acc_s, acc_h, k)
+                    acc_q, acc_t, acc_s, acc_n = _reduce(acc_q, acc_t, acc_s, k)
         if acc_n:
-            acc_q, acc_t, acc_s, acc_h, acc_n = _reduce(acc_q, acc_t, acc_s, acc_h, k)
+            acc_q, acc_t, acc_s, acc_n = _reduce(acc_q, acc_t, acc_s, k)
             cols = [pa.array(targets[acc_q[0]], pa.int64()), pa.array(acc_t[0], pa.int64()),
                     pa.array(acc_s[0], pa.float64())]
             names = ["target", "ticket_id", "score"]
-            if text_col:
-                cols.append(pa.array(list(acc_h[0]) if acc_h else [None] * len(acc_q[0]), pa.string()))
-                names.append("hit_text")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run
 
 
-def _reduce(acc_q, acc_t, acc_s, acc_h, k):
-    q, t, s_ = np.concatenate(acc_q), np.concatenate(acc_t), np.concatenate(acc_s)
-    if acc_h:
-        q, t, s_, h = _compact_text(q, t, s_, np.concatenate(acc_h), k)
-        return [q], [t], [s_], [h], len(q)
-    q, t, s_ = _compact(q, t, s_, k)
-    return [q], [t], [s_], [], len(q)
+def _reduce(acc_q, acc_t, acc_s, k):
+    q, t, s_ = _compact(np.concatenate(acc_q), np.concatenate(acc_t), np.concatenate(acc_s), k)
+    return [q], [t], [s_], len(q)
 
 
 def _broadcast(spark: SparkSession, payload):
@@ -322,8 +289,12 @@ def vector_search(
     qcols.append((F.col("product") if filters.needs_product else F.lit(None).cast("string")).alias("product"))
     qcols.append((F.col("module") if filters.needs_module else F.lit(None).cast("string")).alias("module"))
     q = queries.select(*qcols).where(F.col("vec").isNotNull() & F.col("target").isNotNull())
-    stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
+    stats = q.agg(F.count(F.lit(1)).alias("n"), F.min(F.size("vec")).alias("d"), F.max(F.size("vec")).alias("most")).first()
     n_q, dim = int(stats["n"] or 0), int(stats["d"] or 0)
+    found = corpus.where(F.col(corpus_vec).isNotNull()).agg(F.min(F.size(corpus_vec)), F.max(F.size(corpus_vec))).first()
+    lengths = {x for x in (stats["d"], stats["most"], *found) if x is not None}
+    if n_q and len(lengths) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted(lengths)}")
     if n_q == 0 or dim <= 0:
         return spark.createDataFrame([], _RANKED_SCHEMA)
     n_blocks = max(1, math.ceil(n_q * dim * 8 / block_bytes))
@@ -335,18 +306,14 @@ def vector_search(
         ccols.append(F.col("module").alias("__module"))
     if ivf is not None:
         ccols.append(F.col(ivf.list_col).cast("long").alias(ivf.list_col))
-    if hit_text:
-        ccols.append(F.col(hit_text).cast("string").alias("__hit"))
-    c = corpus.select(*ccols).where(F.size(corpus_vec) == dim)
-    out_schema = RESULT_SCHEMA if not hit_text else T.StructType(
-        RESULT_SCHEMA.fields + [T.StructField("hit_text", T.StringType())])
+    c = corpus.select(*ccols).where(F.col(corpus_vec).isNotNull())
 
     import pandas as pd
 
     parts = []
     for b in range(n_blocks):
         qb = q if n_blocks == 1 else q.where(F.pmod(F.xxhash64("target"), F.lit(n_blocks)) == b)
-        rows = qb.where(F.size("vec") == dim).collect()  # bounded by block_bytes (checked above)
+        rows = qb.collect()  # bounded by block_bytes (checked above)
         if not rows:
             continue
         Q = np.asarray([r["vec"] for r in rows], dtype=np.float64)
@@ -382,21 +349,57 @@ def vector_search(
             cb = c.where(F.col(ivf.list_col).isin(probed))
         ref = _broadcast(spark, payload)
         fn = _scorer(ref, k, metric, filters, exclude_self, threshold, inclusive, decimals, corpus_id, corpus_vec, dim,
-                     ivf.list_col if ivf is not None else None, "__hit" if hit_text else None)
-        parts.append(cb.mapInArrow(fn, out_schema))
+                     ivf.list_col if ivf is not None else None)
+        parts.append(cb.mapInArrow(fn, RESULT_SCHEMA))
     if not parts:
         return spark.createDataFrame([], _RANKED_SCHEMA)
     cand = parts[0]
     for p_ in parts[1:]:
         cand = cand.unionByName(p_)
-    if hit_text:
-        # highest score, then smallest text: min over (-score, text), partial aggregation map side
-        best = cand.groupBy("target", "ticket_id").agg(
-            F.min(F.struct((-F.col("score")).alias("ns"), F.col("hit_text").isNull().alias("hn"),
-                           F.col("hit_text").alias("h"))).alias("_b"))
-        best = best.select("target", "ticket_id", (-F.col("_b.ns")).alias("score"), F.col("_b.h").alias("hit_text"))
-        return top_k_per_target(best, k)
-    return top_k_per_target(cand.groupBy("target", "ticket_id").agg(F.max("score").alias("score")), k)
+    ranked = top_k_per_target(cand.groupBy("target", "ticket_id").agg(F.max("score").alias("score")), k)
+    if not hit_text:
+        return ranked
+    rows = corpus.select(
+        F.col(corpus_id).cast("long").alias("ticket_id"), F.col(corpus_vec).alias("_c"), F.col(hit_text).cast("string").alias("_h"),
+        (F.col("product") if filters.needs_product else F.lit(None).cast("string")).alias("_cp"),
+        (F.col("module") if filters.needs_module else F.lit(None).cast("string")).alias("_cm"),
+    )
+    return _with_hit_text(ranked, q, rows, metric, filters, decimals)
+
+
+def _with_hit_text(ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str, filters: FilterSpec, decimals: int) -> DataFrame:
+    """The text of the best-scoring visible row of each ranked ticket (ties: the smallest text), joined on after the
+    cut: only the rows of the k tickets of each target are scored again, so no text goes through Python."""
+    j = ranked.join(q.select("target", F.col("vec").alias("_q"), "product", "module"), "target").join(rows, "ticket_id")
+    if filters.match == "regex":
+        prefix = lambda c, p: F.regexp_like(c, F.concat(F.lit("^(?:"), p, F.lit(")")))
+        inside = F.regexp_like
+    else:
+        prefix, inside = F.startswith, F.contains
+    sees_product, sees_module = prefix(F.col("_cp"), F.col("product")), prefix(F.col("_cm"), F.col("module"))
+    seen = F.lit(True)
+    if filters.interactive:
+        seen = F.coalesce(sees_product, F.lit(False)) | F.coalesce(inside(F.col("_cm"), F.col("module")), F.lit(False))
+    else:
+        if filters.use_product:
+            seen = seen & sees_product
+        if filters.use_module:
+            seen = seen & sees_module
+    pairs = F.zip_with("_q", "_c", lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")))
+    total = lambda f: F.aggregate(pairs, F.lit(0.0), lambda s, p: s + f(p["x"], p["y"]))
+    if metric == "l2":
+        score = 1 - F.sqrt(total(lambda x, y: (x - y) * (x - y)))
+    elif metric == "inner":
+        score = 1 + total(lambda x, y: x * y)
+    else:
+        norms = F.sqrt(total(lambda x, y: x * x)) * F.sqrt(total(lambda x, y: y * y))
+        score = F.try_divide(total(lambda x, y: x * y), norms)
+    j = j.where(seen).withColumn("_s", F.round(score, decimals))
+    best = F.min(F.struct((-F.coalesce("_s", F.lit(float("-inf")))).alias("s"), F.col("_h").isNull().alias("n"), F.col("_h").alias("h")))
+    return (
+        j.groupBy("target", "ticket_id", "score", "rank").agg(best.alias("_b"))
+        .select("target", "ticket_id", "score", F.col("_b.h").alias("hit_text"), "rank")
+    )
 
 
 def top_k_per_target(scored: DataFrame, k: int, order_extra: list | None = None) -> DataFrame:
@@ -436,14 +439,7 @@ class IvfIndex:
         return part.astype(np.int64)
 
 
-def default_n_lists(n_rows: int) -> int:
-    """List count rule: max(10, n/1000), and sqrt(n) above one million rows."""
-    if n_rows > 1_000_000:
-        return max(10, int(math.sqrt(n_rows)))
-    return max(10, n_rows // 1000)
-
-
-def build_ivf(corpus: DataFrame, vec: str = "sentence_embedding", n_lists: int | None = None, metric: str = "cosine",
+def build_ivf(corpus: DataFrame, vec: str = "sentence_embedding", *, n_lists: int, metric: str = "cosine",
               seed: int = 1, max_iter: int = 20, list_col: str = "ivf_list") -> IvfIndex:
     """KMeans (distributed, ``pyspark.ml``) over the corpus vectors; every row gets its
     nearest list. For cosine the vectors are L2-normalised before clustering."""
@@ -455,8 +451,7 @@ def build_ivf(corpus: DataFrame, vec: str = "sentence_embedding", n_lists: int |
         nrm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
         v = F.transform(v, lambda x: F.when(nrm > 0, x / nrm).otherwise(F.lit(0.0)))
     feats = corpus.withColumn("__features", array_to_vector(v))
-    n = n_lists or default_n_lists(corpus.count())
-    km = KMeans(k=n, seed=seed, maxIter=max_iter, featuresCol="__features", predictionCol=list_col)
+    km = KMeans(k=n_lists, seed=seed, maxIter=max_iter, featuresCol="__features", predictionCol=list_col)
     model = km.fit(feats)
     centroids = np.asarray(model.clusterCenters(), dtype=np.float64)
     assigned = model.transform(feats).drop("__features")

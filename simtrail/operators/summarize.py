@@ -81,8 +81,8 @@ def summarize_stuff(df: DataFrame, key: str = "ticket_id", text: str = "ticket_c
 
 
 def summarize_map_reduce(df: DataFrame, key: str = "ticket_id", text: str = "ticket_comment", per_piece: int = 2,
-                         n: int = 3, max_pieces: int = 4, with_steps: bool = False, wrap_width: int | None = None):
-    """map = best ``per_piece`` sentences of each of the first ``max_pieces`` pieces;
+                         n: int = 3, max_pieces: int | None = None, with_steps: bool = False, wrap_width: int | None = None):
+    """map = best ``per_piece`` sentences of each piece (of the first ``max_pieces``, if given);
     reduce = best n of those, in text order, joined with '. '.
 
     With ``with_steps`` also returns the intermediate (map) results."""
@@ -117,34 +117,24 @@ def ticket_keywords(df: DataFrame, key: str = "ticket_id", text: str = "ticket_c
 
 
 def summarize_refine(df: DataFrame, key: str = "ticket_id", text: str = "ticket_comment", n: int = 3,
-                     max_pieces: int = 4,
+                     max_pieces: int | None = None,
                      step_fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
     """Ordered fold over the pieces of each ticket carrying the answer so far.
 
-    The per-ticket state is only the current answer (n sentences) plus one piece's
-    sentences, so the fold runs as ``applyInPandas`` over scored sentence rows of
-    one ticket. Default step: keep the best n of (answer so far + next piece).
-    ``step_fn(so_far, piece_rows) -> new so_far`` plugs in any model.
+    Default step: keep the best n of (answer so far + next piece). Folded over all pieces that is the
+    best n sentences of all, so it runs as a ranked cut without Python. ``step_fn(so_far, piece_rows) ->
+    new so_far`` plugs in any model; it runs as ``applyInPandas`` over one ticket's scored sentences.
     """
     sent = sentences(df, key, text, pieces=split_pieces(F.col(text)), max_pieces=max_pieces)
     sc = score_sentences(sent, term_counts(df, key, text), key)
-
-    def default_step(so_far: pd.DataFrame, piece_rows: pd.DataFrame) -> pd.DataFrame:
-        both = pd.concat([so_far, piece_rows])
-        return both.sort_values(["score", "piece", "pos"], ascending=[False, True, True]).head(n)
-
-    step = step_fn or default_step
     if step_fn is None:
-        # the default step only ever keeps the best n rows, and those are among the best n of
-        # every piece: cutting each piece first (WindowGroupLimit, partial before the shuffle)
-        # bounds a ticket's group to max_pieces * n rows whatever the text length
-        sc = _best(sc, n, [key, "piece"], key)
+        return _join_in_order(_best(sc, n, [key], key), key, "summary")
     out_schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("summary", T.StringType())])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         so_far = pdf.iloc[0:0]
         for _, rows in pdf.sort_values(["piece", "pos"]).groupby("piece", sort=True):
-            so_far = step(so_far, rows)
+            so_far = step_fn(so_far, rows)
         best = so_far.sort_values(["piece", "pos"])
         return pd.DataFrame({key: [pdf[key].iloc[0]], "summary": [SUMMARY_JOIN.join(best["sentence"].tolist())]})
 

@@ -97,11 +97,12 @@ def prepare_sync(
     deleted_ids: DataFrame,
     encoder: Encoder | None = None,
     cache: bool = True,
-    shrink: int | None = 5000,
+    shrink: int | None = None,
     drop_missing_first: bool = False,
 ) -> SyncPlan:
     """K8 (first half): which rows to embed and insert, which (id, sentence) pairs to remove,
-    and the new high-water mark. With ``cache=False`` every row is new and nothing is removed."""
+    and the new high-water mark. With ``cache=False`` every row is new and nothing is removed.
+    Texts are kept whole (``shrink`` cuts them: a cut text no longer matches its source in the next diff)."""
     enc = encoder or hashed_encoder()
     df = filter_deleted(incoming, deleted_ids)
     df = fill_missing(df, drop_missing_first)
@@ -113,16 +114,19 @@ def prepare_sync(
     else:
         new = df
         removed = existing.select(*KEYS).limit(0)
+    mark = watermark(new)  # before the encoder: it needs no vectors
     new = embed_unique(new, "sentence", enc)
     if shrink is not None and shrink > 0:
         new = shrink_long(new, shrink)
-    return SyncPlan(new, removed, watermark(new))
+    return SyncPlan(new, removed, mark)
 
 
 def insert_if_absent(table: DataFrame, rows: DataFrame, keys=KEYS,
                      order_col: str | None = None) -> DataFrame:
     """Rows to append: one per (id, sentence) (keep first), and only keys absent from the table."""
-    order = [F.col(order_col).asc()] if order_col else [F.col(k).asc() for k in keys]
+    # rows alike in the order column are told apart by their whole content, so the same row stays in every run
+    order = [F.col(order_col).asc()] if order_col else []
+    order += [F.xxhash64(*rows.columns), F.hash(*rows.columns)]
     d = dedup_keep_first(rows, list(keys), order)
     return _pair_anti(d, table, null_safe=False)
 
@@ -163,12 +167,15 @@ def flag_sync(table: DataFrame, catalogue: DataFrame, mode: str = "as_written",
 def apply_sync(table: DataFrame, plan: SyncPlan, deleted_ids: DataFrame, catalogue: DataFrame | None = None,
                flag_mode: str = "as_written") -> DataFrame:
     """K8 (second half): new table state = table - deleted ids - removed pairs + new rows
-    (insert-if-absent), then the flag update."""
+    (insert-if-absent), then the flag update. Columns that the new rows carry and the table lacks
+    (vectors, tags) are added to it, NULL in its old rows."""
     t = delete_by_id(table, deleted_ids)
     t = delete_by_pair(t, plan.removed)
     ins = insert_if_absent(t, plan.new_rows)
-    cols = table.columns
-    ins = ins.select(*[F.col(c) if c in ins.columns else F.lit(None).cast(table.schema[c].dataType).alias(c)
+    added = [f for f in ins.schema.fields if f.name not in table.columns]
+    t = t.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
+    cols = t.columns
+    ins = ins.select(*[F.col(c) if c in ins.columns else F.lit(None).cast(t.schema[c].dataType).alias(c)
                        for c in cols])
     t = t.unionByName(ins)
     if catalogue is not None:

@@ -165,6 +165,7 @@ ORACLE["src_tickets_scan"] = with_(TICKETS) + "SELECT * FROM v_tickets"
 ORACLE["batch_similarity"] = batch_sql() + "SELECT * FROM batch"
 
 ORACLE["vector_topk_cosine"] = with_(*BASE_EVAL)[:-1] + topk_sql("cosine") + "SELECT * FROM ranked"
+ORACLE["vector_topk_inner"] = with_(*BASE_EVAL)[:-1] + topk_sql("inner") + "SELECT * FROM ranked"
 ORACLE["vector_topk_l2"] = with_(*BASE_EVAL)[:-1] + topk_sql("l2") + "SELECT * FROM ranked"
 
 ORACLE["search_filter_product"] = batch_sql(cond="starts_with(c.product, q.product)") + "SELECT * FROM batch"
@@ -358,10 +359,12 @@ ORACLE["sync_filter_deleted"] = with_(ARTICLES, DELETED) + """SELECT id, product
   WHERE NOT EXISTS (SELECT 1 FROM v_deleted d WHERE d.id = a.id)"""
 ORACLE["fill_missing"] = with_(ARTICLES) + """SELECT id, CAST(length(coalesce(sentence, '')) AS BIGINT) AS sentence_len,
   coalesce(tags, '') AS tags, homolog FROM v_articles"""
+ORACLE["fill_missing_dropped"] = with_(ARTICLES) + """SELECT id, CAST(length(sentence) AS BIGINT) AS sentence_len,
+  coalesce(tags, '') AS tags, homolog FROM v_articles WHERE sentence IS NOT NULL"""
 ORACLE["sync_diff"] = with_(*SYNC_CTES) + "SELECT id, md5(sentence) AS sentence_md5, merge_status FROM v_diff"
 ORACLE["sync_watermark"] = with_(*SYNC_CTES) + "SELECT max(updated_at) AS updated_at_max FROM v_new"
-ORACLE["insert_if_absent"] = with_(*SYNC_CTES, VECTOR_TABLE) + """SELECT DISTINCT n.id, md5(substring(n.sentence, 1, 5000)) AS sentence_md5
-  FROM v_new n WHERE NOT EXISTS (SELECT 1 FROM v_table t WHERE t.id = n.id AND t.sentence = substring(n.sentence, 1, 5000))"""
+ORACLE["insert_if_absent"] = with_(*SYNC_CTES, VECTOR_TABLE) + """SELECT DISTINCT n.id, md5(n.sentence) AS sentence_md5
+  FROM v_new n WHERE NOT EXISTS (SELECT 1 FROM v_table t WHERE t.id = n.id AND t.sentence = n.sentence)"""
 ORACLE["delete_by_id"] = with_(EXISTING, DELETED, VECTOR_TABLE) + """SELECT id, md5(sentence) AS sentence_md5 FROM v_table t
   WHERE NOT EXISTS (SELECT 1 FROM v_deleted d WHERE d.id = t.id)"""
 ORACLE["delete_by_pair"] = with_(*SYNC_CTES, VECTOR_TABLE) + """SELECT id, md5(sentence) AS sentence_md5 FROM v_table t
@@ -375,8 +378,8 @@ ORACLE["sync_apply"] = with_(*SYNC_CTES, VECTOR_TABLE, CATALOGUE, FLAG_SQL) + f"
   SELECT * FROM v_table t WHERE NOT EXISTS (SELECT 1 FROM v_deleted d WHERE d.id = t.id)
     AND NOT EXISTS (SELECT 1 FROM v_removed r WHERE r.id = t.id AND r.sentence = t.sentence)),
 v_ins AS (
-  SELECT DISTINCT n.id, substring(n.sentence, 1, 5000) AS sentence, n.product, n.module, n.homolog, n.updated_at
-  FROM v_new n WHERE NOT EXISTS (SELECT 1 FROM v_after a WHERE a.id = n.id AND a.sentence = substring(n.sentence, 1, 5000))),
+  SELECT DISTINCT n.id, n.sentence AS sentence, n.product, n.module, n.homolog, n.updated_at
+  FROM v_new n WHERE NOT EXISTS (SELECT 1 FROM v_after a WHERE a.id = n.id AND a.sentence = n.sentence)),
 v_all AS (SELECT id, sentence, product, module, homolog, updated_at FROM v_ins
           UNION ALL SELECT id, sentence, product, module, homolog, updated_at FROM v_after)
 SELECT t.id, md5(t.sentence) AS sentence_md5, t.product, t.module, {_NEW_FLAG} AS homolog, t.updated_at

@@ -59,6 +59,11 @@ def q_vector_topk_l2(spark, sf):
     return vector_search(fx.query_subject(spark, sf), fx.corpus(spark, sf), k=K, metric="l2")
 
 
+@register("vector_topk_inner")
+def q_vector_topk_inner(spark, sf):
+    return vector_search(fx.query_subject(spark, sf), fx.corpus(spark, sf), k=K, metric="inner")
+
+
 @register("search_filter_product")
 def q_search_filter_product(spark, sf):
     return _batch(spark, sf, filters=FilterSpec(use_product=True))
@@ -284,6 +289,12 @@ def q_fill_missing(spark, sf):
     return f.select("id", F.length("sentence").cast("long").alias("sentence_len"), "tags", "homolog")
 
 
+@register("fill_missing_dropped")
+def q_fill_missing_dropped(spark, sf):
+    f = sy.fill_missing(fx.articles(spark, sf), drop_missing_first=True)
+    return f.select("id", F.length("sentence").cast("long").alias("sentence_len"), "tags", "homolog")
+
+
 @register("sync_diff")
 def q_sync_diff(spark, sf):
     d = sy.sync_diff(_incoming(spark, sf), fx.existing(spark, sf))

@@ -32,14 +32,16 @@ def run_article_sync(
     catalogue: DataFrame | None = None,
     encoder: Encoder | None = None,
     flag_mode: str = "as_written",
-    shrink: int | None = 5000,
+    shrink: int | None = None,
 ):
     """Returns (new table DataFrame read back from ``out_path``, watermark value)."""
     plan = sy.prepare_sync(incoming, existing, deleted_ids, encoder=encoder, shrink=shrink)
     stage = staging_path(spark, "new_rows")
     plan.new_rows.write.mode("errorifexists").parquet(stage)
     new_rows = spark.read.parquet(stage)
-    staged = sy.SyncPlan(new_rows, plan.removed, sy.watermark(new_rows))
+    gone = staging_path(spark, "removed")
+    plan.removed.write.mode("errorifexists").parquet(gone)
+    staged = sy.SyncPlan(new_rows, spark.read.schema(plan.removed.schema).parquet(gone), sy.watermark(new_rows))
     out = sy.apply_sync(table, staged, deleted_ids, catalogue, flag_mode)
     sy.write_per_product(out, out_path, mode="errorifexists")
     mark = staged.watermark.first()[0]

@@ -2,9 +2,9 @@
 
 Each micro-batch of incoming article rows goes through the same batch operators
 (:mod:`simtrail.operators.sync`): diff against the current pairs, encode only new
-texts, apply deletes / insert-if-absent, and append the new rows of the batch to a
-sink folder. The checkpoint location records which files were processed, so a
-restarted query resumes without re-processing (exactly-once file source).
+texts, and append the rows that the sink lacks. Nothing is deleted from the sink. The
+checkpoint location records which files were processed; a batch that is replayed after
+its write adds nothing as long as ``existing`` reads the sink anew each time.
 """
 
 from __future__ import annotations

@@ -146,3 +146,22 @@ def test_regex_filter_mode(spark):
     exp = _brute(corpus, qrows, 6,
                  filt=lambda qp, qm, cp, cm: re.match(qp, cp) is not None and re.match(qm, cm) is not None)
     assert got == {t: v for t, v in exp.items() if v}
+
+
+def test_mixed_vector_lengths_raise(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0, 1.0])], "ticket_id long, sentence_embedding array<double>")
+    c = spark.createDataFrame([(7, [1.0, 0.5])], "ticket_id long, sentence_embedding array<double>")
+    with pytest.raises(ValueError, match="lengths"):
+        vector_search(q, c, k=3)
+    with pytest.raises(ValueError, match="lengths"):
+        vector_search(c, q, k=3)
+    assert vector_search(q.where("ticket_id < 3"), c, k=3).count() == 2
+
+
+def test_l2_keeps_its_digits_on_large_vectors(spark):
+    base = [1e5 + 0.001 * i for i in range(16)]
+    near = [x + (0.00025 if i == 3 else 0.0) for i, x in enumerate(base)]
+    q = spark.createDataFrame([(1, base)], "ticket_id long, sentence_embedding array<double>")
+    c = spark.createDataFrame([(2, near), (3, [x + 1 for x in base])], "ticket_id long, sentence_embedding array<double>")
+    got = {r.ticket_id: r.score for r in vector_search(q, c, k=5, metric="l2").collect()}
+    assert abs(got[2] - (1 - 0.00025)) < 2e-6 and abs(got[3] + 3) < 1e-6

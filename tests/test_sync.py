@@ -78,6 +78,26 @@ def test_apply_sync_end_to_end(spark):
     plan = sy.prepare_sync(inc, table.select("id", "sentence"), deleted)
     out = sy.apply_sync(table, plan, deleted)
     assert sorted((r.id, r.sentence) for r in out.collect()) == [(1, "a"), (2, "b"), (3, "")]
-    assert set(out.columns) == set(table.columns)
+    assert out.columns[:len(table.columns)] == table.columns and "sentence_embedding" in out.columns
     counts = {r.product: r.n for r in sy.per_product_counts(out).collect()}
     assert counts == {"p": 2, "q": 1}
+
+
+def test_long_texts_are_whole_and_the_second_sync_is_empty(spark):
+    long_text = "word " * 1500
+    inc = spark.createDataFrame([(1, long_text, "p", "m", False, None, 3)],
+                                "id long, sentence string, product string, module string, homolog boolean, tags string, updated_at long")
+    table = spark.createDataFrame([], "id long, sentence string, product string, module string, homolog boolean, updated_at long")
+    none = spark.createDataFrame([], "id long")
+    out = sy.apply_sync(table, sy.prepare_sync(inc, table.select("id", "sentence"), none), none)
+    row = out.first()
+    assert row.sentence == long_text and len(row.sentence_embedding) == 64 and row.tags is not None
+    again = sy.prepare_sync(inc, out.select("id", "sentence"), none)
+    assert again.new_rows.count() == 0 and again.removed.count() == 0
+
+
+def test_same_row_stays_whatever_the_partitions(spark):
+    rows = spark.createDataFrame([(1, "a", "p", i) for i in range(9)], "id long, sentence string, product string, n int")
+    table = rows.limit(0).select("id", "sentence")
+    kept = {sy.insert_if_absent(table, rows.repartition(k)).first().n for k in (1, 3, 7)}
+    assert len(kept) == 1

@@ -102,3 +102,37 @@ def test_ensure_parallelism(spark):
     assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(6)
     assert ensure_parallelism(many, 4).rdd.getNumPartitions() == 6
+
+
+def test_iso_dates_with_zones_fractions_and_junk(spark):
+    import datetime as dt
+
+    cases = {
+        "2024-01-02T03:04:05Z": dt.datetime(2024, 1, 2, 3, 4, 5), "2024-01-02T03:04:05+02:00": dt.datetime(2024, 1, 2, 1, 4, 5),
+        "2024-01-02 03:04:05.25": dt.datetime(2024, 1, 2, 3, 4, 5, 250000), "20240102T030405-0330": dt.datetime(2024, 1, 2, 6, 34, 5),
+        "20240102": dt.datetime(2024, 1, 2), "2024-01-02": dt.datetime(2024, 1, 2), "2024-01-02T03:04": dt.datetime(2024, 1, 2, 3, 4),
+        "2024-01-02junk": None, "2024-13-02": None, "": None, "2024-01-02T03:04:05.123456789+01": dt.datetime(2024, 1, 2, 2, 4, 5, 123456),
+    }
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "s string")
+    got = {r.s: r for r in df.select("s", tx.parse_datetime(F.col("s")).alias("t"), tx.parse_date(F.col("s")).alias("d")).collect()}
+    for k, want in cases.items():
+        assert got[k].t == want, k
+        assert (got[k].d is None) == (want is None)
+    assert got[None].t is None and got["20240102T030405-0330"].d == dt.date(2024, 1, 2)
+
+
+def test_hashed_vectors_of_any_length(spark):
+    import hashlib
+    import math
+
+    from simtrail.operators.embed import hashed_vector
+
+    text = " ".join(f"tok{i % 40}" for i in range(90))
+    df = spark.createDataFrame([(text,)], "s string")
+    for dim in (64, 384, 1000):
+        got = df.select(hashed_vector(F.col("s"), dim).alias("v")).first().v
+        want = [0.0] * dim
+        for t in text.split():
+            want[int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dim] += 1
+        norm = math.sqrt(sum(x * x for x in want))
+        assert max(abs(a - b / norm) for a, b in zip(got, want, strict=True)) < 1e-12, dim
