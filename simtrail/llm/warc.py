@@ -192,7 +192,9 @@ def read_archives(archives: DataFrame, split_bytes: int = 8 << 20) -> DataFrame:
     """
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
     ranges = archives.where("bytes > 0").select("archive", "bytes", F.explode(starts).alias("start"))
-    ranges = ranges.repartition("archive", "start")
+    # a task per range: their number is given, as the rows are too small for their work to be seen
+    tasks = archives.agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0] or 1
+    ranges = ranges.repartition(int(min(tasks, 100_000)))
     fields = ["warc-record-id", "warc-type", "warc-target-uri", "warc-refers-to", "warc-payload-digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
