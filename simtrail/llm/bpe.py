@@ -28,8 +28,8 @@ from simtrail.llm.common import extended_schema, slices
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 # Characters on which str.split() cuts although they are not white space for the vocabulary's pattern.
 ODD_SPACE = regex.compile("[\x1c-\x1f]")
-# Words remembered per Python worker; beyond that the memory starts anew (a cache, never a cap on words).
-MEMORY_WORDS = 500_000
+# Words remembered per Python worker: two generations of this many, the older one goes (a cache, never a cap on words).
+MEMORY_WORDS = 250_000
 NEVER = 1 << 60
 
 
@@ -46,6 +46,25 @@ def byte_alphabet() -> list[str]:
     return out
 
 
+class Memory:
+    """Two generations of remembered ids; what the younger one asks for moves to it."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> dict[str, bytes]:
+        if len(self.now) > MEMORY_WORDS:
+            self.old, self.now = self.now, {}
+        return self.now
+
+    def missing(self, keys: set[str]) -> set[str]:
+        old, now = self.old, self.now
+        for key in keys & old.keys():
+            now[key] = old[key]
+        return keys - old.keys()
+
+
 class Encoder:
     """Encodes and decodes with one vocabulary file (its JSON content)."""
 
@@ -70,7 +89,11 @@ class Encoder:
         vocab = self.vocab
         self.ranks = {vocab[a] * size + vocab[b]: i for i, (a, b) in enumerate(merges)}
         self.merged = [vocab[a + b] for a, b in merges]
-        self.longest = max(len(t.removesuffix(self.end)) for t in vocab)
+        # longest token that begins with these three letters (or is that short)
+        self.reach: dict[str, int] = {}
+        for token in vocab:
+            body = token.removesuffix(self.end)
+            self.reach[body[:3]] = max(self.reach.get(body[:3], 0), len(body))
         alphabet = byte_alphabet()
         self.letters = {b: c for b, c in enumerate(alphabet)}
         self.inner = {c: vocab[c] for c in alphabet if c in vocab}
@@ -78,8 +101,7 @@ class Encoder:
         self.own: dict[int, bool] = {}  # token -> is it its own encoding
         self.pair_keys = np.empty(0, np.int64)
         self.pair_good = np.empty(0, bool)
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, list[int]] = {}
+        self.memory = Memory()  # of words and of runs without white space alike
         self.merged_words = 0
 
     # --- symbols and exact merging -------------------------------------------------
@@ -124,9 +146,9 @@ class Encoder:
 
     def guess(self, letters: str) -> list[int] | None:
         """Longest vocabulary token first, left to right; None where no token fits."""
-        out, at, n, find, own = [], 0, len(letters), self.vocab.get, self.own
+        out, at, n, find, own, reach = [], 0, len(letters), self.vocab.get, self.own, self.reach
         while at < n:
-            stop = at + self.longest
+            stop = at + max(reach.get(letters[at : at + 3], 2), 2)
             token = None
             if stop >= n:
                 token = find(letters[at:] + self.end)
@@ -200,13 +222,9 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null text is an empty one."""
-        if len(self.chunks) > MEMORY_WORDS:
-            self.chunks = {}
-        if len(self.words) > MEMORY_WORDS:
-            self.words = {}
+        known = self.memory.turn()
         plan: list[list[bytes | list[str]]] = []
-        new: dict[str, None] = {}
-        known = self.chunks
+        new: set[str] = set()
         for text in texts:
             parts: list[bytes | list[str]] = []
             pieces = [text or ""]
@@ -218,20 +236,28 @@ class Encoder:
                 elif piece:
                     chunks = self._chunks(piece)
                     parts.append(chunks)
-                    new.update(dict.fromkeys(c for c in chunks if c not in known))
+                    new.update(set(chunks).difference(known))
             plan.append(parts)
+        new = self.memory.missing(new)
         if new:
             self._learn(list(new))
         get = known.__getitem__
         return [b"".join(p if isinstance(p, bytes) else b"".join(map(get, p)) for p in parts) for parts in plan]
 
     def _learn(self, chunks: list[str]) -> None:
-        words = [[c] if c.isalpha() and c.isascii() else WORD.findall(c) for c in chunks]
-        distinct = list(dict.fromkeys(w for ws in words for w in ws if w not in self.words))
-        self.words.update(zip(distinct, self.encode_words(distinct), strict=True))
-        ids, put = self.words, self.chunks
-        for chunk, ws in zip(chunks, words, strict=True):
-            put[chunk] = array("I", ids[ws[0]] if len(ws) == 1 else [t for w in ws for t in ids[w]]).tobytes()
+        known, parts = self.memory.now, {}
+        words: set[str] = set()
+        for chunk in chunks:
+            if chunk.isalpha() and chunk.isascii():
+                words.add(chunk)
+            else:
+                parts[chunk] = WORD.findall(chunk)
+                words.update(parts[chunk])
+        distinct = list(self.memory.missing(words.difference(known)))
+        known.update(zip(distinct, (array("I", ids).tobytes() for ids in self.encode_words(distinct)), strict=True))
+        for chunk, ws in parts.items():
+            if len(ws) != 1 or ws[0] != chunk:
+                known[chunk] = b"".join([known[w] for w in ws])
 
     def decode(self, ids: bytes | None) -> str:
         """The ids' tokens, joined by one blank (the vocabulary file names no decoder); unknown ids give nothing."""
