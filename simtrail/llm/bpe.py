@@ -310,6 +310,7 @@ def encode(
             if decoded_col:
                 cols.append(pa.array([coder.decode(b) for b in ids], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)
+        coder.memory = Memory()  # the worker may go on with other work
 
     return df.mapInArrow(run, schema)
 

@@ -13,7 +13,7 @@ enter a product. Documents with equal sets are one row of the matrix. A column t
 dense because its documents are near copies of each other is multiplied with its smallest
 document first; the links found join them to one component, and later only documents
 of different components are paired, each pair in the first column that both have, and only
-if a 512-bit parity sketch of either set leaves room for the threshold (differing bits never
+if a 2048-bit parity sketch of either set leaves room for the threshold (differing bits never
 outnumber differing n-grams). No pairs of a group of copies are ever made.
 """
 
@@ -42,7 +42,7 @@ FREQUENT, LAST = 64, 200_000
 BROADCAST_IDS = 2_000_000
 MEMORY_WORDS = 200_000
 # 64-bit words of a parity sketch, and leading n-grams kept beside it to name the first common column.
-SKETCH, FIRST = 8, 4
+SKETCH, FIRST = 32, 4
 
 
 class WordHashes(dict):
@@ -73,7 +73,7 @@ def shingle_set(text: bytes | None, size: int, hashes: WordHashes) -> np.ndarray
 
 def parity_sketch(grams: np.ndarray) -> np.ndarray:
     """``SKETCH`` numbers whose bit i is set when an odd number of n-grams fall on it."""
-    place = (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 9)
+    place = (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 11)
     bits = (np.bincount(place.astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
     return np.packbits(bits).view(np.int64)
 

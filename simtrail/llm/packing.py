@@ -173,6 +173,7 @@ def pack(
                     open_bins.clear()
             if rows:
                 yield flush()
+        coder.memory = type(coder.memory)()  # the worker may go on with other work
         for full, pieces in packer.filled(0):
             put(pieces) if full else open_bins.extend(pieces)
             if len(rows) >= 2048:
