@@ -31,6 +31,10 @@ ODD_SPACE = regex.compile("[\x1c-\x1f]")
 # Words remembered per Python worker: two generations of this many, the older one goes (a cache, never a cap on words).
 MEMORY_WORDS = 250_000
 NEVER = 1 << 60
+# Letters by which the guess finds the longest token of at most that many letters, and whether longer ones may fit.
+HEAD = 4
+# Above every character of the byte alphabet.
+LETTERS = 0x200
 
 
 def byte_alphabet() -> list[str]:
@@ -60,6 +64,8 @@ class Memory:
 
     def missing(self, keys: set[str]) -> set[str]:
         old, now = self.old, self.now
+        if not old:
+            return keys
         for key in keys & old.keys():
             now[key] = old[key]
         return keys - old.keys()
@@ -89,16 +95,26 @@ class Encoder:
         vocab = self.vocab
         self.ranks = {vocab[a] * size + vocab[b]: i for i, (a, b) in enumerate(merges)}
         self.merged = [vocab[a + b] for a, b in merges]
-        # longest token that begins with these three letters (or is that short)
-        self.reach: dict[str, int] = {}
-        for token in vocab:
-            body = token.removesuffix(self.end)
-            self.reach[body[:3]] = max(self.reach.get(body[:3], 0), len(body))
+        # the same as arrays, for many words at once: sorted pairs, their ranks, tokens by rank
+        keys = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        order = np.argsort(keys)
+        self.rank_keys, self.key_ranks = keys[order], np.fromiter(self.ranks.values(), np.int64, keys.size)[order]
+        self.merged_tokens = np.array(self.merged, np.int64)
         alphabet = byte_alphabet()
         self.letters = {b: c for b, c in enumerate(alphabet)}
         self.inner = {c: vocab[c] for c in alphabet if c in vocab}
         self.last = {c: vocab[c + self.end] for c in alphabet if c + self.end in vocab}
-        self.own: dict[int, bool] = {}  # token -> is it its own encoding
+        self.inner_ids, self.last_ids = (
+            np.array([found.get(chr(i), -1) for i in range(LETTERS)], np.int64) for found in (self.inner, self.last)
+        )
+        # tokens that are their own encoding; the longest of them that begins with these letters (or is that short)
+        own = self._own_tokens()
+        self.own = {self.tokens[t]: t for t in own}
+        self.reach: dict[str, int] = {}
+        for token in own:
+            body = self.names[token][0]
+            self.reach[body[:HEAD]] = max(self.reach.get(body[:HEAD], 0), len(body))
+        self.heads: dict[str, tuple[int, int, int | None]] = {}
         self.pair_keys = np.empty(0, np.int64)
         self.pair_good = np.empty(0, bool)
         self.memory = Memory()  # of words and of runs without white space alike
@@ -136,37 +152,118 @@ class Encoder:
                 ranks[i] = rank(new * size + parts[i + 1], NEVER)
         return parts
 
-    def _is_own(self, token: int) -> bool:
-        got = self.own.get(token)
-        if got is None:
-            got = self.own[token] = self.merge(*self._letters_of(token)) == [token]
-        return got
+    def _ranks_of(self, pairs: np.ndarray) -> np.ndarray:
+        if not self.rank_keys.size:
+            return np.full(pairs.size, NEVER)
+        at = np.minimum(np.searchsorted(self.rank_keys, pairs), self.rank_keys.size - 1)
+        return np.where(self.rank_keys[at] == pairs, self.key_ranks[at], NEVER)
+
+    def merge_all(self, words: list[str], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`merge` of many words: all ids one after another, and where each word's begin (one entry more).
+
+        The symbols of all words lie in one array; a round merges the best pair of every word that still has one.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        codes[codes >= LETTERS] = LETTERS - 1
+        symbols = self.inner_ids[codes]
+        tails = (np.cumsum(sizes) - 1)[ends & (sizes > 0)]
+        symbols[tails] = self.last_ids[codes[tails]]
+        known = symbols >= 0
+        word = np.repeat(np.arange(len(words)), sizes)[known]
+        symbols = symbols[known]
+        sizes = np.bincount(word, minlength=len(words))
+        begin = np.concatenate([[0], np.cumsum(sizes)])
+        out, lengths = np.empty(symbols.size, np.int64), np.zeros(len(words), np.int64)
+        live = np.flatnonzero(sizes)  # words at work; their symbols are contiguous, in this order
+        sizes = sizes[live]
+        ranks = np.full(symbols.size, NEVER)
+        if symbols.size > 1:
+            ranks[:-1] = np.where(word[1:] == word[:-1], self._ranks_of(symbols[:-1] * self.size + symbols[1:]), NEVER)
+        while live.size:
+            starts = np.cumsum(sizes) - sizes
+            least = np.minimum.reduceat(ranks, starts)
+            done = least == NEVER
+            if done.any():
+                ready = np.repeat(done, sizes)
+                place = np.arange(symbols.size) - np.repeat(starts - begin[live], sizes)
+                out[place[ready]] = symbols[ready]
+                lengths[live[done]] = sizes[done]
+                symbols, ranks = symbols[~ready], ranks[~ready]
+                live, sizes, least = live[~done], sizes[~done], least[~done]
+                if not live.size:
+                    break
+                starts = np.cumsum(sizes) - sizes
+            hits = np.flatnonzero(ranks == np.repeat(least, sizes))
+            at = hits[np.searchsorted(hits, starts)]  # the leftmost of each word
+            symbols[at] = self.merged_tokens[least]
+            keep = np.ones(symbols.size, bool)
+            keep[at + 1] = False
+            symbols, ranks = symbols[keep], ranks[keep]
+            at -= np.arange(at.size)
+            starts -= np.arange(at.size)
+            sizes = sizes - 1
+            # the pair to the left, and the one to the right, of each new symbol
+            left = at[at > starts]
+            ranks[left - 1] = self._ranks_of(symbols[left - 1] * self.size + symbols[left])
+            right = at[at < starts + sizes - 1]
+            ranks[at] = NEVER
+            ranks[right] = self._ranks_of(symbols[right] * self.size + symbols[right + 1])
+        final = np.concatenate([[0], np.cumsum(lengths)])
+        taken = np.arange(final[-1]) + np.repeat(begin[:-1] - final[:-1], lengths)
+        return out[taken], final
+
+    def _own_tokens(self) -> list[int]:
+        tokens = sorted(set(self.vocab.values()))
+        self.names = {t: self._letters_of(t) for t in tokens}
+        ids, begin = self.merge_all([n for n, _ in self.names.values()], np.array([e for _, e in self.names.values()], bool))
+        single = np.flatnonzero(np.diff(begin) == 1)
+        return [t for t, i in zip(np.array(tokens)[single].tolist(), ids[begin[single]].tolist(), strict=True) if t == i]
 
     # --- speculation ----------------------------------------------------------------
 
     def guess(self, letters: str) -> list[int] | None:
         """Longest vocabulary token first, left to right; None where no token fits."""
-        out, at, n, find, own, reach = [], 0, len(letters), self.vocab.get, self.own, self.reach
+        out, at, n, find, heads = [], 0, len(letters), self.own.get, self.heads.get
+        while n - at > HEAD:
+            head = letters[at : at + HEAD]
+            bound, size, token = heads(head) or self._head(head)
+            if bound > HEAD:
+                if at + bound >= n:
+                    whole = find(letters[at:] + self.end)
+                    if whole is not None:
+                        out.append(whole)
+                        return out
+                    bound = n - at - 1
+                for longer in range(bound, HEAD, -1):
+                    got = find(letters[at : at + longer])
+                    if got is not None:
+                        size, token = longer, got
+                        break
+            if token is None:
+                return None
+            out.append(token)
+            at += size
         while at < n:
-            stop = at + max(reach.get(letters[at : at + 3], 2), 2)
-            token = None
-            if stop >= n:
-                token = find(letters[at:] + self.end)
-                stop = n - 1
-                if token is not None and (own.get(token) or self._is_own(token)):
-                    out.append(token)
-                    break
-            while stop > at:
-                token = find(letters[at:stop])
-                if token is not None and (own.get(token) or self._is_own(token)):
-                    break
+            token = find(letters[at:] + self.end)
+            stop = n
+            while token is None:
                 stop -= 1
-            else:
-                return None
+                if stop <= at:
+                    return None
+                token = find(letters[at:stop])
             out.append(token)
             at = stop
         return out
 
+    def _head(self, head: str) -> tuple[int, int, int | None]:
+        """Longest token that begins with ``head``, and length and id of the longest one that ``head`` begins with."""
+        size = next((k for k in range(len(head), 0, -1) if head[:k] in self.own), 0)
+        got = self.heads[head] = (self.reach.get(head, 0), size, self.own.get(head[:size]))
+        if len(self.heads) > MEMORY_WORDS:
+            self.heads.clear()
+        return got
+
     # --- verification ---------------------------------------------------------------
 
     def _pairs_good(self, keys: np.ndarray) -> np.ndarray:
@@ -176,18 +273,20 @@ class Encoder:
             at = np.minimum(np.searchsorted(self.pair_keys, new), self.pair_keys.size - 1)
             new = new[self.pair_keys[at] != new]
         if new.size:
-            good = np.empty(new.size, bool)
-            for i, key in enumerate(new.tolist()):
-                a, b = divmod(key, self.size)
-                left, (right, ends) = self._letters_of(a)[0], self._letters_of(b)
-                good[i] = self.merge(left + right, ends) == [a, b]
+            a, b = np.divmod(new, self.size)
+            seconds = [self.names[t] for t in b.tolist()]
+            joined = [self.names[t][0] + right for t, (right, _) in zip(a.tolist(), seconds, strict=True)]
+            ids, begin = self.merge_all(joined, np.array([ends for _, ends in seconds]))
+            good = np.diff(begin) == 2
+            first = begin[:-1][good]
+            good[good] = (ids[first] == a[good]) & (ids[first + 1] == b[good])
             all_keys = np.concatenate([self.pair_keys, new])
             order = np.argsort(all_keys, kind="stable")
             self.pair_keys, self.pair_good = all_keys[order], np.concatenate([self.pair_good, good])[order]
         return self.pair_good[np.searchsorted(self.pair_keys, keys)]
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of pre-tokens (already normalised): guess all, verify all pairs at once, merge the failing ones."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of pre-tokens (already normalised): guess all, verify all pairs at once, merge the failing ones."""
         letters = [self._word_letters(w) for w in words]
         guesses = [self.guess(s) for s in letters]
         sizes = np.array([len(g) if g else 0 for g in guesses])
@@ -199,13 +298,13 @@ class Encoder:
             left, right, where = flat[:-1][inner], flat[1:][inner], owner[1:][inner]
             if left.size:
                 failing[where[~self._pairs_good(left * self.size + right)]] = True
-        out = []
-        for i, g in enumerate(guesses):
-            if failing[i]:
-                self.merged_words += 1
-                out.append(self.merge(letters[i]))
-            else:
-                out.append(g)
+        out = [b"" if bad else array("I", g).tobytes() for g, bad in zip(guesses, failing.tolist(), strict=True)]
+        again = np.flatnonzero(failing).tolist()
+        self.merged_words += len(again)
+        ids, begin = self.merge_all([letters[i] for i in again], np.ones(len(again), bool))
+        packed, cuts = ids.astype("<u4").tobytes(), (4 * begin).tolist()
+        for i, start, stop in zip(again, cuts, cuts[1:], strict=False):
+            out[i] = packed[start:stop]
         return out
 
     def _word_letters(self, word: str) -> str:
@@ -254,7 +353,7 @@ class Encoder:
                 parts[chunk] = WORD.findall(chunk)
                 words.update(parts[chunk])
         distinct = list(self.memory.missing(words.difference(known)))
-        known.update(zip(distinct, (array("I", ids).tobytes() for ids in self.encode_words(distinct)), strict=True))
+        known.update(zip(distinct, self.encode_words(distinct), strict=True))
         for chunk, ws in parts.items():
             if len(ws) != 1 or ws[0] != chunk:
                 known[chunk] = b"".join([known[w] for w in ws])
