@@ -424,7 +424,7 @@ def sentences_sql(pieces: bool) -> str:
     if pieces:
         src = f"""SELECT ticket_id, i - 1 AS piece, p[i] AS t FROM (
       SELECT ticket_id, p, generate_subscripts(p, 1) AS i FROM (
-        SELECT ticket_id, {pieces_sql('ticket_comment', "chr(10) || chr(10)", 2, 4000)}[1:4] AS p FROM v_bt))"""
+        SELECT ticket_id, {pieces_sql('ticket_comment', "chr(10) || chr(10)", 2, 4000)} AS p FROM v_bt))"""
     else:
         src = "SELECT ticket_id, 0 AS piece, ticket_comment AS t FROM v_bt"
     return f"""v_sent AS (
