@@ -113,3 +113,17 @@ def test_closest_subset_against_brute_force():
         got = packing.closest_subset(counts, room)
         assert sum(k * v for k, v in got.items()) == max(s for s in sums if s <= room)
         assert all(v <= counts[k] for k, v in got.items())
+
+
+def test_merging_many_words_at_once_equals_merging_each(coder):
+    rng, alphabet = np.random.default_rng(3), bpe.byte_alphabet()
+    common = "etaoinshr"
+    words = ["", "a", "中", "the", "aaaaaaaaaaaaaaaaa", "th中e"]
+    words += ["".join(rng.choice(list(common), rng.integers(1, 14))) for _ in range(1500)]
+    words += ["".join(rng.choice(alphabet, rng.integers(1, 9))) for _ in range(300)] + ["ab" * 700]
+    ends = rng.random(len(words)) < 0.7
+    ids, begin = coder.merge_all(words, ends)
+    got = [ids[a:b].tolist() for a, b in zip(begin, begin[1:], strict=False)]
+    assert got == [coder.merge(w, bool(e)) for w, e in zip(words, ends, strict=True)]
+    ids, begin = coder.merge_all([], np.zeros(0, bool))
+    assert ids.size == 0 and begin.tolist() == [0]
