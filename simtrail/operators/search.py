@@ -45,6 +45,8 @@ _RANKED_SCHEMA = T.StructType(RESULT_SCHEMA.fields + [T.StructField("rank", T.Lo
 
 # Bytes of query matrix (float64) sent in one broadcast; larger query sets are split.
 DEFAULT_BLOCK_BYTES = 64 << 20
+# Query rows at most on which the number of lists to probe is measured.
+MEASURED_QUERIES = 128
 # Corpus rows scored per matrix product inside a task (bounds task memory).
 CORPUS_SLICE = 8192
 QUERY_SLICE = 1024
@@ -261,7 +263,8 @@ def vector_search(
     decimals: int = 6,
     block_bytes: int = DEFAULT_BLOCK_BYTES,
     ivf: "IvfIndex | None" = None,
-    nprobe: int = 1,
+    nprobe: int | None = None,
+    recall: float = 0.95,
     hit_text: str | None = None,
 ) -> DataFrame:
     """Top-k candidate tickets per query row by best-of-rows score.
@@ -279,7 +282,8 @@ def vector_search(
     the ticket's best-scoring row (ties: the smallest text).
 
     With ``ivf`` (see :func:`build_ivf`) each query scores only the rows of its ``nprobe``
-    nearest lists; the corpus scan is filtered to the lists probed by the query block
+    nearest lists; without ``nprobe`` it is measured by :func:`enough_lists` so that the probed
+    lists hold the share ``recall`` of the exact result. The corpus scan is filtered to the lists probed by the query block
     (partition pruning when the corpus is stored partitioned by list).
     """
     if metric not in ("cosine", "l2", "inner"):
@@ -307,6 +311,10 @@ def vector_search(
     if ivf is not None:
         ccols.append(F.col(ivf.list_col).cast("long").alias(ivf.list_col))
     c = corpus.select(*ccols).where(F.col(corpus_vec).isNotNull())
+    if ivf is not None and nprobe is None:
+        nprobe = enough_lists(ivf, queries, corpus, k, metric, recall, query_id=query_id, query_vec=query_vec,
+                              corpus_id=corpus_id, corpus_vec=corpus_vec, filters=filters, exclude_self=exclude_self,
+                              threshold=threshold, inclusive=inclusive, decimals=decimals)
 
     import pandas as pd
 
@@ -367,9 +375,8 @@ def vector_search(
     return _with_hit_text(ranked, q, rows, metric, filters, decimals)
 
 
-def _with_hit_text(ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str, filters: FilterSpec, decimals: int) -> DataFrame:
-    """The text of the best-scoring visible row of each ranked ticket (ties: the smallest text), joined on after the
-    cut: only the rows of the k tickets of each target are scored again, so no text goes through Python."""
+def _rescored(ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str, filters: FilterSpec, decimals: int) -> DataFrame:
+    """The visible rows of the ranked tickets with their own rounded score ``_s``."""
     j = ranked.join(q.select("target", F.col("vec").alias("_q"), "product", "module"), "target").join(rows, "ticket_id")
     if filters.match == "regex":
         prefix = lambda c, p: F.regexp_like(c, F.concat(F.lit("^(?:"), p, F.lit(")")))
@@ -394,7 +401,13 @@ def _with_hit_text(ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str
     else:
         norms = F.sqrt(total(lambda x, y: x * x)) * F.sqrt(total(lambda x, y: y * y))
         score = F.try_divide(total(lambda x, y: x * y), norms)
-    j = j.where(seen).withColumn("_s", F.round(score, decimals))
+    return j.where(seen).withColumn("_s", F.round(score, decimals))
+
+
+def _with_hit_text(ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str, filters: FilterSpec, decimals: int) -> DataFrame:
+    """The text of the best-scoring visible row of each ranked ticket (ties: the smallest text), joined on after the
+    cut: only the rows of the k tickets of each target are scored again, so no text goes through Python."""
+    j = _rescored(ranked, q, rows, metric, filters, decimals)
     best = F.min(F.struct((-F.coalesce("_s", F.lit(float("-inf")))).alias("s"), F.col("_h").isNull().alias("n"), F.col("_h").alias("h")))
     return (
         j.groupBy("target", "ticket_id", "score", "rank").agg(best.alias("_b"))
@@ -439,6 +452,49 @@ class IvfIndex:
         return part.astype(np.int64)
 
 
+def enough_lists(
+    ivf: IvfIndex, queries: DataFrame, corpus: DataFrame, k: int = 20, metric: str = "cosine", recall: float = 0.95, *,
+    query_id: str = "ticket_id", query_vec: str = "sentence_embedding", corpus_id: str = "ticket_id",
+    corpus_vec: str = "sentence_embedding", filters: FilterSpec = FilterSpec(), decimals: int = 6,
+    measured: int = MEASURED_QUERIES, **search,
+) -> int:
+    """The least number of probed lists that hold the share ``recall`` of the exact result.
+
+    The exact top k of up to ``measured`` query rows (chosen by a hash of their id) is found over the whole corpus. A
+    ticket is sure to be found again once the list of its best row is probed, so each pair needs as many probes as that
+    list's place in the query's order of lists; the result is the quantile of these places. Other searches of the same
+    kind reach the share up to the error of the sample.
+    """
+    spark = queries.sparkSession
+    some = queries.where(F.col(query_id).isNotNull() & F.col(query_vec).isNotNull())
+    some = some.orderBy(F.xxhash64(F.col(query_id).cast("long")), F.xxhash64(query_vec)).limit(measured)
+    kept = [query_id, query_vec] + ["product"] * filters.needs_product + ["module"] * filters.needs_module
+    picked = some.select(*kept).collect()  # at most `measured` rows
+    n_lists = ivf.centroids.shape[0]
+    if not picked:
+        return n_lists
+    picked = list({int(r[query_id]): r for r in picked}.values())  # one row a ticket
+    Q = np.asarray([r[query_vec] for r in picked], dtype=np.float64)
+    places = np.argsort(ivf.probe(Q, n_lists, metric), axis=1) + 1
+    value = lambda r, name: r[name] if name in kept else None
+    q = spark.createDataFrame(
+        [(int(r[query_id]), v.tolist(), value(r, "product"), value(r, "module"), p.tolist()) for r, v, p in zip(picked, Q, places)],
+        "target long, vec array<double>, product string, module string, _places array<long>")
+    exact = vector_search(q, corpus, k, metric, query_id="target", query_vec="vec", corpus_id=corpus_id,
+                          corpus_vec=corpus_vec, filters=filters, decimals=decimals, **search)
+    rows = corpus.select(
+        F.col(corpus_id).cast("long").alias("ticket_id"), F.col(corpus_vec).alias("_c"), F.col(ivf.list_col).alias("_l"),
+        (F.col("product") if filters.needs_product else F.lit(None).cast("string")).alias("_cp"),
+        (F.col("module") if filters.needs_module else F.lit(None).cast("string")).alias("_cm"),
+    )
+    j = _rescored(exact, q, rows, metric, filters, decimals).join(q.select("target", "_places"), "target")
+    place = F.element_at("_places", F.col("_l").cast("int") + 1)
+    best = F.min(F.struct((-F.col("_s")).alias("s"), place.alias("n")))
+    pairs = j.where(F.col("_s").isNotNull()).groupBy("target", "ticket_id").agg(best.alias("_b")).select("_b.n")
+    found = [r["n"] for r in pairs.collect()]  # at most k rows a query
+    return int(np.quantile(found, recall, method="higher")) if found else n_lists
+
+
 def build_ivf(corpus: DataFrame, vec: str = "sentence_embedding", *, n_lists: int, metric: str = "cosine",
               seed: int = 1, max_iter: int = 20, list_col: str = "ivf_list") -> IvfIndex:
     """KMeans (distributed, ``pyspark.ml``) over the corpus vectors; every row gets its

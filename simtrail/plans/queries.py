@@ -473,4 +473,5 @@ def q_vector_topk_ivf(spark, sf):
     from simtrail.operators.search import build_ivf
 
     idx = build_ivf(fx.corpus(spark, sf), n_lists=8, seed=3)
-    return vector_search(fx.query_subject(spark, sf), idx.corpus, k=K, ivf=idx, nprobe=2)
+    # nprobe is measured, see enough_lists
+    return vector_search(fx.query_subject(spark, sf), idx.corpus, k=K, ivf=idx)

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from simtrail.operators.search import FilterSpec, build_ivf, vector_search
+from simtrail.operators.search import FilterSpec, build_ivf, enough_lists, vector_search
 
 
 def _frames(spark, rng, n_corpus=300, n_q=12, dim=8, rows_per_ticket=3):
@@ -165,3 +165,30 @@ def test_l2_keeps_its_digits_on_large_vectors(spark):
     c = spark.createDataFrame([(2, near), (3, [x + 1 for x in base])], "ticket_id long, sentence_embedding array<double>")
     got = {r.ticket_id: r.score for r in vector_search(q, c, k=5, metric="l2").collect()}
     assert abs(got[2] - (1 - 0.00025)) < 2e-6 and abs(got[3] + 3) < 1e-6
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_registered_ivf_reaches_recall(spark, sf):
+    from simtrail.plans.queries import REGISTRY
+
+    path = f"/root/testdata/{sf}"
+    exact = _got(REGISTRY["vector_topk_cosine"](spark, path))
+    part = _got(REGISTRY["vector_topk_ivf"](spark, path))
+    hits = sum(len({t for t, _ in part.get(q, [])} & {t for t, _ in exact[q]}) for q in exact)
+    assert hits / sum(len(v) for v in exact.values()) >= 0.9
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_measured_probes_are_enough_and_not_all(spark, metric):
+    rng = np.random.default_rng(6)
+    near = rng.normal(size=(8, 8)).repeat(60, axis=0) * 10 + rng.normal(size=(480, 8))
+    rows = [(i, f"p{i % 2}", [float(x) for x in v]) for i, v in enumerate(near)]
+    c = spark.createDataFrame(rows, "ticket_id long, product string, sentence_embedding array<float>")
+    q = c.where("ticket_id % 4 = 0")
+    idx = build_ivf(c, n_lists=8, seed=2, metric=metric)
+    by_product = FilterSpec(use_product=True)
+    assert enough_lists(idx, q, idx.corpus, 10, metric, filters=by_product) < 8  # groups lie apart: few lists hold the nearest
+    exact = _got(vector_search(q, c, k=10, metric=metric, filters=by_product))
+    part = _got(vector_search(q, idx.corpus, k=10, metric=metric, filters=by_product, ivf=idx))
+    hits = sum(len({t for t, _ in part[t0]} & {t for t, _ in exact[t0]}) for t0 in exact)
+    assert hits / sum(len(v) for v in exact.values()) >= 0.9
