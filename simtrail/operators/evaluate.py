@@ -41,16 +41,23 @@ def hit_marker(ticket_id: Column, expected: Column) -> Column:
     return F.coalesce(F.array_contains(parse_expected_ids(expected), ticket_id), F.lit(False)).cast("long")
 
 
-def attach_judgments(results: DataFrame, queries: DataFrame, strict: bool = False) -> DataFrame:
+def attach_judgments(results: DataFrame, queries: DataFrame, strict: bool = False, query_row: str | None = None) -> DataFrame:
     """C5 + H8 + H9: add the target's expected ids, query sentence, hit and expected count.
 
-    ``queries`` holds the query rows (ticket_id, sentence, expected_id); a target with
-    several query rows (e.g. several sources) is ranked once over all its rows, so it is
-    attached once here (smallest query sentence, its expected ids).
+    ``queries`` holds the query rows (ticket_id, sentence, expected_id). With ``query_row`` (the
+    column the results were keyed by, there named ``query_row``) every result row gets the
+    sentence and expected ids of its own query row. Without it a target with several query rows
+    was ranked once over all of them, so it is attached once (smallest query sentence, its
+    expected ids).
     """
-    q = queries.groupBy(F.col("ticket_id").alias("target")).agg(
-        F.min("sentence").alias("sentence"), F.min("expected_id").alias("expected_id"))
-    joined = results.join(q, "target", "left")
+    if query_row:
+        own = queries.select(F.col("ticket_id").alias("target"), F.col(query_row).cast("string").alias("query_row"),
+                             "sentence", "expected_id")
+        joined = results.join(own, ["target", "query_row"], "left")
+    else:
+        q = queries.groupBy(F.col("ticket_id").alias("target")).agg(
+            F.min("sentence").alias("sentence"), F.min("expected_id").alias("expected_id"))
+        joined = results.join(q, "target", "left")
     return joined.withColumn("hit", hit_marker(F.col("ticket_id"), F.col("expected_id"))).withColumn(
         "num_expected_ids", num_expected_ids(F.col("expected_id"), strict)
     )

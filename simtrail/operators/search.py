@@ -42,6 +42,12 @@ RESULT_SCHEMA = T.StructType(
 )
 
 _RANKED_SCHEMA = T.StructType(RESULT_SCHEMA.fields + [T.StructField("rank", T.LongType())])
+_ROW_FIELD = T.StructField("query_row", T.StringType())
+
+
+def _with_row(schema: T.StructType, keyed: bool) -> T.StructType:
+    """The schema with the query-row key after the target."""
+    return T.StructType([schema.fields[0], _ROW_FIELD, *schema.fields[1:]]) if keyed else schema
 
 # Bytes of query matrix (float64) sent in one broadcast; larger query sets are split.
 DEFAULT_BLOCK_BYTES = 64 << 20
@@ -229,6 +235,9 @@ def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, de
             cols = [pa.array(targets[acc_q[0]], pa.int64()), pa.array(acc_t[0], pa.int64()),
                     pa.array(acc_s[0], pa.float64())]
             names = ["target", "ticket_id", "score"]
+            if p["rows"] is not None:
+                cols.insert(1, pa.array(p["rows"], pa.string()).take(pa.array(acc_q[0])))
+                names.insert(1, "query_row")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run
@@ -266,13 +275,19 @@ def vector_search(
     nprobe: int | None = None,
     recall: float = 0.95,
     hit_text: str | None = None,
+    query_row: str | None = None,
 ) -> DataFrame:
-    """Top-k candidate tickets per query row by best-of-rows score.
+    """Top-k candidate tickets per target, or per query row with ``query_row``, by best-of-rows score.
 
     Returns (target, ticket_id, score, rank): for every query ``target``, the k
     tickets with the highest score over all their corpus rows, score rounded to
     ``decimals`` before ranking, ties broken by ticket_id ascending.
 
+    Without ``query_row`` several query rows of one target share one list: the best score over
+    all of them. With it (a column that tells the rows of a target apart, such as the text
+    source) each query row has its own k tickets and ranks, and the result carries the key as
+    ``query_row`` after ``target``; a key that is NULL or repeats within a target raises.
+
     metric: "cosine" (1 - cosine distance), "l2" (1 - euclidean distance),
     "inner" (1 + dot product). ``threshold`` is on the unrounded score
     (strict ``>`` unless ``inclusive``). Query rows need ``product`` / ``module``
@@ -292,7 +307,12 @@ def vector_search(
     qcols = [F.col(query_id).cast("long").alias("target"), F.col(query_vec).alias("vec")]
     qcols.append((F.col("product") if filters.needs_product else F.lit(None).cast("string")).alias("product"))
     qcols.append((F.col("module") if filters.needs_module else F.lit(None).cast("string")).alias("module"))
+    keys = ["target", "query_row"] if query_row else ["target"]
+    if query_row:
+        qcols.append(F.col(query_row).cast("string").alias("query_row"))
     q = queries.select(*qcols).where(F.col("vec").isNotNull() & F.col("target").isNotNull())
+    if query_row and q.groupBy(*keys).count().where((F.col("count") > 1) | F.col("query_row").isNull()).limit(1).count():
+        raise ValueError(f"{query_row} is NULL or repeats within a target")
     stats = q.agg(F.count(F.lit(1)).alias("n"), F.min(F.size("vec")).alias("d"), F.max(F.size("vec")).alias("most")).first()
     n_q, dim = int(stats["n"] or 0), int(stats["d"] or 0)
     found = corpus.where(F.col(corpus_vec).isNotNull()).agg(F.min(F.size(corpus_vec)), F.max(F.size(corpus_vec))).first()
@@ -300,7 +320,7 @@ def vector_search(
     if n_q and len(lengths) > 1:
         raise ValueError(f"vectors of different lengths: {sorted(lengths)}")
     if n_q == 0 or dim <= 0:
-        return spark.createDataFrame([], _RANKED_SCHEMA)
+        return spark.createDataFrame([], _with_row(_RANKED_SCHEMA, bool(query_row)))
     n_blocks = max(1, math.ceil(n_q * dim * 8 / block_bytes))
 
     ccols = [F.col(corpus_id).cast("long").alias(corpus_id), F.col(corpus_vec).alias(corpus_vec)]
@@ -344,6 +364,7 @@ def vector_search(
         payload = {
             "targets": np.asarray([r["target"] for r in rows], dtype=np.int64),
             "Q": Q,
+            "rows": [r["query_row"] for r in rows] if query_row else None,
             "qp_codes": qp_codes,
             "qp_uniques": list(qp_uniques),
             "qm_codes": qm_codes,
@@ -358,13 +379,13 @@ def vector_search(
         ref = _broadcast(spark, payload)
         fn = _scorer(ref, k, metric, filters, exclude_self, threshold, inclusive, decimals, corpus_id, corpus_vec, dim,
                      ivf.list_col if ivf is not None else None)
-        parts.append(cb.mapInArrow(fn, RESULT_SCHEMA))
+        parts.append(cb.mapInArrow(fn, _with_row(RESULT_SCHEMA, bool(query_row))))
     if not parts:
-        return spark.createDataFrame([], _RANKED_SCHEMA)
+        return spark.createDataFrame([], _with_row(_RANKED_SCHEMA, bool(query_row)))
     cand = parts[0]
     for p_ in parts[1:]:
         cand = cand.unionByName(p_)
-    ranked = top_k_per_target(cand.groupBy("target", "ticket_id").agg(F.max("score").alias("score")), k)
+    ranked = top_k_per_target(cand.groupBy(*keys, "ticket_id").agg(F.max("score").alias("score")), k, keys=keys)
     if not hit_text:
         return ranked
     rows = corpus.select(
@@ -372,12 +393,15 @@ def vector_search(
         (F.col("product") if filters.needs_product else F.lit(None).cast("string")).alias("_cp"),
         (F.col("module") if filters.needs_module else F.lit(None).cast("string")).alias("_cm"),
     )
-    return _with_hit_text(ranked, q, rows, metric, filters, decimals)
+    return _with_hit_text(ranked, q, rows, metric, filters, decimals, keys)
 
 
-def _rescored(ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str, filters: FilterSpec, decimals: int) -> DataFrame:
+def _rescored(
+    ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str, filters: FilterSpec, decimals: int, keys: list[str] | None = None,
+) -> DataFrame:
     """The visible rows of the ranked tickets with their own rounded score ``_s``."""
-    j = ranked.join(q.select("target", F.col("vec").alias("_q"), "product", "module"), "target").join(rows, "ticket_id")
+    keys = keys or ["target"]
+    j = ranked.join(q.select(*keys, F.col("vec").alias("_q"), "product", "module"), keys).join(rows, "ticket_id")
     if filters.match == "regex":
         prefix = lambda c, p: F.regexp_like(c, F.concat(F.lit("^(?:"), p, F.lit(")")))
         inside = F.regexp_like
@@ -404,21 +428,23 @@ def _rescored(ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str, fil
     return j.where(seen).withColumn("_s", F.round(score, decimals))
 
 
-def _with_hit_text(ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str, filters: FilterSpec, decimals: int) -> DataFrame:
+def _with_hit_text(
+    ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str, filters: FilterSpec, decimals: int, keys: list[str],
+) -> DataFrame:
     """The text of the best-scoring visible row of each ranked ticket (ties: the smallest text), joined on after the
     cut: only the rows of the k tickets of each target are scored again, so no text goes through Python."""
-    j = _rescored(ranked, q, rows, metric, filters, decimals)
+    j = _rescored(ranked, q, rows, metric, filters, decimals, keys)
     best = F.min(F.struct((-F.coalesce("_s", F.lit(float("-inf")))).alias("s"), F.col("_h").isNull().alias("n"), F.col("_h").alias("h")))
     return (
-        j.groupBy("target", "ticket_id", "score", "rank").agg(best.alias("_b"))
-        .select("target", "ticket_id", "score", F.col("_b.h").alias("hit_text"), "rank")
+        j.groupBy(*keys, "ticket_id", "score", "rank").agg(best.alias("_b"))
+        .select(*keys, "ticket_id", "score", F.col("_b.h").alias("hit_text"), "rank")
     )
 
 
-def top_k_per_target(scored: DataFrame, k: int, order_extra: list | None = None) -> DataFrame:
-    """Rank rows per target by score desc, ticket_id asc; keep rank <= k (WindowGroupLimit)."""
+def top_k_per_target(scored: DataFrame, k: int, order_extra: list | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Rank rows per target (or per ``keys``) by score desc, ticket_id asc; keep rank <= k (WindowGroupLimit)."""
     order = [F.col("score").desc(), F.col("ticket_id").asc()] + (order_extra or [])
-    w = Window.partitionBy("target").orderBy(*order)
+    w = Window.partitionBy(*(keys or ["target"])).orderBy(*order)
     return scored.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 

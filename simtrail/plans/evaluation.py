@@ -27,7 +27,8 @@ def query_set(
                     (the first chunk by ``chunk_index``), no source filter.
     kind="fields":  text column ``sentence_field`` (default: the source name, else
                     ``subject``), optional source filter.
-    Returns (ticket_id, sentence, product, module, sentence_embedding, expected_id).
+    Returns (ticket_id, sentence, product, module, sentence_embedding, expected_id); with no
+    source filter (several rows a ticket) also sentence_source, the key of a ticket's rows.
     With ``validate`` a ticket judged twice raises (instead of silently losing the target).
     """
     if validate:
@@ -51,7 +52,8 @@ def query_set(
         else:
             raise ValueError(f"unknown query-set kind {kind!r}")
         t = table.where(F.col("sentence_source") == sentence_source) if sentence_source else table
-        q = t.select("ticket_id", F.col(field).alias("sentence"), "product", "module", "sentence_embedding")
+        q = t.select("ticket_id", F.col(field).alias("sentence"), "product", "module", "sentence_embedding",
+                     *([] if sentence_source else ["sentence_source"]))
     return q.join(j, "ticket_id")
 
 
@@ -64,13 +66,26 @@ def batch_similarity(
     threshold: float | None = None,
     inclusive: bool = False,
     strict_expected: bool = False,
+    query_row: str | None = None,
 ) -> DataFrame:
-    """K6: top-k similar tickets for every judged query row, with hit marker and
+    """K6: top-k similar tickets for every judged target, with hit marker and
     expected count. Columns: target, ticket_id, score, hit_sentence (text of the ticket's
-    best row), rank, sentence (the query's), expected_id, hit, num_expected_ids."""
+    best row), rank, sentence (the query's), expected_id, hit, num_expected_ids.
+
+    A target with several query rows has one list over all of them, unless ``query_row`` names the
+    column that tells them apart (``sentence_source``): then every query row has its own k tickets,
+    with its own sentence. The result carries ``query_row`` after ``target`` and ``row_rank`` (place
+    in the query row's list) after ``rank``; ``rank`` counts over all rows of the target (score desc,
+    ticket_id, query_row), so a ticket may fill several slots of the metrics."""
     res = vector_search(queries, corpus, k=k, metric=metric, filters=filters, threshold=threshold,
-                        inclusive=inclusive, hit_text="sentence").withColumnRenamed("hit_text", "hit_sentence")
-    return attach_judgments(res, queries, strict=strict_expected)
+                        inclusive=inclusive, hit_text="sentence", query_row=query_row)
+    if "hit_text" not in res.columns:  # no query rows
+        res = res.withColumn("hit_text", F.lit(None).cast("string"))
+    if query_row:
+        w = Window.partitionBy("target").orderBy(F.col("score").desc(), "ticket_id", "query_row")
+        res = res.withColumnRenamed("rank", "row_rank").withColumn("rank", F.row_number().over(w).cast("long"))
+        res = res.select("target", "query_row", "ticket_id", "score", "hit_text", "rank", "row_rank")
+    return attach_judgments(res.withColumnRenamed("hit_text", "hit_sentence"), queries, strict_expected, query_row)
 
 
 def metrics(results: DataFrame, ks: Sequence[int] = (1, 3, 5)) -> DataFrame:

@@ -164,6 +164,25 @@ ORACLE["src_tickets_scan"] = with_(TICKETS) + "SELECT * FROM v_tickets"
 
 ORACLE["batch_similarity"] = batch_sql() + "SELECT * FROM batch"
 
+ORACLE["batch_similarity_sources"] = (
+    with_(CORPUS, JUDGMENTS)[:-1]
+    + f""",
+scored AS (
+  SELECT q.ticket_id AS target, q.sentence_source AS query_row, q.sentence, j.expected_id, c.ticket_id,
+         c.sentence AS hit_sentence, round({score_expr('cosine', 'q.sentence_embedding', 'c.sentence_embedding')}, 6) AS score
+  FROM v_corpus q JOIN v_judgments j ON j.ticket_id = q.ticket_id JOIN v_corpus c ON c.ticket_id <> q.ticket_id),
+best AS (
+  SELECT * FROM scored WHERE NOT isnan(score)
+  QUALIFY row_number() OVER (PARTITION BY target, query_row, ticket_id ORDER BY score DESC, hit_sentence ASC NULLS LAST) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY target, query_row ORDER BY score DESC, ticket_id) AS row_rank
+  FROM best QUALIFY row_rank <= 20)
+SELECT target, query_row, ticket_id, score, hit_sentence,
+       row_number() OVER (PARTITION BY target ORDER BY score DESC, ticket_id, query_row) AS rank, row_rank,
+       sentence, expected_id, {hit('ticket_id', 'expected_id')} AS hit, {num_expected('expected_id')} AS num_expected_ids
+FROM ranked"""
+)
+
 ORACLE["vector_topk_cosine"] = with_(*BASE_EVAL)[:-1] + topk_sql("cosine") + "SELECT * FROM ranked"
 ORACLE["vector_topk_inner"] = with_(*BASE_EVAL)[:-1] + topk_sql("inner") + "SELECT * FROM ranked"
 ORACLE["vector_topk_l2"] = with_(*BASE_EVAL)[:-1] + topk_sql("l2") + "SELECT * FROM ranked"

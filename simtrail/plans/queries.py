@@ -49,6 +49,13 @@ def q_batch_similarity(spark, sf):
     return _batch(spark, sf)
 
 
+@register("batch_similarity_sources")
+def q_batch_similarity_sources(spark, sf):
+    c = fx.corpus(spark, sf)
+    q = evp.query_set(c, fx.judgments(spark, sf), kind="summary", sentence_source=None)  # four rows a ticket
+    return evp.batch_similarity(q, c, k=K, query_row="sentence_source")
+
+
 @register("vector_topk_cosine")
 def q_vector_topk_cosine(spark, sf):
     return vector_search(fx.query_subject(spark, sf), fx.corpus(spark, sf), k=K, metric="cosine")

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from simtrail.operators import evaluate as ev
+from simtrail.operators.search import FilterSpec
 
 
 def test_parse_expected_edge_cases(spark):
@@ -82,3 +83,31 @@ def test_several_query_rows_per_target_attach_once(spark):
     dup = spark.createDataFrame([(1, "3"), (1, "2")], "ticket_id long, expected_id string")
     with pytest.raises(ValueError):
         query_set(corpus, dup, kind="summary", sentence_source=None)
+
+
+def test_every_query_row_has_its_own_list(spark):
+    from simtrail.plans.evaluation import batch_similarity, metrics, query_set
+
+    corpus = spark.createDataFrame([
+        (1, "subject", "p", "m", "s1", [1.0, 0.0]), (1, "summary", "p", "m", "u1", [0.0, 1.0]),
+        (2, "subject", "p", "m", "s2", [1.0, 0.1]), (3, "subject", "p", "m", "s3", [0.3, 1.0]),
+        (4, "subject", "p", "m", "s4", [1.0, 0.9]),
+    ], "ticket_id long, sentence_source string, product string, module string, sentence string, "
+       "sentence_embedding array<float>")
+    judg = spark.createDataFrame([(1, "3, 4")], "ticket_id long, expected_id string")
+    q = query_set(corpus, judg, kind="summary", sentence_source=None)
+    res = batch_similarity(q, corpus, k=2, query_row="sentence_source")
+    got = [(r.query_row, r.row_rank, r.ticket_id, r.sentence, r.hit_sentence, r.hit) for r in
+           res.orderBy("query_row", "row_rank").collect()]
+    assert got == [("subject", 1, 2, "s1", "s2", 0), ("subject", 2, 4, "s1", "s4", 1),
+                   ("summary", 1, 3, "u1", "s3", 1), ("summary", 2, 4, "u1", "s4", 1)]
+    assert [(r.ticket_id, r.query_row) for r in res.orderBy("rank").collect()] == [
+        (2, "subject"), (3, "summary"), (4, "subject"), (4, "summary")]
+    assert {r.k: (r.hit_rate, r.recall) for r in metrics(res, [1, 4]).collect()} == {1: (0.0, 0.0), 4: (1.0, 1.5)}
+    blocks = batch_similarity(q, corpus.repartition(3), k=2, filters=FilterSpec(use_product=True), query_row="sentence_source")
+    assert sorted(blocks.collect()) == sorted(res.collect())
+    twice = q.unionByName(q)
+    with pytest.raises(ValueError, match="repeats"):
+        batch_similarity(twice, corpus, k=2, query_row="sentence_source")
+    none = batch_similarity(q.limit(0), corpus, k=2, query_row="sentence_source")
+    assert none.columns == res.columns and none.count() == 0
