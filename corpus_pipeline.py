@@ -42,7 +42,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     smallest doc_id; of several rows with that id, the one with the smallest text. Null ids stay."""
     groups = jaccard.jaccard_groups(docs, size=5, percent=80)
     others = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").dropDuplicates(docs.columns)
+    kept = docs.join(others, "doc_id", "left_anti")
+    several = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not several.limit(1).count():
+        return kept
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.min(F.struct(F.col("text").isNull().alias("_none"), "text", *rest)).alias("_row")
+    one = kept.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(first).select("doc_id", "_row.*")
+    return kept.join(several, "doc_id", "left_anti").unionByName(one.select(docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,13 +86,13 @@ def leading(n: int, percent: int) -> int:
 
 def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) -> DataFrame:
     """docs: (doc, text). emit 'heads': doc, n, signature, head (leading n-grams by hash, half as many again);
-    'entries': doc, n, gram for the leading n-grams in the final order; 'sketches': doc, parity sketch of the whole
-    set, first n-grams in the final order; 'sets': doc, grams."""
+    'entries': doc, n, gram for the leading n-grams in the final order; 'sketches': doc, n, parity sketch of the whole
+    set, first n-grams in the final order; 'sets': doc, n, grams."""
     schema = {
         "heads": "doc long, n int, signature binary, head array<long>",
         "entries": "doc long, n int, gram long",
-        "sketches": "doc long, " + "".join(f"s{i} long, " for i in range(SKETCH)) + "firsts array<long>",
-        "sets": "doc long, grams array<long>",
+        "sketches": "doc long, n int, " + "".join(f"s{i} long, " for i in range(SKETCH)) + "firsts array<long>",
+        "sets": "doc long, n int, grams array<long>",
     }[emit]
 
     def ordered(s: np.ndarray, last: np.ndarray | None) -> np.ndarray:
@@ -107,11 +107,11 @@ def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) ->
         for batch in slices(batches, 1024):
             ids = batch.column("doc").to_pylist()
             sets = [shingle_set(t, size, hashes) for t in utf8_bytes(batch.column("text"))]
+            own = [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int32())]
             if emit == "heads":
                 heads = [s[: leading(len(s), percent) * 3 // 2] for s in sets]
                 cols = [
-                    pa.array(ids, pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int32()),
+                    *own,
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     _lists(heads),
                 ]
@@ -128,10 +128,10 @@ def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) ->
             elif emit == "sketches":
                 marks = np.stack([parity_sketch(s) for s in sets])
                 firsts = _lists([ordered(s, last)[:FIRST] for s in sets])
-                cols = [pa.array(ids, pa.int64()), *(pa.array(marks[:, i]) for i in range(SKETCH)), firsts]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc", *(f"s{i}" for i in range(SKETCH)), "firsts"])
+                cols = [*own, *(pa.array(marks[:, i]) for i in range(SKETCH)), firsts]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", *(f"s{i}" for i in range(SKETCH)), "firsts"])
             else:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(sets)], names=["doc", "grams"])
+                yield pa.RecordBatch.from_arrays([*own, _lists(sets)], names=["doc", "n", "grams"])
 
     return docs.mapInArrow(run, schema)
 
@@ -162,9 +162,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     """Of candidate pairs (a, b, na, nb), those whose whole sets reach the threshold."""
     ids = pairs.select("a").union(pairs.select("b")).toDF("doc")
     sets = _sets(_chosen(docs, ids), size, "sets", percent)
-    left = sets.select(F.col("doc").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("doc").alias("b"), F.col("grams").alias("gb"))
-    both = pairs.join(left, "a").join(right, "b")
+    left = sets.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
+    right = sets.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
+    both = pairs.join(left, ["a", "na"]).join(right, ["b", "nb"])
     common = F.size(F.array_intersect("ga", "gb"))
     return both.withColumn("common", common).where(f"100 * common >= {percent} * (na + nb - common)").select("a", "b")
 
@@ -178,7 +178,7 @@ def jaccard_groups(
     (smallest id reachable by links, the row's own included). Exact up to collisions of 64-bit hashes.
 
     Null or empty texts and texts without words have no n-grams and link with nothing. Equal sets link.
-    Rows that share an id are one document, linked through any of their texts. A null id takes no part:
+    Rows that share an id are one document in one component, linked through any of their texts. A null id takes no part:
     its component is null. Very long texts count in full. Other columns of ``docs`` do not matter. An
     empty table gives an empty one.
     """
@@ -188,15 +188,24 @@ def jaccard_groups(
     rows = stage(heads.select("doc", "n", "signature"), "rows")
     drop_staged(heads)
 
-    if rows.groupBy("doc").count().where("count > 1").limit(1).count():
+    several = rows.where("doc is not null").groupBy("doc").count().where("count > 1").select("doc")
+    repeated = several.limit(1).count() > 0
+    if repeated:
         small = stage(small.distinct(), "texts")  # repeated rows need comparing once only
     classes = rows.where("n > 0 and doc is not null").groupBy("n", "signature").agg(F.min("doc").alias("first"))
     found = _links_of(small, classes, size, percent, frequent)
+    if repeated:  # an id with several sets ties their classes together
+        many = rows.where("n > 0 and doc is not null").select("doc", "n", "signature").distinct()
+        many = many.join(many.groupBy("doc").count().where("count > 1").select("doc"), "doc", "left_semi")
+        found = found.union(many.join(classes, ["n", "signature"]).where("doc <> first").select("doc", "first"))
     groups = components(found)
     named = classes.join(groups.withColumnRenamed("node", "first"), "first", "left").select(
         "n", "signature", F.coalesce("component", "first").alias("component")
     )
     out = rows.join(named, ["n", "signature"], "left")
+    if repeated:  # a row without words belongs to the other rows of its id
+        of_id = out.join(several, "doc", "left_semi").groupBy("doc").agg(F.min("component").alias("_shared"))
+        out = out.join(of_id, "doc", "left").withColumn("component", F.coalesce("component", "_shared"))
     own = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
     return out.select(F.col("doc").alias(id_col), F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
@@ -236,7 +245,7 @@ def _links_of(docs: DataFrame, classes: DataFrame, size: int, percent: int, freq
     rest = stage(marked.join(open_columns, "gram"), "rest")
     drop_staged(marked)
     sketches = _sets(_chosen(docs, rest.select("doc")), size, "sketches", percent, frequent)
-    rest_s = rest.join(sketches.distinct(), "doc")
+    rest_s = rest.join(sketches.distinct(), ["doc", "n"])
     x, y = (rest_s.select("gram", *(F.col(c).alias(f"{side}_{c}") for c in rest_s.columns if c != "gram")) for side in "xy")
     differing = " + ".join(f"bit_count(x_s{i} ^ y_s{i})" for i in range(SKETCH))
     common = "array_intersect(x_firsts, y_firsts)"
@@ -248,5 +257,5 @@ def _links_of(docs: DataFrame, classes: DataFrame, size: int, percent: int, freq
         .select(F.col("x_doc").alias("a"), F.col("y_doc").alias("b"), F.col("x_n").alias("na"), F.col("y_n").alias("nb"))
         .distinct()
     )
-    later = stage(later.join(star.select("a", "b"), ["a", "b"], "left_anti"), "later")
+    later = stage(later.join(star, ["a", "b", "na", "nb"], "left_anti"), "later")
     return linked.union(_verified(later, docs, size, percent))

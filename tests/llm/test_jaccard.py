@@ -95,3 +95,25 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.node: r.component for r in graph.components(df).collect()}
     assert got == {i: 0 for i in range(n + 1)} | {1000 + i: 1000 for i in range(400)}
     assert graph.components(df.limit(0)).count() == 0
+
+
+def test_texts_of_one_id_with_sets_of_different_sizes(spark):
+    words = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    a, b, d = words("a", 30), words("b", 50), words("d", 40)
+    whole = d + " " + words("e", 400)
+    rows = [(2, a), (5, a), (5, b), (9, b), (9, None), (20, d), (20, words("f", 35)), (21, whole), (22, d), (22, whole), (30, words("f", 35) + " g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard.jaccard_groups(df, size=3, percent=90).collect()}
+    # 2, 5 and 9 meet through the two texts of id 5; 20, 21 and 22 through those of 22; 30 is near the second text of 20
+    assert got == {(2, 28): 2, (5, 28): 2, (5, 48): 2, (9, 48): 2, (9, 0): 2, (20, 38): 20, (20, 33): 20, (21, 438): 20,
+                   (22, 38): 20, (22, 438): 20, (30, 34): 20}
+
+
+def test_a_pair_is_verified_on_the_sets_that_made_it(spark):
+    line = " ".join(f"a{i}" for i in range(40))
+    near, large = line.replace("a20 ", "z "), line.replace("a39", "y") + " " + " ".join(f"c{i}" for i in range(500))
+    rows = [(1, near), (2, line.replace("a10 ", "x ")), (2, large), (3, " ".join(f"q{i}" for i in range(60)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(df, size=3, percent=80).collect()}
+    # near shares most of its n-grams with large, but large has many more; near and the short text of 2 share 32 of 44
+    assert got == {1: 1, 2: 2, 3: 3}

@@ -31,3 +31,15 @@ def test_near_duplicates_with_odd_rows(spark, sf):
     assert corpus_pipeline.language(spark, df.limit(0), sf).count() == 0
     pieces = corpus_pipeline.packed(spark, df, sf).where("doc_id is null").collect()
     assert sum(r.length for r in pieces) == pieces[0].doc_tokens
+
+
+def test_one_row_of_each_kept_id(spark):
+    import corpus_pipeline
+
+    words = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    a, b = words("a", 30), words("b", 50)
+    rows = [(2, a, "x"), (5, a, "x"), (5, b, "x"), (9, b, "x"), (11, "k", "y"), (11, "k", "x"), (11, None, "a"), (12, "m", "x"), (None, "n", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == [(11, "k", "x"), (12, "m", "x"), (2, a, "x"), (None, "n", "x")]
