@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simtrail.llm import ann, bpe, extract, jaccard, langid, packing, pq, quality, sharding, warc, whitening
+from simtrail.llm import ann, bpe, extract, jaccard, langid, packing, pq, quality, sharding, urlfilter, warc, whitening
 from simtrail.llm.common import table
 from simtrail.llm.sampling import crc_mod
 
@@ -97,6 +97,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digest(packing.pack(table(spark, sf_dir, "documents"), TOKENIZER))
 
 
+def op12_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: the rules, else a classifier fitted on the small labelled table."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, urlfilter.labelled_urls(spark), urlfilter.RULES).drop("url")
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 32 whitened components of every vector, covariance from exact integer products."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"), scale=64.0, components=32)
@@ -113,6 +119,7 @@ REGISTRY = {
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op12_urlfilter": op12_urlfilter,
     "op13_whitening": op13_whitening,
 }
 ORACLE: dict[str, str] = {
