@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from simtrail.llm.common import extended_schema, slices, utf8_bytes
 from simtrail.llm.sampling import labelled_sample
 
-BITS, ORDERS = 15, (3, 4, 5)
+BITS, ORDERS = 15, (2, 3, 4)
 SPAN = 1 << 18
 BLOCK, ALLOW = "block", "allow"
 # (verdict, host, path): a rule holds for its host, all subdomains of it, and paths that start with its path.
@@ -123,7 +123,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
 
-def fit(sample: list[tuple[bytes, bytes, int]], ridge: float = 0.05, steps: int = 30) -> Model:
+def fit(sample: list[tuple[bytes, bytes, int]], ridge: float = 0.01, steps: int = 30) -> Model:
     """Logistic regression with a ridge penalty on (host, path, label) rows; without rows every score is 0.5."""
     if not sample:
         return Model(np.zeros(1 << BITS), 0.0)
