@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simtrail.llm import ann, bpe, extract, jaccard, langid, packing, pq, quality, sharding, urlfilter, warc, whitening
+from simtrail.llm import ann, bpe, collocation, extract, jaccard, langid, packing, pq, quality, sharding, urlfilter, warc, whitening
 from simtrail.llm.common import table
 from simtrail.llm.sampling import crc_mod
 
@@ -97,6 +97,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digest(packing.pack(table(spark, sf_dir, "documents"), TOKENIZER))
 
 
+def op11_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two and three words of each language."""
+    return collocation.collocations(table(spark, sf_dir, "documents"), least=10, top=2000, percent=50)
+
+
 def op12_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL: the rules, else a classifier fitted on the small labelled table."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -119,10 +124,57 @@ REGISTRY = {
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_collocation": op11_collocation,
     "op12_urlfilter": op12_urlfilter,
     "op13_whitening": op13_whitening,
 }
 ORACLE: dict[str, str] = {
+    "op11_collocation": r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), p AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+  SELECT lang, [x for x in string_split_regex(piece, '[\x20\x09]+') if x <> ''] AS ws FROM p
+), g AS (
+  SELECT lang, ws[i] AS w1, ws[i + 1] AS w2, ws[i + 2] AS w3
+  FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)
+), c1 AS (
+  SELECT lang, w1, count(*) AS n FROM g GROUP BY ALL
+), c2 AS (
+  SELECT lang, w1, w2, count(*) AS n FROM g WHERE w2 IS NOT NULL GROUP BY ALL
+), c3 AS (
+  SELECT lang, w1, w2, w3, count(*) AS n FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), longer AS (
+  SELECT lang, w1, w2, max(n) AS n
+  FROM (SELECT lang, w1, w2, n FROM c3 UNION ALL SELECT lang, w2, w3, n FROM c3) GROUP BY lang, w1, w2
+), cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.n AS a, 1 AS k, x.n AS l, y.n AS r
+  FROM c2 c JOIN c1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN c1 y ON y.lang = c.lang AND y.w1 = c.w2
+  LEFT JOIN longer o ON o.lang = c.lang AND o.w1 = c.w1 AND o.w2 = c.w2
+  WHERE c.n >= 10 AND 100 * coalesce(o.n, 0) < 50 * c.n
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.n, 1, x.n, y.n
+  FROM c3 c JOIN c1 x ON x.lang = c.lang AND x.w1 = c.w1
+  JOIN c2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.n, 2, x.n, y.n
+  FROM c3 c JOIN c2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2
+  JOIN c1 y ON y.lang = c.lang AND y.w1 = c.w3
+), scored AS (
+  SELECT *, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS score FROM cuts
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), total AS (
+  SELECT lang, count(*) AS n FROM g GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a, l, r, total.n AS n, CAST(score AS BIGINT) AS score
+FROM best JOIN total USING (lang)
+QUALIFY rank <= 2000
+""",
     "op1_warc": """
 WITH p AS (
   SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
