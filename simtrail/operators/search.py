@@ -1,35 +1,40 @@
 """Exact (and approximate) top-k vector search: the vector theta join (C6) with its filters.
 
-Plan shape of :func:`vector_search` (exact)::
+Both sides travel as packed blocks, rows of (cell, ids, matrix); none passes through Python on the driver::
 
-    queries --count/size check--> blocks of bounded bytes --> broadcast matrix per block
-    corpus scan (pruned to id, vector, filter columns)
-       --mapInArrow: block matrix product, masks (self, product, module, threshold),
-                     best row per ticket, running top-k per partition-->
-       <= k rows per (target, partition)
-    union blocks --> max(score) per (target, ticket_id)   [partial agg map side, shuffle on both keys]
-                 --> row_number over target ORDER BY score DESC, ticket_id <= k   [WindowGroupLimit]
+    corpus scan (id, vector, filter columns) --mapInArrow--> blocks of one cell   [no shuffle]
+    queries --> routes (query, cell) ----------mapInArrow--> blocks of one cell
+    join of blocks on (cell, salt) --mapInArrow--> matrix product, masks, best row per ticket,
+                                                   top-k per query block and task
+    --> max(score) per (target, ticket_id)   [partial agg map side, shuffle on both keys]
+    --> row_number over target ORDER BY score DESC, ticket_id <= k   [WindowGroupLimit]
+
+A *cell* is what decides whether a query may see a row: one for a plain search, the (product,
+module) values with filters, the list of an inverted file, or both. The distinct values of both sides are
+matched once (prefixes and substrings become join keys), and a query is routed to the matching
+cells only, so rows outside its filter or lists are never scored.
+
+The query blocks are broadcast when their bytes are counted and small; otherwise both sides are
+shuffled on (cell, salt): corpus blocks are dealt over the salts, query blocks copied to each, so one hot
+cell is spread over many tasks. The corpus is read once either way.
 
 Why the local cut is exact: a ticket in the global top-k of a target is in the
-top-k of the partition that holds its best row (same total order everywhere:
-rounded score desc, ticket_id asc), so cutting each partition to its top k
-never loses a final row. Filters are applied inside
-the scoring, before the cut. Only the query matrix travels through the driver,
-in blocks whose byte size is checked; the corpus is never collected.
-
-Skew: no step groups by a data key that can be hot. Rows per target reaching
-the final window are bounded by (shuffle partitions x k), not by the corpus.
+top-k of the block that holds its best row (same total order everywhere:
+rounded score desc, ticket_id asc), so cutting each block to its top k
+never loses a final row. Filters are applied before the cut.
+
+Skew: rows per target reaching the final window are bounded by (tasks x cells x k), not by the corpus.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,19 +48,24 @@ RESULT_SCHEMA = T.StructType(
 
 _RANKED_SCHEMA = T.StructType(RESULT_SCHEMA.fields + [T.StructField("rank", T.LongType())])
 _ROW_FIELD = T.StructField("query_row", T.StringType())
+_BLOCK_SCHEMA = "cell string, salt int, block long, ids binary, names array<string>, vecs binary"
 
 
 def _with_row(schema: T.StructType, keyed: bool) -> T.StructType:
     """The schema with the query-row key after the target."""
     return T.StructType([schema.fields[0], _ROW_FIELD, *schema.fields[1:]]) if keyed else schema
 
-# Bytes of query matrix (float64) sent in one broadcast; larger query sets are split.
+
+# Bytes of routed query vectors up to which their blocks are broadcast; larger query sets are shuffled.
 DEFAULT_BLOCK_BYTES = 64 << 20
 # Query rows at most on which the number of lists to probe is measured.
 MEASURED_QUERIES = 128
-# Corpus rows scored per matrix product inside a task (bounds task memory).
-CORPUS_SLICE = 8192
-QUERY_SLICE = 1024
+# Bytes of one packed matrix (float64), and rows of a query block.
+PACKED_BYTES, QUERY_ROWS = 4 << 20, 1024
+# Files of a list of a stored index, at most.
+LIST_FILES = 8
+# Rows a task holds before it hands packed blocks on, and scored rows before it hands results on.
+HELD_BYTES, HELD_RESULTS = 64 << 20, 2_000_000
 
 
 @dataclass(frozen=True)
@@ -83,35 +93,6 @@ class FilterSpec:
         return self.use_module or self.interactive
 
 
-def _prefix(q, c, match):
-    if q is None or c is None:
-        return False
-    if match == "regex":
-        return re.match(q, c) is not None
-    return c.startswith(q)
-
-
-def _contains(q, c, match):
-    if q is None or c is None:
-        return False
-    if match == "regex":
-        return re.search(q, c) is not None
-    return q in c
-
-
-def _pair_mask(q_codes, q_uniques, c_values, fn, match):
-    """Boolean (len(q_codes) x len(c_values)) from a test on distinct value pairs only."""
-    import pandas as pd
-
-    c_codes, c_uniques = pd.factorize(pd.Series(c_values, dtype=object), use_na_sentinel=True)
-    m = np.zeros((len(q_uniques) + 1, len(c_uniques) + 1), dtype=bool)
-    for i, qv in enumerate(q_uniques):
-        for j, cv in enumerate(c_uniques):
-            m[i, j] = fn(qv, cv, match)
-    # code -1 (NULL) maps to the last row/column, which stays False
-    return m[np.asarray(q_codes)][:, np.asarray(c_codes)]
-
-
 def _compact(q, t, s, k):
     """Best score per (q, t), then the first k per q by score desc, t asc (a total order, so no ties are kept)."""
     if len(q) == 0:
@@ -141,118 +122,231 @@ def _l2_scores(Q, qn2, C, cn2, products):
     return 1.0 - np.sqrt(d2)
 
 
-def _scorer(payload_ref, k, metric, filt, exclude_self, threshold, inclusive, decimals, id_col, vec_col, dim,
-            list_col=None):
+def _matrix(column, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+
+
+def _packer(dim: int, metric: str, rows: int, salts: int, named: bool):
+    """Rows (cell, id, name, vec) as blocks of one cell, at most ``rows`` rows each, in order of id. For cosine the
+    vectors are scaled to length 1 and zero vectors left out."""
+
     def run(batches):
-        p = payload_ref.value if hasattr(payload_ref, "value") else payload_ref
-        targets, Q = p["targets"], p["Q"]
-        nq = len(targets)
-        qn2 = (Q * Q).sum(axis=1)
-        thr = None if threshold is None else threshold
-        acc_q, acc_t, acc_s, acc_n = [], [], [], 0
+        context = TaskContext.get()
+        task = context.partitionId() if context else 0
+        held: dict[str, list] = {}
+        size, made = 0, 0
+
+        def blocks():
+            nonlocal made
+            for cell, parts in held.items():
+                ids, vecs = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+                names = [n for p in parts for n in p[2]] if named else None
+                order = np.argsort(ids, kind="stable")
+                for at in range(0, len(ids), rows):
+                    some = order[at:at + rows]
+                    columns = [[cell], [(task + made) % salts], [(task << 32) + made], [ids[some].tobytes()],
+                               [[names[i] for i in some] if named else None], [vecs[some].tobytes()]]
+                    made += 1
+                    kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.string()), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                                     names=["cell", "salt", "block", "ids", "names", "vecs"])
+            held.clear()
+
         for rb in batches:
-            n = rb.num_rows
-            if n == 0 or nq == 0:
+            if not rb.num_rows:
                 continue
-            ids_all = rb.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64)
-            lst = rb.column(vec_col)
-            flat = lst.flatten().to_numpy(zero_copy_only=False)
-            vecs_all = flat.reshape(n, dim).astype(np.float64)
-            prods = rb.column("__product").to_pylist() if filt.needs_product else None
-            mods = rb.column("__module").to_pylist() if filt.needs_module else None
-            lists_all = (rb.column(list_col).to_numpy(zero_copy_only=False).astype(np.int64)
-                         if list_col else None)
-            for c0 in range(0, n, CORPUS_SLICE):
-                c1 = min(n, c0 + CORPUS_SLICE)
-                C = vecs_all[c0:c1]
-                cid = ids_all[c0:c1]
-                cn2 = (C * C).sum(axis=1)
-                if metric == "cosine":
-                    norms = np.sqrt(cn2)
-                    valid = norms > 0
-                    C = C / np.where(valid, norms, 1.0)[:, None]
-                else:
-                    valid = np.ones(len(cid), dtype=bool)
-                order = np.argsort(cid, kind="stable")
-                cid_s = cid[order]
-                starts = np.flatnonzero(np.r_[True, cid_s[1:] != cid_s[:-1]])
-                uid = cid_s[starts]
-                for q0 in range(0, nq, QUERY_SLICE):
-                    q1 = min(nq, q0 + QUERY_SLICE)
-                    S = Q[q0:q1] @ C.T
-                    if metric == "l2":
-                        S = _l2_scores(Q[q0:q1], qn2[q0:q1], C, cn2, S)
-                    elif metric == "inner":
-                        S = 1.0 + S
-                    mask = np.broadcast_to(valid[None, :], S.shape).copy()
-                    if exclude_self:
-                        mask &= cid[None, :] != targets[q0:q1, None]
-                    if lists_all is not None:
-                        probes = p["probes"][q0:q1]
-                        lists = lists_all[c0:c1]
-                        in_probe = np.zeros(S.shape, dtype=bool)
-                        for j in range(probes.shape[1]):
-                            in_probe |= probes[:, j:j + 1] == lists[None, :]
-                        mask &= in_probe
-                    if filt.needs_product or filt.needs_module:
-                        pm = (
-                            _pair_mask(p["qp_codes"][q0:q1], p["qp_uniques"], prods[c0:c1], _prefix, filt.match)
-                            if filt.needs_product
-                            else None
-                        )
-                        if filt.interactive:
-                            mm = _pair_mask(p["qm_codes"][q0:q1], p["qm_uniques"], mods[c0:c1], _contains, filt.match)
-                            mask &= pm | mm
-                        else:
-                            if filt.use_product:
-                                mask &= pm
-                            if filt.use_module:
-                                mask &= _pair_mask(
-                                    p["qm_codes"][q0:q1], p["qm_uniques"], mods[c0:c1], _prefix, filt.match
-                                )
-                    if thr is not None:
-                        mask &= (S >= thr) if inclusive else (S > thr)
-                    S = np.round(S, decimals)
-                    S[~mask] = -np.inf
-                    St = np.maximum.reduceat(S[:, order], starts, axis=1)
-                    u = St.shape[1]
-                    if u > k:
-                        kth = np.partition(St, u - k, axis=1)[:, u - k]
-                        keep = St >= kth[:, None]
-                    else:
-                        keep = np.ones_like(St, dtype=bool)
-                    keep &= np.isfinite(St)
-                    qi, ui = np.nonzero(keep)
-                    if len(qi):
-                        acc_q.append((qi + q0).astype(np.int64))
-                        acc_t.append(uid[ui])
-                        acc_s.append(St[qi, ui])
-                        acc_n += len(qi)
-                if acc_n > 8 * nq * k + 100_000:
-                    acc_q, acc_t, acc_s, acc_n = _reduce(acc_q, acc_t, acc_s, k)
-        if acc_n:
-            acc_q, acc_t, acc_s, acc_n = _reduce(acc_q, acc_t, acc_s, k)
-            cols = [pa.array(targets[acc_q[0]], pa.int64()), pa.array(acc_t[0], pa.int64()),
-                    pa.array(acc_s[0], pa.float64())]
-            names = ["target", "ticket_id", "score"]
-            if p["rows"] is not None:
-                cols.insert(1, pa.array(p["rows"], pa.string()).take(pa.array(acc_q[0])))
-                names.insert(1, "query_row")
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            vecs = _matrix(rb.column("vec"), dim)
+            names = rb.column("name").to_pylist() if named else None
+            coded = rb.column("cell").dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            if metric == "cosine":
+                norms = np.linalg.norm(vecs, axis=1)
+                live = norms > 0
+                vecs = vecs / np.where(live, norms, 1.0)[:, None]
+                codes = np.where(live, codes, -1)
+            for code, cell in enumerate(coded.dictionary.to_pylist()):
+                at = np.flatnonzero(codes == code)
+                if at.size:
+                    held.setdefault(cell, []).append((ids[at], vecs[at], [names[i] for i in at] if named else []))
+                    size += vecs[at].nbytes
+            if size >= HELD_BYTES:
+                yield from blocks()
+                size = 0
+        yield from blocks()
+
+    return run
+
+
+def _scorer(k, metric, exclude_self, threshold, inclusive, decimals, dim, named):
+    """Joined blocks to (target, [query_row], ticket_id, score): per query row of a block the k best tickets."""
+
+    def results(held):
+        for targets, names, q, t, s in held.values():
+            q, t, s = _compact(np.concatenate(q), np.concatenate(t), np.concatenate(s), k)
+            columns, heads = [pa.array(targets[q]), pa.array(t), pa.array(s)], ["target", "ticket_id", "score"]
+            if named:
+                columns.insert(1, names.take(pa.array(q)))
+                heads.insert(1, "query_row")
+            yield pa.RecordBatch.from_arrays(columns, names=heads)
+
+    def run(batches):
+        held: dict[int, tuple] = {}
+        size = 0
+        for rb in batches:
+            for i in range(rb.num_rows):
+                value = lambda name: rb.column(name)[i]  # noqa: B023, E731
+                matrix = lambda name: np.frombuffer(value(name).as_buffer()).reshape(-1, dim)  # noqa: B023, E731
+                Q, C = matrix("q_vecs"), matrix("vecs")
+                targets = np.frombuffer(value("q_ids").as_buffer(), np.int64)
+                cid = np.frombuffer(value("ids").as_buffer(), np.int64)
+                S = Q @ C.T
+                if metric == "l2":
+                    S = _l2_scores(Q, (Q * Q).sum(axis=1), C, (C * C).sum(axis=1), S)
+                elif metric == "inner":
+                    S = 1.0 + S
+                hidden = np.isnan(S)
+                if exclude_self:
+                    hidden |= cid[None, :] == targets[:, None]
+                if threshold is not None:
+                    hidden |= (S < threshold) if inclusive else (S <= threshold)
+                S = np.round(S, decimals)
+                S[hidden] = -np.inf
+                # rows of a block are in order of id: one column a ticket
+                starts = np.flatnonzero(np.r_[True, cid[1:] != cid[:-1]])
+                S = np.maximum.reduceat(S, starts, axis=1)
+                keep = np.isfinite(S)
+                if S.shape[1] > k:
+                    keep &= S >= np.partition(S, S.shape[1] - k, axis=1)[:, S.shape[1] - k][:, None]
+                qi, ci = np.nonzero(keep)
+                if not qi.size:
+                    continue
+                block = value("q_block").as_py()
+                if block not in held:
+                    names = value("q_names").values if named else None
+                    held[block] = (targets.copy(), names, [], [], [])
+                _, _, q, t, s = held[block]
+                q.append(qi), t.append(cid[starts[ci]]), s.append(S[qi, ci])
+                size += qi.size
+                if sum(map(len, q)) > 8 * len(targets) * k + 100_000:
+                    new = _compact(np.concatenate(q), np.concatenate(t), np.concatenate(s), k)
+                    size -= sum(map(len, q)) - len(new[0])
+                    q[:], t[:], s[:] = [new[0]], [new[1]], [new[2]]
+                if size > HELD_RESULTS:
+                    yield from results(held)
+                    held, size = {}, 0
+        yield from results(held)
 
     return run
 
 
-def _reduce(acc_q, acc_t, acc_s, k):
-    q, t, s_ = _compact(np.concatenate(acc_q), np.concatenate(acc_t), np.concatenate(acc_s), k)
-    return [q], [t], [s_], len(q)
+def _value_pairs(asked: DataFrame, known: DataFrame, anywhere: bool, match: str) -> DataFrame:
+    """(q, c): which distinct query values ``q`` match which distinct corpus values ``c`` (prefix, or ``anywhere``).
+
+    Literal values are matched by an equi-join on the prefixes (substrings) of the corpus value, no longer than the
+    longest query value; patterns by a join of the two sets of distinct values."""
+    q = asked.select(F.col(asked.columns[0]).alias("q")).where("q is not null").distinct()
+    c = known.select(F.col(known.columns[0]).alias("c")).where("c is not null").distinct()
+    if match == "regex":
+        pattern = F.col("q") if anywhere else F.concat(F.lit("^(?:"), F.col("q"), F.lit(")"))
+        return c.join(q, F.regexp_like("c", pattern)).select("q", "c")
+    sized = c.select("c", F.coalesce(q.agg(F.max(F.length("q"))).scalar(), F.lit(0)).alias("most"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("c"), F.lit(1))) if anywhere else F.array(F.lit(1))
+    parts = sized.select("c", "most", F.explode(starts).alias("at"))
+    parts = parts.select("c", "at", F.explode(F.sequence(F.lit(0), F.least(F.length("c"), F.col("most")))).alias("n"))
+    return parts.select("c", F.substr("c", "at", "n").alias("q")).distinct().join(q, "q").select("q", "c")
+
+
+def _cell_key(product: Column, module: Column) -> Column:
+    """One text for a pair of values (NULL told apart from any text)."""
+    size = lambda x: F.coalesce(F.length(x).cast("string"), F.lit("-"))
+    return F.concat_ws(":", size(product), product, size(module), module)
+
+
+def _routes(q: DataFrame, c: DataFrame, filters: FilterSpec) -> DataFrame:
+    """Query rows with the ``cell`` of every (product, module) of the corpus that they may see."""
+    values = c.select(F.col("product").alias("cp"), F.col("module").alias("cm")).distinct()
+    asked = q.select(F.col("product").alias("qp"), F.col("module").alias("qm")).distinct()
+    pairs = []
+    if filters.needs_product:
+        found = _value_pairs(asked.select("qp"), values.select("cp"), False, filters.match)
+        pairs.append(found.select(F.col("q").alias("qp"), F.col("c").alias("cp")))
+    if filters.needs_module:
+        found = _value_pairs(asked.select("qm"), values.select("cm"), filters.interactive, filters.match)
+        pairs.append(found.select(F.col("q").alias("qm"), F.col("c").alias("cm")))
+    if filters.interactive:
+        either = [asked.join(p, p.columns[0]).join(values, p.columns[1]).select("qp", "qm", "cp", "cm") for p in pairs]
+        seen = either[0].union(either[1]).distinct()
+    else:
+        seen = asked
+        for p in pairs:
+            seen = seen.join(p, p.columns[0])
+        seen = seen.join(values, [p.columns[1] for p in pairs])
+    seen = seen.select("qp", "qm", _cell_key(F.col("cp"), F.col("cm")).alias("cell"))
+    same = q["product"].eqNullSafe(seen["qp"]) & q["module"].eqNullSafe(seen["qm"])
+    return q.join(seen, same).drop("qp", "qm")
+
+
+def _blocks(rows: DataFrame, dim: int, metric: str, salts: int, named: bool, most: int) -> DataFrame:
+    size = max(1, min(most, PACKED_BYTES // (dim * 8)))
+    return rows.select("cell", "id", "name", "vec").mapInArrow(_packer(dim, metric, size, salts, named), _BLOCK_SCHEMA)
 
 
-def _broadcast(spark: SparkSession, payload):
-    try:
-        return spark.sparkContext.broadcast(payload)
-    except Exception:  # Spark Connect has no SparkContext: the closure carries the (bounded) block
-        return payload
+def block_pairs(
+    q: DataFrame, c: DataFrame, dim: int, metric: str = "cosine", named: bool = False, block_bytes: int = DEFAULT_BLOCK_BYTES,
+) -> DataFrame:
+    """The joined blocks of routed queries ``q`` and corpus rows ``c`` (both cell, id, name, vec): one row for every pair of
+    blocks of one cell. Query blocks are broadcast up to ``block_bytes`` (counted), else dealt by (cell, salt)."""
+    spark = q.sparkSession
+    facts = q.groupBy("cell").count().agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("cells")).first()
+    n, cells = int(facts["n"] or 0), max(int(facts["cells"]), 1)
+    n_bytes, parallel = n * dim * 8, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small = n_bytes <= block_bytes
+    salts = 1 if small else max(1, math.ceil(parallel / cells))
+    # query rows of a cell together, so that blocks are full
+    packs = max(1, min(cells, parallel, math.ceil(n_bytes / PACKED_BYTES)))
+    asked = _blocks(q.repartition(packs, "cell"), dim, metric, 1, named, QUERY_ROWS)
+    asked = asked.select(*[F.col(x).alias(f"q_{x}") for x in asked.columns])
+    if small:
+        asked = F.broadcast(asked)
+    else:
+        asked = asked.withColumn("q_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    known = _blocks(c, dim, metric, salts, False, PACKED_BYTES)
+    return known.join(asked, (F.col("cell") == F.col("q_cell")) & (F.col("salt") == F.col("q_salt")))
+
+
+def scored_products(pairs: DataFrame) -> DataFrame:
+    """How many (query row, corpus row) products the joined blocks hold (one row, ``products``)."""
+    count = lambda x: F.octet_length(x).cast("long") / 8
+    return pairs.agg(F.coalesce(F.sum((count("q_ids") * count("ids")).cast("long")), F.lit(0)).alias("products"))
+
+
+def _sides(
+    queries: DataFrame, corpus: DataFrame, query_id: str, query_vec: str, corpus_id: str, corpus_vec: str, filters: FilterSpec,
+    query_row: str | None, ivf: "IvfIndex | None", nprobe: int | None, metric: str, dim: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Routed query rows and corpus rows, as (cell, id, name, vec)."""
+    none = F.lit(None).cast("string")
+    double = lambda x: F.col(x).cast("array<double>")
+    value = lambda name, used: F.col(name).cast("string").alias(name) if used else none.alias(name)
+    values = [value("product", filters.needs_product), value("module", filters.needs_module)]
+    q = queries.select(F.col(query_id).cast("long").alias("id"), value(query_row, True).alias("name") if query_row else
+                       none.alias("name"), double(query_vec).alias("vec"), *values)
+    q = q.where("id is not null and vec is not null")
+    own = [F.col(ivf.list_col).cast("long").alias("list")] if ivf is not None else []
+    c = corpus.select(F.col(corpus_id).cast("long").alias("id"), none.alias("name"), double(corpus_vec).alias("vec"), *values, *own)
+    c = c.where("id is not null and vec is not null")
+    filtered = filters.needs_product or filters.needs_module
+    plain = c
+    c = c.withColumn("cell", _cell_key(F.col("product"), F.col("module")) if filtered else F.lit(""))
+    q = _routes(q, plain, filters) if filtered else q.withColumn("cell", F.lit(""))
+    if ivf is not None:
+        q = ivf.probed(q, nprobe, metric, dim)
+        lists = [r[0] for r in q.select("list").distinct().collect()]  # at most one row a list
+        c = c.where(F.col("list").isin(lists))
+        in_list = F.concat_ws("/", F.col("list").cast("string"), "cell")
+        q, c = q.withColumn("cell", in_list), c.withColumn("cell", in_list)
+    return q, c
 
 
 def vector_search(
@@ -291,100 +385,48 @@ def vector_search(
     metric: "cosine" (1 - cosine distance), "l2" (1 - euclidean distance),
     "inner" (1 + dot product). ``threshold`` is on the unrounded score
     (strict ``>`` unless ``inclusive``). Query rows need ``product`` / ``module``
-    columns when the filters use them; so does the corpus.
+    columns when the filters use them; so does the corpus. Rows without id or vector take no part; vectors of
+    different lengths raise; a score that is not a number is no hit.
 
     With ``hit_text`` (a corpus text column) the result also has ``hit_text``: the text of
     the ticket's best-scoring row (ties: the smallest text).
 
     With ``ivf`` (see :func:`build_ivf`) each query scores only the rows of its ``nprobe``
     nearest lists; without ``nprobe`` it is measured by :func:`enough_lists` so that the probed
-    lists hold the share ``recall`` of the exact result. The corpus scan is filtered to the lists probed by the query block
-    (partition pruning when the corpus is stored partitioned by list).
+    lists hold the share ``recall`` of the exact result. Only lists that some query probes are
+    read (partition pruning when the corpus is stored by list, see :func:`store_ivf`).
+
+    ``block_bytes``: query vectors (each once a cell) that may be broadcast; beyond it both sides are shuffled.
     """
     if metric not in ("cosine", "l2", "inner"):
         raise ValueError(f"unknown metric {metric!r}")
     spark = queries.sparkSession
-    qcols = [F.col(query_id).cast("long").alias("target"), F.col(query_vec).alias("vec")]
-    qcols.append((F.col("product") if filters.needs_product else F.lit(None).cast("string")).alias("product"))
-    qcols.append((F.col("module") if filters.needs_module else F.lit(None).cast("string")).alias("module"))
     keys = ["target", "query_row"] if query_row else ["target"]
+    qcols = [F.col(query_id).cast("long").alias("target"), F.col(query_vec).alias("vec")]
+    qcols += [(F.col(x) if used else F.lit(None).cast("string")).alias(x)
+              for x, used in (("product", filters.needs_product), ("module", filters.needs_module))]
     if query_row:
         qcols.append(F.col(query_row).cast("string").alias("query_row"))
     q = queries.select(*qcols).where(F.col("vec").isNotNull() & F.col("target").isNotNull())
     if query_row and q.groupBy(*keys).count().where((F.col("count") > 1) | F.col("query_row").isNull()).limit(1).count():
         raise ValueError(f"{query_row} is NULL or repeats within a target")
-    stats = q.agg(F.count(F.lit(1)).alias("n"), F.min(F.size("vec")).alias("d"), F.max(F.size("vec")).alias("most")).first()
-    n_q, dim = int(stats["n"] or 0), int(stats["d"] or 0)
+    sizes = q.agg(F.min(F.size("vec")), F.max(F.size("vec"))).first()
     found = corpus.where(F.col(corpus_vec).isNotNull()).agg(F.min(F.size(corpus_vec)), F.max(F.size(corpus_vec))).first()
-    lengths = {x for x in (stats["d"], stats["most"], *found) if x is not None}
-    if n_q and len(lengths) > 1:
+    lengths = {x for x in (*sizes, *found) if x is not None}
+    if sizes[0] is not None and len(lengths) > 1:
         raise ValueError(f"vectors of different lengths: {sorted(lengths)}")
-    if n_q == 0 or dim <= 0:
+    dim = int(sizes[0] or 0)
+    if dim <= 0:
         return spark.createDataFrame([], _with_row(_RANKED_SCHEMA, bool(query_row)))
-    n_blocks = max(1, math.ceil(n_q * dim * 8 / block_bytes))
-
-    ccols = [F.col(corpus_id).cast("long").alias(corpus_id), F.col(corpus_vec).alias(corpus_vec)]
-    if filters.needs_product:
-        ccols.append(F.col("product").alias("__product"))
-    if filters.needs_module:
-        ccols.append(F.col("module").alias("__module"))
-    if ivf is not None:
-        ccols.append(F.col(ivf.list_col).cast("long").alias(ivf.list_col))
-    c = corpus.select(*ccols).where(F.col(corpus_vec).isNotNull())
     if ivf is not None and nprobe is None:
         nprobe = enough_lists(ivf, queries, corpus, k, metric, recall, query_id=query_id, query_vec=query_vec,
                               corpus_id=corpus_id, corpus_vec=corpus_vec, filters=filters, exclude_self=exclude_self,
                               threshold=threshold, inclusive=inclusive, decimals=decimals)
-
-    import pandas as pd
-
-    parts = []
-    for b in range(n_blocks):
-        qb = q if n_blocks == 1 else q.where(F.pmod(F.xxhash64("target"), F.lit(n_blocks)) == b)
-        rows = qb.collect()  # bounded by block_bytes (checked above)
-        if not rows:
-            continue
-        Q = np.asarray([r["vec"] for r in rows], dtype=np.float64)
-        if metric == "cosine":
-            norms = np.linalg.norm(Q, axis=1)
-            Q = Q / np.where(norms > 0, norms, np.nan)[:, None]  # zero query vector scores NaN -> dropped
-            Q = np.nan_to_num(Q, nan=0.0)
-            zero = norms == 0
-        else:
-            zero = np.zeros(len(rows), dtype=bool)
-        keep = ~zero
-        rows = [r for r, z in zip(rows, keep) if z]
-        Q = Q[keep]
-        if not rows:
-            continue
-        qp_codes, qp_uniques = pd.factorize(pd.Series([r["product"] for r in rows], dtype=object))
-        qm_codes, qm_uniques = pd.factorize(pd.Series([r["module"] for r in rows], dtype=object))
-        qp_codes = np.where(qp_codes < 0, len(qp_uniques), qp_codes)
-        qm_codes = np.where(qm_codes < 0, len(qm_uniques), qm_codes)
-        payload = {
-            "targets": np.asarray([r["target"] for r in rows], dtype=np.int64),
-            "Q": Q,
-            "rows": [r["query_row"] for r in rows] if query_row else None,
-            "qp_codes": qp_codes,
-            "qp_uniques": list(qp_uniques),
-            "qm_codes": qm_codes,
-            "qm_uniques": list(qm_uniques),
-        }
-        cb = c
-        if ivf is not None:
-            probes = ivf.probe(Q, nprobe, metric)  # (queries x nprobe) list ids, not a dense mask
-            payload["probes"] = probes
-            probed = sorted({int(x) for x in np.unique(probes)})
-            cb = c.where(F.col(ivf.list_col).isin(probed))
-        ref = _broadcast(spark, payload)
-        fn = _scorer(ref, k, metric, filters, exclude_self, threshold, inclusive, decimals, corpus_id, corpus_vec, dim,
-                     ivf.list_col if ivf is not None else None)
-        parts.append(cb.mapInArrow(fn, _with_row(RESULT_SCHEMA, bool(query_row))))
-    if not parts:
-        return spark.createDataFrame([], _with_row(_RANKED_SCHEMA, bool(query_row)))
-    cand = parts[0]
-    for p_ in parts[1:]:
-        cand = cand.unionByName(p_)
+    asked, known = _sides(queries, corpus, query_id, query_vec, corpus_id, corpus_vec, filters, query_row, ivf, nprobe,
+                          metric, dim)
+    pairs = block_pairs(asked, known, dim, metric, bool(query_row), block_bytes)
+    score = _scorer(k, metric, exclude_self, threshold, inclusive, decimals, dim, bool(query_row))
+    cand = pairs.mapInArrow(score, _with_row(RESULT_SCHEMA, bool(query_row)))
     ranked = top_k_per_target(cand.groupBy(*keys, "ticket_id").agg(F.max("score").alias("score")), k, keys=keys)
     if not hit_text:
         return ranked
@@ -461,21 +503,77 @@ class IvfIndex:
     centroids: np.ndarray
     corpus: DataFrame
     list_col: str = "ivf_list"
+    path: str | None = None
 
     def probe(self, Q: np.ndarray, nprobe: int, metric: str = "cosine") -> np.ndarray:
         """(queries x nprobe) ids of the nearest lists of every query."""
-        C = self.centroids
-        if metric == "cosine":
-            Cn = C / np.maximum(np.linalg.norm(C, axis=1, keepdims=True), 1e-300)
-            d = -(Q @ Cn.T)
-        else:
-            d = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2 * Q @ C.T
-        nprobe = max(1, min(nprobe, C.shape[0]))
-        if nprobe < C.shape[0]:
-            part = np.argpartition(d, nprobe - 1, axis=1)[:, :nprobe]
-        else:
-            part = np.argsort(d, axis=1, kind="stable")
-        return part.astype(np.int64)
+        return _nearest_lists(self.centroids, Q, nprobe, metric)
+
+    def probed(self, q: DataFrame, nprobe: int, metric: str, dim: int) -> DataFrame:
+        """Query rows once per probed list (column ``list``); ``vec`` holds the vector."""
+        return _explode_lists(q, "vec", self.centroids, nprobe, metric, dim, "list")
+
+
+def _nearest_lists(C: np.ndarray, Q: np.ndarray, nprobe: int, metric: str) -> np.ndarray:
+    if metric == "cosine":
+        Cn = C / np.maximum(np.linalg.norm(C, axis=1, keepdims=True), 1e-300)
+        d = -(Q @ Cn.T)
+    else:
+        d = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2 * Q @ C.T
+    nprobe = max(1, min(nprobe, C.shape[0]))
+    if nprobe < C.shape[0]:
+        part = np.argpartition(d, nprobe - 1, axis=1)[:, :nprobe]
+    else:
+        part = np.argsort(d, axis=1, kind="stable")
+    return part.astype(np.int64)
+
+
+def _explode_lists(rows: DataFrame, vec: str, centroids: np.ndarray, nprobe: int, metric: str, dim: int, out: str) -> DataFrame:
+    """``rows`` once for each of the ``nprobe`` nearest lists, its number in ``out``."""
+    schema = T.StructType([f for f in rows.schema.fields if f.name != out] + [T.StructField("_lists", T.ArrayType(T.LongType()))])
+    kept = schema.names[:-1]
+
+    def run(batches):
+        for rb in batches:
+            if rb.num_rows:
+                near = _nearest_lists(centroids, _matrix(rb.column(vec), dim), nprobe, metric)
+                lists = pa.array(near.tolist(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(rb.column(c) for c in kept), lists], names=[*kept, "_lists"])
+
+    found = rows.select(*kept).mapInArrow(run, schema)
+    return found.withColumn(out, F.explode("_lists")).drop("_lists")
+
+
+def store_ivf(index: IvfIndex, path: str) -> IvfIndex:
+    """Write the index: its rows by list (one folder a list, a large list dealt over a few tasks) and its centroids."""
+    spark = index.corpus.sparkSession
+    dealt = index.corpus.repartition(F.col(index.list_col), F.pmod(F.xxhash64(*index.corpus.columns), F.lit(LIST_FILES)))
+    dealt.write.partitionBy(index.list_col).parquet(f"{path}/rows")
+    rows = [(i, [float(x) for x in v], index.list_col) for i, v in enumerate(index.centroids)]
+    spark.createDataFrame(rows, "list long, centroid array<double>, list_col string").coalesce(1).write.parquet(f"{path}/centroids")
+    return open_ivf(spark, path)
+
+
+def open_ivf(spark: SparkSession, path: str) -> IvfIndex:
+    """The index stored at ``path``."""
+    rows = spark.read.parquet(f"{path}/centroids").orderBy("list").collect()  # one row a list
+    centroids = np.asarray([r["centroid"] for r in rows], dtype=np.float64)
+    return IvfIndex(centroids, spark.read.parquet(f"{path}/rows"), rows[0]["list_col"], path)
+
+
+def add_to_ivf(index: IvfIndex, rows: DataFrame, vec: str = "sentence_embedding", metric: str = "cosine") -> IvfIndex:
+    """Append ``rows`` to a stored index: each goes to its nearest list, nothing else is rewritten. Rows without a
+    vector go to the first list (as they do when the index is built) and are never scored."""
+    if index.path is None:
+        raise ValueError("only a stored index can be extended")
+    names = [c for c in index.corpus.columns if c != index.list_col]
+    fresh, dim = rows.select(*names), index.centroids.shape[1]
+    if fresh.where(F.size(vec) != dim).limit(1).count():
+        raise ValueError(f"vectors must have length {dim}")
+    there = _explode_lists(fresh.where(F.col(vec).isNotNull()), vec, index.centroids, 1, metric, dim, index.list_col)
+    none = fresh.where(F.col(vec).isNull()).withColumn(index.list_col, F.lit(0).cast("long"))
+    there.unionByName(none).write.mode("append").partitionBy(index.list_col).parquet(f"{index.path}/rows")
+    return open_ivf(rows.sparkSession, index.path)
 
 
 def enough_lists(

@@ -185,6 +185,7 @@ FROM ranked"""
 
 ORACLE["vector_topk_cosine"] = with_(*BASE_EVAL)[:-1] + topk_sql("cosine") + "SELECT * FROM ranked"
 ORACLE["vector_topk_inner"] = with_(*BASE_EVAL)[:-1] + topk_sql("inner") + "SELECT * FROM ranked"
+ORACLE["vector_topk_ivf_all"] = ORACLE["vector_topk_cosine"]
 ORACLE["vector_topk_l2"] = with_(*BASE_EVAL)[:-1] + topk_sql("l2") + "SELECT * FROM ranked"
 
 ORACLE["search_filter_product"] = batch_sql(cond="starts_with(c.product, q.product)") + "SELECT * FROM batch"

@@ -482,3 +482,13 @@ def q_vector_topk_ivf(spark, sf):
     idx = build_ivf(fx.corpus(spark, sf), n_lists=8, seed=3)
     # nprobe is measured, see enough_lists
     return vector_search(fx.query_subject(spark, sf), idx.corpus, k=K, ivf=idx)
+
+
+@register("vector_topk_ivf_all")
+def q_vector_topk_ivf_all(spark, sf):
+    """The stored index with every list probed: the exact result by way of the index."""
+    from simtrail.operators.search import build_ivf, store_ivf
+    from simtrail.session import new_stage_dir
+
+    idx = store_ivf(build_ivf(fx.corpus(spark, sf), n_lists=8, seed=3), new_stage_dir(spark, "ivf"))
+    return vector_search(fx.query_subject(spark, sf), idx.corpus, k=K, ivf=idx, nprobe=8)

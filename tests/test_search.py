@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from simtrail.operators import search as se
 from simtrail.operators.search import FilterSpec, build_ivf, enough_lists, vector_search
 
 
@@ -192,3 +193,126 @@ def test_measured_probes_are_enough_and_not_all(spark, metric):
     part = _got(vector_search(q, idx.corpus, k=10, metric=metric, filters=by_product, ivf=idx))
     hits = sum(len({t for t, _ in part[t0]} & {t for t, _ in exact[t0]}) for t0 in exact)
     assert hits / sum(len(v) for v in exact.values()) >= 0.9
+
+
+FILTERS = [FilterSpec(), FilterSpec(use_product=True), FilterSpec(use_product=True, use_module=True), FilterSpec(interactive=True),
+           FilterSpec(interactive=True, match="regex")]
+
+
+@pytest.mark.parametrize("filters", FILTERS)
+def test_shuffled_blocks_equal_broadcast_blocks(spark, filters):
+    """Beyond the broadcast bound both sides go by (cell, salt); the result is the same."""
+    rng = np.random.default_rng(21)
+    _, _, cdf, qdf = _frames(spark, rng, n_q=30)
+    small = vector_search(qdf, cdf.repartition(5), k=6, filters=filters)
+    large = vector_search(qdf, cdf.repartition(5), k=6, filters=filters, block_bytes=0)
+    assert _got(small) == _got(large) and _got(small)
+
+
+def test_small_blocks_and_results_handed_on(spark, monkeypatch):
+    """Many blocks a task, results handed on before the end (limits are read where the plan is made or shipped)."""
+    rng = np.random.default_rng(22)
+    corpus, qrows, cdf, qdf = _frames(spark, rng, n_q=30)
+    monkeypatch.setattr(se, "PACKED_BYTES", 8 * 8 * 7)
+    monkeypatch.setattr(se, "QUERY_ROWS", 3)
+    got = _got(vector_search(qdf, cdf.repartition(3), k=4))
+    assert got == {t: v for t, v in _brute(corpus, qrows, 4).items() if v}
+
+
+def _pairs(spark, q, c, filters=FilterSpec(), ivf=None, nprobe=None, dim=8):
+    asked, known = se._sides(q, c, "ticket_id", "sentence_embedding", "ticket_id", "sentence_embedding", filters, None, ivf, nprobe,
+                             "cosine", dim)
+    return se.scored_products(se.block_pairs(asked, known, dim)).first().products
+
+
+def test_rows_outside_the_filter_are_never_scored(spark):
+    rng = np.random.default_rng(23)
+    corpus, qrows, cdf, qdf = _frames(spark, rng, n_q=20)
+    live = [r for r in corpus if any(r[3])]
+    for filters, sees in (
+        (FilterSpec(), lambda q, c: True),
+        (FilterSpec(use_product=True), lambda q, c: c[1].startswith(q[1])),
+        (FilterSpec(use_product=True, use_module=True), lambda q, c: c[1].startswith(q[1]) and c[2].startswith(q[2])),
+        (FilterSpec(interactive=True), lambda q, c: c[1].startswith(q[1]) or q[2] in c[2]),
+    ):
+        assert _pairs(spark, qdf, cdf, filters) == sum(sees(q, c) for q in qrows for c in live)
+
+
+def test_value_matching_edges(spark):
+    q = spark.createDataFrame([("",), ("ab",), (None,), ("b",), ("abcd",), ("é.",)], "q string")
+    c = spark.createDataFrame([("",), ("abc",), (None,), ("xab",), ("é.b",)], "c string")
+    rows = lambda anywhere, match="literal": {tuple(r) for r in se._value_pairs(q, c, anywhere, match).collect()}
+    known, asked = ["", "abc", "xab", "é.b"], ["", "ab", "b", "abcd", "é."]
+    assert rows(False) == {(a, b) for a in asked for b in known if b.startswith(a)}
+    assert rows(True) == {(a, b) for a in asked for b in known if a in b}
+    assert ("é.", "é.b") in rows(True, "regex") and ("b", "xab") not in rows(False, "regex")
+
+
+def test_null_values_match_nothing(spark):
+    rows = [(1, None, "m1", [1.0, 0.0]), (2, "p", None, [1.0, 0.1]), (3, None, None, [1.0, 0.2]), (4, "p", "xm1", [1.0, 0.3]), (5, "q", "m", [0.5, 1.0])]
+    c = spark.createDataFrame(rows, "ticket_id long, product string, module string, sentence_embedding array<double>")
+    q = spark.createDataFrame([(9, "p", "m1", [1.0, 0.0]), (8, None, "m1", [1.0, 0.0]), (7, None, None, [1.0, 0.0])], c.schema)
+    seen = lambda f: {t: sorted(i for i, _ in v) for t, v in _got(vector_search(q, c, k=9, filters=f)).items()}
+    assert seen(FilterSpec(use_product=True)) == {9: [2, 4]}
+    assert seen(FilterSpec(use_module=True)) == {9: [1], 8: [1]}
+    assert seen(FilterSpec(interactive=True)) == {9: [1, 2, 4], 8: [1, 4]}
+
+
+def test_no_query_row_reaches_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rng = np.random.default_rng(24)
+    _, _, cdf, qdf = _frames(spark, rng, n_corpus=900, n_q=90)
+    sizes, collect, arrow = [], DataFrame.collect, DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "collect", lambda self: sizes.append(len(got := collect(self))) or got)
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: sizes.append(10**6) or arrow(self))
+    result = vector_search(qdf, cdf, k=3, filters=FilterSpec(use_product=True), block_bytes=0)
+    assert max(sizes, default=0) <= 1
+    assert collect(result)
+
+
+def _clusters(spark, n=1200, dim=8, lists=8):
+    rng = np.random.default_rng(31)
+    near = rng.normal(size=(lists, dim)).repeat(n // lists, axis=0) * 8 + rng.normal(size=(n, dim))
+    rows = [(i, f"p{i % 3}", [float(x) for x in v]) for i, v in enumerate(near)]
+    return spark.createDataFrame(rows, "ticket_id long, product string, sentence_embedding array<double>")
+
+
+def test_stored_index_reads_probed_lists_only(spark, tmp_path):
+    c = _clusters(spark)
+    q = c.where("ticket_id % 40 = 0 and ticket_id < 300")  # two of the clusters
+    built = build_ivf(c, n_lists=8, seed=2)
+    idx = se.store_ivf(built, str(tmp_path / "ivf"))
+    assert np.array_equal(idx.centroids, built.centroids) and idx.corpus.count() == 1200
+    _, known = se._sides(q, idx.corpus, "ticket_id", "sentence_embedding", "ticket_id", "sentence_embedding", FilterSpec(), None,
+                         idx, 1, "cosine", 8)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    read = {f.rsplit("/", 2)[1] for f in known.inputFiles()}
+    assert "PartitionFilters: [" in plan and "ivf_list" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    lists = {r[0] for r in idx.probed(q.select(F.col("sentence_embedding").alias("vec")), 1, "cosine", 8).select("list").collect()}
+    assert len(lists) < 8 and len(read) == 8  # inputFiles lists the whole table; the scan prunes by the filter above
+    scanned = known.select(F.input_file_name().alias("f")).distinct().collect()
+    assert {int(r.f.rsplit("/", 2)[1].split("=")[1]) for r in scanned} == lists
+    exact_products, products = _pairs(spark, q, c), _pairs(spark, q, idx.corpus, ivf=idx, nprobe=1)
+    assert products < exact_products / 3
+    exact, part = _got(vector_search(q, c, k=10)), _got(vector_search(q, idx.corpus, k=10, ivf=idx, nprobe=1))
+    hits = sum(len({t for t, _ in part[t0]} & {t for t, _ in exact[t0]}) for t0 in exact)
+    assert hits / sum(map(len, exact.values())) >= 0.9
+    both = FilterSpec(use_product=True)
+    assert _got(vector_search(q, idx.corpus, k=10, ivf=idx, nprobe=8, filters=both)) == _got(vector_search(q, c, k=10, filters=both))
+
+
+def test_rows_added_to_a_stored_index(spark, tmp_path):
+    c = _clusters(spark)
+    old, new = c.where("ticket_id % 5 <> 0"), c.where("ticket_id % 5 = 0")
+    first = se.store_ivf(build_ivf(old, n_lists=8, seed=2), str(tmp_path / "ivf"))
+    files = set(first.corpus.inputFiles())
+    idx = se.add_to_ivf(first, new.unionByName(new.limit(1).withColumn("sentence_embedding", F.lit(None).cast("array<double>"))))
+    assert files < set(idx.corpus.inputFiles()) and idx.corpus.count() == 1201
+    q = c.where("ticket_id % 60 = 1")
+    assert _got(vector_search(q, idx.corpus, k=10, ivf=idx, nprobe=8)) == _got(vector_search(q, c, k=10))
+    assert se.open_ivf(spark, str(tmp_path / "ivf")).corpus.count() == 1201
+    with pytest.raises(ValueError, match="length"):
+        se.add_to_ivf(idx, spark.createDataFrame([(1, "p", [1.0])], c.schema))
+    with pytest.raises(ValueError, match="stored"):
+        se.add_to_ivf(build_ivf(old, n_lists=2), new)
