@@ -1,7 +1,7 @@
 """Text splitting (I1, I2, B11) and fixed token windows.
 
-* :func:`split_pieces` — split on a separator and greedily pack the pieces up to a
-  character budget (column functions only: ``split`` + an ``aggregate`` fold);
+* :func:`split_pieces` — split on a separator and greedily pack the parts up to a
+  character budget, carrying the last parts of a piece into the next as overlap (Arrow batches);
 * :func:`chunk_windows` — blank-separated tokens in windows of n, rejoined;
 * :func:`recursive_chunks` — recursive split (paragraph, line, word, character)
   under a token budget with a pluggable token counter, in Arrow batches.
@@ -11,38 +11,72 @@ Each returns an array column; ``posexplode`` gives one row per piece.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from simtrail.functions.text import let, strip_ws
+from simtrail.functions.text import let
 
 # Library defaults of the piece splitter used before summarising.
 PIECE_SEPARATOR = "\n\n"
 PIECE_SIZE = 4000
+PIECE_OVERLAP = 200
+# White space that is stripped from a piece.
+BLANKS = " \t\n\x0b\f\r"
 # Chunk feed budget and the recursive separators (coarse to fine).
 CHUNK_TOKENS = 512
 RECURSIVE_SEPARATORS = ["\n\n", "\n", " ", ""]
 
 
-def split_pieces(text: Column, separator: str = PIECE_SEPARATOR, size: int = PIECE_SIZE) -> Column:
-    """Non-empty splits packed greedily while the joined length stays <= size
-    (a split longer than size stays whole), pieces stripped, empty pieces dropped."""
-    sep_len = len(separator)
-    splits = F.filter(F.split(text, re.escape(separator)), lambda x: x != "")
+def piece_bounds(lengths: np.ndarray, sep: int, size: int, overlap: int) -> list[tuple[int, int]]:
+    """First and past-the-last part of every piece, for parts of the given lengths joined by ``sep`` characters.
+
+    A piece takes parts while the joined length stays within ``size`` (a longer part is a piece of its own). The next
+    one starts with the longest run of last parts that is within ``overlap`` and leaves room for the next part. Found
+    by search in the running lengths, so a text costs its parts once and each piece two look-ups.
+    """
+    many = len(lengths)
+    ends = np.concatenate([[0], np.cumsum(lengths + sep)])  # ends[i]: length of the first i parts with separators
+    out, first, past = [], 0, 0
+    while past < many:
+        past = max(past + 1, int(np.searchsorted(ends, ends[first] + size + sep, side="right")) - 1)
+        out.append((first, past))
+        if past < many:
+            room = min(overlap, size - sep - int(lengths[past]))
+            first = min(past, int(np.searchsorted(ends, ends[past] - sep - room, side="left")))
+    return out
+
+
+def pieces_of(text: str | None, separator: str, size: int, overlap: int) -> list[str] | None:
+    """I1 for one text (None for None)."""
+    if text is None:
+        return None
+    parts = [x for x in text.split(separator) if x]
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+    found = [separator.join(parts[a:b]).strip(BLANKS) for a, b in piece_bounds(lengths, len(separator), size, overlap)]
+    return [x for x in found if x]
+
+
+def split_pieces(
+    text: Column, separator: str = PIECE_SEPARATOR, size: int = PIECE_SIZE, overlap: int | None = None
+) -> Column:
+    """Non-empty parts between separators packed greedily while the joined length stays <= ``size`` (a longer part
+    stays whole), each piece beginning with up to ``overlap`` characters of whole parts of the one before; pieces stripped,
+    empty ones dropped. NULL for NULL, no piece for an empty text. ``overlap`` defaults to 200, or ``size`` if that is less."""
+    overlap = min(PIECE_OVERLAP, size) if overlap is None else overlap
+    if not separator or size <= 0 or not 0 <= overlap <= size:
+        raise ValueError("needs a separator, a positive size and an overlap between 0 and the size")
 
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        fits = (F.size(acc) > 0) & (F.length(last) + F.lit(sep_len) + F.length(x) <= F.lit(size))
-        merged = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat(last, F.lit(separator), x)))
-        return F.when(fits, merged).otherwise(F.concat(acc, F.array(x)))
+    @F.arrow_udf("array<string>")
+    def pack(texts: pa.Array) -> pa.Array:
+        return pa.array([pieces_of(t, separator, size, overlap) for t in texts.to_pylist()], pa.list_(pa.string()))
 
-    packed = F.aggregate(splits, F.array().cast("array<string>"), step)
-    return F.filter(F.transform(packed, lambda p: strip_ws(p)), lambda p: p != "")
+    return pack(text)
 
 
 def summary_pieces(text: Column, n: int = 4, **kw) -> Column:

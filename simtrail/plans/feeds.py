@@ -26,9 +26,9 @@ def summary_sources(base: DataFrame) -> DataFrame:
     return u.withColumn("ticket_sentence_hash", sentence_hash(F.col("ticket_id"), F.col("sentence")))
 
 
-def four_sources(base: DataFrame) -> DataFrame:
-    """G3 with the map-reduce summary (I3): ticket_comment, subject, summary, first_comment."""
-    summ = sm.summarize_map_reduce(base)
+def four_sources(base: DataFrame, summary: dict | None = None) -> DataFrame:
+    """G3 with the map-reduce summary (I3, its parameters in ``summary``): ticket_comment, subject, summary, first_comment."""
+    summ = sm.summarize_map_reduce(base, **(summary or {}))
     b = base.drop("summary").join(summ, "ticket_id", "left")
     return fan_out_sources(b)
 
@@ -51,9 +51,9 @@ def feed_chunks(base: DataFrame, encoder: Encoder | None = None, budget: int = 5
     return embed_unique(rows, "subject", enc, "subject_embedding")
 
 
-def ingest_four_sources(base: DataFrame, encoder: Encoder | None = None) -> DataFrame:
+def ingest_four_sources(base: DataFrame, encoder: Encoder | None = None, summary: dict | None = None) -> DataFrame:
     """K2: the four-source rows of `tickets_embeddings` with vectors."""
-    return embed_unique(four_sources(base).drop("sentence_embedding"), "sentence", encoder or hashed_encoder())
+    return embed_unique(four_sources(base, summary).drop("sentence_embedding"), "sentence", encoder or hashed_encoder())
 
 
 def sample_n(df: DataFrame, n: int = 5, seed: int = 0) -> DataFrame:

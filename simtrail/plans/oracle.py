@@ -10,8 +10,12 @@ from __future__ import annotations
 from simtrail.functions import text as tx
 
 # ------------------------------------------------------------------ fixture CTEs
-TICKETS = """v_tickets AS (
-  SELECT conv_id AS ticket_id, text AS ticket_comment, substring(text, 1, 60) AS subject,
+def paragraphs_sql(x: str) -> str:
+    return f"replace(replace({x}, chr(10), chr(10) || chr(10)), '. ', '.' || chr(10) || chr(10))"
+
+
+TICKETS = f"""v_tickets AS (
+  SELECT conv_id AS ticket_id, {paragraphs_sql('text')} AS ticket_comment, string_split(text, chr(10))[1] AS subject,
          'mod' || CAST(conv_id % 5 AS VARCHAR) AS module_name,
          'prod' || CAST(conv_id % 3 AS VARCHAR) AS product_name,
          role AS ticket_status,
@@ -31,13 +35,12 @@ CORPUS = """v_corpus AS (
 
 JUDGMENTS = """v_subj AS (SELECT ticket_id, label FROM v_corpus WHERE sentence_source = 'subject'),
 v_jpairs AS (
-  SELECT t.ticket_id, o.ticket_id AS other_id,
-         row_number() OVER (PARTITION BY t.ticket_id ORDER BY o.ticket_id) AS rn
-  FROM v_subj t JOIN v_subj o ON o.label = t.label AND o.ticket_id <> t.ticket_id
+  SELECT t.ticket_id, o.ticket_id AS other_id
+  FROM v_subj t JOIN v_subj o ON o.label = t.label AND o.ticket_id // 100 = t.ticket_id // 100 AND o.ticket_id <> t.ticket_id
   WHERE t.ticket_id % 5 = 0),
 v_judgments AS (
   SELECT ticket_id, string_agg(CAST(other_id AS VARCHAR), ', ' ORDER BY other_id) AS expected_id
-  FROM v_jpairs WHERE rn <= 5 GROUP BY ticket_id)"""
+  FROM v_jpairs GROUP BY ticket_id)"""
 
 QUERY_SUBJECT = """v_query_subject AS (
   SELECT c.ticket_id, c.sentence, c.product, c.module, c.sentence_embedding, j.expected_id
@@ -45,7 +48,7 @@ QUERY_SUBJECT = """v_query_subject AS (
   WHERE c.sentence_source = 'subject')"""
 
 CHUNKS = """v_chunks AS (
-  SELECT doc_id AS ticket_id, text AS ticket_comment, substring(text, 1, 60) AS subject,
+  SELECT doc_id AS ticket_id, text AS ticket_comment, string_split(text, chr(10))[1] AS subject,
          source AS product, lang AS module
   FROM documents)"""
 
@@ -80,7 +83,7 @@ LOCALES = """v_locales AS (
 
 
 def with_(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
 BASE_EVAL = (CORPUS, JUDGMENTS, QUERY_SUBJECT)
@@ -412,18 +415,33 @@ ORACLE["embed_unique"] = f"""SELECT doc_id, CAST(len(list_filter(v, lambda x: x
   round(list_sum(v), 6) AS vsum FROM {hashed_vectors_sql('documents', 'doc_id', 'text')}"""
 
 # ---- text jobs
-def pieces_sql(x: str, sep_sql: str, sep_len: int, size: int) -> str:
-    splits = f"list_filter(string_split({x}, {sep_sql}), lambda s: s <> '')"
-    step = (f"lambda acc, s: CASE WHEN len(acc) > 0 AND length(acc[-1]) + {sep_len} + length(s) <= {size} "
-            f"THEN acc[1:len(acc) - 1] || [acc[-1] || {sep_sql} || s] ELSE acc || [s] END")
-    packed = f"list_reduce({splits}, {step}, []::VARCHAR[])"
-    return f"list_filter(list_transform({packed}, lambda p: {strip_ws('p')}), lambda p: p <> '')"
+def pieces_cte(name: str, src: str, key: str, text: str, sep: str, sep_len: int, size: int, overlap: int) -> str:
+    """CTE ``name`` (key, piece, t): the packed pieces of every text, piece by piece in a recursive walk over the running
+    lengths p of the parts s."""
+    past = lambda first, after: (f"greatest({after} + 1, len(list_filter(p, lambda z: z <= p[{first} + 1] + {size + sep_len})) - 1)")
+    room = f"least({overlap}, {size - sep_len} - length(s[e + 1]))"
+    return f"""{name}_parts AS (
+  SELECT {key}, s, list_transform(range(0, len(s) + 1), lambda i: CAST(coalesce(
+           list_sum(list_transform(s[1:i], lambda z: length(z) + {sep_len})), 0) AS BIGINT)) AS p
+  FROM (SELECT {key}, list_filter(string_split({text}, {sep}), lambda z: z <> '') AS s FROM {src}) WHERE len(s) > 0),
+{name}_walk AS (
+  SELECT {key}, s, p, 0 AS no, CAST(0 AS BIGINT) AS a, CAST({past('0', '0')} AS BIGINT) AS e FROM {name}_parts
+  UNION ALL
+  SELECT {key}, s, p, no + 1, a, CAST({past('a', 'e')} AS BIGINT) FROM (
+    SELECT {key}, s, p, no, e,
+           CAST(least(e, len(list_filter(p, lambda z: z < p[e + 1] - {sep_len} - {room}))) AS BIGINT) AS a
+    FROM {name}_walk WHERE e < len(s))),
+{name} AS (
+  SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY no) - 1 AS piece, t FROM (
+    SELECT {key}, no, {strip_ws(f"array_to_string(s[a + 1:e], {sep})")} AS t FROM {name}_walk) WHERE t <> '')"""
 
 
-ORACLE["summary_pieces"] = f"""SELECT doc_id, CAST(i - 1 AS BIGINT) AS piece_no, md5(p[i]) AS piece_md5,
-  CAST(length(p[i]) AS BIGINT) AS piece_len FROM (
-  SELECT doc_id, p, generate_subscripts(p, 1) AS i FROM (
-    SELECT doc_id, {pieces_sql('text', 'chr(10)', 1, 500)}[1:4] AS p FROM documents))"""
+BLANK_LINE = "chr(10) || chr(10)"
+# As PIECES and REDUCE of the queries.
+SIZE, OVERLAP, BUDGET, ROUNDS = 600, 120, 400, 6
+
+ORACLE["summary_pieces"] = with_(pieces_cte("v_pieces", "documents", "doc_id", "text", "chr(10)", 1, 500, 100)) + """SELECT doc_id,
+  piece AS piece_no, md5(t) AS piece_md5, CAST(length(t) AS BIGINT) AS piece_len FROM v_pieces WHERE piece < 4"""
 
 _WIN = """list_transform(CASE WHEN len(tk) > 0 THEN range(0, CAST(ceil(len(tk) / 512) AS BIGINT)) ELSE [] END,
            lambda i: array_to_string(tk[i * 512 + 1 : i * 512 + 512], ' '))"""
@@ -440,14 +458,12 @@ ORACLE["profile"] = with_(CHUNKS, WINDOWS) + """SELECT count(*) AS n_rows, CAST(
 BT = "v_bt AS (SELECT b.ticket_id, b.ticket_comment, b.subject FROM v_base b)"
 
 
+PIECES_SQL = pieces_cte("v_pieces", "v_bt", "ticket_id", "ticket_comment", BLANK_LINE, 2, SIZE, OVERLAP)
+
+
 def sentences_sql(pieces: bool) -> str:
-    if pieces:
-        src = f"""SELECT ticket_id, i - 1 AS piece, p[i] AS t FROM (
-      SELECT ticket_id, p, generate_subscripts(p, 1) AS i FROM (
-        SELECT ticket_id, {pieces_sql('ticket_comment', "chr(10) || chr(10)", 2, 4000)} AS p FROM v_bt))"""
-    else:
-        src = "SELECT ticket_id, 0 AS piece, ticket_comment AS t FROM v_bt"
-    return f"""v_sent AS (
+    src = "SELECT ticket_id, piece, t FROM v_pieces" if pieces else "SELECT ticket_id, 0 AS piece, ticket_comment AS t FROM v_bt"
+    return (PIECES_SQL + ",\n" if pieces else "") + f"""v_sent AS (
   SELECT ticket_id, piece, i AS pos, {strip_ws('a[i]')} AS sentence FROM (
     SELECT ticket_id, piece, a, generate_subscripts(a, 1) AS i FROM (
       SELECT ticket_id, piece, regexp_split_to_array(t, '[.\\n]+') AS a FROM ({src})))
@@ -470,9 +486,26 @@ def best_sql(src: str, n: int, by: str = "ticket_id") -> str:
 TEXT_BASE = (TICKETS, BASE_SQL, BT)
 ORACLE["summarize_stuff"] = with_(*TEXT_BASE, sentences_sql(False)) + f"""SELECT ticket_id,
   string_agg(sentence, '. ' ORDER BY piece, pos) AS summary FROM {best_sql('v_sscore', 3)} GROUP BY ticket_id"""
-ORACLE["summarize_map_reduce"] = with_(*TEXT_BASE, sentences_sql(True)) + f"""SELECT ticket_id,
-  string_agg(sentence, '. ' ORDER BY piece, pos) AS summary
-FROM {best_sql(best_sql('v_sscore', 2, 'ticket_id, piece'), 3)} GROUP BY ticket_id"""
+
+
+def reduce_sql() -> str:
+    """CTEs up to v_sum (ticket_id, summary): best two sentences a piece, merged by twos while over the budget, best three."""
+    out = [f"""v_m0 AS (
+  SELECT ticket_id, piece, pos, score, sentence, piece AS grp FROM {best_sql('v_sscore', 2, 'ticket_id, piece')}
+  QUALIFY row_number() OVER (PARTITION BY ticket_id, sentence ORDER BY piece, pos) = 1)"""]
+    for i in range(ROUNDS):
+        out.append(f"""v_m{i + 1} AS (
+  SELECT ticket_id, piece, pos, score, sentence, grp FROM (
+    SELECT *, row_number() OVER (PARTITION BY ticket_id, grp ORDER BY score DESC, piece, pos) AS place FROM (
+      SELECT ticket_id, piece, pos, score, sentence, over, CASE WHEN over THEN grp // 2 ELSE grp END AS grp FROM (
+        SELECT *, sum(length(sentence) + 2) OVER (PARTITION BY ticket_id) - 2 > {BUDGET} AS over FROM v_m{i})))
+  WHERE NOT over OR place <= 2)""")
+    out.append(f"""v_sum AS (
+  SELECT ticket_id, string_agg(sentence, '. ' ORDER BY piece, pos) AS summary FROM {best_sql(f'v_m{ROUNDS}', 3)} GROUP BY ticket_id)""")
+    return ",\n".join(out)
+
+
+ORACLE["summarize_map_reduce"] = with_(*TEXT_BASE, sentences_sql(True), reduce_sql()) + "SELECT * FROM v_sum"
 TOPIC_SQL = f"""v_topic AS (SELECT ticket_id,
   coalesce(nullif(regexp_extract(sentence, '\\*\\*(.*?)\\*\\*', 1), ''), sentence) AS topic
   FROM {best_sql('v_sscore', 1)})"""
@@ -492,10 +525,7 @@ ORACLE["union_sources"] = with_(*TEXT_BASE, sentences_sql(False), TOPIC_SQL, KEY
   SELECT ticket_id, 'summary' AS sentence_source, topic AS sentence FROM v_topic
   UNION ALL SELECT ticket_id, 'keywords', keywords FROM v_kw
   UNION ALL SELECT ticket_id, 'subject', subject FROM v_bt)"""
-ORACLE["fan_out_sources"] = with_(*TEXT_BASE, sentences_sql(True)) + f""", v_sum AS (
-  SELECT ticket_id, string_agg(sentence, '. ' ORDER BY piece, pos) AS summary
-  FROM {best_sql(best_sql('v_sscore', 2, 'ticket_id, piece'), 3)} GROUP BY ticket_id),
-v_b AS (SELECT b.ticket_id, b.ticket_comment, b.subject, s.summary, f.first_comment
+ORACLE["fan_out_sources"] = with_(*TEXT_BASE, sentences_sql(True), reduce_sql()) + f""", v_b AS (SELECT b.ticket_id, b.ticket_comment, b.subject, s.summary, f.first_comment
         FROM v_base b JOIN v_first f USING (ticket_id) LEFT JOIN v_sum s USING (ticket_id))
 SELECT ticket_id, src AS sentence_source, md5(sentence) AS sentence_md5, h AS ticket_sentence_hash FROM (
   SELECT ticket_id, 'ticket_comment' AS src, ticket_comment AS sentence,
@@ -505,11 +535,38 @@ SELECT ticket_id, src AS sentence_source, md5(sentence) AS sentence_md5, h AS ti
   UNION ALL SELECT ticket_id, 'first_comment', first_comment,
                    md5(CAST(ticket_id AS VARCHAR) || first_comment || summary) FROM v_b)"""
 
-ORACLE["split_pieces"] = f"""SELECT doc_id, CAST(i - 1 AS BIGINT) AS piece_no, CAST(length(p[i]) AS BIGINT) AS piece_len FROM (
-  SELECT doc_id, p, generate_subscripts(p, 1) AS i FROM (
-    SELECT doc_id, {pieces_sql('text', "chr(10) || chr(10)", 2, 4000)} AS p FROM documents))"""
-ORACLE["summarize_refine"] = with_(*TEXT_BASE, sentences_sql(True)) + f"""SELECT ticket_id,
-  string_agg(sentence, '. ' ORDER BY piece, pos) AS summary FROM {best_sql('v_sscore', 3)} GROUP BY ticket_id"""
+ORACLE["split_pieces"] = with_(
+    f"v_text AS (SELECT doc_id, {paragraphs_sql('text')} AS t FROM documents)",
+    pieces_cte("v_pieces", "v_text", "doc_id", "t", BLANK_LINE, 2, SIZE, OVERLAP),
+) + """SELECT doc_id, piece AS piece_no, CAST(length(t) AS BIGINT) AS piece_len, md5(t) AS piece_md5 FROM v_pieces"""
+
+REFINE_SQL = f"""v_cand AS (
+  SELECT ticket_id, piece, pos, score, sentence, list_distinct({tokens_sql('sentence')}) AS tokens
+  FROM {best_sql('v_sscore', 3, 'ticket_id, piece')}),
+v_cands AS (
+  SELECT ticket_id, row_number() OVER (PARTITION BY ticket_id ORDER BY piece) AS step, c FROM (
+    SELECT ticket_id, piece, list({{'score': score, 'piece': piece, 'pos': pos, 'sentence': sentence, 'tokens': tokens}}) AS c
+    FROM v_cand GROUP BY ticket_id, piece)),
+v_fold AS (
+  SELECT ticket_id, CAST(0 AS BIGINT) AS step,
+         []::STRUCT(weight DOUBLE, piece BIGINT, pos BIGINT, sentence VARCHAR, tokens VARCHAR[])[] AS answer
+  FROM (SELECT DISTINCT ticket_id FROM v_cands)
+  UNION ALL
+  SELECT ticket_id, step, CASE WHEN len(answer) < 3 THEN answer || [best]
+                               WHEN best.weight > worst.weight THEN list_filter(answer, lambda x: x <> worst) || [best]
+                               ELSE answer END
+  FROM (
+    SELECT ticket_id, step, answer, list_max(weighed) AS best, list_min(answer) AS worst FROM (
+      SELECT v.ticket_id, v.step, f.answer, list_transform(v.c, lambda x: {{
+          'weight': round(x.score / (len(list_intersect(x.tokens,
+                      flatten(list_transform(f.answer, lambda y: y.tokens)))) + 1), 6),
+          'piece': CAST(-x.piece AS BIGINT), 'pos': CAST(-x.pos AS BIGINT), 'sentence': x.sentence, 'tokens': x.tokens}}) AS weighed
+      FROM v_fold f JOIN v_cands v ON v.ticket_id = f.ticket_id AND v.step = f.step + 1)))"""
+ORACLE["summarize_refine"] = with_(*TEXT_BASE, sentences_sql(True), REFINE_SQL) + """SELECT ticket_id,
+  string_agg(x.sentence, '. ' ORDER BY -x.piece, -x.pos) AS summary FROM (
+  SELECT ticket_id, unnest(answer) AS x FROM v_fold
+  QUALIFY dense_rank() OVER (PARTITION BY ticket_id ORDER BY step DESC) = 1)
+GROUP BY ticket_id"""
 
 
 def _dim_sql(x: str) -> str:
@@ -522,10 +579,7 @@ ORACLE["feed_summary"] = with_(*TEXT_BASE, sentences_sql(False), TOPIC_SQL, KEYW
   SELECT ticket_id, 'summary' AS sentence_source, topic AS sentence FROM v_topic
   UNION ALL SELECT ticket_id, 'keywords', keywords FROM v_kw
   UNION ALL SELECT ticket_id, 'subject', subject FROM v_bt)"""
-ORACLE["ingest_four_sources"] = with_(*TEXT_BASE, sentences_sql(True)) + f""", v_sum AS (
-  SELECT ticket_id, string_agg(sentence, '. ' ORDER BY piece, pos) AS summary
-  FROM {best_sql(best_sql('v_sscore', 2, 'ticket_id, piece'), 3)} GROUP BY ticket_id),
-v_b AS (SELECT b.ticket_id, b.ticket_comment, b.subject, s.summary, f.first_comment
+ORACLE["ingest_four_sources"] = with_(*TEXT_BASE, sentences_sql(True), reduce_sql()) + f""", v_b AS (SELECT b.ticket_id, b.ticket_comment, b.subject, s.summary, f.first_comment
         FROM v_base b JOIN v_first f USING (ticket_id) LEFT JOIN v_sum s USING (ticket_id))
 SELECT ticket_id, src AS sentence_source, h AS ticket_sentence_hash, CAST({_dim_sql('sentence')} AS INTEGER) AS dim
 FROM (

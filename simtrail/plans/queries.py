@@ -377,18 +377,26 @@ def _base(spark, sf):
 @register("summary_pieces")
 def q_summary_pieces(spark, sf):
     d = _docs(spark, sf)
-    p = d.select("doc_id", F.posexplode_outer(ch.summary_pieces(F.col("text"), separator="\n", size=500)).alias(
+    p = d.select("doc_id", F.posexplode_outer(ch.summary_pieces(F.col("text"), separator="\n", size=500, overlap=100)).alias(
         "piece_no", "piece")).where(F.col("piece").isNotNull())
     return p.select("doc_id", F.col("piece_no").cast("long").alias("piece_no"), F.md5("piece").alias("piece_md5"),
                     F.length("piece").cast("long").alias("piece_len"))
 
 
+# Pieces of the text queries: about a paragraph or two, so that most texts have several; and characters of the partial
+# summaries that need no merging, so that most tickets take two rounds.
+PIECES = {"size": 600, "overlap": 120}
+REDUCE = 400
+SUMMARY = {"budget": REDUCE, **PIECES}
+
+
 @register("split_pieces")
 def q_split_pieces(spark, sf):
     d = _docs(spark, sf)
-    p = d.select("doc_id", F.posexplode_outer(ch.split_pieces(F.col("text"))).alias("piece_no", "piece")).where(
-        F.col("piece").isNotNull())
-    return p.select("doc_id", F.col("piece_no").cast("long").alias("piece_no"), F.length("piece").cast("long").alias("piece_len"))
+    p = d.select("doc_id", F.posexplode_outer(ch.split_pieces(fx.paragraphs(F.col("text")), **PIECES)).alias(
+        "piece_no", "piece")).where(F.col("piece").isNotNull())
+    return p.select("doc_id", F.col("piece_no").cast("long").alias("piece_no"), F.length("piece").cast("long").alias("piece_len"),
+                    F.md5("piece").alias("piece_md5"))
 
 
 @register("chunk_windows")
@@ -421,12 +429,12 @@ def q_summarize_stuff(spark, sf):
 
 @register("summarize_map_reduce")
 def q_summarize_map_reduce(spark, sf):
-    return sm.summarize_map_reduce(_base(spark, sf))
+    return sm.summarize_map_reduce(_base(spark, sf), **SUMMARY)
 
 
 @register("summarize_refine")
 def q_summarize_refine(spark, sf):
-    return sm.summarize_refine(_base(spark, sf))
+    return sm.summarize_refine(_base(spark, sf), **PIECES)
 
 
 @register("ticket_topic")
@@ -447,7 +455,7 @@ def q_union_sources(spark, sf):
 
 @register("fan_out_sources")
 def q_fan_out_sources(spark, sf):
-    f = feeds.four_sources(_base(spark, sf))
+    f = feeds.four_sources(_base(spark, sf), SUMMARY)
     return f.select("ticket_id", "sentence_source", F.md5("sentence").alias("sentence_md5"), "ticket_sentence_hash")
 
 
@@ -466,7 +474,7 @@ def q_feed_chunks(spark, sf):
 
 @register("ingest_four_sources")
 def q_ingest_four_sources(spark, sf):
-    return feeds.ingest_four_sources(_base(spark, sf)).select(
+    return feeds.ingest_four_sources(_base(spark, sf), summary=SUMMARY).select(
         "ticket_id", "sentence_source", "ticket_sentence_hash", F.size("sentence_embedding").alias("dim"))
 
 

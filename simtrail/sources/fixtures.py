@@ -8,7 +8,7 @@ two engines). Rules are listed in FIXTURES.md §3.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from simtrail.sources.io import ensure_parallelism, read_table
@@ -27,13 +27,22 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ensure_parallelism(df) if name in TEXT_TABLES else df
 
 
+def paragraphs(text: Column) -> Column:
+    """The text with every sentence and every line a paragraph of its own (a blank line between)."""
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\n\n")), F.lit(". "), F.lit(".\n\n"))
+
+
+def first_line(text: Column) -> Column:
+    return F.element_at(F.split(text, "\n"), 1)
+
+
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per comment (the warehouse `tickets` table), from `conversations`."""
     c = _t(spark, sf_dir, "conversations")
     return c.select(
         F.col("conv_id").alias("ticket_id"),
-        F.col("text").alias("ticket_comment"),
-        F.substring("text", 1, 60).alias("subject"),
+        paragraphs(F.col("text")).alias("ticket_comment"),
+        first_line(F.col("text")).alias("subject"),
         F.concat(F.lit("mod"), (F.col("conv_id") % 5).cast("string")).alias("module_name"),
         F.concat(F.lit("prod"), (F.col("conv_id") % 3).cast("string")).alias("product_name"),
         F.col("role").alias("ticket_status"),
@@ -62,27 +71,18 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Judged tickets: for ticket_id % 5 = 0, up to 5 smallest other tickets whose subject row
-    has the same label, joined with ', ' in ascending order.
+    """Judged tickets: for ticket_id % 5 = 0, all other tickets of the same hundred of ids whose subject row has the same
+    label, joined with ', ' in ascending order.
 
-    Built without pairing all tickets of a label: only the 6 smallest tickets of a
-    label can be among the 5 smallest *others* of any target, so the join partner
-    per label is bounded by 6 rows.
+    The hundred bounds the pairs of a target by the ids themselves, however many tickets share a label.
     """
-    subj = corpus(spark, sf_dir).where(F.col("sentence_source") == "subject").select("ticket_id", "label")
-    w = Window.partitionBy("label").orderBy("ticket_id")
-    head = (
-        subj.withColumn("rn", F.row_number().over(w))
-        .where(F.col("rn") <= 6)
-        .select("label", F.col("ticket_id").alias("other_id"))
-    )
+    hundred = F.expr("ticket_id div 100")
+    subj = corpus(spark, sf_dir).where(F.col("sentence_source") == "subject").select("ticket_id", "label", hundred.alias("h"))
     targets = subj.where(F.col("ticket_id") % 5 == 0)
-    pairs = targets.join(head, "label").where(F.col("other_id") != F.col("ticket_id"))
+    others = subj.withColumnRenamed("ticket_id", "other_id")
+    pairs = targets.join(others, ["label", "h"]).where(F.col("other_id") != F.col("ticket_id"))
     return pairs.groupBy("ticket_id").agg(
-        F.array_join(
-            F.transform(F.slice(F.sort_array(F.collect_list("other_id")), 1, 5), lambda x: x.cast("string")),
-            ", ",
-        ).alias("expected_id")
+        F.array_join(F.transform(F.sort_array(F.collect_list("other_id")), lambda x: x.cast("string")), ", ").alias("expected_id")
     )
 
 
@@ -100,7 +100,7 @@ def chunks_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         F.col("doc_id").alias("ticket_id"),
         F.col("text").alias("ticket_comment"),
-        F.substring("text", 1, 60).alias("subject"),
+        first_line(F.col("text")).alias("subject"),
         F.col("source").alias("product"),
         F.col("lang").alias("module"),
     )
