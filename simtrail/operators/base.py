@@ -1,7 +1,7 @@
 """Ticket base (K1): one row per ticket from one row per comment (D1, D2, E1, C2, B1),
 the four-source fan-out (G3, H1, H2) and keep-first deduplication (D11).
 
-Everything is one aggregate on ticket_id with map-side partial aggregation;
+Everything is an aggregate on (ticket_id, time slice) and one on ticket_id, both with map-side partial aggregation;
 the earliest comment is an aggregate (min of a (time, text) struct), not a window,
 so a ticket with a huge number of comments is combined partially on every mapper.
 The joined comment text is by definition one value per ticket.
@@ -33,25 +33,31 @@ def first_comment(tickets: DataFrame) -> DataFrame:
     )
 
 
-def ticket_base(tickets: DataFrame, sep: str = COMMENT_SEP) -> DataFrame:
+def ticket_base(tickets: DataFrame, sep: str = COMMENT_SEP, time_slice: str | None = "hour") -> DataFrame:
     """K1: joined comments (ordered by comment time, then text), MAX of the descriptive
-    columns, earliest comment, and typed NULL placeholders for the derived fields."""
+    columns, earliest comment, and typed NULL placeholders for the derived fields.
+
+    The comments are joined in two levels: in order within each (ticket, slice of time), then slice after slice, so a
+    ticket with very many comments is sorted by many tasks and only its joined slices meet in one. ``time_slice`` is a unit
+    of ``date_trunc``; None joins each ticket in one step."""
     if "'" in sep:
         raise ValueError("separator must not contain a quote")
-    joined = F.expr(
-        f"listagg(ticket_comment, '{sep}') WITHIN GROUP (ORDER BY comment_created_at, ticket_comment)"
-    )
-    first = F.min(F.struct(F.col("comment_created_at"), F.col("ticket_comment")))
-    agg = tickets.groupBy("ticket_id").agg(
-        joined.alias("ticket_comment"),
-        F.max("subject").alias("subject"),
-        F.max("module_name").alias("module"),
-        F.max("product_name").alias("product"),
-        F.max("ticket_status").alias("ticket_status"),
-        F.max("created_at").alias("created_at"),
-        F.max("updated_at").alias("updated_at"),
-        first.alias("_f"),
-    )
+
+    def joined(text: str, order: str) -> Column:
+        return F.expr(f"listagg({text}, '{sep}') WITHIN GROUP (ORDER BY {order})").alias("ticket_comment")
+
+    rest = ["subject", "module_name", "product_name", "ticket_status", "created_at", "updated_at"]
+    most = [F.max(c).alias(c) for c in rest]
+    first = F.struct(F.col("comment_created_at"), F.col("ticket_comment"))
+    if time_slice is None:
+        agg = tickets.groupBy("ticket_id").agg(
+            joined("ticket_comment", "comment_created_at, ticket_comment"), *most, F.min(first).alias("_f"))
+    else:
+        sliced = tickets.withColumn("_slice", F.date_trunc(time_slice, F.col("comment_created_at").cast("timestamp")))
+        runs = sliced.groupBy("ticket_id", "_slice").agg(
+            joined("ticket_comment", "comment_created_at, ticket_comment"), *most, F.min(first).alias("_f"))
+        agg = runs.groupBy("ticket_id").agg(joined("ticket_comment", "_slice"), *most, F.min("_f").alias("_f"))
+    agg = agg.withColumnsRenamed({"module_name": "module", "product_name": "product"})
     return agg.select(
         "ticket_id",
         "ticket_comment",

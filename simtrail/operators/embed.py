@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from simtrail.functions.text import let as _let, normalize_tokens
+from simtrail.operators.skew import ROWS_A_TASK, lookup_join
 
 Encoder = Callable[[DataFrame, str, str], DataFrame]
 
@@ -87,16 +88,20 @@ def batch_encoder(model_factory: Callable[[], Callable[[list[str]], list[list[fl
     return enc
 
 
-def embed_unique(df: DataFrame, text_col: str, encoder: Encoder, out_col: str = "sentence_embedding") -> DataFrame:
-    """Encode each distinct text once (D10), then join the vectors back on the text.
+def embed_unique(
+    df: DataFrame, text_col: str, encoder: Encoder, out_col: str = "sentence_embedding", hot_rows: int = ROWS_A_TASK
+) -> DataFrame:
+    """Encode each distinct text once (D10), then look the vectors up by text.
 
-    The join hashes and sorts the text's 64-bit hash; the exact text is compared as a residual
-    condition. NULL texts get a NULL vector (no join partner). Row order of columns: the text first.
+    Copies of a text are dropped in the tasks that read them, before the shuffle. The look-up joins on the text's 64-bit
+    hash with the exact text as a residual condition; a text in more than ``hot_rows`` rows is found by a sketch
+    and its rows are dealt over several tasks (:mod:`simtrail.operators.skew`). NULL texts get a NULL vector. Column order:
+    the text first.
     """
     uniq = df.select(text_col).where(F.col(text_col).isNotNull()).distinct()
-    vecs = encoder(uniq, text_col, out_col).select(
-        F.xxhash64(text_col).alias("_eh"), F.col(text_col).alias("_et"), F.col(out_col).alias(out_col))
-    base = (df.drop(out_col) if out_col in df.columns else df).withColumn("_h", F.xxhash64(text_col))
-    same = (F.col("_h") == F.col("_eh")) & (F.col(text_col) >= F.col("_et")) & (F.col(text_col) <= F.col("_et"))
-    rest = [c for c in base.columns if c not in (text_col, "_h")]
-    return base.join(vecs, same, "left").select(text_col, *rest, out_col)
+    vecs = encoder(uniq, text_col, out_col).select(text_col, out_col)
+    base = df.drop(out_col) if out_col in df.columns else df
+    rest = [c for c in base.columns if c != text_col]
+    # rows of one text differ in their other columns (maps have no hash)
+    spread = [f.name for f in base.schema.fields if f.name in rest and not isinstance(f.dataType, T.MapType)] or [text_col]
+    return lookup_join(base, vecs, text_col, spread, "left", hot_rows).select(text_col, *rest, out_col)

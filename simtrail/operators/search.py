@@ -29,6 +29,7 @@ Skew: rows per target reaching the final window are bounded by (tasks x cells x
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -369,6 +370,7 @@ def vector_search(
     nprobe: int | None = None,
     recall: float = 0.95,
     hit_text: str | None = None,
+    hit_columns: Sequence[str] = (),
     query_row: str | None = None,
 ) -> DataFrame:
     """Top-k candidate tickets per target, or per query row with ``query_row``, by best-of-rows score.
@@ -389,7 +391,8 @@ def vector_search(
     different lengths raise; a score that is not a number is no hit.
 
     With ``hit_text`` (a corpus text column) the result also has ``hit_text``: the text of
-    the ticket's best-scoring row (ties: the smallest text).
+    the ticket's best-scoring row (ties: the smallest text), and ``hit_columns`` the same row's values in further corpus
+    columns (ties: the smallest in their order), each named ``hit_<column>``.
 
     With ``ivf`` (see :func:`build_ivf`) each query scores only the rows of its ``nprobe``
     nearest lists; without ``nprobe`` it is measured by :func:`enough_lists` so that the probed
@@ -430,12 +433,13 @@ def vector_search(
     ranked = top_k_per_target(cand.groupBy(*keys, "ticket_id").agg(F.max("score").alias("score")), k, keys=keys)
     if not hit_text:
         return ranked
+    further = [F.col(x).alias(f"hit_{x}") for x in hit_columns]
     rows = corpus.select(
         F.col(corpus_id).cast("long").alias("ticket_id"), F.col(corpus_vec).alias("_c"), F.col(hit_text).cast("string").alias("_h"),
         (F.col("product") if filters.needs_product else F.lit(None).cast("string")).alias("_cp"),
-        (F.col("module") if filters.needs_module else F.lit(None).cast("string")).alias("_cm"),
+        (F.col("module") if filters.needs_module else F.lit(None).cast("string")).alias("_cm"), *further,
     )
-    return _with_hit_text(ranked, q, rows, metric, filters, decimals, keys)
+    return _with_hit_row(ranked, q, rows, metric, filters, decimals, keys, [f"hit_{x}" for x in hit_columns])
 
 
 def _rescored(
@@ -470,16 +474,18 @@ def _rescored(
     return j.where(seen).withColumn("_s", F.round(score, decimals))
 
 
-def _with_hit_text(
+def _with_hit_row(
     ranked: DataFrame, q: DataFrame, rows: DataFrame, metric: str, filters: FilterSpec, decimals: int, keys: list[str],
+    further: list[str],
 ) -> DataFrame:
-    """The text of the best-scoring visible row of each ranked ticket (ties: the smallest text), joined on after the
-    cut: only the rows of the k tickets of each target are scored again, so no text goes through Python."""
+    """The text (and further columns) of the best-scoring visible row of each ranked ticket (ties: the smallest text), joined on
+    after the cut: only the rows of the k tickets of each target are scored again, so no text goes through Python."""
     j = _rescored(ranked, q, rows, metric, filters, decimals, keys)
-    best = F.min(F.struct((-F.coalesce("_s", F.lit(float("-inf")))).alias("s"), F.col("_h").isNull().alias("n"), F.col("_h").alias("h")))
+    worst = F.coalesce("_s", F.lit(float("-inf")))
+    best = F.min(F.struct((-worst).alias("s"), F.col("_h").isNull().alias("n"), F.col("_h").alias("h"), *further))
     return (
         j.groupBy(*keys, "ticket_id", "score", "rank").agg(best.alias("_b"))
-        .select(*keys, "ticket_id", "score", F.col("_b.h").alias("hit_text"), "rank")
+        .select(*keys, "ticket_id", "score", F.col("_b.h").alias("hit_text"), *[F.col(f"_b.{x}") for x in further], "rank")
     )
 
 

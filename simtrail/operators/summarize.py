@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from simtrail.functions.text import clean_output, extract_topic, let, normalize_tokens, strip_ws, wrap_text
 from simtrail.operators.chunk import split_pieces
+from simtrail.operators.skew import ROWS_A_TASK, lookup_join
 
 SENTENCE_SPLIT = "[.\\n]+"
 SUMMARY_JOIN = ". "
@@ -134,12 +135,15 @@ def ticket_topic(df: DataFrame, key: str = "ticket_id", text: str = "ticket_comm
     return best.select(key, extract_topic(F.col("sentence")).alias("topic"))
 
 
-def ticket_keywords(df: DataFrame, key: str = "ticket_id", text: str = "ticket_comment", n: int = 8) -> DataFrame:
-    """I7 + H4: TF-IDF keywords per ticket (document frequency over all tickets)."""
+def ticket_keywords(df: DataFrame, key: str = "ticket_id", text: str = "ticket_comment", n: int = 8,
+                    hot_rows: int = ROWS_A_TASK) -> DataFrame:
+    """I7 + H4: TF-IDF keywords per ticket (document frequency over all tickets).
+
+    A token in more than ``hot_rows`` tickets is dealt over several tasks when its frequency is looked up."""
     tf = term_counts(df, key, text)
     n_docs = df.select(key).distinct().agg(F.count(F.lit(1))).scalar()  # scalar subquery
     dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    w = tf.join(dfreq, "token").select(
+    w = lookup_join(tf, dfreq, "token", [key], "inner", hot_rows).select(
         key, "token",
         F.round(F.col("tf") * F.log((n_docs + 1) / (F.col("df") + 1)), 6).alias("weight"))
     win = Window.partitionBy(key).orderBy(F.col("weight").desc(), F.col("token").asc())

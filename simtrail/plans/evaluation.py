@@ -8,8 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from simtrail.operators.embed import Encoder, embed_unique, hashed_encoder
 from simtrail.operators.evaluate import attach_judgments, check_unique_targets, hit_rate_at_k, recall_at_k
 from simtrail.operators.search import FilterSpec, vector_search
+from simtrail.session import stage
 
 
 def query_set(
@@ -113,3 +115,32 @@ def interactive_search(
         threshold=threshold_percent / 100.0,
         inclusive=False,
     )
+
+
+def text_search(
+    queries: DataFrame,
+    corpus: DataFrame,
+    encoder: Encoder | None = None,
+    k: int = 20,
+    threshold_percent: float = 65,
+    metric: str = "cosine",
+    match: str = "literal",
+    text_col: str = "query",
+    hit_columns: Sequence[str] = ("product", "module"),
+) -> DataFrame:
+    """K5 from texts: (ticket_id, query text, product, module) rows are encoded (each distinct text once), searched as in
+    :func:`interactive_search`, and each hit comes with its own columns.
+
+    Columns: target, query, ticket_id, score, hit_sentence (text of the ticket's best row), hit_<column> for
+    ``hit_columns`` of that row, rank. A text without a vector (NULL, no token) finds nothing.
+    """
+    # written once: the search reads its queries several times
+    asked = stage(embed_unique(queries, text_col, encoder or hashed_encoder()), "asked")
+    found = vector_search(asked, corpus, k=k, metric=metric, filters=FilterSpec(interactive=True, match=match),
+                          threshold=threshold_percent / 100.0, hit_text="sentence", hit_columns=hit_columns)
+    if "hit_text" not in found.columns:  # no query has a vector
+        found = found.select("*", F.lit(None).cast("string").alias("hit_text"),
+                             *[F.lit(None).cast(corpus.schema[c].dataType).alias(f"hit_{c}") for c in hit_columns])
+    texts = queries.groupBy(F.col("ticket_id").cast("long").alias("target")).agg(F.min(text_col).alias("query"))
+    return found.join(texts, "target").select(
+        "target", "query", "ticket_id", "score", F.col("hit_text").alias("hit_sentence"), *[f"hit_{c}" for c in hit_columns], "rank")

@@ -82,6 +82,10 @@ LOCALES = """v_locales AS (
   FROM documents)"""
 
 
+# As in the query with bound parameters.
+HOSTILE = "x' OR '1'='1' --"
+
+
 def with_(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
@@ -340,6 +344,13 @@ ORACLE["decode_records"] = """SELECT event_id, CAST(json_extract(props, '$.k') A
   CAST(json_extract(props, '$.k') AS BIGINT) AS key,
   CAST(json_extract(props, '$.k') AS BIGINT) AS map_k,
   CAST(len(json_keys(props)) AS BIGINT) AS n_keys FROM events"""
+_EV_AT = "strftime(ts, '%Y-%m-%dT%H:%M:%S')"
+ORACLE["decode_nested"] = f"""SELECT event_id, substring({_EV_AT}, 1, 10) AS on_day,
+  try_strptime({_EV_AT}, '%Y-%m-%dT%H:%M:%S') AS at_time,
+  CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'a b|' || event_type END AS tags,
+  event_id % 11 AS k, CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'né "' || event_id || '"' END AS note,
+  CAST(CASE WHEN event_id % 5 = 0 THEN 0 ELSE 3 END AS BIGINT) AS n_items,
+  CASE WHEN event_id % 5 = 0 THEN 0 ELSE 1 + event_id % 7 END AS items_sum FROM events"""
 ORACLE["parse_datetimes"] = """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts_text,
   try_strptime(strftime(ts, '%Y-%m-%dT%H:%M:%S'), '%Y-%m-%dT%H:%M:%S') AS parsed_ts,
   CAST(CAST(try_strptime(substring(strftime(ts, '%Y-%m-%dT%H:%M:%S'), 1, 10), '%Y-%m-%d') AS DATE) AS VARCHAR) AS parsed_date
@@ -354,12 +365,21 @@ def _prompt_sql(x: str) -> str:
     return f"replace({sql_str(PROMPT)}, '{{text}}', {x})"
 
 
-ORACLE["prompt_column"] = with_(TICKETS) + f"""SELECT ticket_id, count(*) AS n_prompts,
-  CAST(sum(length({_prompt_sql('ticket_comment')})) AS BIGINT) AS prompt_chars FROM v_tickets GROUP BY ticket_id"""
+ORACLE["prompt_column"] = with_(TICKETS) + f"""SELECT ticket_id, updated_at, md5({_prompt_sql('ticket_comment')}) AS prompt_md5,
+  CAST(length({_prompt_sql('ticket_comment')}) AS BIGINT) AS prompt_chars FROM v_tickets"""
+ORACLE["select_bound"] = with_(TICKETS) + f"""SELECT ticket_id, subject, module_name, updated_at FROM v_tickets
+  WHERE module_name = 'mod1' AND ticket_status <> {sql_str(HOSTILE)} AND ticket_id >= 10"""
+ORACLE["sample_n"] = with_(TICKETS) + """SELECT ticket_id, ticket_status, md5(ticket_comment) AS comment_md5 FROM v_tickets
+  ORDER BY md5(concat_ws(chr(31), '7', coalesce(CAST(ticket_id AS VARCHAR), chr(9216)), coalesce(ticket_status, chr(9216)),
+                         coalesce(ticket_comment, chr(9216)))), ticket_id, ticket_status, ticket_comment LIMIT 5"""
 ORACLE["dedup_keep_first"] = with_(CATALOGUE) + """SELECT product, module, homolog, ord FROM (
   SELECT *, row_number() OVER (PARTITION BY product, module ORDER BY ord) AS rn FROM v_catalogue) WHERE rn = 1"""
-ORACLE["judgments_load"] = with_(CORPUS, JUDGMENTS) + """SELECT TRY_CAST(CAST(ticket_id AS VARCHAR) AS BIGINT) AS ticket_id,
-  expected_id FROM v_judgments"""
+ORACLE["judgments_load"] = with_(CORPUS, JUDGMENTS, """v_raw AS (
+  SELECT CASE WHEN ticket_id % 35 = 0 THEN 'T-' || ticket_id WHEN ticket_id % 20 = 0 THEN ' ' || ticket_id || ' '
+              WHEN ticket_id % 55 = 0 THEN NULL WHEN ticket_id % 65 = 0 THEN ticket_id || '.5'
+              ELSE CAST(ticket_id AS VARCHAR) END AS raw_id, expected_id FROM v_judgments)""") + """SELECT raw_id,
+  CASE WHEN regexp_full_match(trim(raw_id), '[0-9]+') THEN CAST(trim(raw_id) AS BIGINT) END AS ticket_id, expected_id,
+  CASE WHEN raw_id IS NULL THEN 'no id' WHEN NOT regexp_full_match(trim(raw_id), '[0-9]+') THEN 'bad id' END AS problem FROM v_raw"""
 ORACLE["per_product_counts"] = with_(ARTICLES) + "SELECT product, count(*) AS n FROM v_articles GROUP BY product"
 
 # ---- sync
@@ -569,23 +589,47 @@ ORACLE["summarize_refine"] = with_(*TEXT_BASE, sentences_sql(True), REFINE_SQL)
 GROUP BY ticket_id"""
 
 
-def _dim_sql(x: str) -> str:
-    return f"CASE WHEN {x} IS NOT NULL AND len({tokens_sql(x)}) > 0 THEN 64 END"
-
-
-ORACLE["feed_summary"] = with_(*TEXT_BASE, sentences_sql(False), TOPIC_SQL, KEYWORDS_SQL) + f"""SELECT ticket_id,
-  sentence_source, md5(CAST(ticket_id AS VARCHAR) || sentence) AS ticket_sentence_hash,
-  CAST({_dim_sql('sentence')} AS INTEGER) AS dim FROM (
+DIGEST = """CAST(len(v) AS INTEGER) AS dim, round(list_sum(v), 6) AS vsum,
+  round(list_sum(list_transform(v, lambda x, i: x * i)), 6) AS vplace"""
+FEED_SQL = """v_feed AS (
   SELECT ticket_id, 'summary' AS sentence_source, topic AS sentence FROM v_topic
   UNION ALL SELECT ticket_id, 'keywords', keywords FROM v_kw
   UNION ALL SELECT ticket_id, 'subject', subject FROM v_bt)"""
-ORACLE["ingest_four_sources"] = with_(*TEXT_BASE, sentences_sql(True), reduce_sql()) + f""", v_b AS (SELECT b.ticket_id, b.ticket_comment, b.subject, s.summary, f.first_comment
-        FROM v_base b JOIN v_first f USING (ticket_id) LEFT JOIN v_sum s USING (ticket_id))
-SELECT ticket_id, src AS sentence_source, h AS ticket_sentence_hash, CAST({_dim_sql('sentence')} AS INTEGER) AS dim
-FROM (
-  SELECT ticket_id, 'ticket_comment' AS src, ticket_comment AS sentence,
+_SOURCE_HASH = "md5(CAST(ticket_id AS VARCHAR) || sentence)"
+ORACLE["feed_summary"] = with_(*TEXT_BASE, sentences_sql(False), TOPIC_SQL, KEYWORDS_SQL, FEED_SQL) + f"""SELECT ticket_id,
+  sentence_source, {_SOURCE_HASH} AS ticket_sentence_hash, {DIGEST}
+FROM {hashed_vectors_sql('v_feed', 'ticket_id, sentence_source, sentence', 'sentence')}"""
+FOUR_SQL = """v_b AS (SELECT b.ticket_id, b.ticket_comment, b.subject, s.summary, f.first_comment
+        FROM v_base b JOIN v_first f USING (ticket_id) LEFT JOIN v_sum s USING (ticket_id)),
+v_four AS (
+  SELECT ticket_id, 'ticket_comment' AS sentence_source, ticket_comment AS sentence,
          md5(CAST(ticket_id AS VARCHAR) || ticket_comment) AS h FROM v_b
   UNION ALL SELECT ticket_id, 'subject', subject, md5(CAST(ticket_id AS VARCHAR) || subject) FROM v_b
   UNION ALL SELECT ticket_id, 'summary', summary, md5(CAST(ticket_id AS VARCHAR) || summary) FROM v_b
   UNION ALL SELECT ticket_id, 'first_comment', first_comment,
                    md5(CAST(ticket_id AS VARCHAR) || first_comment || summary) FROM v_b)"""
+ORACLE["ingest_four_sources"] = with_(*TEXT_BASE, sentences_sql(True), reduce_sql(), FOUR_SQL) + f"""SELECT ticket_id,
+  sentence_source, h AS ticket_sentence_hash, {DIGEST}
+FROM {hashed_vectors_sql('v_four', 'ticket_id, sentence_source, h', 'sentence')}"""
+
+ORACLE["search_text"] = f"""WITH q AS (
+  SELECT a.doc_id, string_split(a.text, chr(10))[1] AS query, a.source, a.lang FROM documents a WHERE a.doc_id % 25 = 0),
+qv AS (SELECT q.*, x.v FROM q JOIN {hashed_vectors_sql('q', 'doc_id', 'query')} x USING (doc_id) WHERE x.v IS NOT NULL),
+cv AS (SELECT d.*, x.v FROM documents d JOIN {hashed_vectors_sql('documents', 'doc_id', 'text')} x USING (doc_id)
+       WHERE x.v IS NOT NULL),
+hits AS (
+  SELECT q.doc_id AS target, q.query, c.doc_id AS ticket_id, list_cosine_similarity(q.v, c.v) AS raw, c.text, c.source, c.lang
+  FROM qv q JOIN cv c ON c.doc_id <> q.doc_id AND (starts_with(c.source, q.source) OR contains(c.lang, q.lang)))
+SELECT target, query, ticket_id, round(raw, 6) AS score, source AS hit_product, lang AS hit_module, md5(text) AS hit_md5,
+       row_number() OVER (PARTITION BY target ORDER BY round(raw, 6) DESC, ticket_id) AS rank
+FROM hits WHERE raw > 0.517 QUALIFY rank <= 20"""
+
+
+def rejoin_sql(src: str) -> str:
+    return f"""SELECT ticket_id, CAST(len(w) AS BIGINT) AS n_words, true AS within_budget, md5(array_to_string(w, ' ')) AS words_md5
+FROM (SELECT ticket_id, list_filter(regexp_split_to_array(ticket_comment, '\\s+'), lambda t: t <> '') AS w FROM {src})
+WHERE len(w) > 0"""
+
+
+ORACLE["chunk_recursive_rejoin"] = with_(CHUNKS) + rejoin_sql("v_chunks")
+ORACLE["feed_chunks_rejoin"] = with_(*TEXT_BASE) + rejoin_sql("v_bt")

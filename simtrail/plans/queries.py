@@ -167,6 +167,9 @@ from simtrail.functions import text as tx  # noqa: E402
 from simtrail.operators import base as bs  # noqa: E402
 from simtrail.operators import embed as em  # noqa: E402
 from simtrail.operators import sync as sy  # noqa: E402
+from simtrail.plans import judgment_job as jj  # noqa: E402
+from simtrail.session import stage  # noqa: E402
+from simtrail.sources import io  # noqa: E402
 
 BASE_COLS = ["ticket_id", "ticket_comment", "subject", "summary", "ticket_sentence_hash", "module", "product",
              "sentence_source", "ticket_status", "created_at", "updated_at", "first_comment"]
@@ -233,6 +236,18 @@ def q_decode_records(spark, sf):
                     mp["k"].alias("map_k"), F.size(mp).cast("long").alias("n_keys"))
 
 
+@register("decode_nested")
+def q_decode_nested(spark, sf):
+    e = fx.nested_json(spark, sf)
+    layout = "id BIGINT, on DATE, at TIMESTAMP_NTZ, tags ARRAY<STRING>, inner STRUCT<k: BIGINT, note: STRING>, items ARRAY<STRUCT<n: INT>>"
+    d = tx.decode_json(F.col("record"), layout, rename={"id": "event_id", "inner": "detail"})
+    return e.select(
+        d["event_id"].alias("event_id"), d["on"].cast("string").alias("on_day"), d["at"].alias("at_time"),
+        F.array_join(d["tags"], "|").alias("tags"), d["detail"]["k"].alias("k"), d["detail"]["note"].alias("note"),
+        F.size(d["items"]).cast("long").alias("n_items"),
+        F.aggregate(d["items"], F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x["n"], F.lit(0))).alias("items_sum"))
+
+
 @register("parse_datetimes")
 def q_parse_datetimes(spark, sf):
     e = fx.json_events(spark, sf)
@@ -248,15 +263,27 @@ def q_shrink_long(spark, sf):
                     F.md5("sentence").alias("sentence_md5"), "product", "tags")
 
 
+HOSTILE = "x' OR '1'='1' --"
 PROMPT = "Summarise the following support conversation:\n\n{text}\n\nSUMMARY:"
 
 
 @register("prompt_column")
 def q_prompt_column(spark, sf):
-    t = fx.tickets(spark, sf)
-    return t.select("ticket_id", F.col("ticket_comment").alias("_t")).select(
-        "ticket_id", tx.prompt_column(PROMPT, F.col("_t")).alias("prompt")).groupBy("ticket_id").agg(
-        F.count(F.lit(1)).alias("n_prompts"), F.sum(F.length("prompt")).cast("long").alias("prompt_chars"))
+    t = fx.tickets(spark, sf).select("ticket_id", "updated_at", tx.prompt_column(PROMPT, F.col("ticket_comment")).alias("prompt"))
+    return t.select("ticket_id", "updated_at", F.md5("prompt").alias("prompt_md5"),
+                    F.length("prompt").cast("long").alias("prompt_chars"))
+
+
+@register("select_bound")
+def q_select_bound(spark, sf):
+    """A2: bound values, one of them written like an injection."""
+    return io.select(
+        spark,
+        "SELECT ticket_id, subject, module_name, updated_at FROM {tickets} "
+        "WHERE module_name = :module AND ticket_status <> :status AND ticket_id >= :least",
+        {"module": "mod1", "status": HOSTILE, "least": 10},
+        tickets=fx.tickets(spark, sf),
+    )
 
 
 @register("dedup_keep_first")
@@ -266,8 +293,8 @@ def q_dedup_keep_first(spark, sf):
 
 @register("judgments_load")
 def q_judgments_load(spark, sf):
-    raw = fx.judgments(spark, sf).select(F.col("ticket_id").cast("string").alias("ticket_id"), "expected_id")
-    return raw.select(F.col("ticket_id").try_cast("bigint").alias("ticket_id"), "expected_id")
+    loaded = jj.parse_judgments(fx.judgments_text(spark, sf))
+    return loaded.select("raw_id", "ticket_id", "expected_id", "problem")
 
 
 @register("per_product_counts")
@@ -370,6 +397,14 @@ from simtrail.operators import summarize as sm  # noqa: E402
 from simtrail.plans import feeds  # noqa: E402
 
 
+def _vector_digest(col="sentence_embedding"):
+    """Length, sum and place-weighted sum of a vector (NULL for NULL)."""
+    v = F.col(col)
+    total = lambda x: F.round(F.aggregate(x, F.lit(0.0), lambda a, y: a + y), 6)
+    return [F.when(v.isNotNull(), F.size(v)).alias("dim"), total(v).alias("vsum"),
+            total(F.transform(v, lambda x, i: x * (i + 1))).alias("vplace")]
+
+
 def _base(spark, sf):
     return bs.ticket_base(fx.tickets(spark, sf))
 
@@ -462,7 +497,7 @@ def q_fan_out_sources(spark, sf):
 @register("feed_summary")
 def q_feed_summary(spark, sf):
     return feeds.feed_summary(_base(spark, sf)).select(
-        "ticket_id", "sentence_source", "ticket_sentence_hash", F.size("sentence_embedding").alias("dim"))
+        "ticket_id", "sentence_source", "ticket_sentence_hash", *_vector_digest())
 
 
 @register("feed_chunks")
@@ -475,12 +510,13 @@ def q_feed_chunks(spark, sf):
 @register("ingest_four_sources")
 def q_ingest_four_sources(spark, sf):
     return feeds.ingest_four_sources(_base(spark, sf), summary=SUMMARY).select(
-        "ticket_id", "sentence_source", "ticket_sentence_hash", F.size("sentence_embedding").alias("dim"))
+        "ticket_id", "sentence_source", "ticket_sentence_hash", *_vector_digest())
 
 
 @register("sample_n")
 def q_sample_n(spark, sf):
-    return feeds.sample_n(fx.tickets(spark, sf), 5, seed=7).select("ticket_id", "ticket_status")
+    sample = feeds.sample_n(fx.tickets(spark, sf), 5, seed=7, columns=["ticket_id", "ticket_status", "ticket_comment"])
+    return sample.select("ticket_id", "ticket_status", F.md5("ticket_comment").alias("comment_md5"))
 
 
 @register("vector_topk_ivf")
@@ -500,3 +536,33 @@ def q_vector_topk_ivf_all(spark, sf):
 
     idx = store_ivf(build_ivf(fx.corpus(spark, sf), n_lists=8, seed=3), new_stage_dir(spark, "ivf"))
     return vector_search(fx.query_subject(spark, sf), idx.corpus, k=K, ivf=idx, nprobe=8)
+
+
+@register("search_text")
+def q_search_text(spark, sf):
+    """Texts encoded and searched in one call; every hit with its own columns."""
+    texts = fx.chunks_source(spark, sf).withColumnRenamed("ticket_comment", "sentence")
+    c = stage(em.embed_unique(texts, "sentence", em.hashed_encoder()), "search-corpus")
+    # a threshold that no cosine of two short count vectors equals (0.5 is one: the engines' last digits would decide)
+    f = evp.text_search(fx.text_queries(spark, sf), c, k=K, threshold_percent=51.7)
+    return f.withColumn("hit_md5", F.md5("hit_sentence")).drop("hit_sentence")
+
+
+def _rejoined(chunks, text):
+    """Per ticket: chunks, words, most words of a chunk, and a digest of all words in order."""
+    words = F.array_remove(F.split(F.col(text), r"\s+"), "")
+    per = chunks.select("ticket_id", "chunk_index", F.array_join(words, " ").alias("w"), F.size(words).alias("n"))
+    joined = F.expr("listagg(w, ' ') WITHIN GROUP (ORDER BY chunk_index)")
+    return per.groupBy("ticket_id").agg(
+        F.sum("n").cast("long").alias("n_words"), (F.max("n") <= ch.CHUNK_TOKENS).alias("within_budget"), F.md5(joined).alias("words_md5"))
+
+
+@register("chunk_recursive_rejoin")
+def q_chunk_recursive_rejoin(spark, sf):
+    c = ch.recursive_chunks(fx.chunks_source(spark, sf).select("ticket_id", "ticket_comment"), "ticket_comment")
+    return _rejoined(c.select("ticket_id", F.posexplode("chunks").alias("chunk_index", "chunk")), "chunk")
+
+
+@register("feed_chunks_rejoin")
+def q_feed_chunks_rejoin(spark, sf):
+    return _rejoined(feeds.feed_chunks(_base(spark, sf)), "chunk")

@@ -86,6 +86,20 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def judgments_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The judgments as an unchecked upload (raw_id, expected_id): ids as text, some of them padded, some no number."""
+    i = F.col("ticket_id")
+    text = i.cast("string")
+    raw = (
+        F.when(i % 35 == 0, F.concat(F.lit("T-"), text))
+        .when(i % 20 == 0, F.concat(F.lit(" "), text, F.lit(" ")))
+        .when(i % 55 == 0, F.lit(None).cast("string"))
+        .when(i % 65 == 0, F.concat(text, F.lit(".5")))
+        .otherwise(text)
+    )
+    return judgments(spark, sf_dir).select(raw.alias("raw_id"), "expected_id")
+
+
 def query_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subject rows of the judged tickets: the query set of the batch evaluation."""
     c = corpus(spark, sf_dir).where(F.col("sentence_source") == "subject")
@@ -110,6 +124,12 @@ def _tags_json(a: Column, b: Column) -> Column:
     return F.concat(F.lit('["'), a, F.lit('","'), b, F.lit('"]'))
 
 
+def text_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches typed by a user, from `documents`: the first line of every 25th, its product and language."""
+    c = chunks_source(spark, sf_dir)
+    return c.where(F.col("ticket_id") % 25 == 0).select("ticket_id", F.col("subject").alias("query"), "product", "module")
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incoming knowledge-base articles (the sync input), from `documents`."""
     d = _t(spark, sf_dir, "documents")
@@ -175,6 +195,20 @@ def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", "ts", "event_type", "props")
 
 
+def nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON record an event with a date, a time, lists and a nested object; some parts missing or null."""
+    i, text = F.col("event_id"), F.col("event_id").cast("string")
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    tags = F.when(i % 3 == 0, F.lit("[]")).when(i % 3 == 1, F.lit("null")).otherwise(
+        F.concat(F.lit('["a b","'), F.col("event_type"), F.lit('"]')))
+    note = F.when(i % 4 == 0, F.lit("")).otherwise(F.concat(F.lit(',"note":"n\\u00e9 \\"'), text, F.lit('\\""')))
+    items = F.when(i % 5 == 0, F.lit("[]")).otherwise(F.concat(F.lit('[{"n":1},{"n":'), (i % 7).cast("string"), F.lit("},{}]")))
+    record = F.concat(
+        F.lit('{"id":'), text, F.lit(',"on":"'), F.substring(at, 1, 10), F.lit('","at":"'), at, F.lit('","tags":'), tags,
+        F.lit(',"inner":{"k":'), (i % 11).cast("string"), note, F.lit('},"items":'), items, F.lit("}"))
+    return _t(spark, sf_dir, "events").select("event_id", "event_type", record.alias("record"))
+
+
 def vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current article vector table: the existing (id, sentence) pairs with their attributes
     (the document with doc_id = id % 1000000; flag = doc_id % 3 = 1)."""

@@ -24,9 +24,12 @@ def read_table(
 ) -> DataFrame:
     """A1/A2: read a table by path (parquet by default), catalog name, or any format.
 
-    ``name`` containing a ``/`` or ending in a file suffix is treated as a path.
+    ``name`` containing a ``/`` or ending in a file suffix is treated as a path. With ``fmt="jdbc"`` it is the database's
+    table (``dbtable``), or a statement when it holds a blank (``query``); url, driver and partitioning go in ``options``.
     """
     options = dict(options or {})
+    if fmt == "jdbc":
+        return spark.read.format("jdbc").options(**jdbc_options(name, options)).load()
     is_path = "/" in name or name.endswith((".parquet", ".csv", ".json", ".orc"))
     if not is_path and fmt is None:
         return spark.read.table(name)
@@ -36,6 +39,19 @@ def read_table(
     return reader.format(fmt or "parquet").load(name)
 
 
+def jdbc_options(name: str, options: Mapping[str, str]) -> dict[str, str]:
+    """The options with what is to be read: a statement (a name with a blank) or a table."""
+    if "dbtable" in options or "query" in options:
+        return dict(options)
+    return {**options, "query" if " " in name.strip() else "dbtable": name.strip()}
+
+
+def select(spark: SparkSession, statement: str, params: Mapping[str, object] | None = None, **tables: DataFrame) -> DataFrame:
+    """A2: a SELECT with bound parameters: ``:name`` in the statement takes ``params["name"]`` as a value, never as SQL text;
+    ``{name}`` stands for a table given as a DataFrame. An unbound or unknown name raises."""
+    return spark.sql(statement, args=dict(params or {}), **tables)
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """A3: append every column of ``df`` to a table (by name)."""
     w = df.write.mode("append").format(fmt)
@@ -54,6 +70,31 @@ def save(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet"
     w.save(path)
 
 
+def save_table(df: DataFrame, name: str, mode: str = "fail", fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+    """A6/A10 on a catalog table: "fail" creates it (and raises if it is there), "append" adds the rows by column name and
+    creates it if need be, "replace" gives it the rows and columns of ``df``, "ignore" leaves an existing one alone."""
+    if mode not in ("fail", "append", "replace", "ignore"):
+        raise ValueError(f"unknown mode {mode!r}")
+    spark = df.sparkSession
+    there = spark.catalog.tableExists(name)
+    if mode == "append" and there:
+        df.writeTo(name).append()  # by name: missing or extra columns raise
+        return
+    if mode == "ignore" and there:
+        return
+    if mode == "replace" and there:
+        w = df.write.mode("overwrite").format(fmt)
+        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
+        return
+    made = df.writeTo(name).using(fmt)
+    (made.partitionedBy(*[F.col(c) for c in partition_by]) if partition_by else made).create()
+
+
+def clear_table(spark: SparkSession, name: str) -> None:
+    """A5 on a catalog table: all rows go, the table stays."""
+    spark.sql(f"TRUNCATE TABLE {name}")
+
+
 def truncate(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
     """A5: delete all rows of a table, keeping its schema (overwrite with an empty frame)."""
     current = spark.read.format(fmt).load(path)

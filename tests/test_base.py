@@ -46,3 +46,34 @@ def test_dedup_keep_first_and_min(spark):
     b = sorted(bs.dedup_keep_min(df, ["product", "module"], ["ord"]).collect())
     assert a == b and len(a) == 2
     assert [r.homolog for r in a if r.product == "p"] == [False]
+
+
+def test_hot_ticket_is_joined_slice_by_slice(spark):
+    """A third of all comments in one ticket; both ways of joining agree, and only joined slices meet in one task."""
+    day = "timestamp_ntz'2024-03-31 00:00:00'"
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 400 + 10).alias("ticket_id"),
+        F.when(F.col("id") % 50 == 0, None).otherwise(F.concat(F.lit("c"), F.col("id").cast("string"))).alias("ticket_comment"),
+        F.lit("s").alias("subject"), F.lit("m").alias("module_name"), F.lit("p").alias("product_name"),
+        (F.col("id") % 5).cast("string").alias("ticket_status"),
+        F.expr(f"{day} + make_dt_interval(0, 0, id)").alias("created_at"),
+        F.expr(f"{day} + make_dt_interval(0, 0, id % 77)").alias("updated_at"),
+        F.expr(f"if(id % 41 = 0, null, {day} + make_dt_interval(0, 0, (id * 7919) % 3000, 0))").alias("comment_created_at"),
+    ).repartition(6)
+    two, one = bs.ticket_base(rows), bs.ticket_base(rows, time_slice=None)
+    assert two.schema == one.schema
+    assert {tuple(r) for r in two.collect()} == {tuple(r) for r in one.collect()}
+    hot = rows.where("ticket_id = 7").groupBy(F.date_trunc("hour", "comment_created_at")).count()
+    most = hot.agg(F.max("count")).first()[0]
+    assert hot.count() > 40 and most < 150  # of 3,000
+    assert "_slice" in two._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ticket_without_comments_or_times(spark):
+    schema = ("ticket_id long, ticket_comment string, subject string, module_name string, product_name string, ticket_status string, "
+              "created_at timestamp_ntz, updated_at timestamp_ntz, comment_created_at timestamp_ntz")
+    df = spark.createDataFrame([(1, None, None, None, None, None, None, None, None), (2, "b", "s", "m", "p", "o", None, None, None),
+                                (2, "a", "t", "m", "p", "o", None, None, None)], schema)
+    got = {r.ticket_id: (r.ticket_comment, r.subject, r.first_comment) for r in bs.ticket_base(df).collect()}
+    assert got == {1: (None, None, None), 2: ("a" + bs.COMMENT_SEP + "b", "t", "a")}
+    assert bs.ticket_base(df.limit(0)).count() == 0
