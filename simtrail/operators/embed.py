@@ -3,8 +3,8 @@
 An *encoder* turns a DataFrame with a text column into the same rows plus a
 vector column. Two kinds are provided:
 
-* :func:`hashed_encoder` — model-free hashed bag of words as pure column
-  functions (row-local, no shuffle, identical in SQL so it can be checked);
+* :func:`hashed_encoder` — model-free hashed bag of words (row-local Arrow batches, no
+  shuffle, a fixed rule that SQL can check);
 * :func:`batch_encoder` — any Python batch model (a callable on a list of texts)
   run over Arrow batches with ``mapInPandas``; model loading happens once per task.
 
@@ -13,52 +13,74 @@ vector column. Two kinds are provided:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import hashlib
+import re
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from simtrail.functions.text import let as _let, normalize_tokens
+from simtrail.functions.text import ACCENT_FROM, ACCENT_MULTI, ACCENT_TO, DEFAULT_STOPWORDS
 from simtrail.operators.skew import ROWS_A_TASK, lookup_join
 
 Encoder = Callable[[DataFrame, str, str], DataFrame]
 
+# Accent folding as a translation, tokens of a folded word, and words remembered per task.
+FOLD = {ord(a): b for a, b in [*ACCENT_MULTI, *zip(ACCENT_FROM, ACCENT_TO, strict=True)]}
+TOKEN = re.compile("[0-9a-zA-Z]+")
+REMEMBERED_WORDS = 200_000
 
-def hashed_buckets(text: Column, dim: int = 64, stopwords: Iterable[str] | None = None) -> Column:
-    """Bucket of every normalised token: first 8 hex digits of md5(token) as an integer, mod dim."""
-    toks = normalize_tokens(text, stopwords)
-    return F.transform(toks, lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long"), F.lit(dim)))
 
+class _WordBuckets(dict):
+    """Buckets of the tokens inside one blank-separated word, remembered per task (words repeat far more than they differ).
 
-def hashed_vector(text: Column, dim: int = 64, stopwords: Iterable[str] | None = None) -> Column:
-    """I8 default: token counts per bucket divided by their L2 norm; NULL for text without tokens.
+    A token is a run of letters and digits of the accent-folded word, as in ``normalize_tokens``: no token crosses white
+    space, so a text's tokens are those of its words."""
 
-    Each token's bucket is written as two characters (one for its hundreds, from code 48 on, one for
-    the rest, from code 150 on: two separate ranges below 256) of a code string, so the per-bucket
-    counts are native string operations (length before and after removing the two characters) with no
-    per-element lambda and no array copies. Up to 10,000 buckets.
-    """
-    if not 0 < dim <= 10_000:
-        raise ValueError("hashed_vector supports 1 to 10,000 buckets")
+    def __init__(self, dim: int, stopwords: Iterable[str]):
+        super().__init__()
+        self.dim, self.stopwords = dim, frozenset(stopwords)
 
-    def code(b: Column) -> Column:
-        return F.concat(F.chr((b / 100).cast("long") + 48), F.chr(b % 100 + 150))
+    def __missing__(self, word: str) -> list[int]:
+        if len(self) >= REMEMBERED_WORDS:
+            self.clear()
+        tokens = [t.lower() for t in TOKEN.findall(word.translate(FOLD)) if t not in self.stopwords]
+        got = self[word] = [int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % self.dim for t in tokens]
+        return got
 
-    codes = F.array_join(F.transform(hashed_buckets(text, dim, stopwords), code), "")
 
-    def from_codes(c: Column) -> Column:
-        n = F.length(c)
-        counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                             lambda i: ((n - F.length(F.replace(c, code(i), F.lit("")))) / 2).cast("double"))
+def _counts(text: str | None, words: _WordBuckets) -> np.ndarray | None:
+    found = list(chain.from_iterable(map(words.__getitem__, text.split()))) if text else []
+    return np.bincount(found, minlength=words.dim).astype(np.float64) if found else None
 
-        def scale(v: Column) -> Column:
-            norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
-            return _let(norm, lambda m: F.transform(v, lambda x: x / m))
 
-        return F.when(n > 0, _let(counts, scale))
+def hashed_vector(text: Column, dim: int = 64, stopwords: Iterable[str] | None = None) -> Column:
+    """I8 default: token counts per bucket divided by their L2 norm; NULL for text without tokens. The bucket of a
+    normalised token is the number of the first 8 hex digits of its md5, modulo ``dim`` (up to 10,000).
 
-    return _let(codes, from_codes)
+    Arrow batches: with each distinct word folded and hashed once a task this costs about a tenth of the same rule written
+    as column functions, which fold and hash every token anew.
+    """
+    if not 0 < dim <= 10_000:
+        raise ValueError("hashed_vector supports 1 to 10,000 buckets")
+    stop = list(DEFAULT_STOPWORDS if stopwords is None else stopwords)
+
+    @F.arrow_udf("array<double>")
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words = _WordBuckets(dim, stop)
+        for texts in batches:
+            counts = [_counts(t, words) for t in texts.to_pylist()]
+            there = [c / np.sqrt((c * c).sum()) for c in counts if c is not None]
+            null = np.array([c is None for c in counts] + [False])
+            ends = np.concatenate([[0], np.cumsum(~null[:-1]) * dim]).astype(np.int32)
+            values = pa.array(np.concatenate(there) if there else np.empty(0))
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=null), values)
+
+    return vectors(text.cast("string"))
 
 
 def hashed_encoder(dim: int = 64, stopwords: Iterable[str] | None = None) -> Encoder:

@@ -382,6 +382,9 @@ ORACLE["judgments_load"] = with_(CORPUS, JUDGMENTS, """v_raw AS (
   CASE WHEN raw_id IS NULL THEN 'no id' WHEN NOT regexp_full_match(trim(raw_id), '[0-9]+') THEN 'bad id' END AS problem FROM v_raw"""
 ORACLE["per_product_counts"] = with_(ARTICLES) + "SELECT product, count(*) AS n FROM v_articles GROUP BY product"
 
+DIGEST = """CAST(len(v) AS INTEGER) AS dim, round(list_sum(v), 6) AS vsum,
+  round(list_sum(list_transform(v, lambda x, i: x * i)), 6) AS vplace"""
+
 # ---- sync
 INCOMING = """v_incoming AS (
   SELECT id, coalesce(sentence, '') AS sentence, coalesce(product, '') AS product, coalesce(module, '') AS module,
@@ -421,12 +424,15 @@ ORACLE["sync_apply"] = with_(*SYNC_CTES, VECTOR_TABLE, CATALOGUE, FLAG_SQL) + f"
   SELECT * FROM v_table t WHERE NOT EXISTS (SELECT 1 FROM v_deleted d WHERE d.id = t.id)
     AND NOT EXISTS (SELECT 1 FROM v_removed r WHERE r.id = t.id AND r.sentence = t.sentence)),
 v_ins AS (
-  SELECT DISTINCT n.id, n.sentence AS sentence, n.product, n.module, n.homolog, n.updated_at
+  SELECT DISTINCT n.id, n.sentence AS sentence, n.product, n.module, n.homolog, n.updated_at,
+         array_to_string({_TAGS}, '|') AS tags
   FROM v_new n WHERE NOT EXISTS (SELECT 1 FROM v_after a WHERE a.id = n.id AND a.sentence = n.sentence)),
-v_all AS (SELECT id, sentence, product, module, homolog, updated_at FROM v_ins
-          UNION ALL SELECT id, sentence, product, module, homolog, updated_at FROM v_after)
-SELECT t.id, md5(t.sentence) AS sentence_md5, t.product, t.module, {_NEW_FLAG} AS homolog, t.updated_at
+v_all AS (SELECT i.*, x.v FROM v_ins i JOIN {hashed_vectors_sql('v_ins', 'id, sentence', 'sentence')} x
+            ON x.id = i.id AND x.sentence = i.sentence
+          UNION ALL SELECT id, sentence, product, module, homolog, updated_at, NULL, NULL FROM v_after)
+SELECT t.id, md5(t.sentence) AS sentence_md5, t.product, t.module, {_NEW_FLAG} AS homolog, t.updated_at, t.tags, {DIGEST}
 FROM v_all t LEFT JOIN v_cat1 c ON c.product = t.product AND c.module = t.module"""
+ORACLE["sync_buckets"] = ORACLE["sync_apply"]
 
 ORACLE["embed_hashed"] = f"""SELECT doc_id, CAST(i - 1 AS BIGINT) AS dim, round(v[i], 6) AS value FROM (
   SELECT doc_id, v, generate_subscripts(v, 1) AS i FROM {hashed_vectors_sql('documents', 'doc_id', 'text')})
@@ -589,8 +595,6 @@ ORACLE["summarize_refine"] = with_(*TEXT_BASE, sentences_sql(True), REFINE_SQL)
 GROUP BY ticket_id"""
 
 
-DIGEST = """CAST(len(v) AS INTEGER) AS dim, round(list_sum(v), 6) AS vsum,
-  round(list_sum(list_transform(v, lambda x, i: x * i)), 6) AS vplace"""
 FEED_SQL = """v_feed AS (
   SELECT ticket_id, 'summary' AS sentence_source, topic AS sentence FROM v_topic
   UNION ALL SELECT ticket_id, 'keywords', keywords FROM v_kw

@@ -365,10 +365,35 @@ def q_flag_sync(spark, sf):
                                                                                      "homolog")
 
 
+def _vector_digest(col="sentence_embedding"):
+    """Length, sum and place-weighted sum of a vector (NULL for NULL)."""
+    v = F.col(col)
+    total = lambda x: F.round(F.aggregate(x, F.lit(0.0), lambda a, y: a + y), 6)
+    return [F.when(v.isNotNull(), F.size(v)).alias("dim"), total(v).alias("vsum"),
+            total(F.transform(v, lambda x, i: x * (i + 1))).alias("vplace")]
+
+
+def _synced(t):
+    return t.select("id", _md5(), "product", "module", "homolog", "updated_at",
+                    F.array_join("tags", "|").alias("tags"), *_vector_digest())
+
+
 @register("sync_apply")
 def q_sync_apply(spark, sf):
-    t = sy.apply_sync(fx.vector_table(spark, sf), _plan(spark, sf), fx.deleted(spark, sf), fx.catalogue(spark, sf))
-    return t.select("id", _md5(), "product", "module", "homolog", "updated_at")
+    return _synced(
+        sy.apply_sync(fx.vector_table(spark, sf), _plan(spark, sf), fx.deleted(spark, sf), fx.catalogue(spark, sf)))
+
+
+@register("sync_buckets")
+def q_sync_buckets(spark, sf):
+    """The same sync on a stored table: only the buckets that change are rewritten."""
+    from simtrail.plans import stored_sync as st
+    from simtrail.session import new_stage_dir
+
+    path = new_stage_dir(spark, "sync-table")
+    st.create_stored_table(fx.vector_table(spark, sf), path)
+    st.sync_stored_table(spark, path, fx.articles(spark, sf), fx.deleted(spark, sf), fx.catalogue(spark, sf))
+    return _synced(st.read_stored_table(spark, path))
 
 
 @register("embed_hashed")
@@ -397,14 +422,6 @@ from simtrail.operators import summarize as sm  # noqa: E402
 from simtrail.plans import feeds  # noqa: E402
 
 
-def _vector_digest(col="sentence_embedding"):
-    """Length, sum and place-weighted sum of a vector (NULL for NULL)."""
-    v = F.col(col)
-    total = lambda x: F.round(F.aggregate(x, F.lit(0.0), lambda a, y: a + y), 6)
-    return [F.when(v.isNotNull(), F.size(v)).alias("dim"), total(v).alias("vsum"),
-            total(F.transform(v, lambda x, i: x * (i + 1))).alias("vplace")]
-
-
 def _base(spark, sf):
     return bs.ticket_base(fx.tickets(spark, sf))
 
@@ -542,7 +559,8 @@ def q_vector_topk_ivf_all(spark, sf):
 def q_search_text(spark, sf):
     """Texts encoded and searched in one call; every hit with its own columns."""
     texts = fx.chunks_source(spark, sf).withColumnRenamed("ticket_comment", "sentence")
-    c = stage(em.embed_unique(texts, "sentence", em.hashed_encoder()), "search-corpus")
+    # few documents are copies: encoding them again is cheaper than a shuffle of all texts to find them
+    c = stage(em.hashed_encoder()(texts, "sentence", "sentence_embedding"), "search-corpus")
     # a threshold that no cosine of two short count vectors equals (0.5 is one: the engines' last digits would decide)
     f = evp.text_search(fx.text_queries(spark, sf), c, k=K, threshold_percent=51.7)
     return f.withColumn("hit_md5", F.md5("hit_sentence")).drop("hit_sentence")

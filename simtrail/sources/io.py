@@ -75,19 +75,10 @@ def save_table(df: DataFrame, name: str, mode: str = "fail", fmt: str = "parquet
     creates it if need be, "replace" gives it the rows and columns of ``df``, "ignore" leaves an existing one alone."""
     if mode not in ("fail", "append", "replace", "ignore"):
         raise ValueError(f"unknown mode {mode!r}")
-    spark = df.sparkSession
-    there = spark.catalog.tableExists(name)
-    if mode == "append" and there:
-        df.writeTo(name).append()  # by name: missing or extra columns raise
-        return
-    if mode == "ignore" and there:
-        return
-    if mode == "replace" and there:
-        w = df.write.mode("overwrite").format(fmt)
-        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
-        return
-    made = df.writeTo(name).using(fmt)
-    (made.partitionedBy(*[F.col(c) for c in partition_by]) if partition_by else made).create()
+    # saveAsTable writes session-catalog (v1) and v2 tables alike; it appends by name, other columns raise
+    spark_mode = {"fail": "errorifexists", "replace": "overwrite"}.get(mode, mode)
+    w = df.write.mode(spark_mode).format(fmt)
+    (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
 
 
 def clear_table(spark: SparkSession, name: str) -> None:
