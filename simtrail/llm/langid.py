@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from simtrail.llm.common import extended_schema, slices
-from simtrail.llm.sampling import labelled_sample
+from simtrail.llm.sampling import TOTAL, labelled_sample
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -52,7 +52,7 @@ def features(text: str) -> np.ndarray:
 
 
 def codewords(languages: int, seed: int = 7) -> np.ndarray:
-    """One row of +1 / -1 per language: all different splits of up to 5 languages, else random ones far apart."""
+    """One row of +1 / -1 per language, no two alike: all different splits of up to 5 languages, else random ones far apart."""
     if languages == 1:
         return np.ones((1, 1), np.int8)
     if languages <= 5:
@@ -66,6 +66,8 @@ def codewords(languages: int, seed: int = 7) -> np.ndarray:
         np.fill_diagonal(gaps, 2 * bits)
         if gaps.min() > apart and (abs(code.sum(0)) < languages).all():
             best, apart = code, gaps.min()
+    if best is None or apart <= 0:
+        raise ValueError(f"no {bits}-bit code tells {languages} languages apart")
     return best
 
 
@@ -126,17 +128,17 @@ def fit(sample: list[tuple[str, str]]) -> Model | None:
 
 def identify(
     df: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    bound: int = 400, narrow: float = 0.05,
+    bound: int = 400, narrow: float = 0.05, total: int = TOTAL,
 ) -> DataFrame:
     """Add ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` to every row of ``df``.
 
     The model is fitted on about ``bound`` rows per language of ``labelled`` (rows without text or language
-    are left out). Texts that are null, empty or without a letter, and all texts where nothing could be
+    are left out), fewer where there are so many languages that ``total`` rows would be passed; every language is learned. Texts that are null, empty or without a letter, and all texts where nothing could be
     learned, get ``und`` with score 0, flagged ambiguous. Whole texts of any length are read; repeated rows are
     predicted alike; equal losses go to the language first in order. Columns of ``df`` with the new names are
     replaced, others kept; an empty table gives an empty one. A narrow step: no shuffle of ``df``.
     """
-    model = fit(labelled_sample(labelled, id_col, text_col, lang_col, bound))
+    model = fit(labelled_sample(labelled, labelled, id_col, text_col, lang_col, bound, total))
     sent = df.sparkSession.sparkContext.broadcast(model)
     schema, arrow = extended_schema(
         df, [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("ambiguous", T.BooleanType())]

@@ -78,10 +78,10 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total / max(n, 1) + self.bias, -60, 60))))
 
 
-def fit(sample: list[tuple[str, int]], dim: int = 12, epochs: int = 4, rate: float = 0.4, seed: int = 3) -> Model | None:
-    """Train table and output layer on (text, label) rows with label 0 or 1; None without rows."""
-    if not sample:
-        return None
+def train(
+    sample: list[tuple[str, int]], dim: int = 12, epochs: int = 4, rate: float = 0.4, seed: int = 3
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embedding table, output vectors and biases learned from (text, label) rows with label 0 or 1."""
     words, rng = WordBuckets(), np.random.default_rng(seed)
     docs = []
     for text, label in sample:
@@ -111,6 +111,14 @@ def fit(sample: list[tuple[str, int]], dim: int = 12, epochs: int = 4, rate: flo
             bias -= pace * 0.1 * p
             # a bucket's share of the mean is small: rows move by the share relative to the largest
             table[at] -= np.outer((pace * 20) * share, pull)
+    return table, out, bias
+
+
+def fit(sample: list[tuple[str, int]], **training) -> Model | None:
+    """The trained layers folded to one number per bucket; None without rows."""
+    if not sample:
+        return None
+    table, out, bias = train(sample, **training)
     return Model((table @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
@@ -120,14 +128,15 @@ def score_quality(
 ) -> DataFrame:
     """Add ``score`` (0 to 1, higher: label 1 likelier) and ``predicted`` (1 if score >= threshold) to every row.
 
-    The model is fitted on about ``bound`` rows per label of ``labelled`` (texts with label 0 or 1; others are left
-    out). Null and empty texts get the score of the bias alone;
+    The model is fitted on about ``bound`` rows per label of ``labelled``: ids with label 0 or 1 (others are left out),
+    with their texts, or without, if they are the texts of ``df``. Null and empty texts get the score of the bias alone;
     without any labelled row every score is 0.5. Whole texts of any length count; repeated rows score alike.
     Columns of ``df`` with the new names are replaced, others kept; an empty table gives an empty one.
     A narrow step: no shuffle of ``df``.
     """
     rows = labelled.where(f"{label_col} in (0, 1)")
-    model = fit(labelled_sample(rows, id_col, text_col, label_col, bound))
+    texts = rows if text_col in labelled.columns else df
+    model = fit(labelled_sample(texts, rows, id_col, text_col, label_col, bound))
     sent = df.sparkSession.sparkContext.broadcast(model)
     schema, arrow = extended_schema(df, [("score", T.DoubleType()), ("predicted", T.IntegerType())])
     kept = [f.name for f in schema.fields[:-2]]

@@ -5,25 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Texts of a sample in all, whatever the number of labels.
+TOTAL = 8000
+
 
 def crc_mod(column: Column, mod: int) -> Column:
     """crc32 of the value as text, modulo ``mod`` (null for null)."""
     return F.crc32(column.cast("string").cast("binary")) % mod
 
 
-def labelled_sample(rows: DataFrame, key: str, text: str, label: str, bound: int, max_labels: int = 512) -> list[tuple[str, object]]:
-    """About ``bound`` rows per label value, chosen by a hash of key and text; at most ``2 * bound * labels`` rows
-    of (text, label) reach the driver. Only counts per label and the chosen rows are moved.
+def _place(*columns: str) -> Column:
+    """A number in [0, 1) by the low 30 bits of a hash."""
+    return F.xxhash64(*columns).bitwiseAND(2**30 - 1) / 2**30
+
+
+def labelled_sample(
+    texts: DataFrame, labels: DataFrame, key: str, text: str, label: str, bound: int, total: int = TOTAL
+) -> list[tuple[str, object]]:
+    """About ``bound`` texts per label value, fewer when there are so many values that ``total`` would be passed (every value
+    has its share, however many there are); at most ``2 * total`` rows of (text, label) reach the driver.
+
+    ``labels`` is (key, label), one label a key; it may be ``texts`` itself. Which keys are taken is decided by a hash of the
+    key on the slim label rows; only the chosen keys (bounded by ``total``) are then sent to the texts, which are
+    neither shuffled nor joined otherwise. Rows without key, label or text are left out.
     """
-    rows = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(key, text, label)
-    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels).collect()
-    if not counts:
+    slim = labels.select(F.col(key).alias("_key"), F.col(label).alias("_label")).where("_key is not null and _label is not null")
+    slim = slim.distinct()
+    counts = slim.groupBy("_label").agg(F.count(F.lit(1)).alias("_n"))
+    values = counts.count()
+    if not values:
         return []
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col(label) == F.lit(r[0]), F.lit(min(1.0, bound / r["count"]))).otherwise(share)
-    place = F.xxhash64(F.col(key), F.col(text))
-    # the low 30 bits of the hash as a number in [0, 1)
-    chosen = rows.withColumn("_place", place).where((F.col("_place").bitwiseAND(2**30 - 1) / 2**30) < share)
-    got = chosen.orderBy("_place", key).limit(2 * bound * len(counts)).collect()
-    return [(r[text], r[label]) for r in got]
+    each = max(1, min(bound, total // values))
+    chosen = slim.join(counts, "_label").where(_place("_key") < F.lit(float(each)) / F.col("_n")).select("_key", "_label")
+    chosen = chosen.orderBy(F.xxhash64("_key"), "_label").limit(total)
+    own = texts.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where("_text is not null")
+    got = own.join(F.broadcast(chosen), "_key").orderBy(F.xxhash64("_key", "_text"), "_label").limit(2 * total).collect()
+    return [(r["_text"], r["_label"]) for r in got]

@@ -162,7 +162,7 @@ def judge(
     """
     known = labelled.where(f"{label_col} in (0, 1)")
     host, path = url_parts(F.col("url"))
-    pairs = [(u, int(y)) for u, y in labelled_sample(known, "url", "url", label_col, bound)]
+    pairs = [(u, int(y)) for u, y in labelled_sample(known, known, "url", "url", label_col, bound)]
     spark = df.sparkSession
     split = spark.createDataFrame(pairs, "url string, y int").select(host.alias("h"), path.alias("p"), "y") if pairs else None
     sample = sorted((r.h.encode(), r.p.encode(), r.y) for r in split.collect()) if pairs else []

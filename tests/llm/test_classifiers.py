@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from simtrail.llm import langid, quality
+from simtrail.llm import langid, quality, sampling
 from simtrail.llm.queries import op4_language, op9_quality
 
 
@@ -68,3 +68,33 @@ def test_folded_table_equals_mean_embedding():
     sample = [("good words here", 1), ("BAD!! BAD!! BAD!!", 0)] * 20
     model, words = quality.fit(sample), quality.WordBuckets()
     assert model.score(b"good words here", words) > 0.5 > model.score(b"BAD!! BAD!! BAD!!", words)
+    table, out, bias = quality.train(sample)
+    for text in (b"good words here", b"BAD!! BAD!! BAD!!", b"good BAD!! other", b"x", "é ".encode() * 300, b""):
+        rows = np.concatenate([*quality.buckets(text, words), np.empty(0, np.int64)])
+        z = (table[rows].astype(float).mean(0) if rows.size else np.zeros(table.shape[1])) @ out + bias
+        share = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert abs(model.score(text, words) - share[1]) < 1e-5
+
+
+def test_a_thousand_languages(spark):
+    """Every language is learned, however many there are (the sample stays bounded)."""
+    rng = np.random.default_rng(4)
+    shapes = ["".join(chr(97 + c) for c in rng.integers(0, 26, 4)) for _ in range(3000)]
+    rows = [(4 * k + j, " ".join(rng.choice(shapes[3 * k : 3 * k + 3], 30)), f"l{k}") for k in range(1000) for j in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    texts = df.where("doc_id % 4 <> 3")
+    sample = sampling.labelled_sample(texts, texts, "doc_id", "text", "lang", 400, 2500)
+    assert len({lang for _, lang in sample}) > 900 and len(sample) <= 2500
+    got = langid.identify(df.where("doc_id % 4 = 3"), texts, total=3000).collect()
+    assert np.mean([r.lang_pred == r.lang for r in got]) > 0.9 and all(0 <= r.score <= 1 for r in got)
+
+
+def test_labels_without_texts_and_hot_ids(spark):
+    """Ids are chosen on the slim labels; a repeated id or label sends no unbounded number of texts."""
+    texts = spark.range(3000).selectExpr("if(id % 3 = 0, 0, id) AS doc_id", "concat('text ', id) AS text").repartition(4)
+    labels = texts.selectExpr("doc_id", "doc_id % 2 AS quality").union(spark.createDataFrame([(None, 1), (5, None)], "doc_id long, quality long"))
+    sample = sampling.labelled_sample(texts, labels, "doc_id", "text", "quality", 50, 100)
+    assert 0 < len(sample) <= 200 and {y for _, y in sample} == {0, 1}
+    plain = sampling.labelled_sample(texts.where("doc_id > 0"), labels, "doc_id", "text", "quality", 10**6, 10**6)
+    assert sorted(plain) == sorted((f"text {i}", i % 2) for i in range(3000) if i % 3)
+    assert sampling.labelled_sample(texts, labels.limit(0), "doc_id", "text", "quality", 9) == []
