@@ -28,15 +28,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled ones, does not reject."""
     marks = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    scored = quality.score_quality(docs.withColumn("_kept", F.struct(*docs.columns)), quality_labels(docs, marks))
+    scored = quality.score_quality(docs.withColumn("_kept", F.struct(*docs.columns)), marks)
     return scored.where("predicted = 1").select("_kept.*")
 
 
-def quality_labels(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """(doc_id, text, quality) of the labelled documents."""
-    return docs.select("doc_id", "text").join(marks.where("quality is not null").distinct(), "doc_id")
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, Jaccard similarity of at least 0.8): that with the
     smallest doc_id; of several rows with that id, the one with the smallest text. Null ids stay."""
