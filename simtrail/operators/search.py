@@ -39,6 +39,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from simtrail.session import stage
+
 RESULT_SCHEMA = T.StructType(
     [
         T.StructField("target", T.LongType()),
@@ -411,6 +413,7 @@ def vector_search(
     if query_row:
         qcols.append(F.col(query_row).cast("string").alias("query_row"))
     q = queries.select(*qcols).where(F.col("vec").isNotNull() & F.col("target").isNotNull())
+    q = stage(q, "queries")  # read by the checks, the routes, the blocks and the hit's columns: derived once
     if query_row and q.groupBy(*keys).count().where((F.col("count") > 1) | F.col("query_row").isNull()).limit(1).count():
         raise ValueError(f"{query_row} is NULL or repeats within a target")
     sizes = q.agg(F.min(F.size("vec")), F.max(F.size("vec"))).first()
@@ -425,8 +428,8 @@ def vector_search(
         nprobe = enough_lists(ivf, queries, corpus, k, metric, recall, query_id=query_id, query_vec=query_vec,
                               corpus_id=corpus_id, corpus_vec=corpus_vec, filters=filters, exclude_self=exclude_self,
                               threshold=threshold, inclusive=inclusive, decimals=decimals)
-    asked, known = _sides(queries, corpus, query_id, query_vec, corpus_id, corpus_vec, filters, query_row, ivf, nprobe,
-                          metric, dim)
+    asked, known = _sides(q, corpus, "target", "vec", corpus_id, corpus_vec, filters, "query_row" if query_row else None, ivf,
+                          nprobe, metric, dim)
     pairs = block_pairs(asked, known, dim, metric, bool(query_row), block_bytes)
     score = _scorer(k, metric, exclude_self, threshold, inclusive, decimals, dim, bool(query_row))
     cand = pairs.mapInArrow(score, _with_row(RESULT_SCHEMA, bool(query_row)))

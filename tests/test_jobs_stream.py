@@ -1,7 +1,8 @@
 import os
 
 from simtrail.plans.sync_job import run_article_sync
-from simtrail.streaming.article_stream import start_article_stream
+from simtrail.plans import stored_sync as st
+from simtrail.streaming.article_stream import start_article_stream, start_stored_stream
 
 ART = "id long, sentence string, product string, module string, homolog boolean, tags string, updated_at long"
 
@@ -40,3 +41,25 @@ def test_stream_applies_each_file_once(spark, tmp_path):
                              sink, ck)
     q.awaitTermination(120)
     assert spark.read.parquet(sink).count() == 1
+
+
+def test_stream_into_a_stored_table(spark, tmp_path):
+    src, path, ck = str(tmp_path / "src"), str(tmp_path / "table"), str(tmp_path / "ck")
+    rows = [(i, f"text {i}", "p", "m", True, i) for i in range(20)]
+    st.create_stored_table(spark.createDataFrame(rows, "id long, sentence string, product string, module string, homolog boolean, updated_at long"),
+                           path, buckets=4)
+    schema = spark.createDataFrame([], ART).schema
+    spark.createDataFrame([(100, "new", "p", "m", True, None, 1), (3, "text 3", "p", "m", True, None, 2)], ART).write.parquet(src + "/f1")
+    go = lambda: start_stored_stream(spark, src + "/*", schema, path, lambda: spark.createDataFrame([(5,)], "id long"), ck).awaitTermination(120)
+    ids = lambda: sorted(r.id for r in st.read_stored_table(spark, path).collect())
+    go()
+    assert ids() == [i for i in range(20) if i != 5] + [100]
+    spark.createDataFrame([(101, "newer", "q", "m", True, '["t"]', 3)], ART).write.parquet(src + "/f2")
+    go()
+    assert ids() == [i for i in range(20) if i != 5] + [100, 101]
+    epochs = spark.read.parquet(path + "/epochs").orderBy("epoch").collect()
+    assert [r.epoch for r in epochs] == [-1, 0, 1] and epochs[2].touched == 1
+    # a batch whose checkpoint was lost after it was applied is replayed with its number
+    assert not st.sync_stored_table(spark, path, spark.createDataFrame([(7, "x", "p", "m", True, None, 9)], ART),
+                                    spark.createDataFrame([(6,)], "id long"), epoch=1, remove_missing=False).applied
+    assert 6 in ids() and ids().count(7) == 1
