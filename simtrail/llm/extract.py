@@ -127,6 +127,8 @@ def decode(page: Page, odds: np.ndarray) -> list[int]:
     for node, _, text in page.runs:
         own[node] += len(text.strip())
     gain = np.clip(odds, -6, 6) * (0.05 + np.sqrt(own))
+    if len(page.implied) == n - 1:  # no markup: all of it is the text
+        gain[:] = 1.0
     for i in range(n):
         if page.tag[i] in HIDDEN:
             gain[i] = -1e6
@@ -295,7 +297,8 @@ def extract(df: DataFrame, html_col: str = "html", text_col: str = "text", sampl
 
     The trees are fitted on about ``sample`` pages chosen by a hash of their source (or given as ``model``). Null, empty
     and markup-free sources, broken markup and very long pages are read like any other: what is not closed ends with the
-    page, and pages where nothing is found in give ''. Plain text without any element gives ''. Repeated rows are read
+    page, and pages where nothing is found in give ''. Text outside of all elements counts as paragraphs of its own; a source
+    without any element is all main text. Repeated rows are read
     alike; a column of ``df`` named ``text_col`` is replaced, others kept; an empty table gives an empty one.
     A narrow step: no shuffle of ``df``.
     """
