@@ -17,6 +17,7 @@ of an earlier one are the headers of its first key, at most two a range.
 from __future__ import annotations
 
 import bisect
+import math
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -443,7 +444,12 @@ def collocations(
     )
     # the passes meet in prefix order; ranges are again those of the prefix stream
     found = _dealt(passes, borders).mapInArrow(_scored(percent), FOUND)
-    first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = found.withColumn("rank", F.row_number().over(first).cast("long")).where(F.col("rank") <= top)
+    # best of each language in two steps, so that the last task of a language sees no more than the root of all ranges' bests
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    salted = found.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(math.isqrt(ranges) + 1)))
+    some = Window.partitionBy("lang", "_salt").orderBy(*order)
+    best = salted.withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= top).drop("_salt")
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
+    best = best.where(F.col("rank") <= top)
     n = counts.where("level = 0").select(F.trim(F.col("gram").cast("string")).alias("lang"), "n")
     return best.join(n, "lang").select(F.url_decode("lang").alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score")
