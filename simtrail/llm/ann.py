@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from simtrail.llm.vectors import matrix, sample_matrix, usable
+from simtrail.llm.vectors import by_length, matrix, sample_matrix, usable
 from simtrail.session import stage
 
 # Most rows or queries of a leaf that meet in one task; larger leaves are cut.
@@ -156,16 +157,27 @@ def nearest(
     out, all candidates if there are fewer than ``k``. Scores are exact; ``share`` is the part of the exact
     neighbours, measured on ``measured`` queries over all rows, that the searched leaves must hold.
 
-    Ids or vectors that are null, zero vectors, vectors with null or non-finite components, and vectors of another
-    length than the most frequent one take no part. Rows with the same id are one candidate (its best score
-    counts). Equal vectors fall into the same leaves; large leaves are cut into parts of ``GROUP`` rows. Tables
+    Ids or vectors that are null, zero vectors and vectors with null or non-finite components take no part; vectors of
+    different lengths are no candidates of each other (each length is searched on its own). Rows with the same id are one
+    candidate per length (its best score counts). Equal vectors fall into the same leaves; large leaves are cut into parts of ``GROUP`` rows. Tables
     without usable vectors give no rows.
     """
     spark = df.sparkSession
     rows = stage(usable(df, id_col, vec_col), "vectors")
-    n = rows.count()
-    if not n:
+    found = [_nearest(some, every, k, trees, leaf_rows, sample, share, measured) for some in by_length(rows)]
+    if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    if len(found) == 1:
+        return found[0]
+    # an id with vectors of several lengths is one query
+    return _ranked(reduce(DataFrame.union, found).drop("rank"), k)
+
+
+def _nearest(
+    rows: DataFrame, every: int, k: int, trees: int, leaf_rows: int, sample: int, share: float, measured: int
+) -> DataFrame:
+    """:func:`nearest` on vectors (id, vec) of one length."""
+    spark, n = rows.sparkSession, rows.count()
     sample_ids, points = sample_matrix(rows, n, sample)
     sample_ids, once = np.unique(sample_ids, return_index=True)
     points = points[once]

@@ -16,6 +16,7 @@ group found in them, not pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simtrail.llm.graph import components, forest
-from simtrail.llm.vectors import matrix, sample_matrix, usable
+from simtrail.llm.vectors import by_length, matrix, sample_matrix, usable
 from simtrail.session import stage
 
 GROUP, CODES = 2048, 256
@@ -57,6 +58,14 @@ class Quantiser:
         residual = points - self.centres[self.nearest(points)]
         self.books = [kmeans(residual[:, a:b], CODES, rng, 6) for a, b in zip(self.edges[:-1], self.edges[1:], strict=True)]
 
+    @cached_property
+    def between(self) -> np.ndarray:
+        """Distances of the centres, by one product; those so close that its rounding could show by their difference."""
+        d = self.squared(self.centres)
+        for a, b in zip(*np.nonzero(d < 1e-6 * (1 + (self.centres**2).sum(1)[:, None])), strict=True):
+            d[a, b] = ((self.centres[a] - self.centres[b]) ** 2).sum()
+        return np.sqrt(np.maximum(d, 1e-30))
+
     def squared(self, x: np.ndarray) -> np.ndarray:
         return np.maximum((x**2).sum(1)[:, None] + (self.centres**2).sum(1) - 2 * x @ self.centres.T, 0)
 
@@ -75,8 +84,7 @@ class Quantiser:
     def probes(self, x: np.ndarray, own: np.ndarray, reach: float) -> np.ndarray:
         """Which lists' cells come within ``reach`` of each vector (its own always), as a bit matrix."""
         d = self.squared(x)
-        between = np.sqrt(np.maximum(((self.centres[:, None] - self.centres[None]) ** 2).sum(2), 1e-30))
-        gap = (d - d[np.arange(len(x)), own][:, None]) / (2 * between[own])
+        gap = (d - d[np.arange(len(x)), own][:, None]) / (2 * self.between[own])
         near = gap <= reach + 1e-7
         near[np.arange(len(x)), own] = True
         return near
@@ -122,8 +130,8 @@ def near_duplicates(
     reachable, its own included) and ``kept`` (id = component_id). The quantiser is fitted on at most ``sample`` rows;
     every row is indexed, and the probes are sufficient for every link.
 
-    Null, zero or non-finite vectors and those of another length than the most frequent one link with nothing (0,
-    own id, kept). Equal vectors link. Rows with the same id are one vertex of the graph; each row counts as a link
+    Null, zero or non-finite vectors link with nothing (0, own id, kept), and vectors of different lengths not with each
+    other. Equal vectors link. Rows with the same id are one vertex of the graph; each row counts as a link
     of the others. A null id has null group and null ``kept``. An empty table gives an empty one.
     """
     spark = df.sparkSession
@@ -135,9 +143,25 @@ def near_duplicates(
     unit = F.transform("vec", lambda x: x / F.col("peak") / F.col("norm"))
     same = rows.groupBy("vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
     same = stage(same.withColumn("peak", peak).withColumn("norm", norm).select("id", "copies", "vec", unit.alias("unit")), "same")
-    n = same.count()
-    if not n:
+    parts_found = [_links(some, threshold, sample, parts) for some in by_length(same)]
+    if not parts_found:
         return _answer(every, spark.createDataFrame([], "id long, vec array<double>, n_links long, component long"), id_col)
+    found = reduce(DataFrame.union, parts_found)
+    links = found.groupBy("id", "d").agg(F.sum("links").alias("links"))
+    # rows that share an id tie their vectors together, too
+    shared = rows.join(same.select("vec", F.col("id").alias("first")), "vec").where("id <> first").select("id", "first")
+    groups = components(found.select("id", "parent").union(shared))
+    each = (
+        same.withColumn("d", F.size("vec")).join(links, ["id", "d"], "left")
+        .join(groups.withColumnRenamed("node", "id"), "id", "left")
+        .select("id", "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    )
+    return _answer(every, each, id_col)
+
+
+def _links(same: DataFrame, threshold: float, sample: int, parts: int) -> DataFrame:
+    """Staged (id, links, parent, d) of the links among distinct vectors (id, copies, vec, unit) of one length d."""
+    spark, n = same.sparkSession, same.count()
     points = sample_matrix(same.select("id", F.col("unit").alias("vec")), n, sample)[1]
     quant = Quantiser(points, max(1, min(int(n**0.5 / 8), len(points) // 16)), parts)
     sent = spark.sparkContext.broadcast(quant)
@@ -194,21 +218,15 @@ def near_duplicates(
 
     left, right = dealt(asks, "q", "m").groupBy(keys), dealt(coded.drop("asks"), "m", "q").groupBy(keys)
     found = stage(left.cogroup(right).applyInArrow(search, "id long, links long, parent long"), "found")
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    # rows that share an id tie their vectors together, too
-    shared = rows.join(same.select("vec", F.col("id").alias("first")), "vec").where("id <> first").select("id", "first")
-    groups = components(found.select("id", "parent").union(shared))
-    each = (
-        same.join(links, "id", "left")
-        .join(groups.withColumnRenamed("node", "id"), "id", "left")
-        .select("id", "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
-    )
-    return _answer(every, each, id_col)
+    return found.withColumn("d", F.lit(points.shape[1]))
 
 
 def _answer(every: DataFrame, each: DataFrame, id_col: str) -> DataFrame:
     named = each.select("vec", "n_links", "component")
-    out = every.join(named, "vec", "left")
+    # null vectors match nothing and would meet in one task
+    some = every.where("vec is not null").join(named, "vec", "left").select("id", "n_links", "component")
+    none = every.where("vec is null").select("id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component"))
+    out = some.union(none)
     group = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(
         F.col("id").alias(id_col),

@@ -9,14 +9,20 @@ from pyspark.sql import functions as F
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id long, vec array<double>) of the vectors that can be compared: not null, not zero, every component finite,
-    of the most frequent length (the longer of equally frequent ones), with an id."""
+    """(id long, vec array<double>) of the vectors that can be compared: not null, not zero, every component finite, with an
+    id."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     # null components make the first test null, so the row is left out
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = rows.where(F.col("id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
-    length = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return rows.where(F.size("vec") == (length["d"] if length else 0))
+    return rows.where(F.col("id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
+
+
+def by_length(rows: DataFrame) -> list[DataFrame]:
+    """The rows of each vector length (only vectors of one length can be compared), shortest first."""
+    lengths = [r[0] for r in rows.select(F.size("vec")).distinct().collect()]
+    if len(lengths) == 1:
+        return [rows]
+    return [rows.where(F.size("vec") == d) for d in sorted(lengths)]
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:

@@ -124,3 +124,31 @@ def test_links_with_odd_rows(spark):
     assert got[:7] == alone and got[7:10] == tail
     assert [(r[0], r[2]) for r in got[10:]] == [(23, 23), (23, 23), (30, 20), (40, 23)]
     assert pq.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_each_length_on_its_own(spark):
+    """No vector is left out for its length; lengths are never compared with each other."""
+    x2, x3 = clustered(60, d=2, seed=5, copies=12), clustered(90, d=3, seed=6, copies=20)
+    ids2, ids3 = np.arange(60) * 2, np.arange(90) * 2 + 1
+    df = frame(spark, [*ids2, *ids3, 500], [*x2, *x3, [0.0, 0.0, 0.0, 0.0]])
+    rows = ann.nearest(df, every=5, k=4).collect()
+    want = brute_nearest(ids2, x2, 5, 4) | brute_nearest(ids3, x3, 5, 4)
+    got = {}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [j for j, _ in v] for q, v in want.items()}
+    links = {r.vec_id: (r.n_links, r.component_id) for r in pq.near_duplicates(df, threshold=0.9).collect()}
+    for ids, x in ((ids2, x2), (ids3, x3)):
+        unit = x / np.linalg.norm(x, axis=1)[:, None]
+        near = (unit @ unit.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+        roots = graph.forest((int(ids[a]), int(ids[b])) for a, b in zip(*np.nonzero(near), strict=True))
+        for i, n in zip(ids.tolist(), near.sum(1).tolist(), strict=True):
+            assert links[i] == (n, roots.get(i, i))
+    assert links[500] == (0, 500)
+
+
+def test_an_id_with_vectors_of_two_lengths(spark):
+    df = frame(spark, [1, 2, 2, 3, 20], [[1.0, 0.0], [1.0, 0.01], [0.0, 0.0, 1.0], [0.0, 0.01, 1.0], [1.0, 0.02]])
+    got = {(r.vec_id, r.n_links): r.component_id for r in pq.near_duplicates(df, threshold=0.9).collect()}
+    assert got == {(1, 2): 1, (2, 2): 1, (2, 1): 1, (3, 1): 1, (20, 2): 1}
+    assert [(r.query_id, r.vec_id) for r in ann.nearest(df, every=20, k=2).orderBy("rank").collect()] == [(20, 2), (20, 1)]
