@@ -8,9 +8,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from simtrail.operators.skew import lookup_join
 from simtrail.session import drop_staged, stage
 
 LINK = "node long, parent long"
+# Links of a node that one task takes without more ado.
+LEAST_LINKS = 1000
 
 
 def forest(pairs: Iterator[tuple[int, int]]) -> dict[int, int]:
@@ -44,22 +47,22 @@ def _minima(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("node").agg(F.min("parent").alias("least"))
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, hot: int) -> DataFrame:
     """Every larger neighbour of a node is hung below the least of the node's neighbourhood."""
     both = links.union(links.select(F.col("parent").alias("node"), F.col("node").alias("parent")))
     least = _minima(both).select("node", F.least("node", "least").alias("least"))
     return (
-        both.join(least, "node")
+        lookup_join(both, least, "node", ["parent"], "inner", hot)
         .where("parent > node")
         .select(F.col("parent").alias("node"), F.col("least").alias("parent"))
         .distinct()
     )
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, hot: int) -> DataFrame:
     """A node and its smaller neighbours are hung below the least of them."""
     down = links.select(F.greatest("node", "parent").alias("node"), F.least("node", "parent").alias("parent"))
-    hung = down.join(_minima(down), "node")
+    hung = lookup_join(down, _minima(down), "node", ["parent"], "inner", hot)
     return (
         hung.select(F.explode(F.array("node", "parent")).alias("node"), F.col("least").alias("parent"))
         .where("node > parent")
@@ -75,16 +78,21 @@ def _mark(links: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (two long columns); the component is its smallest node.
 
-    Rounds of two joins on the node each; a hot node's links are split by the skew join, minima are
-    pre-aggregated. Links with a null end and loops are ignored; repeated links count once; an empty table
+    Rounds of two joins on the node each; a node with more links than a task's share is found by a sketch and its
+    links are dealt over several tasks, minima are pre-aggregated. Links with a null end and loops are ignored; repeated links count once; an empty table
     gives an empty one. The rounds are written to the shared folder, so a lost executor costs one round.
     """
     a, b = links.columns
     clean = links.select(F.col(a).alias("node"), F.col(b).alias("parent")).where("node <> parent")
     now = stage(clean.mapInArrow(_contract, LINK), "links")
     mark = _mark(now)
+    tasks = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while mark[0]:
-        after = stage(_small_star(_large_star(now)), "links")
+        hot = max(LEAST_LINKS, mark[0] // tasks)
+        # between the halves of a round, so that the sketch of the second does not repeat the first
+        hung = stage(_large_star(now, hot), "links")
+        after = stage(_small_star(hung, hot), "links")
+        drop_staged(hung)
         drop_staged(now)
         now, last, mark = after, mark, _mark(after)
         if mark == last:

@@ -9,16 +9,19 @@ accumulated per pair, and pairs below k or of too different sizes are dropped. W
 left is verified on the whole sets.
 
 The order puts the most frequent n-grams last, so that shared lines and passages seldom
-enter a product. Documents with equal sets are one row of the matrix. A column that is
-dense because its documents are near copies of each other is multiplied with its smallest
-document first; the links found join them to one component, and later only documents
-of different components are paired, each pair in the first column that both have, and only
-if a 2048-bit parity sketch of either set leaves room for the threshold (differing bits never
-outnumber differing n-grams). No pairs of a group of copies are ever made.
+enter a product. Documents with equal sets are one row of the matrix. The product is taken
+in three steps. Twice each column is cut into classes of set sizes and one document of a class is
+multiplied with the rest of it (stars): overlap counts are accumulated per pair, and what is left
+is verified and joins documents to components, so a dense column of near copies shrinks to one without
+its pairs. Columns that still hold different components are then multiplied block by block,
+only between components, each pair in the first column that both have, and only if a 2048-bit parity
+sketch of either set leaves room for the threshold (differing bits never outnumber differing
+n-grams). No pairs of a group of copies are ever made.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +46,11 @@ BROADCAST_IDS = 2_000_000
 MEMORY_WORDS = 200_000
 # 64-bit words of a parity sketch, and leading n-grams kept beside it to name the first common column.
 SKETCH, FIRST = 32, 4
+ENTRIES = "doc long, n int, gram long, firsts binary"
+# In place of a leading n-gram that a small set does not have.
+NONE = np.iinfo(np.int64).min
+# Rows of a column that one task compares with each other, and of the tiles in which it does.
+CELL, TILE = 4096, 256
 
 
 class WordHashes(dict):
@@ -85,22 +93,14 @@ def leading(n: int, percent: int) -> int:
 
 
 def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) -> DataFrame:
-    """docs: (doc, text). emit 'heads': doc, n, signature, head (leading n-grams by hash, half as many again);
-    'entries': doc, n, gram for the leading n-grams in the final order; 'sketches': doc, n, parity sketch of the whole
-    set, first n-grams in the final order; 'sets': doc, n, grams."""
+    """docs: (doc, text). emit 'heads': doc, n, signature, parity sketch of the whole set, head (leading n-grams by hash, half
+    as many again); 'entries': as :data:`ENTRIES` for the leading n-grams in the final order; 'sets': doc, n, grams."""
     schema = {
-        "heads": "doc long, n int, signature binary, head array<long>",
-        "entries": "doc long, n int, gram long",
-        "sketches": "doc long, n int, " + "".join(f"s{i} long, " for i in range(SKETCH)) + "firsts array<long>",
+        "heads": "doc long, n int, signature binary, sketch binary, head array<long>",
+        "entries": ENTRIES,
         "sets": "doc long, n int, grams array<long>",
     }[emit]
 
-    def ordered(s: np.ndarray, last: np.ndarray | None) -> np.ndarray:
-        if last is None or not last.size or not s.size:
-            return s
-        common = last[np.minimum(np.searchsorted(last, s), last.size - 1)] == s
-        return np.concatenate([s[~common], s[common]])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         last = frequent.value if frequent is not None else None
@@ -113,29 +113,69 @@ def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) ->
                 cols = [
                     *own,
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                    pa.array([parity_sketch(s).tobytes() for s in sets], pa.binary()),
                     _lists(heads),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", "signature", "head"])
+                yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", "signature", "sketch", "head"])
             elif emit == "entries":
-                heads = [ordered(s, last)[: leading(len(s), percent)] for s in sets]
-                sizes = [len(h) for h in heads]
-                cols = [
-                    pa.array(np.repeat(np.array([i or 0 for i in ids], np.int64), sizes)),
-                    pa.array(np.repeat(np.array([len(s) for s in sets], np.int32), sizes)),
-                    pa.array(np.concatenate([*heads, np.empty(0, np.int64)])),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", "gram"])
-            elif emit == "sketches":
-                marks = np.stack([parity_sketch(s) for s in sets])
-                firsts = _lists([ordered(s, last)[:FIRST] for s in sets])
-                cols = [*own, *(pa.array(marks[:, i]) for i in range(SKETCH)), firsts]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", *(f"s{i}" for i in range(SKETCH)), "firsts"])
+                heads = [_ordered(s, last)[: leading(len(s), percent)] for s in sets]
+                yield _entry_rows(ids, [len(s) for s in sets], heads)
             else:
                 yield pa.RecordBatch.from_arrays([*own, _lists(sets)], names=["doc", "n", "grams"])
 
     return docs.mapInArrow(run, schema)
 
 
+def _ordered(s: np.ndarray, last: np.ndarray | None) -> np.ndarray:
+    """The n-grams (sorted by hash) with the frequent ones put last."""
+    if last is None or not last.size or not s.size:
+        return s
+    common = last[np.minimum(np.searchsorted(last, s), last.size - 1)] == s
+    return np.concatenate([s[~common], s[common]])
+
+
+def _entry_rows(ids: list, n: list[int], heads: list[np.ndarray | None]) -> pa.RecordBatch:
+    """A row an n-gram, the first of a document with its first n-grams as one text of bytes; a document whose n-grams are not
+    known has one row without n-gram."""
+    sizes = [1 if h is None else len(h) for h in heads]
+    unknown = np.repeat(np.array([h is None for h in heads], bool), sizes)
+    grams = np.concatenate([*(np.zeros(1, np.int64) if h is None else h for h in heads), np.empty(0, np.int64)])
+    firsts = []
+    for h, size in zip(heads, sizes, strict=True):
+        if h is not None and size:
+            firsts.append(np.pad(f := h[:FIRST], (0, FIRST - len(f)), constant_values=NONE).tobytes())
+        firsts += [None] * (size - 1 if h is not None and size else size)
+    cols = [
+        pa.array(np.repeat(np.array([i or 0 for i in ids], np.int64), sizes)),
+        pa.array(np.repeat(np.array(n, np.int32), sizes)),
+        pa.array(grams, mask=unknown),
+        pa.array(firsts, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(cols, names=["doc", "n", "gram", "firsts"])
+
+
+def _entries_of_heads(heads: DataFrame, percent: int, frequent) -> DataFrame:
+    """Entries by the n-grams kept in the heads (doc, n, head): known if enough of them are not frequent, or if the head is the
+    whole set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = frequent.value
+        for batch in slices(batches, 4096):
+            column = batch.column("head")
+            flat, ends = column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+            n, found = batch.column("n").to_pylist(), []
+            for size, a, b in zip(n, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                head, least = flat[a:b], leading(size, percent)
+                rare = head
+                if last.size and head.size:
+                    rare = head[last[np.minimum(np.searchsorted(last, head), last.size - 1)] != head]
+                whole = len(head) == size
+                found.append(rare[:least] if len(rare) >= least else _ordered(head, last)[:least] if whole else None)
+            yield _entry_rows(batch.column("doc").to_pylist(), n, found)
+
+    return heads.select("doc", "n", "head").mapInArrow(run, ENTRIES)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.empty(0, np.int64)])))
@@ -186,6 +226,8 @@ def jaccard_groups(
     heads = stage(_sets(small, size, "heads", percent), "heads")
     frequent = _frequent(heads.where("doc is not null"))
     rows = stage(heads.select("doc", "n", "signature"), "rows")
+    marks = stage(heads.where("doc is not null and n > 0").select("doc", "n", "sketch"), "marks")
+    entries = stage(_entries_of_heads(heads.where("doc is not null and n > 0"), percent, frequent), "entries")
     drop_staged(heads)
 
     several = rows.where("doc is not null").groupBy("doc").count().where("count > 1").select("doc")
@@ -193,7 +235,7 @@ def jaccard_groups(
     if repeated:
         small = stage(small.distinct(), "texts")  # repeated rows need comparing once only
     classes = rows.where("n > 0 and doc is not null").groupBy("n", "signature").agg(F.min("doc").alias("first"))
-    found = _links_of(small, classes, size, percent, frequent)
+    found = _links_of(small, classes, entries, marks, size, percent, frequent)
     if repeated:  # an id with several sets ties their classes together
         many = rows.where("n > 0 and doc is not null").select("doc", "n", "signature").distinct()
         many = many.join(many.groupBy("doc").count().where("count > 1").select("doc"), "doc", "left_semi")
@@ -210,52 +252,143 @@ def jaccard_groups(
     return out.select(F.col("doc").alias(id_col), F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
-def _links_of(docs: DataFrame, classes: DataFrame, size: int, percent: int, frequent) -> DataFrame:
-    """Links between class representatives that suffice for the components, both stages."""
+def _stars(rows: DataFrame, percent: int, shift: float) -> DataFrame:
+    """Candidate pairs (a, b, na, nb) of rows (gram, doc, n, g): in every column, and in it within every class of set sizes that
+    can reach the threshold with each other, one document (the least by hash) with all others of another component.
+
+    Overlap counts are accumulated per pair; pairs below the size-derived bound are dropped. ``shift`` moves the borders
+    of the classes, so that sizes on either side of one meet in another round."""
+    width = math.log(100 / percent) if percent < 100 else None
+    place = F.floor(F.log(F.col("n").cast("double")) / F.lit(width) + F.lit(shift)) if width else F.col("n").cast("long")
+    classed = rows.withColumn("k", place)
+    hubs = classed.groupBy("gram", "k").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("doc"), "doc", "n", "g")).alias("c"))
+    met = classed.join(hubs.where("m > 1").select("gram", "k", "c.doc", "c.n", "c.g").toDF("gram", "k", "c", "cn", "cg"), ["gram", "k"])
+    met = met.where(f"c <> doc and cg <> g and 100 * least(cn, n) >= {percent} * greatest(cn, n)")
+    swapped = F.expr("n < cn or (n = cn and doc < c)")
+    pair = [F.when(swapped, F.col(x)).otherwise(F.col(y)).alias(z)
+            for x, y, z in (("doc", "c", "a"), ("c", "doc", "b"), ("n", "cn", "na"), ("cn", "n", "nb"))]
+    counted = met.select(*pair).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
+    return counted.where(f"shared >= {_least('na')}".replace("PCT", str(percent))).drop("shared")
+
+
+def _open(rows: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Rows (gram, doc, n, g) of the columns that still hold two components, with the components by ``links``."""
+    marked = rows.select("gram", "doc", "n")
+    if links is not None:
+        groups = components(links).withColumnRenamed("node", "doc")
+        marked = stage(marked.join(groups, "doc", "left").withColumn("g", F.coalesce("component", "doc")).drop("component"), "marked")
+    else:
+        marked = marked.withColumn("g", F.col("doc"))
+    several = marked.groupBy("gram").agg(F.min("g").alias("g1"), F.max("g").alias("g2")).where("g1 < g2").select("gram")
+    left = stage(marked.join(several, "gram"), "open")
+    if links is not None:
+        drop_staged(marked)
+    return left
+
+
+def _close(x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Which pairs of two sketch matrices (rows of 64-bit words) differ in at most ``limit`` bits; a few words rule most out."""
+    few = np.bitwise_count(x[:, None, :SKETCH // 4] ^ y[None, :, :SKETCH // 4]).sum(2, dtype=np.int32) <= limit
+    i, j = np.nonzero(few)
+    for at in range(0, len(i), 1 << 16):
+        some = slice(at, at + (1 << 16))
+        few[i[some], j[some]] = np.bitwise_count(x[i[some]] ^ y[j[some]]).sum(1, dtype=np.int32) <= limit[i[some], j[some]]
+    return few
+
+
+def _column_pairs(percent: int, doc, n, g, block, sketch, firsts, gram: int, across: bool) -> Iterator[tuple]:
+    """Places (i, j) of pairs in one column, i the smaller set: of different components (and, with ``across``, of
+    different blocks), sizes and sketches within the threshold, and no earlier column in common."""
+    for lo in range(0, len(doc), TILE):
+        hi = min(lo + TILE, len(doc))
+        # rows are in order of (n, doc): partners lie behind, up to the largest size that can reach the threshold
+        end = int(np.searchsorted(n, 100 * n[hi - 1] // percent, side="right"))
+        for at in range(lo, end, 2 * TILE):
+            to = min(at + 2 * TILE, end)
+            size = n[lo:hi, None] + n[None, at:to]
+            near = _close(sketch[lo:hi], sketch[at:to], size * (100 - percent) // (100 + percent))
+            near &= (g[lo:hi, None] != g[None, at:to]) & (100 * n[lo:hi, None] >= percent * n[None, at:to])
+            near &= np.arange(lo, hi)[:, None] < np.arange(at, to)[None]
+            if across:
+                near &= block[lo:hi, None] != block[None, at:to]
+            i, j = np.nonzero(near)
+            if i.size:
+                i, j = i + lo, j + at
+                shared = (firsts[i][:, :, None] == firsts[j][:, None, :]) & (firsts[i] != NONE)[:, :, None]
+                known = shared.any(2)
+                leader = firsts[i][np.arange(len(i)), known.argmax(1)]
+                first = ~known.any(1) | (leader == gram)
+                yield i[first], j[first]
+
+
+def _later(rest: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs between different components of rows (gram, doc, n, g, sketch, firsts), each in the first column that
+    both documents have. A column of many rows is cut into blocks, and pairs of blocks are cells of their own."""
+    counts = rest.groupBy("gram").count().where(f"count > {CELL}").select("gram", F.ceil(F.col("count") / CELL).cast("int").alias("s"))
+    rows = rest.join(counts, "gram", "left").withColumn("s", F.coalesce("s", F.lit(1)))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("s")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("_o")
+    rows = rows.select("*", other).withColumn("i", F.least("block", "_o")).withColumn("j", F.greatest("block", "_o"))
+    cells = rows.select("gram", "i", "j", "n", "doc", "g", "block", "sketch", "firsts")
+    sorted_cells = cells.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "doc")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(parts)
+            doc, n, g, block = (t[c].to_numpy().astype(np.int64) for c in ("doc", "n", "g", "block"))
+            words = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH)
+            firsts = np.frombuffer(b"".join(t["firsts"].to_pylist()), np.int64).reshape(-1, FIRST)
+            gram, i, j = (t[c][0].as_py() for c in ("gram", "i", "j"))
+            for x, y in _column_pairs(percent, doc, n, g, block, words, firsts, gram, i != j):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[x]), pa.array(doc[y]), pa.array(n[x].astype(np.int32)), pa.array(n[y].astype(np.int32))],
+                    names=["a", "b", "na", "nb"])
+
+        held: list[pa.RecordBatch] = []
+        cell = None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("gram", "i", "j")], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1), len(keys)]
+            for at, to in zip(cuts[:-1], cuts[1:], strict=True):
+                if to > at:
+                    if held and tuple(keys[at]) != cell:
+                        yield from pairs(held)
+                        held = []
+                    cell = tuple(keys[at])
+                    held.append(batch.slice(at, to - at))
+        if held:
+            yield from pairs(held)
+
+    return sorted_cells.mapInArrow(run, "a long, b long, na int, nb int").distinct()
+
+
+def _links_of(
+    docs: DataFrame, classes: DataFrame, entries: DataFrame, marks: DataFrame, size: int, percent: int, frequent
+) -> DataFrame:
+    """Links between class representatives that suffice for the components: two rounds of stars, then all pairs that are
+    still open."""
     first = stage(classes.select("first", "n"), "first")
-    entries = _sets(docs.where("doc is not null"), size, "entries", percent, frequent)
+    # few documents have too many frequent n-grams among those kept: their texts are read again
+    again = _sets(_chosen(docs.where("doc is not null"), entries.where("gram is null").select("doc")), size, "entries", percent, frequent)
     # one row of the matrix per class: entries of the other members go
     own = first.select(F.col("first").alias("doc"), "n")
-    entries = entries.join(F.broadcast(own) if first.count() <= BROADCAST_IDS else own, ["doc", "n"], "left_semi")
-    entries = stage(entries, "entries")
-    columns = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("n", "doc")).alias("c")).where("m > 1")
-    dense = stage(
-        entries.join(columns, "gram").select("gram", "doc", "n", F.col("c.doc").alias("c"), F.col("c.n").alias("cn")), "dense"
-    )
+    every = entries.where("gram is not null").union(again)
+    every = stage(every.join(F.broadcast(own) if first.count() <= BROADCAST_IDS else own, ["doc", "n"], "left_semi"), "entries")
     drop_staged(entries)
-
-    fits = lambda a, b: f"100 * {a} >= {percent} * {b}"
-    enough = lambda a, b: f"shared >= {_least(f'least({a}, {b})')}".replace("PCT", str(percent))
-    star = (
-        dense.where(f"doc <> c and {fits('cn', 'n')}")
-        .groupBy(F.col("c").alias("a"), F.col("doc").alias("b"), F.col("cn").alias("na"), F.col("n").alias("nb"))
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .where(enough("na", "nb"))
-    )
-    star = stage(star.select("a", "b", "na", "nb"), "star")
-    linked = stage(_verified(star, docs, size, percent), "linked")
-
-    groups = components(linked)
-    marked = dense.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "gram", "doc", "n", F.coalesce("component", "doc").alias("g")
-    )
-    marked = stage(marked, "marked")
-    drop_staged(dense)
-    open_columns = marked.groupBy("gram").agg(F.min("g").alias("g1"), F.max("g").alias("g2")).where("g1 < g2").select("gram")
-    rest = stage(marked.join(open_columns, "gram"), "rest")
-    drop_staged(marked)
-    sketches = _sets(_chosen(docs, rest.select("doc")), size, "sketches", percent, frequent)
-    rest_s = rest.join(sketches.distinct(), ["doc", "n"])
-    x, y = (rest_s.select("gram", *(F.col(c).alias(f"{side}_{c}") for c in rest_s.columns if c != "gram")) for side in "xy")
-    differing = " + ".join(f"bit_count(x_s{i} ^ y_s{i})" for i in range(SKETCH))
-    common = "array_intersect(x_firsts, y_firsts)"
-    later = (
-        x.join(y, "gram")
-        .where(f"x_g <> y_g and (x_n < y_n or x_n = y_n and x_doc < y_doc) and {fits('x_n', 'y_n')}")
-        .where(f"({differing}) * {100 + percent} <= {100 - percent} * (x_n + y_n)")
-        .where(f"case when size({common}) = 0 then true else {common}[0] = gram end")
-        .select(F.col("x_doc").alias("a"), F.col("y_doc").alias("b"), F.col("x_n").alias("na"), F.col("y_n").alias("nb"))
-        .distinct()
-    )
-    later = stage(later.join(star, ["a", "b", "na", "nb"], "left_anti"), "later")
+    leads = stage(every.where("firsts is not null").select("doc", "n", "firsts").distinct(), "leads")
+    rest = _open(every, None)
+    drop_staged(every)
+    linked, tried = None, None
+    for shift in (0.0, 0.5):
+        star = _stars(rest, percent, shift)
+        star = stage(star.join(tried, star.columns, "left_anti") if tried is not None else star, "star")
+        found = stage(_verified(star, docs, size, percent), "linked")
+        tried = star if tried is None else tried.union(star)
+        linked = found if linked is None else linked.union(found)
+        before, rest = rest, _open(rest, linked)
+        drop_staged(before)
+    marked = rest.join(marks.join(leads, ["doc", "n"]).distinct(), ["doc", "n"])
+    later = stage(_later(marked, percent).join(tried, ["a", "b", "na", "nb"], "left_anti"), "later")
+    for staged in (rest, first, marks, leads):
+        drop_staged(staged)
     return linked.union(_verified(later, docs, size, percent))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from simtrail.llm import graph, jaccard
@@ -117,3 +118,83 @@ def test_a_pair_is_verified_on_the_sets_that_made_it(spark):
     got = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(df, size=3, percent=80).collect()}
     # near shares most of its n-grams with large, but large has many more; near and the short text of 2 share 32 of 44
     assert got == {1: 1, 2: 2, 3: 3}
+
+
+def test_open_columns_cut_into_cells(spark, monkeypatch):
+    """Columns of more rows than a task compares at once are dealt in pairs of blocks; nothing is lost."""
+    docs = made(7, families=16)
+    monkeypatch.setattr(jaccard, "CELL", 3)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert result(jaccard.jaccard_groups(df, size=3, percent=90)) == brute(docs, 3, 90)
+
+
+def test_pairs_of_one_column(monkeypatch):
+    """Tiles, sizes, sketches and the first common column against every pair on its own."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(jaccard, "TILE", 4)
+    order = np.arange(60)  # n-gram numbers; a leading one is small
+    sets = []
+    for _ in range(8):
+        base = rng.choice(order, rng.integers(6, 30), replace=False)
+        for _ in range(6):
+            s = base.copy()
+            s[rng.integers(0, len(s), 1)] = rng.choice(order, 1)
+            sets.append(np.unique(s).astype(np.int64))
+    sets = [s for s in sets if 5 in s]
+    sets.sort(key=len)
+    n, doc = np.array([len(s) for s in sets]), np.arange(len(sets))
+    g, block = doc % 5, doc % 3
+    sketch = np.stack([jaccard.parity_sketch(s) for s in sets]).view(np.uint64)
+    firsts = np.stack([np.pad(s[: jaccard.FIRST], (0, max(0, jaccard.FIRST - len(s))), constant_values=jaccard.NONE) for s in sets])
+    for across in (False, True):
+        got = {(int(a), int(b)) for i, j in jaccard._column_pairs(80, doc, n, g, block, sketch, firsts, 5, across) for a, b in zip(i, j, strict=True)}
+        want = set()
+        for i in range(len(sets)):
+            for j in range(i + 1, len(sets)):
+                differ = int(np.bitwise_count(sketch[i] ^ sketch[j]).sum())
+                common = [x for x in firsts[i] if x in firsts[j]]
+                if (g[i] != g[j] and 100 * n[i] >= 80 * n[j] and differ * 180 <= 20 * (n[i] + n[j]) and (not common or common[0] == 5)
+                        and (not across or block[i] != block[j])):
+                    want.add((i, j))
+        assert got == want and got
+
+
+def test_near_copies_of_many_sizes_leave_few_open_pairs(spark):
+    """A large group of near copies whose smallest member is no typical one: the rounds of stars join it."""
+    rng = random.Random(11)
+    base = [f"v{i}" for i in range(200)]
+    docs = []
+    for i in range(400):
+        w = list(base) + [f"x{rng.randrange(10**6)}" for _ in range(rng.randrange(12))]
+        w[rng.randrange(150)] = f"y{i}"
+        docs.append((i, " ".join(w)))
+    docs.append((1000, " ".join(base[:150])))  # the smallest set of every column it has
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    small = df.select(F.col("doc_id").alias("doc"), "text")
+    rows = jaccard._sets(small, 3, "entries", 90).select("doc", "n", "gram")
+    first = jaccard._stars(rows.withColumn("g", F.col("doc")), 90, 0.0)
+    assert 200 < first.count() < 20 * len(docs)
+    assert result(jaccard.jaccard_groups(df, size=3, percent=90)) == brute(docs, 3, 90)
+
+
+def test_hub_with_most_links(spark):
+    rows = [(i, 0) for i in range(1, 5000)] + [(i, i - 1) for i in range(6000, 6200)] + [(7000, 4999), (7000, 6100)]
+    links = spark.createDataFrame(rows, "a long, b long").repartition(6)
+    got = {r.node: r.component for r in graph.components(links).collect()}
+    assert got == {i: 0 for i in [*range(5000), *range(5999, 6200), 7000]}
+
+
+def test_entries_of_heads_equal_those_of_texts(spark):
+    """What the kept n-grams name as leading is what the whole sets do; unknown ones are read again."""
+    docs = made(5, families=20)
+    df = spark.createDataFrame(docs, "doc long, text string").where("text is not null")
+    heads = jaccard._sets(df, 3, "heads", 90).where("n > 0")
+    grams = sorted(g for r in heads.collect() for g in r.head)
+    for last in (np.empty(0, np.int64), np.array(grams[::40]), np.array(sorted(set(grams))[::2]), np.array(sorted(set(grams)))):
+        sent = spark.sparkContext.broadcast(np.unique(last))
+        rows = lambda t: {(r.doc, r.n, r.gram, r.firsts) for r in t.collect()}
+        got, want = rows(jaccard._entries_of_heads(heads, 90, sent)), rows(jaccard._sets(df, 3, "entries", 90, sent))
+        unknown = {d for d, _, g, _ in got if g is None}
+        assert {r for r in got if r[2] is not None} == {r for r in want if r[0] not in unknown}
+        assert (not last.size) <= (not unknown)
+    assert unknown  # where all are frequent, long texts are not known by their heads
