@@ -64,7 +64,7 @@ DEFAULT_BLOCK_BYTES = 64 << 20
 # Query rows at most on which the number of lists to probe is measured.
 MEASURED_QUERIES = 128
 # Bytes of one packed matrix (float64), and rows of a query block.
-PACKED_BYTES, QUERY_ROWS = 4 << 20, 1024
+PACKED_BYTES, QUERY_ROWS = 1 << 20, 1024
 # Files of a list of a stored index, at most.
 LIST_FILES = 8
 # Rows a task holds before it hands packed blocks on, and scored rows before it hands results on.
