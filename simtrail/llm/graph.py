@@ -16,21 +16,27 @@ LINK = "node long, parent long"
 LEAST_LINKS = 1000
 
 
+def _top(up: dict[int, int], x: int) -> int:
+    while up.setdefault(x, x) != x:
+        up[x] = up[up[x]]
+        x = up[x]
+    return x
+
+
+def union(up: dict[int, int], a: int, b: int) -> bool:
+    """Join the sets of ``a`` and ``b`` (the smaller root stays); whether they were two."""
+    ra, rb = _top(up, a), _top(up, b)
+    if ra != rb:
+        up[max(ra, rb)] = min(ra, rb)
+    return ra != rb
+
+
 def forest(pairs: Iterator[tuple[int, int]]) -> dict[int, int]:
     """Smallest node of the component of every node named in ``pairs``."""
     up: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while up.setdefault(x, x) != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
     for a, b in pairs:
-        ra, rb = top(a), top(b)
-        if ra != rb:
-            up[max(ra, rb)] = min(ra, rb)
-    return {x: top(x) for x in up}
+        union(up, a, b)
+    return {x: _top(up, x) for x in up}
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,13 +10,14 @@ left is verified on the whole sets.
 
 The order puts the most frequent n-grams last, so that shared lines and passages seldom
 enter a product. Documents with equal sets are one row of the matrix. The product is taken
-in three steps. Twice each column is cut into classes of set sizes and one document of a class is
+in three steps. First each column is cut into classes of set sizes and one document of a class is
 multiplied with the rest of it (stars): overlap counts are accumulated per pair, and what is left
 is verified and joins documents to components, so a dense column of near copies shrinks to one without
 its pairs. Columns that still hold different components are then multiplied block by block,
 only between components, each pair in the first column that both have, and only if a 2048-bit parity
 sketch of either set leaves room for the threshold (differing bits never outnumber differing
-n-grams). No pairs of a group of copies are ever made.
+n-grams): once for a few pairs a column that span what its candidates connect, and, when these are verified
+and joined, once for all pairs that are left. No pairs of a group of copies are ever made.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simtrail.llm.common import slices, utf8_bytes
-from simtrail.llm.graph import components
+from simtrail.llm.graph import components, union
 from simtrail.session import drop_staged, stage
 
 # Odd multipliers that make one number of a row of word hashes (by place in the n-gram).
@@ -94,9 +95,9 @@ def leading(n: int, percent: int) -> int:
 
 def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) -> DataFrame:
     """docs: (doc, text). emit 'heads': doc, n, signature, parity sketch of the whole set, head (leading n-grams by hash, half
-    as many again); 'entries': as :data:`ENTRIES` for the leading n-grams in the final order; 'sets': doc, n, grams."""
+    as many again, as bytes); 'entries': as :data:`ENTRIES` for the leading n-grams in the final order; 'sets': doc, n, grams."""
     schema = {
-        "heads": "doc long, n int, signature binary, sketch binary, head array<long>",
+        "heads": "doc long, n int, signature binary, sketch binary, head binary",
         "entries": ENTRIES,
         "sets": "doc long, n int, grams array<long>",
     }[emit]
@@ -114,7 +115,7 @@ def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) ->
                     *own,
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.array([parity_sketch(s).tobytes() for s in sets], pa.binary()),
-                    _lists(heads),
+                    pa.array([h.tobytes() for h in heads], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", "signature", "sketch", "head"])
             elif emit == "entries":
@@ -160,12 +161,10 @@ def _entries_of_heads(heads: DataFrame, percent: int, frequent) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = frequent.value
-        for batch in slices(batches, 4096):
-            column = batch.column("head")
-            flat, ends = column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+        for batch in slices(batches, 2048):
             n, found = batch.column("n").to_pylist(), []
-            for size, a, b in zip(n, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                head, least = flat[a:b], leading(size, percent)
+            for size, raw in zip(n, batch.column("head").to_pylist(), strict=True):
+                head, least = np.frombuffer(raw, np.int64), leading(size, percent)
                 rare = head
                 if last.size and head.size:
                     rare = head[last[np.minimum(np.searchsorted(last, head), last.size - 1)] != head]
@@ -183,8 +182,14 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 def _frequent(heads: DataFrame):
     """The most frequent leading n-grams, sorted, as a broadcast of at most ``LAST`` numbers."""
-    counts = heads.select(F.explode("head").alias("gram")).groupBy("gram").count().where(F.col("count") > FREQUENT)
-    top = counts.orderBy(F.desc("count"), "gram").limit(LAST).select("gram").toPandas()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, n = np.unique(np.frombuffer(b"".join(batch.column("head").to_pylist()), np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n)], names=["gram", "n"])
+
+    counts = heads.select("head").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") > FREQUENT).orderBy(F.desc("n"), "gram").limit(LAST).select("gram").toPandas()
     return heads.sparkSession.sparkContext.broadcast(np.sort(top["gram"].to_numpy(np.int64)))
 
 
@@ -252,14 +257,13 @@ def jaccard_groups(
     return out.select(F.col("doc").alias(id_col), F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
-def _stars(rows: DataFrame, percent: int, shift: float) -> DataFrame:
+def _stars(rows: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b, na, nb) of rows (gram, doc, n, g): in every column, and in it within every class of set sizes that
     can reach the threshold with each other, one document (the least by hash) with all others of another component.
 
-    Overlap counts are accumulated per pair; pairs below the size-derived bound are dropped. ``shift`` moves the borders
-    of the classes, so that sizes on either side of one meet in another round."""
+    Overlap counts are accumulated per pair; pairs below the size-derived bound are dropped."""
     width = math.log(100 / percent) if percent < 100 else None
-    place = F.floor(F.log(F.col("n").cast("double")) / F.lit(width) + F.lit(shift)) if width else F.col("n").cast("long")
+    place = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)) if width else F.col("n").cast("long")
     classed = rows.withColumn("k", place)
     hubs = classed.groupBy("gram", "k").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("doc"), "doc", "n", "g")).alias("c"))
     met = classed.join(hubs.where("m > 1").select("gram", "k", "c.doc", "c.n", "c.g").toDF("gram", "k", "c", "cn", "cg"), ["gram", "k"])
@@ -321,9 +325,10 @@ def _column_pairs(percent: int, doc, n, g, block, sketch, firsts, gram: int, acr
                 yield i[first], j[first]
 
 
-def _later(rest: DataFrame, percent: int) -> DataFrame:
+def _later(rest: DataFrame, percent: int, spanning: bool) -> DataFrame:
     """Candidate pairs between different components of rows (gram, doc, n, g, sketch, firsts), each in the first column that
-    both documents have. A column of many rows is cut into blocks, and pairs of blocks are cells of their own."""
+    both documents have. A column of many rows is cut into blocks, and pairs of blocks are cells of their own. With
+    ``spanning`` a cell gives only pairs enough to connect the components that its candidates connect."""
     counts = rest.groupBy("gram").count().where(f"count > {CELL}").select("gram", F.ceil(F.col("count") / CELL).cast("int").alias("s"))
     rows = rest.join(counts, "gram", "left").withColumn("s", F.coalesce("s", F.lit(1)))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("s")).cast("int"))
@@ -339,7 +344,11 @@ def _later(rest: DataFrame, percent: int) -> DataFrame:
             words = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH)
             firsts = np.frombuffer(b"".join(t["firsts"].to_pylist()), np.int64).reshape(-1, FIRST)
             gram, i, j = (t[c][0].as_py() for c in ("gram", "i", "j"))
+            up: dict[int, int] = {}
             for x, y in _column_pairs(percent, doc, n, g, block, words, firsts, gram, i != j):
+                if spanning:
+                    new = [union(up, a, b) for a, b in zip(g[x].tolist(), g[y].tolist(), strict=True)]
+                    x, y = x[new], y[new]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc[x]), pa.array(doc[y]), pa.array(n[x].astype(np.int32)), pa.array(n[y].astype(np.int32))],
                     names=["a", "b", "na", "nb"])
@@ -365,8 +374,8 @@ def _later(rest: DataFrame, percent: int) -> DataFrame:
 def _links_of(
     docs: DataFrame, classes: DataFrame, entries: DataFrame, marks: DataFrame, size: int, percent: int, frequent
 ) -> DataFrame:
-    """Links between class representatives that suffice for the components: two rounds of stars, then all pairs that are
-    still open."""
+    """Links between class representatives that suffice for the components: stars, then pairs that span the open columns, then
+    all pairs that are still open."""
     first = stage(classes.select("first", "n"), "first")
     # few documents have too many frequent n-grams among those kept: their texts are read again
     again = _sets(_chosen(docs.where("doc is not null"), entries.where("gram is null").select("doc")), size, "entries", percent, frequent)
@@ -379,16 +388,21 @@ def _links_of(
     rest = _open(every, None)
     drop_staged(every)
     linked, tried = None, None
-    for shift in (0.0, 0.5):
-        star = _stars(rest, percent, shift)
-        star = stage(star.join(tried, star.columns, "left_anti") if tried is not None else star, "star")
-        found = stage(_verified(star, docs, size, percent), "linked")
-        tried = star if tried is None else tried.union(star)
+    about = stage(marks.join(leads, ["doc", "n"]).distinct(), "about")
+    for pairs_of in (
+        lambda rows: _stars(rows, percent),
+        # nearly all pairs that pass the sketch are links: a few of them close most of what is open
+        lambda rows: _later(rows.join(about, ["doc", "n"]), percent, True),
+    ):
+        pairs = pairs_of(rest)
+        pairs = stage(pairs.join(tried, pairs.columns, "left_anti") if tried is not None else pairs, "pairs")
+        found = stage(_verified(pairs, docs, size, percent), "linked")
+        tried = pairs if tried is None else tried.union(pairs)
         linked = found if linked is None else linked.union(found)
         before, rest = rest, _open(rest, linked)
         drop_staged(before)
-    marked = rest.join(marks.join(leads, ["doc", "n"]).distinct(), ["doc", "n"])
-    later = stage(_later(marked, percent).join(tried, ["a", "b", "na", "nb"], "left_anti"), "later")
-    for staged in (rest, first, marks, leads):
+    later = _later(rest.join(about, ["doc", "n"]), percent, False)
+    later = stage(later.join(tried, ["a", "b", "na", "nb"], "left_anti"), "later")
+    for staged in (rest, first, marks, leads, about):
         drop_staged(staged)
     return linked.union(_verified(later, docs, size, percent))

@@ -172,8 +172,16 @@ def test_near_copies_of_many_sizes_leave_few_open_pairs(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     small = df.select(F.col("doc_id").alias("doc"), "text")
     rows = jaccard._sets(small, 3, "entries", 90).select("doc", "n", "gram")
-    first = jaccard._stars(rows.withColumn("g", F.col("doc")), 90, 0.0)
+    first = jaccard._stars(rows.withColumn("g", F.col("doc")), 90)
     assert 200 < first.count() < 20 * len(docs)
+    # spanning pairs: no more than there are rows in the columns, though nearly all pairs are candidates
+    heads = jaccard._sets(small, 3, "heads", 90).select("doc", "n", "sketch")
+    leads = jaccard._sets(small, 3, "entries", 90).where("firsts is not null").select("doc", "n", "firsts")
+    marked = rows.withColumn("g", F.col("doc")).join(heads, ["doc", "n"]).join(leads, ["doc", "n"])
+    few, all_pairs = jaccard._later(marked, 90, True), jaccard._later(marked, 90, False)
+    assert few.count() <= rows.count() and all_pairs.count() > 20_000
+    joined = lambda p: {r.node: r.component for r in graph.components(p.select("a", "b")).collect()}
+    assert joined(few) == joined(all_pairs)
     assert result(jaccard.jaccard_groups(df, size=3, percent=90)) == brute(docs, 3, 90)
 
 
@@ -189,7 +197,7 @@ def test_entries_of_heads_equal_those_of_texts(spark):
     docs = made(5, families=20)
     df = spark.createDataFrame(docs, "doc long, text string").where("text is not null")
     heads = jaccard._sets(df, 3, "heads", 90).where("n > 0")
-    grams = sorted(g for r in heads.collect() for g in r.head)
+    grams = sorted(g for r in heads.collect() for g in np.frombuffer(r.head, np.int64).tolist())
     for last in (np.empty(0, np.int64), np.array(grams[::40]), np.array(sorted(set(grams))[::2]), np.array(sorted(set(grams)))):
         sent = spark.sparkContext.broadcast(np.unique(last))
         rows = lambda t: {(r.doc, r.n, r.gram, r.firsts) for r in t.collect()}
