@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from simtrail.operators import evaluate as ev
 from simtrail.operators.search import FilterSpec
+from simtrail.sources import fixtures as fx
 
 
 def test_parse_expected_edge_cases(spark):
@@ -111,3 +112,22 @@ def test_every_query_row_has_its_own_list(spark):
         batch_similarity(twice, corpus, k=2, query_row="sentence_source")
     none = batch_similarity(q.limit(0), corpus, k=2, query_row="sentence_source")
     assert none.columns == res.columns and none.count() == 0
+
+
+@pytest.mark.parametrize("name", ["vector_topk_cosine", "vector_topk_l2", "vector_topk_inner", "search_interactive", "rank_flags"])
+def test_judged_by_label_across_hundreds_of_ids(spark, tmp_path, name):
+    """Ticket 0 shares its label with ticket 250 only, 5 with none, 10 with 11 and 300: targets are 0, 10, 250 and 300."""
+    from simtrail.plans.queries import REGISTRY
+
+    labels = {0: 1, 250: 1, 5: 2, 10: 3, 11: 3, 300: 3}
+    rows = [(4 * t + 1, [1.0, 0.1 * i], label) for i, (t, label) in enumerate(labels.items())]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = REGISTRY[name](spark, str(tmp_path))
+    assert {r.target for r in found.collect()} == {0, 10, 250, 300}
+
+
+def test_label_judgments_list_every_other_ticket(spark, tmp_path):
+    rows = [(4 * t + 1, [1.0], label) for t, label in [(0, 1), (250, 1), (250, 1), (7, 1), (5, 2), (10, None), (15, None)]]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r.ticket_id: r.expected_id for r in fx.label_judgments(spark, str(tmp_path)).collect()}
+    assert got == {0: "7, 250, 250", 250: "0, 0, 7, 7"}
