@@ -316,3 +316,28 @@ def test_rows_added_to_a_stored_index(spark, tmp_path):
         se.add_to_ivf(idx, spark.createDataFrame([(1, "p", [1.0])], c.schema))
     with pytest.raises(ValueError, match="stored"):
         se.add_to_ivf(build_ivf(old, n_lists=2), new)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "inner", "l2"])
+def test_few_products_are_looked_at_after_the_first_blocks(monkeypatch, metric):
+    """With a floor per query row most products end with one comparison: a fraction of them is rounded and ranked."""
+    import pyarrow as pa
+
+    rng, dim, k = np.random.default_rng(31), 8, 5
+    unit = lambda n: (lambda v: v / np.linalg.norm(v, axis=1, keepdims=True))(rng.normal(size=(n, dim)))
+    Q, C, cid = unit(40), unit(20_000), np.arange(20_000) // 2
+    rounded, real = [], np.round
+    monkeypatch.setattr(se.np, "round", lambda x, d: rounded.append(np.size(x)) or real(x, d))
+    rows = [(0, np.arange(40).tobytes(), Q.tobytes(), cid[at:at + 500].tobytes(), C[at:at + 500].tobytes()) for at in range(0, 20_000, 500)]
+    names = ["q_block", "q_ids", "q_vecs", "ids", "vecs"]
+    batches = [pa.RecordBatch.from_arrays([pa.array([x]) for x in r], names=names) for r in rows]
+    empty = batches[0].slice(0, 0)
+    run = se._scorer(k, metric, True, None, False, 6, dim, False)
+    got = {(t, c): s for b in run(iter([*batches, empty])) for t, c, s in zip(*(b.column(i).to_pylist() for i in range(3)))}
+    monkeypatch.undo()
+    assert sum(rounded) < Q.shape[0] * len(C) / 10
+    S = {"cosine": Q @ C.T, "inner": 1 + Q @ C.T, "l2": 1 - np.sqrt(((Q[:, None] - C[None]) ** 2).sum(-1))}[metric]
+    best = np.round(S, 6).reshape(40, -1, 2).max(axis=2)
+    for t in range(40):
+        want = sorted(((-s, c) for c, s in enumerate(best[t]) if c != t))[:k]
+        assert [(c, round(got[t, c], 6)) for _, c in want] == [(c, round(-s, 6)) for s, c in want]
