@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from simtrail.functions import text as tx
@@ -136,3 +137,20 @@ def test_hashed_vectors_of_any_length(spark):
             want[int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dim] += 1
         norm = math.sqrt(sum(x * x for x in want))
         assert max(abs(a - b / norm) for a, b in zip(got, want, strict=True)) < 1e-12, dim
+
+
+def test_remembered_tokens_are_bounded_and_right(monkeypatch):
+    import hashlib
+
+    from simtrail.operators import embed as em
+
+    monkeypatch.setattr(em, "REMEMBERED_TOKENS", 50)
+    buckets = em._Buckets(64, ["de"])
+    for i in range(400):
+        text = f"Ação de w{i} w{i % 7}, É"
+        want = np.zeros(64)
+        for token in ("acao", f"w{i}", f"w{i % 7}", "e"):
+            want[int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 64] += 1
+        assert (em._counts(text, buckets) == want).all()
+        assert len(buckets) <= 50 and len(buckets.older) <= 50
+    assert em._counts("de", buckets) is None and em._counts("", buckets) is None and em._counts(None, buckets) is None
