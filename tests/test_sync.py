@@ -101,3 +101,26 @@ def test_same_row_stays_whatever_the_partitions(spark):
     table = rows.limit(0).select("id", "sentence")
     kept = {sy.insert_if_absent(table, rows.repartition(k)).first().n for k in (1, 3, 7)}
     assert len(kept) == 1
+
+
+def test_diff_is_made_once(spark):
+    """The new rows and the removed pairs read the staged diff; they do not each join all texts again."""
+    existing = spark.createDataFrame([(1, "a"), (9, "gone")], "id long, sentence string")
+    plan = sy.prepare_sync(_incoming(spark), existing, spark.createDataFrame([], "id long"))
+    for part in (plan.removed, plan.new_rows, plan.watermark):
+        files = part.inputFiles()
+        assert files and all("sync-diff" in f for f in files)
+
+
+def test_pairs_to_remove_are_shuffled_without_their_texts(spark):
+    """Long texts on the pairs' side are told by their digest; NULL equals nothing, as in SQL."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = spark.createDataFrame([(1, "a"), (1, "a "), (2, None), (None, "a"), (3, "c"), (3, "c")], "id long, sentence string")
+        pairs = spark.createDataFrame([(1, "a"), (2, None), (None, "a"), (3, "c")], "id long, sentence string")
+        left = sy.delete_by_pair(table, pairs)
+        assert {(r.id, r.sentence) for r in left.collect()} == {(1, "a "), (2, None), (None, "a")}
+        plan = left.select("id")._jdf.queryExecution().optimizedPlan().toString()
+        assert "_p__d" in plan and "_p_sentence" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
