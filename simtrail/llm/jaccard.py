@@ -14,8 +14,8 @@ in three steps. First each column is cut into classes of set sizes and one docum
 multiplied with the rest of it (stars): overlap counts are accumulated per pair, and what is left
 is verified and joins documents to components, so a dense column of near copies shrinks to one without
 its pairs. Columns that still hold different components are then multiplied block by block,
-only between components, each pair in the first column that both have, and only if a 2048-bit parity
-sketch of either set leaves room for the threshold (differing bits never outnumber differing
+only between components, each pair in the first column that both have, and only if a parity
+sketch of either set (512 to 2048 bits, by its size) leaves room for the threshold (differing bits never outnumber differing
 n-grams): once for a few pairs a column that span what its candidates connect, and, when these are verified
 and joined, once for all pairs that are left. No pairs of a group of copies are ever made.
 """
@@ -45,8 +45,8 @@ FREQUENT, LAST = 64, 200_000
 # Document numbers that are sent to every task instead of shuffled, if there are no more of them.
 BROADCAST_IDS = 2_000_000
 MEMORY_WORDS = 200_000
-# 64-bit words of a parity sketch, and leading n-grams kept beside it to name the first common column.
-SKETCH, FIRST = 32, 4
+# 64-bit words of the longest parity sketch and of the shortest, and leading n-grams kept beside it to name the first common column.
+SKETCH, SHORT, FIRST = 32, 8, 4
 ENTRIES = "doc long, n int, gram long, firsts binary"
 # In place of a leading n-gram that a small set does not have.
 NONE = np.iinfo(np.int64).min
@@ -80,13 +80,30 @@ def shingle_set(text: bytes | None, size: int, hashes: WordHashes) -> np.ndarray
     return np.unique(out.view(np.int64))
 
 
-def parity_sketch(grams: np.ndarray) -> np.ndarray:
-    """``SKETCH`` numbers whose bit i is set when an odd number of n-grams fall on it."""
+def sketch_words(n: int) -> int:
+    """Words of the sketch of a set of ``n``: a bit an n-gram, as a power of two from ``SHORT`` to ``SKETCH``."""
+    words = SHORT
+    while words < SKETCH and 64 * words < n:
+        words *= 2
+    return words
+
+
+def parity_sketch(grams: np.ndarray, words: int = SKETCH) -> np.ndarray:
+    """``words`` (a power of two, up to ``SKETCH``) numbers whose bit i is set when an odd number of n-grams fall on it. A short
+    sketch is a long one with its halves xored (:func:`_folded`)."""
     place = (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 11)
-    bits = (np.bincount(place.astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
+    bits = (np.bincount(place.astype(np.int64) & (64 * words - 1), minlength=64 * words) & 1).astype(np.uint8)
     return np.packbits(bits).view(np.int64)
 
 
+def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (one a row) with their halves xored until they have ``words`` words."""
+    while sketch.shape[1] > words:
+        half = sketch.shape[1] // 2
+        sketch = sketch[:, :half] ^ sketch[:, half:]
+    return sketch
+
+
 def leading(n: int, percent: int) -> int:
     """How many n-grams of a set of ``n`` take part in the product."""
     least = -(-percent * n // 100)
@@ -114,7 +131,7 @@ def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) ->
                 cols = [
                     *own,
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.array([parity_sketch(s).tobytes() for s in sets], pa.binary()),
+                    pa.array([parity_sketch(s, sketch_words(len(s))).tobytes() for s in sets], pa.binary()),
                     pa.array([h.tobytes() for h in heads], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", "signature", "sketch", "head"])
@@ -292,7 +309,9 @@ def _open(rows: DataFrame, links: DataFrame | None) -> DataFrame:
 
 def _close(x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> np.ndarray:
     """Which pairs of two sketch matrices (rows of 64-bit words) differ in at most ``limit`` bits; a few words rule most out."""
-    few = np.bitwise_count(x[:, None, :SKETCH // 4] ^ y[None, :, :SKETCH // 4]).sum(2, dtype=np.int32) <= limit
+    few = np.bitwise_count(x[:, None, :SHORT] ^ y[None, :, :SHORT]).sum(2, dtype=np.int32) <= limit
+    if x.shape[1] <= SHORT:
+        return few
     i, j = np.nonzero(few)
     for at in range(0, len(i), 1 << 16):
         some = slice(at, at + (1 << 16))
@@ -300,40 +319,57 @@ def _close(x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> np.ndarray:
     return few
 
 
+def _runs(raw: list[bytes]) -> list[tuple[int, int, np.ndarray]]:
+    """(first row, end, sketches as a matrix) of neighbouring rows whose sketches are of one length."""
+    sizes = np.array([len(r) for r in raw])
+    cuts = [0, *(np.flatnonzero(sizes[1:] != sizes[:-1]) + 1).tolist(), len(raw)]
+    return [(at, to, np.frombuffer(b"".join(raw[at:to]), np.uint64).reshape(to - at, -1)) for at, to in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def _column_pairs(percent: int, doc, n, g, block, sketch, firsts, gram: int, across: bool) -> Iterator[tuple]:
     """Places (i, j) of pairs in one column, i the smaller set: of different components (and, with ``across``, of
-    different blocks), sizes and sketches within the threshold, and no earlier column in common."""
-    for lo in range(0, len(doc), TILE):
-        hi = min(lo + TILE, len(doc))
-        # rows are in order of (n, doc): partners lie behind, up to the largest size that can reach the threshold
-        end = int(np.searchsorted(n, 100 * n[hi - 1] // percent, side="right"))
-        for at in range(lo, end, 2 * TILE):
-            to = min(at + 2 * TILE, end)
-            size = n[lo:hi, None] + n[None, at:to]
-            near = _close(sketch[lo:hi], sketch[at:to], size * (100 - percent) // (100 + percent))
-            near &= (g[lo:hi, None] != g[None, at:to]) & (100 * n[lo:hi, None] >= percent * n[None, at:to])
-            near &= np.arange(lo, hi)[:, None] < np.arange(at, to)[None]
-            if across:
-                near &= block[lo:hi, None] != block[None, at:to]
-            i, j = np.nonzero(near)
-            if i.size:
-                i, j = i + lo, j + at
-                shared = (firsts[i][:, :, None] == firsts[j][:, None, :]) & (firsts[i] != NONE)[:, :, None]
-                known = shared.any(2)
-                leader = firsts[i][np.arange(len(i)), known.argmax(1)]
-                first = ~known.any(1) | (leader == gram)
-                yield i[first], j[first]
-
-
-def _later(rest: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    different blocks), sizes and sketches within the threshold, and no earlier column in common. ``sketch`` is a matrix, or
+    runs of them (:func:`_runs`); of sketches of two lengths the longer is folded."""
+    runs = [(0, len(doc), sketch)] if isinstance(sketch, np.ndarray) else sketch
+    for k, (begin, stop, own) in enumerate(runs):
+        for lo in range(begin, stop, TILE):
+            hi = min(lo + TILE, stop)
+            # rows are in order of (n, doc): partners lie behind, up to the largest size that can reach the threshold
+            end = int(np.searchsorted(n, 100 * n[hi - 1] // percent, side="right"))
+            tiles = [(at, min(at + 2 * TILE, limit), found[at - start : min(at + 2 * TILE, limit) - start])
+                     for start, limit, found in ((max(lo, r[0]), min(end, r[1]), r[2][max(lo, r[0]) - r[0] :]) for r in runs[k:])
+                     for at in range(start, limit, 2 * TILE)]
+            for at, to, theirs in tiles:
+                words = min(own.shape[1], theirs.shape[1])
+                size = n[lo:hi, None] + n[None, at:to]
+                room = size * (100 - percent) // (100 + percent)
+                near = _close(_folded(own[lo - begin : hi - begin], words), _folded(theirs, words), room)
+                near &= (g[lo:hi, None] != g[None, at:to]) & (100 * n[lo:hi, None] >= percent * n[None, at:to])
+                near &= np.arange(lo, hi)[:, None] < np.arange(at, to)[None]
+                if across:
+                    near &= block[lo:hi, None] != block[None, at:to]
+                i, j = np.nonzero(near)
+                if i.size:
+                    i, j = i + lo, j + at
+                    shared = (firsts[i][:, :, None] == firsts[j][:, None, :]) & (firsts[i] != NONE)[:, :, None]
+                    known = shared.any(2)
+                    leader = firsts[i][np.arange(len(i)), known.argmax(1)]
+                    first = ~known.any(1) | (leader == gram)
+                    yield i[first], j[first]
+
+
+def _later(rest: DataFrame, percent: int, spanning: bool, about: DataFrame | None = None) -> DataFrame:
     """Candidate pairs between different components of rows (gram, doc, n, g, sketch, firsts), each in the first column that
     both documents have. A column of many rows is cut into blocks, and pairs of blocks are cells of their own. With
-    ``spanning`` a cell gives only pairs enough to connect the components that its candidates connect."""
+    ``spanning`` a cell gives only pairs enough to connect the components that its candidates connect. ``about`` (doc, n,
+    sketch, firsts) holds what ``rest`` then lacks; it is looked up after the dealing, so that only one shuffle carries sketches."""
     counts = rest.groupBy("gram").count().where(f"count > {CELL}").select("gram", F.ceil(F.col("count") / CELL).cast("int").alias("s"))
-    rows = rest.join(counts, "gram", "left").withColumn("s", F.coalesce("s", F.lit(1)))
+    # at most a row for every CELL rows of the table
+    rows = rest.join(F.broadcast(counts), "gram", "left").withColumn("s", F.coalesce("s", F.lit(1)))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("s")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("_o")
     rows = rows.select("*", other).withColumn("i", F.least("block", "_o")).withColumn("j", F.greatest("block", "_o"))
+    rows = rows.join(about, ["doc", "n"]) if about is not None else rows
     cells = rows.select("gram", "i", "j", "n", "doc", "g", "block", "sketch", "firsts")
     sorted_cells = cells.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "doc")
 
@@ -341,7 +377,7 @@ def _later(rest: DataFrame, percent: int, spanning: bool) -> DataFrame:
         def pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(parts)
             doc, n, g, block = (t[c].to_numpy().astype(np.int64) for c in ("doc", "n", "g", "block"))
-            words = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH)
+            words = _runs(t["sketch"].to_pylist())
             firsts = np.frombuffer(b"".join(t["firsts"].to_pylist()), np.int64).reshape(-1, FIRST)
             gram, i, j = (t[c][0].as_py() for c in ("gram", "i", "j"))
             up: dict[int, int] = {}
@@ -392,7 +428,7 @@ def _links_of(
     for pairs_of in (
         lambda rows: _stars(rows, percent),
         # nearly all pairs that pass the sketch are links: a few of them close most of what is open
-        lambda rows: _later(rows.join(about, ["doc", "n"]), percent, True),
+        lambda rows: _later(rows, percent, True, about),
     ):
         pairs = pairs_of(rest)
         pairs = stage(pairs.join(tried, pairs.columns, "left_anti") if tried is not None else pairs, "pairs")
@@ -401,7 +437,7 @@ def _links_of(
         linked = found if linked is None else linked.union(found)
         before, rest = rest, _open(rest, linked)
         drop_staged(before)
-    later = _later(rest.join(about, ["doc", "n"]), percent, False)
+    later = _later(rest, percent, False, about)
     later = stage(later.join(tried, ["a", "b", "na", "nb"], "left_anti"), "later")
     for staged in (rest, first, marks, leads, about):
         drop_staged(staged)

@@ -206,3 +206,38 @@ def test_entries_of_heads_equal_those_of_texts(spark):
         assert {r for r in got if r[2] is not None} == {r for r in want if r[0] not in unknown}
         assert (not last.size) <= (not unknown)
     assert unknown  # where all are frequent, long texts are not known by their heads
+
+
+def test_sketches_by_set_size(monkeypatch):
+    """A set's sketch has a bit an n-gram at least, up to the longest; a long one folds to a short one, and pairs of rows with
+    sketches of different lengths are compared."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(jaccard, "TILE", 4)
+    assert [jaccard.sketch_words(n) for n in (1, 512, 513, 1024, 1025, 9000)] == [8, 8, 16, 16, 32, 32]
+    sets = []
+    for n in (100, 480, 530, 1000, 1060, 3000):
+        base = rng.integers(-(2**62), 2**62, n)
+        sets += [np.unique(np.concatenate([base[k:], rng.integers(-(2**62), 2**62, 2 * k)])) for k in range(0, 50, 7)]
+    sets.sort(key=len)
+    raw = [jaccard.parity_sketch(s, jaccard.sketch_words(len(s))) for s in sets]
+    for s, short in zip(sets, raw, strict=True):
+        assert (jaccard._folded(jaccard.parity_sketch(s)[None], len(short)) == short).all()
+    n, doc = np.array([len(s) for s in sets]), np.arange(len(sets))
+    firsts = np.full((len(sets), jaccard.FIRST), jaccard.NONE)
+    runs = jaccard._runs([r.tobytes() for r in raw])
+    assert [r[2].shape[1] for r in runs] == [8, 16, 32]
+    got = {(int(a), int(b)) for i, j in jaccard._column_pairs(80, doc, n, doc, doc, runs, firsts, 5, False) for a, b in zip(i, j, strict=True)}
+    near = set()
+    for i in range(len(sets)):
+        for j in range(i + 1, len(sets)):
+            common = np.intersect1d(sets[i], sets[j]).size
+            if 100 * common >= 80 * (n[i] + n[j] - common):
+                near.add((i, j))
+    assert near <= got and len({(len(raw[i]), len(raw[j])) for i, j in near}) == 5  # within all lengths and across both borders
+    assert len(got) < len(sets) ** 2 / 8  # unrelated sets are told apart
+
+
+def test_heads_carry_short_sketches(spark):
+    rows = [(1, " ".join(f"a{i}" for i in range(300))), (2, " ".join(f"a{i}" for i in range(3000)))]
+    heads = jaccard._sets(spark.createDataFrame(rows, "doc long, text string"), 3, "heads", 90)
+    assert {r.doc: len(r.sketch) for r in heads.collect()} == {1: 64, 2: 256}
