@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 from simtrail.llm.common import extended_schema, slices
 
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+# ASCII marks that often follow a word; any run of them is one pre-token of the pattern.
+MARKS = ".,;:!?)\"]"
 # Characters on which str.split() cuts although they are not white space for the vocabulary's pattern.
 ODD_SPACE = regex.compile("[\x1c-\x1f]")
 # Words remembered per Python worker: two generations of this many, the older one goes (a cache, never a cap on words).
@@ -63,12 +65,12 @@ class Memory:
         return self.now
 
     def missing(self, keys: set[str]) -> set[str]:
-        old, now = self.old, self.now
+        old = self.old
         if not old:
             return keys
-        for key in keys & old.keys():
-            now[key] = old[key]
-        return keys - old.keys()
+        found = [key for key in keys if key in old]  # set operations with old.keys() would walk through all of it
+        self.now.update((key, old[key]) for key in found)
+        return keys.difference(found)
 
 
 class Encoder:
@@ -308,6 +310,8 @@ class Encoder:
         return out
 
     def _word_letters(self, word: str) -> str:
+        if word.isascii() and word.isprintable():  # these stand for themselves in the byte alphabet
+            return word
         return word.encode().decode("latin-1").translate(self.letters)
 
     # --- texts ------------------------------------------------------------------------
@@ -347,15 +351,23 @@ class Encoder:
         known, parts = self.memory.now, {}
         words: set[str] = set()
         for chunk in chunks:
-            if chunk.isalpha() and chunk.isascii():
-                words.add(chunk)
-            else:
-                parts[chunk] = WORD.findall(chunk)
-                words.update(parts[chunk])
+            if chunk.isascii():
+                word = chunk.rstrip(MARKS)
+                if word.isalpha():  # a word alone, or one and its marks, which are one pre-token
+                    words.add(word)
+                    if len(word) < len(chunk):
+                        mark = chunk[len(word) :]
+                        words.add(mark)
+                        parts[chunk] = (word, mark)
+                    continue
+            parts[chunk] = WORD.findall(chunk)
+            words.update(parts[chunk])
         distinct = list(self.memory.missing(words.difference(known)))
         known.update(zip(distinct, self.encode_words(distinct), strict=True))
         for chunk, ws in parts.items():
-            if len(ws) != 1 or ws[0] != chunk:
+            if len(ws) == 2:
+                known[chunk] = known[ws[0]] + known[ws[1]]
+            elif len(ws) != 1 or ws[0] != chunk:
                 known[chunk] = b"".join([known[w] for w in ws])
 
     def decode(self, ids: bytes | None) -> str:

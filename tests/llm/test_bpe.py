@@ -127,3 +127,26 @@ def test_merging_many_words_at_once_equals_merging_each(coder):
     assert got == [coder.merge(w, bool(e)) for w, e in zip(words, ends, strict=True)]
     ids, begin = coder.merge_all([], np.zeros(0, bool))
     assert ids.size == 0 and begin.tolist() == [0]
+
+
+def test_older_words_are_asked_for_one_by_one():
+    """What is asked for moves to the younger half, without a walk through the older one."""
+
+    class Asked(dict):
+        def __iter__(self):
+            raise AssertionError("walked through")
+
+        keys = items = values = __iter__
+
+    memory = bpe.Memory()
+    assert memory.missing({"a"}) == {"a"}
+    memory.old = Asked(a=b"1", b=b"2")
+    memory.now = {"d": b"4"}
+    assert memory.missing({"a", "c"}) == {"c"}
+    assert memory.now == {"d": b"4", "a": b"1"}
+
+
+def test_words_with_marks_behind(coder, library):
+    texts = ['Word. word, word); "word" word.) wo.rd... wórd. \x01x. don\'t. \'s. 9. a1! !a .', "a.b.", "?!", "x" * 40 + ":\x1c;y.", None]
+    got = coder.encode(texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
