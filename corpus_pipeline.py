@@ -7,11 +7,13 @@ again before the next, so a lost executor costs one stage at most.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from simtrail.llm import jaccard, langid, packing, quality
-from simtrail.llm.common import table
+from simtrail.llm.common import fresh_name, table
 from simtrail.llm.queries import TOKENIZER, packed_digest
 from simtrail.session import stage
 
@@ -19,17 +21,25 @@ from simtrail.session import stage
 ORACLE_SQL = None
 
 
+def _passed(docs: DataFrame, step: Callable[[DataFrame], DataFrame], added: set[str], condition: str) -> DataFrame:
+    """The rows of ``docs`` that meet ``condition`` after ``step``, which adds columns; those of ``docs`` it would replace are set
+    aside. Every other column is sent once, so no text goes through a task twice."""
+    hidden = [c for c in docs.columns if c.lower() in added]
+    aside = fresh_name([*docs.columns, *added], "_aside")
+    found = step(docs.withColumn(aside, F.struct(*hidden)) if hidden else docs).where(condition)
+    return found.select(*[f"{aside}.{c}" if c in hidden else c for c in docs.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found without doubt; null texts and texts without a letter go."""
-    found = langid.identify(docs.withColumn("_kept", F.struct(*docs.columns)), docs)
-    return found.where(f"lang_pred <> '{langid.UNKNOWN}' and not ambiguous").select("_kept.*")
+    clear = f"lang_pred <> '{langid.UNKNOWN}' and not ambiguous"
+    return _passed(docs, lambda rows: langid.identify(rows, docs), {"lang_pred", "score", "ambiguous"}, clear)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled ones, does not reject."""
     marks = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    scored = quality.score_quality(docs.withColumn("_kept", F.struct(*docs.columns)), marks)
-    return scored.where("predicted = 1").select("_kept.*")
+    return _passed(docs, lambda rows: quality.score_quality(rows, marks), {"score", "predicted"}, "predicted = 1")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,3 +43,20 @@ def test_one_row_of_each_kept_id(spark):
     got = corpus_pipeline.near_duplicates(spark, df, "")
     assert got.columns == df.columns
     assert sorted(map(tuple, got.collect()), key=str) == [(11, "k", "x"), (12, "m", "x"), (2, a, "x"), (None, "n", "x")]
+
+
+def test_model_stages_send_every_text_once(spark, sf, monkeypatch):
+    """Columns are not sent a second time beside themselves, and those that a stage would replace come out as they were."""
+    sent = []
+    for module, name in ((corpus_pipeline.langid, "identify"), (corpus_pipeline.quality, "score_quality")):
+        step = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, *rest, step=step: (sent.append(df), step(df, *rest))[1])
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    docs = docs.withColumns({"Score": docs["doc_id"], "predicted": docs["lang"], "_aside": docs["source"], "ambiguous": docs["doc_id"] + 1})
+    rows = {r.doc_id: r for r in docs.collect()}
+    for stage in (corpus_pipeline.language, corpus_pipeline.good_quality):
+        got = stage(spark, docs, sf)
+        assert got.columns == docs.columns and got.dtypes == docs.dtypes
+        found = got.collect()
+        assert found and all(rows[r.doc_id] == r for r in found)
+    assert len(sent) == 2 and all(df.schema.simpleString().count("text:") == 1 for df in sent)
