@@ -44,7 +44,12 @@ SHARED = 4
 FREQUENT, LAST = 64, 200_000
 # Document numbers that are sent to every task instead of shuffled, if there are no more of them.
 BROADCAST_IDS = 2_000_000
-MEMORY_WORDS = 200_000
+# Words of more bytes are hashed one by one; texts are hashed together up to about so many bytes.
+LONG_WORD, SPAN = 128, 1 << 20
+SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
+# By a number of bytes, the mask that keeps them.
+BYTES = np.array([256**i - 1 for i in range(9)], np.uint64)
 # 64-bit words of the longest parity sketch and of the shortest, and leading n-grams kept beside it to name the first common column.
 SKETCH, SHORT, FIRST = 32, 8, 4
 ENTRIES = "doc long, n int, gram long, firsts binary"
@@ -52,32 +57,60 @@ ENTRIES = "doc long, n int, gram long, firsts binary"
 NONE = np.iinfo(np.int64).min
 # Rows of a column that one task compares with each other, and of the tiles in which it does.
 CELL, TILE = 4096, 256
+# Cells of up to so many rows are compared many at a time.
+SMALL = 128
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of ``raw`` (cut at ASCII white space), and the byte where it begins. Eight bytes of all words
+    are mixed in at a time, so hashes of words of up to eight bytes are equal for equal words only; a long word is hashed by itself."""
+    space = SPACE[np.frombuffer(raw, np.uint8)]
+    edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    begin, size = edge[::2], edge[1::2] - edge[::2]
+    numbers = np.frombuffer(raw + bytes(16 - len(raw) % 8), "<u8")
+    out = size.astype(np.uint64) * MIX[0]
+    which = np.flatnonzero(size <= LONG_WORD)
+    for at in range(0, LONG_WORD, 8):
+        which = which[size[which] > at]
+        if not which.size:
+            break
+        place = begin[which] + at
+        low, bits = place >> 3, ((place & 7) * 8).astype(np.uint64)
+        eight = numbers[low] >> bits | numbers[low + 1] << np.uint64(1) << (np.uint64(63) - bits)
+        eight &= BYTES[np.minimum(size[which] - at, 8)]
+        mixed = (out[which] ^ eight) * MIX[1]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= MIX[2]
+        out[which] = mixed ^ mixed >> np.uint64(29)
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(raw[begin[i] : begin[i] + size[i]])
+    return out, begin
+
+
+def _grams(ids: np.ndarray, n: int, size: int) -> np.ndarray:
+    """A number for every ``n`` words in a row; those of a short sequence are no full n-grams."""
+    out = np.full(max(len(ids) - n + 1, 0), n - size, np.int64).view(np.uint64)
+    for i in range(n):
+        out += ids[i : i + len(out)] * PLACES[i]
+    out ^= out >> np.uint64(31)
+    return out.view(np.int64)
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered per task."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMORY_WORDS:
-            self.clear()
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
-        return got
-
-
-def shingle_set(text: bytes | None, size: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the n-grams of a text: A-Z lower-cased, words cut at ASCII white space;
-    with fewer words than ``size`` the whole sequence is one; nothing without words.
+def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the n-grams of each text: A-Z lower-cased, words cut at ASCII white space;
+    with fewer words than ``size`` the whole sequence is one; nothing without words. About ``SPAN`` bytes are hashed at a time.
     """
-    words = text.lower().split() if text else []
-    if not words:
-        return np.empty(0, np.int64)
-    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = min(size, len(words))
-    out = np.full(len(words) - n + 1, n - size, np.int64).view(np.uint64)  # a short sequence is no full n-gram
-    for i in range(n):
-        out += ids[i : len(words) - n + 1 + i] * PLACES[i]
-    out ^= out >> np.uint64(31)
-    return np.unique(out.view(np.int64))
+    ends, sets = np.cumsum([len(t or b"") + 1 for t in texts]), []
+    while len(sets) < len(texts):
+        first, done = len(sets), int(ends[len(sets) - 1]) if sets else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + SPAN, side="right")))
+        ids, begin = word_hashes(b"\n".join(t or b"" for t in texts[first:last]).lower())
+        grams = _grams(ids, size, size)
+        cuts = [0, *np.searchsorted(begin, ends[first:last] - done).tolist()]
+        for at, to in zip(cuts[:-1], cuts[1:], strict=True):
+            s = np.sort(grams[at : to - size + 1] if to - at >= size else _grams(ids[at:to], to - at, size)[: to - at])
+            sets.append(s[np.diff(s, prepend=s[:1] - 1) != 0])
+    return sets
 
 
 def sketch_words(n: int) -> int:
@@ -120,11 +153,10 @@ def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) ->
     }[emit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         last = frequent.value if frequent is not None else None
         for batch in slices(batches, 1024):
             ids = batch.column("doc").to_pylist()
-            sets = [shingle_set(t, size, hashes) for t in utf8_bytes(batch.column("text"))]
+            sets = shingle_sets(utf8_bytes(batch.column("text")), size)
             own = [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int32())]
             if emit == "heads":
                 heads = [s[: leading(len(s), percent) * 3 // 2] for s in sets]
@@ -248,16 +280,13 @@ def jaccard_groups(
     heads = stage(_sets(small, size, "heads", percent), "heads")
     frequent = _frequent(heads.where("doc is not null"))
     rows = stage(heads.select("doc", "n", "signature"), "rows")
-    marks = stage(heads.where("doc is not null and n > 0").select("doc", "n", "sketch"), "marks")
-    entries = stage(_entries_of_heads(heads.where("doc is not null and n > 0"), percent, frequent), "entries")
-    drop_staged(heads)
 
     several = rows.where("doc is not null").groupBy("doc").count().where("count > 1").select("doc")
     repeated = several.limit(1).count() > 0
     if repeated:
         small = stage(small.distinct(), "texts")  # repeated rows need comparing once only
     classes = rows.where("n > 0 and doc is not null").groupBy("n", "signature").agg(F.min("doc").alias("first"))
-    found = _links_of(small, classes, entries, marks, size, percent, frequent)
+    found = _links_of(small, classes, heads, size, percent, frequent)
     if repeated:  # an id with several sets ties their classes together
         many = rows.where("n > 0 and doc is not null").select("doc", "n", "signature").distinct()
         many = many.join(many.groupBy("doc").count().where("count > 1").select("doc"), "doc", "left_semi")
@@ -351,13 +380,96 @@ def _column_pairs(percent: int, doc, n, g, block, sketch, firsts, gram: int, acr
                 i, j = np.nonzero(near)
                 if i.size:
                     i, j = i + lo, j + at
-                    shared = (firsts[i][:, :, None] == firsts[j][:, None, :]) & (firsts[i] != NONE)[:, :, None]
-                    known = shared.any(2)
-                    leader = firsts[i][np.arange(len(i)), known.argmax(1)]
-                    first = ~known.any(1) | (leader == gram)
+                    first = _first_common(firsts, i, j, gram)
                     yield i[first], j[first]
 
 
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit numbers of all rows of a column of bytes, and where each row begins (and the last ends)."""
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint64, (ends[-1] - ends[0]) // 8, ends[0]), (ends - ends[0]) // 8
+
+
+def _first_common(firsts: np.ndarray, i: np.ndarray, j: np.ndarray, gram) -> np.ndarray:
+    """Which pairs of rows have no earlier column in common than ``gram``, as far as their first n-grams tell."""
+    shared = (firsts[i][:, :, None] == firsts[j][:, None, :]) & (firsts[i] != NONE)[:, :, None]
+    known = shared.any(2)
+    return ~known.any(1) | (firsts[i][np.arange(len(i)), known.argmax(1)] == gram)
+
+
+def _small_pairs(percent: int, cell, n, g, block, sketch: tuple, firsts, gram, across) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`_column_pairs`, for many small cells at once (rows in order of cell, n, doc; ``gram`` and ``across`` a row): every
+    row is compared with the next of its cell, then with the second next, as long as sizes allow."""
+    numbers, begin = sketch
+    words = np.diff(begin)
+    folds = {}  # by length, the sketches of at least that many words
+    for w in sorted({SHORT, *words.tolist()}):
+        folds[w] = np.zeros((len(n), w), np.uint64)
+        for own in np.unique(words[words >= w]).tolist():
+            at = np.flatnonzero(words == own)
+            folds[w][at] = _folded(numbers[begin[at][:, None] + np.arange(own)], w)
+    found = []
+    x, step = np.arange(len(n)), 0
+    while x.size:
+        step += 1
+        x = x[x + step < len(n)]
+        x = x[(cell[x] == cell[x + step]) & (100 * n[x] >= percent * n[x + step])]
+        i = x[(g[x] != g[x + step]) & (~across[x] | (block[x] != block[x + step]))]
+        j = i + step
+        for w, fold in folds.items():
+            room = (n[i] + n[j]) * (100 - percent) // (100 + percent)
+            near = np.bitwise_count(fold[i] ^ fold[j]).sum(1, dtype=np.int32) <= room
+            near |= np.minimum(words[i], words[j]) < w
+            i, j = i[near], j[near]
+        first = _first_common(firsts, i, j, gram[i])
+        found.append((i[first], j[first]))
+    i, j = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
+    order = np.lexsort((j, i))
+    return i[order], j[order]
+
+
+def _cell_pairs(percent: int, rows: pa.RecordBatch, cuts: np.ndarray, spanning: bool) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of whole cells that begin (and the last ends) at the rows ``cuts``."""
+
+    def columns(part: pa.RecordBatch) -> list[np.ndarray]:
+        numbers = [part.column(c).to_numpy().astype(np.int64) for c in ("doc", "n", "g", "block")]
+        return [*numbers, _words(part.column("firsts"))[0].view(np.int64).reshape(-1, FIRST)]
+
+    def chosen(doc, n, x, y) -> pa.RecordBatch:
+        cols = [pa.array(doc[x]), pa.array(doc[y]), pa.array(n[x].astype(np.int32)), pa.array(n[y].astype(np.int32))]
+        return pa.RecordBatch.from_arrays(cols, names=["a", "b", "na", "nb"])
+
+    sizes = np.diff(cuts)
+    for k in np.flatnonzero(sizes > SMALL):
+        part = rows.slice(cuts[k], sizes[k])
+        doc, n, g, block, firsts = columns(part)
+        gram, i, j = (part.column(c)[0].as_py() for c in ("gram", "i", "j"))
+        up: dict[int, int] = {}
+        for x, y in _column_pairs(percent, doc, n, g, block, _runs(part.column("sketch").to_pylist()), firsts, gram, i != j):
+            if spanning:
+                new = [union(up, a, b) for a, b in zip(g[x].tolist(), g[y].tolist(), strict=True)]
+                x, y = x[new], y[new]
+            yield chosen(doc, n, x, y)
+    small = np.flatnonzero((sizes > 1) & (sizes <= SMALL))
+    if not small.size:
+        return
+    cell = np.repeat(np.arange(len(sizes)), sizes)
+    part = rows.filter(pa.array(np.isin(cell, small)))
+    doc, n, g, block, firsts = columns(part)
+    gram, i, j = (part.column(c).to_numpy() for c in ("gram", "i", "j"))
+    cell = np.repeat(small, sizes[small])
+    x, y = _small_pairs(percent, cell, n, g, block, _words(part.column("sketch")), firsts, gram, i != j)
+    if spanning:
+        new, last = [], None
+        for c, a, b in zip(cell[x].tolist(), g[x].tolist(), g[y].tolist(), strict=True):
+            if c != last:
+                last, up = c, {}
+            new.append(union(up, a, b))
+        x, y = x[np.array(new, bool)], y[np.array(new, bool)]
+    yield chosen(doc, n, x, y)
+
+
 def _later(rest: DataFrame, percent: int, spanning: bool, about: DataFrame | None = None) -> DataFrame:
     """Candidate pairs between different components of rows (gram, doc, n, g, sketch, firsts), each in the first column that
     both documents have. A column of many rows is cut into blocks, and pairs of blocks are cells of their own. With
@@ -374,55 +486,39 @@ def _later(rest: DataFrame, percent: int, spanning: bool, about: DataFrame | Non
     sorted_cells = cells.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            t = pa.Table.from_batches(parts)
-            doc, n, g, block = (t[c].to_numpy().astype(np.int64) for c in ("doc", "n", "g", "block"))
-            words = _runs(t["sketch"].to_pylist())
-            firsts = np.frombuffer(b"".join(t["firsts"].to_pylist()), np.int64).reshape(-1, FIRST)
-            gram, i, j = (t[c][0].as_py() for c in ("gram", "i", "j"))
-            up: dict[int, int] = {}
-            for x, y in _column_pairs(percent, doc, n, g, block, words, firsts, gram, i != j):
-                if spanning:
-                    new = [union(up, a, b) for a, b in zip(g[x].tolist(), g[y].tolist(), strict=True)]
-                    x, y = x[new], y[new]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[x]), pa.array(doc[y]), pa.array(n[x].astype(np.int32)), pa.array(n[y].astype(np.int32))],
-                    names=["a", "b", "na", "nb"])
-
         held: list[pa.RecordBatch] = []
-        cell = None
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("gram", "i", "j")], 1)
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1), len(keys)]
-            for at, to in zip(cuts[:-1], cuts[1:], strict=True):
-                if to > at:
-                    if held and tuple(keys[at]) != cell:
-                        yield from pairs(held)
-                        held = []
-                    cell = tuple(keys[at])
-                    held.append(batch.slice(at, to - at))
-        if held:
-            yield from pairs(held)
+            if batch.num_rows:
+                rows = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
+                keys = np.stack([rows.column(c).to_numpy() for c in ("gram", "i", "j")], 1)
+                cuts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1])
+                yield from _cell_pairs(percent, rows.slice(0, cuts[-1]), cuts, spanning)
+                held = [rows.slice(cuts[-1])]  # its cell may go on
+        for rows in held:
+            yield from _cell_pairs(percent, rows, np.array([0, rows.num_rows]), spanning)
 
     return sorted_cells.mapInArrow(run, "a long, b long, na int, nb int").distinct()
 
 
-def _links_of(
-    docs: DataFrame, classes: DataFrame, entries: DataFrame, marks: DataFrame, size: int, percent: int, frequent
-) -> DataFrame:
+def _links_of(docs: DataFrame, classes: DataFrame, heads: DataFrame, size: int, percent: int, frequent) -> DataFrame:
     """Links between class representatives that suffice for the components: stars, then pairs that span the open columns, then
-    all pairs that are still open."""
+    all pairs that are still open. Deletes ``heads``."""
     first = stage(classes.select("first", "n"), "first")
+    own = first.select(F.col("first").alias("doc"), "n")
+    own = F.broadcast(own) if first.count() <= BROADCAST_IDS else own
+    # one row of the matrix per class: the other members make no entries
+    members = heads.where("doc is not null and n > 0").join(own, ["doc", "n"], "left_semi")
+    marks = stage(members.select("doc", "n", "sketch"), "marks")
+    entries = stage(_entries_of_heads(members, percent, frequent), "entries")
+    drop_staged(heads)
     # few documents have too many frequent n-grams among those kept: their texts are read again
     again = _sets(_chosen(docs.where("doc is not null"), entries.where("gram is null").select("doc")), size, "entries", percent, frequent)
-    # one row of the matrix per class: entries of the other members go
-    own = first.select(F.col("first").alias("doc"), "n")
+    again = stage(again.join(own, ["doc", "n"], "left_semi"), "again")
     every = entries.where("gram is not null").union(again)
-    every = stage(every.join(F.broadcast(own) if first.count() <= BROADCAST_IDS else own, ["doc", "n"], "left_semi"), "entries")
-    drop_staged(entries)
     leads = stage(every.where("firsts is not null").select("doc", "n", "firsts").distinct(), "leads")
     rest = _open(every, None)
-    drop_staged(every)
+    drop_staged(entries)
+    drop_staged(again)
     linked, tried = None, None
     about = stage(marks.join(leads, ["doc", "n"]).distinct(), "about")
     for pairs_of in (

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from simtrail.llm import graph, jaccard
@@ -241,3 +242,58 @@ def test_heads_carry_short_sketches(spark):
     rows = [(1, " ".join(f"a{i}" for i in range(300))), (2, " ".join(f"a{i}" for i in range(3000)))]
     heads = jaccard._sets(spark.createDataFrame(rows, "doc long, text string"), 3, "heads", 90)
     assert {r.doc: len(r.sketch) for r in heads.collect()} == {1: 64, 2: 256}
+
+
+def test_word_hashes_tell_words_apart():
+    rng = random.Random(5)
+    texts = [None, b"", b" \n", b"one", b"ONE two", b" a  b\tc\x0bd\x0ce\rf ", "é È x".encode(), b"\x00 \x00\x00 a\x00", b"c " * 50]
+    texts += [b"x" * 200 + b" " + b"x" * 201 + b" y", b"z" * 128 + b" " + b"z" * 129]
+    texts += [bytes(rng.choice(b"ab \tAB\x1c\xc3") for _ in range(rng.randrange(40))) for _ in range(500)]
+    for size in (1, 3, 5):
+        got = jaccard.shingle_sets(texts, size)
+        named = {}
+        for t, numbers in zip(texts, got, strict=True):
+            w = (t or b"").lower().split()
+            words = {tuple(w[i : i + min(size, len(w))]) for i in range(max(1, len(w) - size + 1))} if w else set()
+            assert len(numbers) == len(words) and (numbers[1:] > numbers[:-1]).all()
+            assert named.setdefault(frozenset(words), numbers.tobytes()) == numbers.tobytes()
+        assert len(set(named.values())) == len(named)
+
+
+def cells(rng, sizes, percent=90):
+    """Rows of columns as _later sends them: documents of a few families with their sketches, in order of (gram, n, doc)."""
+    rows = []
+    for gram, size in enumerate(sizes):
+        some = []
+        for doc in rng.sample(range(10_000), size):
+            base = rng.choice([60, 300, 700, 2500])
+            grams = np.random.default_rng(base).integers(-(2**62), 2**62, base)
+            grams = np.unique(np.concatenate([grams[rng.randrange(base // 12) :], np.array([doc], np.int64)]))
+            firsts = np.array([gram, jaccard.NONE, rng.randrange(-3, 0), gram + 1000], np.int64)
+            some.append((gram, 0, 0, len(grams), doc, rng.choice([doc, 7]), 0,
+                         jaccard.parity_sketch(grams, jaccard.sketch_words(len(grams))).tobytes(), firsts.tobytes()))
+        rows += sorted(some, key=lambda r: (r[3], r[4]))
+    names = ["gram", "i", "j", "n", "doc", "g", "block", "sketch", "firsts"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+
+def test_small_cells_are_compared_together(monkeypatch):
+    """The pairs are those of one cell at a time, for a call instead of a call a cell."""
+    rng = random.Random(3)
+    sizes = [1, 2, 5, 40, 1, 3, 90, 128, 130, 2, 17]
+    rows, cuts = cells(rng, sizes), np.concatenate([[0], np.cumsum(sizes)])
+    calls, column_pairs = [], jaccard._column_pairs
+    monkeypatch.setattr(jaccard, "_column_pairs", lambda *a: (calls.append(len(a[1])), column_pairs(*a))[1])
+
+    def found(spanning, small):
+        monkeypatch.setattr(jaccard, "SMALL", small)
+        calls.clear()
+        return sorted(tuple(r.values()) for b in jaccard._cell_pairs(90, rows, cuts, spanning) for r in b.to_pylist()), list(calls)
+
+    one_by_one, each = found(False, 0)
+    together, large = found(False, 128)
+    assert together == one_by_one and len(together) > 500
+    assert each == sizes and large == [130]
+    # pairs that span a cell join the same rows
+    assert len(found(True, 128)[0]) == len(found(True, 0)[0]) < len(together)
