@@ -2,7 +2,8 @@
 
 Language (unreadable or undecided texts go), quality (texts predicted bad go), near
 duplicates (one document of each group stays), packing. Every stage is written and read
-again before the next, so a lost executor costs one stage at most.
+again before the next, so a lost executor costs one stage at most. Every stage sends texts to Python in
+small batches (a setting of the session, :func:`small_batches`).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from simtrail.llm import jaccard, langid, packing, quality
 from simtrail.llm.common import fresh_name, table
 from simtrail.llm.queries import TOKENIZER, packed_digest
-from simtrail.session import stage
+from simtrail.session import small_batches, stage
 
 # The model stages and the incidence product have no SQL form; tests check every stage against brute force.
 ORACLE_SQL = None
@@ -32,12 +33,14 @@ def _passed(docs: DataFrame, step: Callable[[DataFrame], DataFrame], added: set[
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found without doubt; null texts and texts without a letter go."""
+    small_batches(spark)
     clear = f"lang_pred <> '{langid.UNKNOWN}' and not ambiguous"
     return _passed(docs, lambda rows: langid.identify(rows, docs), {"lang_pred", "score", "ambiguous"}, clear)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled ones, does not reject."""
+    small_batches(spark)
     marks = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return _passed(docs, lambda rows: quality.score_quality(rows, marks), {"score", "predicted"}, "predicted = 1")
 
@@ -45,6 +48,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, Jaccard similarity of at least 0.8): that with the
     smallest doc_id; of several rows with that id, the one with the smallest text. Null ids stay."""
+    small_batches(spark)
     groups = jaccard.jaccard_groups(docs, size=5, percent=80)
     others = groups.where("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(others, "doc_id", "left_anti")
@@ -59,6 +63,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens, one row per piece."""
+    small_batches(spark)
     return packed_digest(packing.pack(docs, TOKENIZER))
 
 

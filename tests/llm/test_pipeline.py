@@ -1,4 +1,5 @@
 import corpus_pipeline
+import pytest
 from test_jaccard import brute
 
 
@@ -60,3 +61,21 @@ def test_model_stages_send_every_text_once(spark, sf, monkeypatch):
         found = got.collect()
         assert found and all(rows[r.doc_id] == r for r in found)
     assert len(sent) == 2 and all(df.schema.simpleString().count("text:") == 1 for df in sent)
+
+
+def test_stages_send_texts_in_small_batches(spark):
+    """No stage sends thousands of whole texts to a task at once; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(1, "a b c d e f", "en")], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    try:
+        for given, least in (("10000", "2048"), ("0", "2048"), ("500", "500")):
+            for stage in (corpus_pipeline.language, corpus_pipeline.good_quality, corpus_pipeline.packed):
+                spark.conf.set(key, given)
+                with pytest.MonkeyPatch.context() as patch:
+                    patch.setattr(corpus_pipeline, "table", lambda *_: marks)
+                    stage(spark, docs, "")
+                assert spark.conf.get(key) == least, (stage, given)
+    finally:
+        spark.conf.set(key, before)
