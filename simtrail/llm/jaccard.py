@@ -14,10 +14,12 @@ in three steps. First each column is cut into classes of set sizes and one docum
 multiplied with the rest of it (stars): overlap counts are accumulated per pair, and what is left
 is verified and joins documents to components, so a dense column of near copies shrinks to one without
 its pairs. Columns that still hold different components are then multiplied block by block,
-only between components, each pair in the first column that both have, and only if a parity
-sketch of either set (512 to 2048 bits, by its size) leaves room for the threshold (differing bits never outnumber differing
-n-grams): once for a few pairs a column that span what its candidates connect, and, when these are verified
-and joined, once for all pairs that are left. No pairs of a group of copies are ever made.
+only between components, each pair in the first column that both have (entries too far back in their set
+to be the first of a link are left out), and only if a parity
+sketch of either set (512 to 8192 bits, by its size) leaves room for the threshold (differing bits never outnumber differing
+n-grams). Of these candidates only a forest is kept, which ties the documents of a cluster together. Last, the whole sets of a
+cluster meet, and pairs between its components are compared on them; a large cluster is cut into blocks, first compared within
+themselves, then with each other where components still differ. No table of all pairs of a group is ever made.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simtrail.llm.common import slices, utf8_bytes
-from simtrail.llm.graph import components, union
+from simtrail.llm.graph import _top, components, union
 from simtrail.session import drop_staged, stage
 
 # Odd multipliers that make one number of a row of word hashes (by place in the n-gram).
@@ -52,11 +54,15 @@ MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.
 BYTES = np.array([256**i - 1 for i in range(9)], np.uint64)
 # 64-bit words of the longest parity sketch and of the shortest, and leading n-grams kept beside it to name the first common column.
 SKETCH, SHORT, FIRST = 32, 8, 4
-ENTRIES = "doc long, n int, gram long, firsts binary"
+# Words of the longest wide sketch, which sets too large for the longest sketch have beside it.
+WIDE = 128
+ENTRIES = "doc long, n int, gram long, place int, firsts binary"
 # In place of a leading n-gram that a small set does not have.
 NONE = np.iinfo(np.int64).min
 # Rows of a column that one task compares with each other, and of the tiles in which it does.
 CELL, TILE = 4096, 256
+# N-grams of the sets of a cluster that one task compares with each other, and sets that are sent to it at a time.
+GRAMS, SETS = 2_000_000, 256
 # Cells of up to so many rows are compared many at a time.
 SMALL = 128
 
@@ -121,10 +127,19 @@ def sketch_words(n: int) -> int:
     return words
 
 
+def wide_words(n: int) -> int:
+    """Words of the wide sketch of a set of ``n``: three bits for four n-grams, as a power of two up to ``WIDE``; a shorter one
+    differs so little between unrelated sets that it rules none out."""
+    words = sketch_words(n)
+    while words < WIDE and 4 * 64 * words < 3 * n:
+        words *= 2
+    return words
+
+
 def parity_sketch(grams: np.ndarray, words: int = SKETCH) -> np.ndarray:
-    """``words`` (a power of two, up to ``SKETCH``) numbers whose bit i is set when an odd number of n-grams fall on it. A short
+    """``words`` (a power of two, up to 2048) numbers whose bit i is set when an odd number of n-grams fall on it. A short
     sketch is a long one with its halves xored (:func:`_folded`)."""
-    place = (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 11)
+    place = (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 17)
     bits = (np.bincount(place.astype(np.int64) & (64 * words - 1), minlength=64 * words) & 1).astype(np.uint8)
     return np.packbits(bits).view(np.int64)
 
@@ -144,10 +159,10 @@ def leading(n: int, percent: int) -> int:
 
 
 def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) -> DataFrame:
-    """docs: (doc, text). emit 'heads': doc, n, signature, parity sketch of the whole set, head (leading n-grams by hash, half
-    as many again, as bytes); 'entries': as :data:`ENTRIES` for the leading n-grams in the final order; 'sets': doc, n, grams."""
+    """docs: (doc, text). emit 'heads': doc, n, signature, parity sketch of the whole set, a wide one if the set is too large for
+    that, head (leading n-grams by hash, half as many again, as bytes); 'entries': as :data:`ENTRIES` for the leading n-grams in the final order; 'sets': doc, n, grams."""
     schema = {
-        "heads": "doc long, n int, signature binary, sketch binary, head binary",
+        "heads": "doc long, n int, signature binary, sketch binary, wide binary, head binary",
         "entries": ENTRIES,
         "sets": "doc long, n int, grams array<long>",
     }[emit]
@@ -160,13 +175,16 @@ def _sets(docs: DataFrame, size: int, emit: str, percent: int, frequent=None) ->
             own = [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int32())]
             if emit == "heads":
                 heads = [s[: leading(len(s), percent) * 3 // 2] for s in sets]
+                wide = [parity_sketch(s, wide_words(len(s))) for s in sets]
+                short = [_folded(w[None], sketch_words(len(s)))[0] for w, s in zip(wide, sets, strict=True)]
                 cols = [
                     *own,
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.array([parity_sketch(s, sketch_words(len(s))).tobytes() for s in sets], pa.binary()),
+                    pa.array([x.tobytes() for x in short], pa.binary()),
+                    pa.array([w.tobytes() if len(w) > len(x) else None for w, x in zip(wide, short, strict=True)], pa.binary()),
                     pa.array([h.tobytes() for h in heads], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", "signature", "sketch", "head"])
+                yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", "signature", "sketch", "wide", "head"])
             elif emit == "entries":
                 heads = [_ordered(s, last)[: leading(len(s), percent)] for s in sets]
                 yield _entry_rows(ids, [len(s) for s in sets], heads)
@@ -185,8 +203,8 @@ def _ordered(s: np.ndarray, last: np.ndarray | None) -> np.ndarray:
 
 
 def _entry_rows(ids: list, n: list[int], heads: list[np.ndarray | None]) -> pa.RecordBatch:
-    """A row an n-gram, the first of a document with its first n-grams as one text of bytes; a document whose n-grams are not
-    known has one row without n-gram."""
+    """A row an n-gram with its place in the order, the first of a document with its first n-grams as one text of bytes; a document
+    whose n-grams are not known has one row without n-gram."""
     sizes = [1 if h is None else len(h) for h in heads]
     unknown = np.repeat(np.array([h is None for h in heads], bool), sizes)
     grams = np.concatenate([*(np.zeros(1, np.int64) if h is None else h for h in heads), np.empty(0, np.int64)])
@@ -199,9 +217,10 @@ def _entry_rows(ids: list, n: list[int], heads: list[np.ndarray | None]) -> pa.R
         pa.array(np.repeat(np.array([i or 0 for i in ids], np.int64), sizes)),
         pa.array(np.repeat(np.array(n, np.int32), sizes)),
         pa.array(grams, mask=unknown),
+        pa.array(np.concatenate([*(np.arange(k) for k in sizes), np.empty(0, np.int64)]).astype(np.int32)),
         pa.array(firsts, pa.binary()),
     ]
-    return pa.RecordBatch.from_arrays(cols, names=["doc", "n", "gram", "firsts"])
+    return pa.RecordBatch.from_arrays(cols, names=["doc", "n", "gram", "place", "firsts"])
 
 
 def _entries_of_heads(heads: DataFrame, percent: int, frequent) -> DataFrame:
@@ -321,18 +340,24 @@ def _stars(rows: DataFrame, percent: int) -> DataFrame:
     return counted.where(f"shared >= {_least('na')}".replace("PCT", str(percent))).drop("shared")
 
 
-def _open(rows: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Rows (gram, doc, n, g) of the columns that still hold two components, with the components by ``links``."""
-    marked = rows.select("gram", "doc", "n")
-    if links is not None:
-        groups = components(links).withColumnRenamed("node", "doc")
-        marked = stage(marked.join(groups, "doc", "left").withColumn("g", F.coalesce("component", "doc")).drop("component"), "marked")
-    else:
-        marked = marked.withColumn("g", F.col("doc"))
-    several = marked.groupBy("gram").agg(F.min("g").alias("g1"), F.max("g").alias("g2")).where("g1 < g2").select("gram")
-    left = stage(marked.join(several, "gram"), "open")
-    if links is not None:
-        drop_staged(marked)
+def _open(rows: DataFrame) -> DataFrame:
+    """Rows (gram, doc, n, place) of the columns that hold two documents."""
+    several = rows.groupBy("gram").agg(F.min("doc").alias("d1"), F.max("doc").alias("d2")).where("d1 < d2").select("gram")
+    return stage(rows.select("gram", "doc", "n", "place").join(several, "gram"), "open")
+
+
+def _still_open(rows: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Rows (gram, doc, n, g) of the columns that still hold two components, with the components by ``groups`` (doc, g). In the
+    first column that a link has, all that its sets share lies from there on: entries behind which too little is left for the smallest
+    partner in the column (and for any within the threshold) are left out."""
+    marked = rows.join(groups, "doc", "left").withColumn("g", F.coalesce("g", "doc"))
+    marked = stage(marked, "marked")
+    several = marked.groupBy("gram").agg(F.min("g").alias("g1"), F.max("g").alias("g2"), F.min("n").alias("least")).where("g1 < g2")
+    left = marked.join(several.select("gram", "least"), "gram")
+    partner = f"greatest(cast(least as long), ceil({percent} * n / 100D))"
+    left = left.where(f"cast(n - place as long) * (100 + {percent}) >= {percent} * (n + {partner})").select("gram", "doc", "n", "g")
+    left = stage(left, "open")
+    drop_staged(marked)
     return left
 
 
@@ -342,8 +367,9 @@ def _close(x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> np.ndarray:
     if x.shape[1] <= SHORT:
         return few
     i, j = np.nonzero(few)
-    for at in range(0, len(i), 1 << 16):
-        some = slice(at, at + (1 << 16))
+    step = (SKETCH << 16) // x.shape[1]
+    for at in range(0, len(i), step):
+        some = slice(at, at + step)
         few[i[some], j[some]] = np.bitwise_count(x[i[some]] ^ y[j[some]]).sum(1, dtype=np.int32) <= limit[i[some], j[some]]
     return few
 
@@ -430,7 +456,8 @@ def _small_pairs(percent: int, cell, n, g, block, sketch: tuple, firsts, gram, a
 
 
 def _cell_pairs(percent: int, rows: pa.RecordBatch, cuts: np.ndarray, spanning: bool) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of whole cells that begin (and the last ends) at the rows ``cuts``."""
+    """Candidate pairs of whole cells that begin (and the last ends) at the rows ``cuts``; with ``spanning`` a forest of each cell
+    that connects the rows its pairs connect."""
 
     def columns(part: pa.RecordBatch) -> list[np.ndarray]:
         numbers = [part.column(c).to_numpy().astype(np.int64) for c in ("doc", "n", "g", "block")]
@@ -448,7 +475,7 @@ def _cell_pairs(percent: int, rows: pa.RecordBatch, cuts: np.ndarray, spanning:
         up: dict[int, int] = {}
         for x, y in _column_pairs(percent, doc, n, g, block, _runs(part.column("sketch").to_pylist()), firsts, gram, i != j):
             if spanning:
-                new = [union(up, a, b) for a, b in zip(g[x].tolist(), g[y].tolist(), strict=True)]
+                new = np.array([union(up, a, b) for a, b in zip(x.tolist(), y.tolist(), strict=True)], bool)
                 x, y = x[new], y[new]
             yield chosen(doc, n, x, y)
     small = np.flatnonzero((sizes > 1) & (sizes <= SMALL))
@@ -461,19 +488,16 @@ def _cell_pairs(percent: int, rows: pa.RecordBatch, cuts: np.ndarray, spanning:
     cell = np.repeat(small, sizes[small])
     x, y = _small_pairs(percent, cell, n, g, block, _words(part.column("sketch")), firsts, gram, i != j)
     if spanning:
-        new, last = [], None
-        for c, a, b in zip(cell[x].tolist(), g[x].tolist(), g[y].tolist(), strict=True):
-            if c != last:
-                last, up = c, {}
-            new.append(union(up, a, b))
-        x, y = x[np.array(new, bool)], y[np.array(new, bool)]
+        up = {}  # rows of different cells never meet
+        new = np.array([union(up, a, b) for a, b in zip(x.tolist(), y.tolist(), strict=True)], bool)
+        x, y = x[new], y[new]
     yield chosen(doc, n, x, y)
 
 
 def _later(rest: DataFrame, percent: int, spanning: bool, about: DataFrame | None = None) -> DataFrame:
     """Candidate pairs between different components of rows (gram, doc, n, g, sketch, firsts), each in the first column that
     both documents have. A column of many rows is cut into blocks, and pairs of blocks are cells of their own. With
-    ``spanning`` a cell gives only pairs enough to connect the components that its candidates connect. ``about`` (doc, n,
+    ``spanning`` a task gives only a forest that connects the sets its candidates connect. ``about`` (doc, n,
     sketch, firsts) holds what ``rest`` then lacks; it is looked up after the dealing, so that only one shuffle carries sketches."""
     counts = rest.groupBy("gram").count().where(f"count > {CELL}").select("gram", F.ceil(F.col("count") / CELL).cast("int").alias("s"))
     # at most a row for every CELL rows of the table
@@ -486,29 +510,124 @@ def _later(rest: DataFrame, percent: int, spanning: bool, about: DataFrame | Non
     sorted_cells = cells.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if batch.num_rows:
-                rows = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
-                keys = np.stack([rows.column(c).to_numpy() for c in ("gram", "i", "j")], 1)
-                cuts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1])
-                yield from _cell_pairs(percent, rows.slice(0, cuts[-1]), cuts, spanning)
-                held = [rows.slice(cuts[-1])]  # its cell may go on
-        for rows in held:
-            yield from _cell_pairs(percent, rows, np.array([0, rows.num_rows]), spanning)
+        up: dict[tuple, tuple] = {}
+        for rows, cuts in _whole_cells(batches, ["gram", "i", "j"]):
+            for pairs in _cell_pairs(percent, rows, cuts, spanning):
+                if spanning:
+                    a, b, na, nb = (c.to_pylist() for c in pairs.columns)
+                    pairs = pairs.filter(pa.array([union(up, x, y) for x, y in zip(zip(a, na), zip(b, nb), strict=True)], pa.bool_()))
+                yield pairs
 
     return sorted_cells.mapInArrow(run, "a long, b long, na int, nb int").distinct()
 
 
+def _whole_cells(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows of whole cells, told apart by ``key``, and the rows at which they begin (and the last ends)."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            rows = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
+            keys = np.stack([rows.column(c).to_numpy() for c in key], 1)
+            cuts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1])
+            if cuts[-1]:
+                yield rows.slice(0, cuts[-1]), cuts
+            held = [rows.slice(cuts[-1])]  # its cell may go on
+    for rows in held:
+        yield rows, np.array([0, rows.num_rows])
+
+
+def _set_links(percent: int, doc, n, g, block, grams: list[np.ndarray], across: bool) -> list[tuple[int, int]]:
+    """Links that join the components of the sets ``grams`` (in order of size) as all their links do; with ``across`` only those
+    between different blocks count."""
+    sketches = _runs([parity_sketch(s, wide_words(2 * len(s))).tobytes() for s in grams])
+    firsts = np.full((len(doc), 1), NONE)  # every pair is compared here
+    up: dict[int, int] = {}
+    links = []
+    for x, y in _column_pairs(percent, doc, n, g, block, sketches, firsts, 0, across):
+        roots = np.array([_top(up, k) for k in g.tolist()])
+        apart = roots[x] != roots[y]
+        for i, j in zip(x[apart].tolist(), y[apart].tolist(), strict=True):
+            if _top(up, int(g[i])) != _top(up, int(g[j])):
+                common = np.intersect1d(grams[i], grams[j], assume_unique=True).size
+                if 100 * common >= percent * (len(grams[i]) + len(grams[j]) - common):
+                    union(up, int(g[i]), int(g[j]))
+                    links.append((int(doc[i]), int(doc[j])))
+    return links
+
+
+def _compared(dealt: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the components within cells (cluster, i, j) of rows (doc, n, g, block), compared on their whole sets;
+    with i and j different, only blocks with each other. Written to the shared folder."""
+    spark, key = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    dealt = stage(dealt, "dealt")
+    sets = _sets(_chosen(docs, dealt.select("doc")), size, "sets", percent)
+    cells = sets.join(F.broadcast(dealt) if dealt.count() <= BROADCAST_IDS // 4 else dealt, ["doc", "n"])
+    cells = cells.select("cluster", "i", "j", "n", "doc", "g", "block", "grams")
+    sorted_cells = cells.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "n", "doc")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, cuts in _whole_cells(batches, ["cluster", "i", "j"]):
+            for at, to in zip(cuts[:-1], cuts[1:], strict=True):
+                cell = rows.slice(at, to - at)
+                doc, n, g, block = (cell.column(c).to_numpy().astype(np.int64) for c in ("doc", "n", "g", "block"))
+                grams = [x.values.to_numpy() for x in cell.column("grams")]
+                links = _set_links(percent, doc, n, g, block, grams, cell.column("i")[0] != cell.column("j")[0])
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= SETS:
+        spark.conf.set(key, str(SETS))  # whole sets are long
+    try:
+        found = stage(sorted_cells.mapInArrow(run, "a long, b long"), "linked")
+    finally:
+        spark.conf.set(key, before)
+    drop_staged(dealt)
+    return found
+
+
+def _groups(links: DataFrame) -> DataFrame:
+    return components(links).toDF("doc", "g")
+
+
+def _cluster_links(near: DataFrame, linked: DataFrame, groups: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links that, with those of ``linked`` (their components are ``groups``), join what all links among the candidates do, of which
+    ``near`` (a, b, na, nb) is a forest. Sets of a cluster are compared in blocks of :data:`GRAMS` n-grams. Those of a larger
+    cluster are compared with other blocks afterwards, and its largest component then not with itself."""
+    ends = near.select("a", "na").union(near.select("b", "nb")).distinct().toDF("doc", "n")
+    clusters = components(near.select("a", "b")).toDF("doc", "cluster")
+    members = stage(ends.join(clusters, "doc"), "members")
+    weights = members.groupBy("cluster").agg(F.sum("n").alias("w"))
+
+    def marked(groups: DataFrame) -> DataFrame:
+        return members.join(groups, "doc", "left").withColumn("g", F.coalesce("g", "doc")).withColumn("h", F.xxhash64("doc"))
+
+    rows = marked(groups).join(weights, "cluster").withColumn("block", F.expr(f"int(pmod(h, ceil(w / {GRAMS}D)))"))
+    inside = _compared(rows.select("cluster", F.col("block").alias("i"), F.col("block").alias("j"), "n", "doc", "g", "block"), docs, size, percent)
+    large = weights.where(f"w > {GRAMS}").select("cluster")
+    if large.limit(1).count():
+        rows = stage(marked(_groups(linked.union(inside))).join(large, "cluster"), "marked")
+        sizes = rows.groupBy("cluster", "g").agg(F.sum("n").alias("w"))
+        top = sizes.groupBy("cluster").agg(F.max(F.struct("w", "g")).alias("t"), F.sum("w").alias("w"), F.count(F.lit(1)).alias("c"))
+        half = GRAMS // 2
+        top = top.where("c > 1").selectExpr("cluster", "t.g as t", f"int(ceil(t.w / {half}D)) as k", f"int(ceil((w - t.w) / {half}D)) as r")
+        # blocks below r hold the other components and meet all blocks, those from r on the largest and meet the others only
+        rows = rows.join(top, "cluster").withColumn("block", F.expr("int(if(g = t, r + pmod(h, k), pmod(h, r)))"))
+        rows = rows.withColumn("o", F.explode(F.expr("sequence(0, if(g = t, r, r + k) - 1)")))
+        rows = rows.select("cluster", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "n", "doc", "g", "block")
+        inside = inside.union(_compared(rows, docs, size, percent))
+    drop_staged(members)
+    return inside
+
+
 def _links_of(docs: DataFrame, classes: DataFrame, heads: DataFrame, size: int, percent: int, frequent) -> DataFrame:
-    """Links between class representatives that suffice for the components: stars, then pairs that span the open columns, then
-    all pairs that are still open. Deletes ``heads``."""
+    """Links between class representatives that suffice for the components: stars, then those within the clusters of the candidates
+    that are still open. Deletes ``heads``."""
     first = stage(classes.select("first", "n"), "first")
     own = first.select(F.col("first").alias("doc"), "n")
     own = F.broadcast(own) if first.count() <= BROADCAST_IDS else own
     # one row of the matrix per class: the other members make no entries
     members = heads.where("doc is not null and n > 0").join(own, ["doc", "n"], "left_semi")
-    marks = stage(members.select("doc", "n", "sketch"), "marks")
+    marks = stage(members.select("doc", "n", F.coalesce("wide", "sketch").alias("sketch")), "marks")
     entries = stage(_entries_of_heads(members, percent, frequent), "entries")
     drop_staged(heads)
     # few documents have too many frequent n-grams among those kept: their texts are read again
@@ -516,25 +635,16 @@ def _links_of(docs: DataFrame, classes: DataFrame, heads: DataFrame, size: int,
     again = stage(again.join(own, ["doc", "n"], "left_semi"), "again")
     every = entries.where("gram is not null").union(again)
     leads = stage(every.where("firsts is not null").select("doc", "n", "firsts").distinct(), "leads")
-    rest = _open(every, None)
+    rest = _open(every)
     drop_staged(entries)
     drop_staged(again)
-    linked, tried = None, None
     about = stage(marks.join(leads, ["doc", "n"]).distinct(), "about")
-    for pairs_of in (
-        lambda rows: _stars(rows, percent),
-        # nearly all pairs that pass the sketch are links: a few of them close most of what is open
-        lambda rows: _later(rows, percent, True, about),
-    ):
-        pairs = pairs_of(rest)
-        pairs = stage(pairs.join(tried, pairs.columns, "left_anti") if tried is not None else pairs, "pairs")
-        found = stage(_verified(pairs, docs, size, percent), "linked")
-        tried = pairs if tried is None else tried.union(pairs)
-        linked = found if linked is None else linked.union(found)
-        before, rest = rest, _open(rest, linked)
-        drop_staged(before)
-    later = _later(rest, percent, False, about)
-    later = stage(later.join(tried, ["a", "b", "na", "nb"], "left_anti"), "later")
+    pairs = stage(_stars(rest.withColumn("g", F.col("doc")), percent), "pairs")
+    linked = stage(_verified(pairs, docs, size, percent), "linked")
+    groups = _groups(linked)
+    before, rest = rest, _still_open(rest, groups, percent)
+    drop_staged(before)
+    near = stage(_later(rest, percent, True, about), "near")
     for staged in (rest, first, marks, leads, about):
         drop_staged(staged)
-    return linked.union(_verified(later, docs, size, percent))
+    return linked.union(_cluster_links(near, linked, groups, docs, size, percent))

@@ -297,3 +297,100 @@ def test_small_cells_are_compared_together(monkeypatch):
     assert each == sizes and large == [130]
     # pairs that span a cell join the same rows
     assert len(found(True, 128)[0]) == len(found(True, 0)[0]) < len(together)
+
+
+def nearly_near(m, seed=4):
+    """Documents of which any two share about 78 of 100 n-grams."""
+    rng = random.Random(seed)
+    base = [f"v{i}" for i in range(300)]
+    docs = []
+    for i in range(m):
+        w = list(base)
+        for k in rng.sample(range(0, 300, 5), 8):
+            w[k] = f"x{i}_{k}"
+        docs.append((i, " ".join(w)))
+    return docs
+
+
+def test_pairs_below_the_threshold_are_not_listed(spark, monkeypatch):
+    """Candidates that are no links stay open to the end; what is written of them grows with the rows, not with their pairs."""
+    made_rows, stage = [], jaccard.stage
+
+    def counted(df, tag):
+        out = stage(df, tag)
+        if out.columns[:2] == ["a", "b"]:
+            made_rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", counted)
+    docs = nearly_near(150) + [(1000 + i, t + " z") for i, t in nearly_near(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    want = brute(docs, 3, 90)
+    assert result(jaccard.jaccard_groups(df, size=3, percent=90)) == want
+    assert len({c for _, c in want.values()}) == 150
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(made_rows) <= tasks * len(docs) < 150 * 149 / 2
+
+
+def test_clusters_cut_into_blocks(spark, monkeypatch):
+    """Clusters of more n-grams than a task compares at once are dealt in blocks, within them and across; nothing is lost."""
+    calls, compared = [], jaccard._compared
+    monkeypatch.setattr(jaccard, "_compared", lambda *a: (calls.append(1), compared(*a))[1])
+    for seed, grams in ((3, 500), (7, 40)):
+        monkeypatch.setattr(jaccard, "GRAMS", grams)
+        docs = made(seed, families=14) + [(5000 + i, t) for i, t in nearly_near(12, seed)]
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+        assert result(jaccard.jaccard_groups(df, size=3, percent=85)) == brute(docs, 3, 85), seed
+    assert len(calls) == 4
+
+
+def test_links_of_sets(monkeypatch):
+    """Sets compared exactly join the same components as every pair on its own, within a cell and across two blocks."""
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(jaccard, "TILE", 4)
+    sets = []
+    for _ in range(6):
+        base = rng.integers(-(2**62), 2**62, int(rng.integers(20, 400)))
+        sets += [np.unique(np.concatenate([base[k:], rng.integers(-(2**62), 2**62, k)])) for k in range(0, 20, 2)]
+    sets.sort(key=len)
+    n, doc = np.array([len(s) for s in sets]), np.arange(len(sets)) + 100
+    block = doc % 2
+    g = np.where(doc % 3 == 0, doc - 1, doc)
+    for across in (False, True):
+        links = [(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if (not across or block[i] != block[j])
+                 and 100 * (c := np.intersect1d(sets[i], sets[j]).size) >= 80 * (n[i] + n[j] - c)]
+        got = jaccard._set_links(80, doc, n, g, block, sets, across)
+        want = graph.forest([(int(g[i]), int(g[j])) for i, j in links])
+        own = graph.forest([(int(g[a - 100]), int(g[b - 100])) for a, b in got])
+        assert {x: c for x, c in own.items() if x != c} == {x: c for x, c in want.items() if x != c}
+        assert set(got) <= {(i + 100, j + 100) for i, j in links} and 0 < len(got) < len(links)
+
+
+def test_long_sets_are_told_apart_by_wide_sketches(spark):
+    """Long unrelated texts that share a passage are no candidates (2,048 bits say nothing about sets of 5,000)."""
+    rng = random.Random(2)
+    passage = " ".join(f"p{i}" for i in range(400))
+    docs = [(i, passage + " " + " ".join(f"w{rng.randrange(10**7)}" for _ in range(5000))) for i in range(6)]
+    df = spark.createDataFrame(docs, "doc long, text string")
+    heads = jaccard._sets(df, 3, "heads", 80)
+    assert [len(r.wide) for r in heads.collect()] == [512] * 6  # bytes: 4,096 bits
+    entries = jaccard._sets(df, 3, "entries", 80)
+    about = heads.join(entries.where("firsts is not null").select("doc", "firsts"), "doc")
+    rows = entries.select("doc", "n", "gram").withColumn("g", F.col("doc"))
+    pairs = lambda sketch: jaccard._later(rows, 80, False, about.select("doc", "n", F.col(sketch).alias("sketch"), "firsts")).count()
+    assert pairs("sketch") > 0 and pairs("wide") == 0
+
+
+def test_entries_too_far_back_are_left_out(spark):
+    """An entry stays where a partner within the threshold can have it as first in common, and no longer."""
+    rows = [(1, 10, 100, 0), (1, 11, 100, 11), (2, 12, 100, 12), (2, 10, 85, 15), (3, 10, 100, 5), (3, 11, 100, 11), (4, 10, 100, 19), (4, 12, 100, 0)]
+    df = spark.createDataFrame(rows, "gram long, doc long, n int, place int")
+    groups = spark.createDataFrame([(10, 10), (11, 10)], "doc long, g long")
+    got = {(r.gram, r.doc) for r in jaccard._still_open(df, groups, 80).collect()}
+    # columns 1 and 3 have one component; 10 lies too far back in 2 and 4
+    want = set()
+    for gram, doc, n, place in rows:
+        others = [m for c, _, m, _ in rows if c == gram]
+        if gram not in (1, 3) and (n - place) * 180 >= 80 * (n + max(min(others), -(-80 * n // 100))):
+            want.add((gram, doc))
+    assert got == want == {(2, 12), (4, 12)}
