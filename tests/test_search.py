@@ -341,3 +341,30 @@ def test_few_products_are_looked_at_after_the_first_blocks(monkeypatch, metric):
     for t in range(40):
         want = sorted(((-s, c) for c, s in enumerate(best[t]) if c != t))[:k]
         assert [(c, round(got[t, c], 6)) for _, c in want] == [(c, round(-s, 6)) for s, c in want]
+
+
+def test_broadcast_stays_a_small_part_of_the_drivers_heap(spark, monkeypatch):
+    """Query blocks below the byte bound are shuffled where the driver's heap is small: the same rows, nothing broadcast."""
+    rng = np.random.default_rng(25)
+    _, _, cdf, qdf = _frames(spark, rng, n_q=30)
+    pairs = lambda: se.block_pairs(*se._sides(qdf, cdf, "ticket_id", "sentence_embedding", "ticket_id", "sentence_embedding",
+                                              FilterSpec(), None, None, None, "cosine", 8), 8)
+    plan = lambda: pairs()._jdf.queryExecution().optimizedPlan().toString()
+    wide, plain = plan(), _got(vector_search(qdf, cdf, k=6))
+    monkeypatch.setattr(se, "HEAP_PART", 1 << 30)
+    assert "broadcast" in wide and "broadcast" not in plan()
+    assert _got(vector_search(qdf, cdf, k=6)) == plain and plain
+
+
+def test_joined_blocks_are_sent_a_few_at_a_time(spark):
+    from simtrail.session import sent_bytes
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for now, want in (("64m", "100b"), ("50b", "50b"), ("1k", "100b")):
+            spark.conf.set(key, now)
+            sent_bytes(spark, 100)
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)
