@@ -5,29 +5,46 @@ each is coded per subspace by its nearest codeword, and the coding error is kept
 probes every list whose cell is close enough: for two vectors at distance r, one of them
 lies within r / 2 of the plane between their centroids, so probing all lists within half
 the largest linking distance is sufficient for every link. Within a list, asymmetric
-distances (query residual against codewords, looked up per subspace) drop rows that are
+distances (query against the decoded codewords, by one matrix product) drop rows that are
 farther than the linking distance plus their coding error; the rest is ranked by the exact
 cosine.
 
-Equal vectors are one row with a count. Blocks give link counts and one tree of links per
-group found in them, not pairs.
+Equal vectors are one row with a count. The rows of a list are packed into blocks that are
+written once; pairs of blocks are read from there, each pair by one task, so nothing is
+copied by list or by block over a shuffle and the disk grows with the rows, whatever they
+probe. Tasks give link counts and one tree of links per group found, not pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cached_property, reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simtrail.llm.graph import components, forest
-from simtrail.llm.vectors import by_length, matrix, sample_matrix, usable
-from simtrail.session import stage
+from simtrail.llm.graph import _top, components, union
+from simtrail.llm.vectors import comparable, matrix, sample_matrix
+from simtrail.session import drop_staged, settings, stage
 
 GROUP, CODES = 2048, 256
+# Bytes of a row group of blocks, of joined blocks sent to a task's Python code at a time, and of blocks that it keeps open.
+FILE_BYTES, SENT_BYTES, HELD_BYTES = 16 << 20, 16 << 20, 48 << 20
+# Linked ids that a task holds before it hands results on.
+HELD_IDS = 500_000
+KEYED = "id long, d int, key binary, raw binary"
+MEMBER = "id long, copies long, raw binary, list int, code binary, missed double, probes binary"
+BLOCK = pa.schema(
+    [("block", pa.int64()), ("list", pa.int32())]
+    + [(c, pa.binary()) for c in ("ids", "copies", "missed", "raw", "codes", "probes")]
+    + [("asks", pa.list_(pa.int32()))]
+)
+KINDS = {"int64": "long", "int32": "int", "binary": "binary", "list<item: int32>": "array<int>"}
 
 
 def kmeans(points: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -89,36 +106,85 @@ class Quantiser:
         near[np.arange(len(x)), own] = True
         return near
 
-    def lookup(self, residual: np.ndarray) -> list[np.ndarray]:
-        """Squared distances of every residual to every codeword, one table a subspace."""
-        out = []
-        for book, a, b in zip(self.books, self.edges[:-1], self.edges[1:], strict=True):
-            part = residual[:, a:b]
-            out.append(((part**2).sum(1)[:, None] + (book**2).sum(1) - 2 * part @ book.T).astype(np.float32))
-        return out
+    def decode(self, codes: np.ndarray, lst: int) -> np.ndarray:
+        """What the codes of one list's rows stand for."""
+        residual = np.concatenate([book[codes[:, j]] for j, book in enumerate(self.books)], axis=1)
+        return (residual + self.centres[lst]).astype(np.float32)
+
+
+def units(x: np.ndarray) -> np.ndarray:
+    """The rows scaled to length 1; by their largest component first: no overflow, no vanishing squares."""
+    x = x.astype(np.float64)
+    y = x / np.abs(x).max(1)[:, None]
+    square = np.zeros(len(y))
+    for j in range(y.shape[1]):
+        square += y[:, j] * y[:, j]
+    return y / np.sqrt(square)[:, None]
+
+
+def unpacked(raw: bytes, d: int, n: int) -> np.ndarray:
+    """``n`` vectors from their bytes, single numbers or double ones."""
+    return np.frombuffer(raw, np.float32 if len(raw) == 4 * n * d else np.float64).reshape(n, d)
+
+
+class Block:
+    """Some rows of one list: ids, copies, codes and what they miss, probes; vectors from their bytes."""
+
+    def __init__(self, quant: Quantiser, row: dict, d: int):
+        self.number, self.list = row["block"], row["list"]
+        self.id, self.copies = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["copies"], np.int64)
+        n = len(self.id)
+        self.missed = np.frombuffer(row["missed"], np.float64)
+        self.probes = np.unpackbits(np.frombuffer(row["probes"], np.uint8).reshape(n, -1), axis=1, count=len(quant.centres)).astype(bool)
+        self.vectors = unpacked(row["raw"], d, n)
+        self.single = self.unit(slice(None)).astype(np.float32)
+        self.coded = quant.decode(np.frombuffer(row["codes"], np.uint8).reshape(n, -1), self.list)
+        self.coded_square = (self.coded.astype(np.float64) ** 2).sum(1)
+        self.bytes = self.vectors.nbytes + 2 * self.single.nbytes + n * (32 + self.probes.shape[1])
+
+    def unit(self, rows: np.ndarray | slice) -> np.ndarray:
+        return units(self.vectors[rows])
 
 
-def block_links(quant: Quantiser, lst: int, q: dict, m: dict, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Indices (query, member) of the links of one list's block, each link of the table from one block only."""
+def links_from(q: Block, m: Block, asking: np.ndarray, held: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Indices (query, member) of the links of rows ``asking`` of one block with rows ``held`` of another."""
+    if not len(asking) or not len(held):
+        return np.empty(0, int), np.empty(0, int)
     far = np.sqrt(2 - 2 * threshold)
+    # |q - c|^2 <= (far + missed)^2 by the product q c, with more slack than single numbers need
+    least = ((1 + m.coded_square[held] - (far + m.missed[held] + 1e-3) ** 2) / 2 - 1e-5).astype(np.float32)
+    coded = m.coded if len(held) == len(m.id) else m.coded[held]
     found_q, found_m = [], []
-    for at in range(0, len(q["id"]), 256):
-        x = q["vec"][at : at + 256]
-        tables = quant.lookup(x - quant.centres[lst])
-        d = np.zeros((len(x), len(m["id"])), np.float32)
-        for j, t in enumerate(tables):
-            d += t[:, m["code"][:, j]]
-        a, b = np.nonzero(d <= ((far + m["missed"] + 1e-3) ** 2).astype(np.float32))
-        # a link seen from both sides is kept where the smaller id asks
-        back = m["probes"][b, q["list"][at : at + 256][a]]
-        ids_a, ids_b = q["id"][at : at + 256][a], m["id"][b]
-        keep = (ids_a < ids_b) | ((ids_a > ids_b) & ~back)
-        a, b = a[keep], b[keep]
-        cosine = (x[a] * m["vec"][b]).sum(1)
-        good = cosine >= threshold
-        found_q.append(a[good] + at)
-        found_m.append(b[good])
-    return np.concatenate(found_q), np.concatenate(found_m)
+    for at in range(0, len(asking), 256):
+        near = q.single[asking[at : at + 256]] @ coded.T >= least
+        a, b = np.divmod(np.flatnonzero(near), len(held))  # several times faster than a search by both axes
+        found_q.append(asking[a + at])
+        found_m.append(held[b])
+    a, b = np.concatenate(found_q), np.concatenate(found_m)
+    if not len(a):
+        return a, b
+    good = np.empty(len(a), bool)
+    for at in range(0, len(a), 1 << 12):
+        some = slice(at, at + (1 << 12))
+        good[some] = (q.unit(a[some]) * m.unit(b[some])).sum(1) >= threshold
+    return a[good], b[good]
+
+
+def block_links(a: Block, b: Block, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Indices (in ``a``, in ``b``) of the links of two blocks, each link once: those that a row of ``a`` finds in the list of
+    ``b``, and those of its other rows that are found from ``b``."""
+    every_a, every_b = np.arange(len(a.id)), np.arange(len(b.id))
+    if a.number == b.number:
+        i, j = links_from(a, a, every_a, every_a, threshold)
+        once = i < j
+        i, j = i[once], j[once]
+    else:
+        asks = a.probes[:, b.list]
+        i, j = links_from(a, b, every_a[asks], every_b, threshold)
+        back = links_from(b, a, every_b[b.probes[:, a.list]], every_a[~asks], threshold)
+        i, j = np.concatenate([i, back[1]]), np.concatenate([j, back[0]])
+    other = a.id[i] != b.id[j]
+    return i[other], j[other]
 
 
 def near_duplicates(
@@ -135,97 +201,165 @@ def near_duplicates(
     of the others. A null id has null group and null ``kept``. An empty table gives an empty one.
     """
     spark = df.sparkSession
-    every = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    rows = stage(usable(df, id_col, vec_col), "vectors")
+    named = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    read = named.select("id", F.when(comparable(), F.col("vec")).alias("vec")).mapInArrow(_keyed, KEYED)
+    every = stage(read.select("id", "key"), "keys")
     # equal vectors are one row: its smallest id, how many there are
-    peak = F.array_max(F.transform("vec", F.abs))  # scaled first: no overflow, no vanishing squares
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + (x / F.col("peak")) * (x / F.col("peak"))))
-    unit = F.transform("vec", lambda x: x / F.col("peak") / F.col("norm"))
-    same = rows.groupBy("vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    same = stage(same.withColumn("peak", peak).withColumn("norm", norm).select("id", "copies", "vec", unit.alias("unit")), "same")
-    parts_found = [_links(some, threshold, sample, parts) for some in by_length(same)]
-    if not parts_found:
-        return _answer(every, spark.createDataFrame([], "id long, vec array<double>, n_links long, component long"), id_col)
-    found = reduce(DataFrame.union, parts_found)
+    same = read.where("key is not null").groupBy("d", "key", "raw").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    same = stage(same, "same")
+    lengths = [r[0] for r in same.select("d").distinct().collect()]
+    if not lengths:
+        return _answer(every, spark.createDataFrame([], "key binary, n_links long, component long"), id_col)
+    found = reduce(DataFrame.union, [_links(same.where(F.col("d") == d), d, threshold, sample, parts) for d in sorted(lengths)])
     links = found.groupBy("id", "d").agg(F.sum("links").alias("links"))
     # rows that share an id tie their vectors together, too
-    shared = rows.join(same.select("vec", F.col("id").alias("first")), "vec").where("id <> first").select("id", "first")
-    groups = components(found.select("id", "parent").union(shared))
+    firsts = same.select("d", "key", "id", "copies")
+    shared = every.where("key is not null").join(firsts.select("key", F.col("id").alias("first")), "key").where("id <> first")
+    groups = components(found.select("id", "parent").union(shared.select("id", "first")))
     each = (
-        same.withColumn("d", F.size("vec")).join(links, ["id", "d"], "left")
+        firsts.join(links, ["id", "d"], "left")
         .join(groups.withColumnRenamed("node", "id"), "id", "left")
-        .select("id", "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+        .select("key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
     )
     return _answer(every, each, id_col)
 
 
-def _links(same: DataFrame, threshold: float, sample: int, parts: int) -> DataFrame:
-    """Staged (id, links, parent, d) of the links among distinct vectors (id, copies, vec, unit) of one length d."""
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's vector as bytes (single numbers where they hold all of it) with a digest; null without a vector. Equal vectors
+    have equal bytes."""
+    for batch in batches:
+        column, n = batch.column("vec"), batch.num_rows
+        length = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        raw: list[bytes | None] = [None] * n
+        for d in np.unique(length[length > 0]):
+            at = np.flatnonzero(length == d)
+            x = matrix(column.take(pa.array(at))) + 0.0  # one zero
+            with np.errstate(over="ignore"):
+                single = x.astype(np.float32)
+            exact = (single == x).all(1)
+            for i, e, v, w in zip(at.tolist(), exact.tolist(), single, x, strict=True):
+                raw[i] = v.tobytes() if e else w.tobytes()
+        key = [None if r is None else blake2b(r, digest_size=16, person=b"%d" % d).digest() for r, d in zip(raw, length.tolist(), strict=True)]
+        cols = [batch.column("id"), pa.array(length.astype(np.int32)), pa.array(key, pa.binary()), pa.array(raw, pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, names=["id", "d", "key", "raw"])
+
+
+def _vectors(column: pa.Array, d: int) -> np.ndarray:
+    """The vectors of a column of bytes."""
+    return np.concatenate([np.empty((0, d)), *(unpacked(r, d, 1) for r in column.to_pylist())])
+
+
+def _links(same: DataFrame, d: int, threshold: float, sample: int, parts: int) -> DataFrame:
+    """Staged (id, links, parent, d) of the links among distinct vectors (id, copies, raw) of one length d."""
     spark, n = same.sparkSession, same.count()
-    points = sample_matrix(same.select("id", F.col("unit").alias("vec")), n, sample)[1]
+
+    def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = units(_vectors(batch.column("raw"), d))
+            offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * d)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))], names=["id", "vec"])
+
+    points = sample_matrix(same.select("id", "raw").mapInArrow(scaled, "id long, vec array<double>"), n, sample)[1]
     quant = Quantiser(points, max(1, min(int(n**0.5 / 8), len(points) // 16)), parts)
     sent = spark.sparkContext.broadcast(quant)
-    reach = float(np.sqrt(2 - 2 * threshold) / 2)
-    lists = len(quant.centres)
+    reach, size = float(np.sqrt(2 - 2 * threshold) / 2), GROUP
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         for batch in batches:
-            x = matrix(batch.column("unit"))
+            x = units(_vectors(batch.column("raw"), d))
             own = known.nearest(x)
             codes, missed = known.encode(x - known.centres[own])
             near = known.probes(x, own, reach)
-            cols = [batch.column("id"), batch.column("copies"), batch.column("unit"), pa.array(own.astype(np.int32))]
+            cols = [*(batch.column(c) for c in ("id", "copies", "raw")), pa.array(own.astype(np.int32))]
             cols += [pa.array([c.tobytes() for c in codes]), pa.array(missed), pa.array([p.tobytes() for p in np.packbits(near, axis=1)])]
-            lst, at = np.nonzero(near)[::-1]
-            offsets = np.concatenate([[0], np.cumsum(near.sum(1))]).astype(np.int32)
-            cols.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(lst.astype(np.int32))))
-            yield pa.RecordBatch.from_arrays(cols, names=["id", "copies", "unit", "list", "code", "missed", "probes", "asks"])
-
-    shape = "id long, copies long, unit array<double>, list int, code binary, missed double, probes binary, asks array<int>"
-    coded = stage(same.mapInArrow(members, shape), "coded")
-    asks = coded.select(*(F.col(c).alias(c) for c in ("id", "copies", "unit")), F.col("list").alias("own"), F.explode("asks").alias("list"))
-    cuts = lambda t, name: t.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias(name))
-    pieces = F.broadcast(cuts(coded, "m").join(cuts(asks, "q"), "list"))  # one row per list at most
-    dealt = lambda t, own, other: (
-        t.join(pieces, "list")
-        .withColumn(own, F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
-        .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-    )
-    keys = ["list", "m", "q"]
-    result = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("parent", pa.int64())])
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "copies", "raw", "list", "code", "missed", "probes"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists, held, made = len(sent.value.centres), {}, TaskContext.get().partitionId() << 32
+
+        def block(lst: int, rows: pa.Table) -> pa.RecordBatch:
+            nonlocal made
+            made += 1
+            raw = rows["raw"].to_pylist()
+            if len({len(r) for r in raw}) > 1:
+                raw = [r if len(r) == 8 * d else unpacked(r, d, 1).astype(np.float64).tobytes() for r in raw]
+            probes = b"".join(rows["probes"].to_pylist())
+            bits = np.unpackbits(np.frombuffer(probes, np.uint8).reshape(len(raw), -1), axis=1, count=lists)
+            numbers = [rows[c].to_numpy().tobytes() for c in ("id", "copies", "missed")]
+            row = [made, lst, *numbers, b"".join(raw), b"".join(rows["code"].to_pylist()), probes, np.flatnonzero(bits.any(0)).tolist()]
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCK, strict=True)], schema=BLOCK)
 
-    def search(asking: pa.Table, held: pa.Table) -> pa.Table:
-        if not asking.num_rows or not held.num_rows:
-            return result.empty_table()
-        known = sent.value
-        q = {"id": asking["id"].to_numpy(), "vec": matrix(asking["unit"]), "list": asking["own"].to_numpy(), "copies": asking["copies"].to_numpy()}
-        bits = np.frombuffer(b"".join(held["probes"].to_pylist()), np.uint8).reshape(held.num_rows, -1)
-        m = {
-            "id": held["id"].to_numpy(),
-            "vec": matrix(held["unit"]),
-            "copies": held["copies"].to_numpy(),
-            "missed": held["missed"].to_numpy(),
-            "code": np.frombuffer(b"".join(held["code"].to_pylist()), np.uint8).reshape(held.num_rows, -1),
-            "probes": np.unpackbits(bits, axis=1, count=lists).astype(bool),
-        }
-        a, b = block_links(known, int(asking["list"][0].as_py()), q, m, threshold)
-        ends, other = np.concatenate([q["id"][a], m["id"][b]]), np.concatenate([m["copies"][b], q["copies"][a]])
-        ids, at = np.unique(ends, return_inverse=True)
-        roots = forest(zip(q["id"][a].tolist(), m["id"][b].tolist(), strict=True))
-        links = np.bincount(at, other, len(ids)).astype(np.int64)
-        return pa.table([pa.array(ids, pa.int64()), pa.array(links), pa.array([roots[i] for i in ids.tolist()], pa.int64())], schema=result)
-
-    left, right = dealt(asks, "q", "m").groupBy(keys), dealt(coded.drop("asks"), "m", "q").groupBy(keys)
-    found = stage(left.cogroup(right).applyInArrow(search, "id long, links long, parent long"), "found")
-    return found.withColumn("d", F.lit(points.shape[1]))
+        for batch in batches:
+            lst = batch.column("list").to_numpy()
+            for one in np.unique(lst).tolist():
+                some = pa.Table.from_batches([batch.take(pa.array(np.flatnonzero(lst == one)))])
+                rows = pa.concat_tables([held.pop(one), some]) if one in held else some
+                while rows.num_rows >= size:
+                    yield block(one, rows.slice(0, size))
+                    rows = rows.slice(size)
+                if rows.num_rows:
+                    held[one] = rows.combine_chunks()
+        for one, rows in held.items():
+            yield block(one, rows)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, blocks, trees, links, kept = sent.value, {}, {}, {}, 0
+
+        def opened(batch: pa.RecordBatch, i: int, side: str) -> Block:
+            nonlocal kept
+            value = lambda c: batch.column(side + c)[i].as_py()
+            number = value("block")
+            if number not in blocks:
+                while blocks and kept > HELD_BYTES:
+                    kept -= blocks.pop(next(iter(blocks))).bytes
+                blocks[number] = Block(known, {c: value(c) for c in BLOCK.names if c != "asks"}, d)
+                kept += blocks[number].bytes
+            return blocks[number]
+
+        def result() -> pa.RecordBatch:
+            ids = list(links)
+            cols = [ids, [links[i] for i in ids], [_top(trees, i) for i in ids]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "links", "parent"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                a, b = opened(batch, i, "a_"), opened(batch, i, "b_")
+                at, to = block_links(a, b, threshold)
+                if not len(at):
+                    continue
+                ends, other = np.concatenate([a.id[at], b.id[to]]), np.concatenate([b.copies[to], a.copies[at]])
+                ids, place = np.unique(ends, return_inverse=True)
+                counts = np.bincount(place, other, len(ids)).astype(np.int64)
+                for x, c in zip(ids.tolist(), counts.tolist(), strict=True):
+                    links[x] = links.get(x, 0) + c
+                for x, y in zip(a.id[at].tolist(), b.id[to].tolist(), strict=True):
+                    union(trees, x, y)
+                if len(links) > HELD_IDS:
+                    yield result()
+                    links, trees = {}, {}
+        if links:
+            yield result()
+
+    # lists together, a large one cut where it is larger than a task's share
+    listed = same.select("id", "copies", "raw").mapInArrow(members, MEMBER).hint("rebalance", F.col("list"))
+    files = {"maxRecordsPerFile": max(1, n // (size * 2 * spark.sparkContext.defaultParallelism)), "parquet.block.size": FILE_BYTES}
+    blocks = stage(listed.mapInArrow(pack, ", ".join(f"{f.name} {KINDS[str(f.type)]}" for f in BLOCK)), "blocks", **files)
+    a, b = (blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in BLOCK.names)) for side in "ab")
+    # of two blocks, either order is read; which one counts changes from pair to pair, so that tasks have like shares
+    first = F.when((F.col("a_block") + F.col("b_block")) % 2 == 0, F.col("a_block") < F.col("b_block")).otherwise(F.col("a_block") > F.col("b_block"))
+    asked = F.array_contains("a_asks", F.col("b_list")) | F.array_contains("b_asks", F.col("a_list"))
+    pairs = a.hint("shuffle_replicate_nl").join(b, (F.col("a_block") == F.col("b_block")) | (first & asked)).drop("a_asks", "b_asks")
+    with settings(spark, spark__sql__execution__arrow__maxBytesPerBatch=SENT_BYTES):
+        found = stage(pairs.mapInArrow(search, "id long, links long, parent long"), "found")
+    drop_staged(blocks)
+    return found.withColumn("d", F.lit(d))
 
 
 def _answer(every: DataFrame, each: DataFrame, id_col: str) -> DataFrame:
-    named = each.select("vec", "n_links", "component")
-    # null vectors match nothing and would meet in one task
-    some = every.where("vec is not null").join(named, "vec", "left").select("id", "n_links", "component")
-    none = every.where("vec is null").select("id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component"))
+    # rows without a vector match nothing and would meet in one task
+    some = every.where("key is not null").join(each, "key", "left").select("id", "n_links", "component")
+    none = every.where("key is null").select("id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component"))
     out = some.union(none)
     group = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,9 +12,14 @@ def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id long, vec array<double>) of the vectors that can be compared: not null, not zero, every component finite, with an
     id."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    return rows.where(comparable())
+
+
+def comparable() -> Column:
+    """Which rows (id, vec) take part."""
     # null components make the first test null, so the row is left out
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return rows.where(F.col("id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
+    return F.col("id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0)
 
 
 def by_length(rows: DataFrame) -> list[DataFrame]:

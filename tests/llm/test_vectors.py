@@ -152,3 +152,31 @@ def test_an_id_with_vectors_of_two_lengths(spark):
     got = {(r.vec_id, r.n_links): r.component_id for r in pq.near_duplicates(df, threshold=0.9).collect()}
     assert got == {(1, 2): 1, (2, 2): 1, (2, 1): 1, (3, 1): 1, (20, 2): 1}
     assert [(r.query_id, r.vec_id) for r in ann.nearest(df, every=20, k=2).orderBy("rank").collect()] == [(20, 2), (20, 1)]
+
+
+def test_pairs_of_blocks_are_read_not_shuffled(spark, monkeypatch):
+    """Every vector is staged in one block, whatever it probes, and the search copies none over a shuffle."""
+    monkeypatch.setattr(pq, "GROUP", 50)
+    seen, stage = {}, pq.stage
+    monkeypatch.setattr(pq, "stage", lambda df, tag, **o: seen.setdefault(tag, (df._jdf.queryExecution().executedPlan().toString(), out := stage(df, tag, **o), out.count()))[1])
+    monkeypatch.setattr(pq, "drop_staged", lambda df: None)
+    x = np.random.default_rng(4).normal(size=(600, 8))
+    ids = np.arange(600)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pq.near_duplicates(frame(spark, ids, x), threshold=0.9).collect()}
+    assert got == brute_links(ids, x, 0.9)
+    plan, _, _ = seen["found"]
+    assert "Exchange" not in plan and "CartesianProduct" in plan
+    blocks = [np.frombuffer(r.ids, np.int64) for r in seen["blocks"][1].collect()]
+    assert sorted(np.concatenate(blocks).tolist()) == ids.tolist() and max(map(len, blocks)) <= 50
+
+
+def test_links_of_single_and_double_numbers(spark):
+    """Vectors that single numbers hold and others in one list; both zeros are one; equal bytes of two lengths are not."""
+    x = clustered(300, d=6, copies=40, seed=9)
+    x[::2] = x[::2].astype(np.float32)
+    x[7], x[8] = [1, 0.0, 0, 0, 0, 2], [1, -0.0, 0, 0, 0, 2]
+    ids = np.arange(300)
+    rows = {r.vec_id: (r.n_links, r.component_id) for r in pq.near_duplicates(frame(spark, ids, x), threshold=0.9).collect()}
+    assert rows == brute_links(ids, x, 0.9)
+    wide, narrow = [1.1, 2.3], np.frombuffer(np.array([1.1, 2.3]).tobytes(), np.float32).tolist()
+    assert [(r.n_links, r.kept) for r in pq.near_duplicates(frame(spark, [1, 2], [wide, narrow])).collect()] == [(0, True)] * 2
